@@ -67,3 +67,85 @@ from (select cl_id, case when p is null then null
         else cast(((epoch_us(ts) - epoch_us(p)) // 1000000) % 86400 as double) / 60 end g
       from (select cl_id, ts, lag(ts) over (partition by cl_id order by ts, tx_id) p from tx_e))
 group by cl_id"""))
+
+# --------------------------------------------------------------------------- calendar, parsing, tenure
+TRX_TEXT = """case when category = 'error' then concat('bad', cast(tx_id as varchar))
+  when tx_id % 3 = 0 then upper(strftime(ts, '%d%b%y:%H:%M:%S'))
+  when tx_id % 3 = 1 then lower(strftime(ts, '%d%b%y:%H:%M:%S'))
+  else strftime(ts, '%d%b%y:%H:%M:%S') end"""
+
+register("parse_trx_time", q(["tx_e"], f"""
+select cl_id, tx_id, trx_time from (
+  select cl_id, tx_id, try_strptime({TRX_TEXT}, '%d%b%y:%H:%M:%S') trx_time from tx_e)
+where trx_time is not null"""))
+
+register("iso_weekday", q(["tx_e"], f"""
+select cl_id, tx_id, coalesce(isodow(try_strptime({TRX_TEXT}, '%d%b%y:%H:%M:%S')), 0) iso_weekday from tx_e"""))
+
+register("parse_period", q(["tx_o"], """
+select cl_id, tx_id, p as period, year(p)*12 + month(p) as period_month from (
+  select cl_id, tx_id, cast(try_strptime(case when channel = 'P' then '31/02/1999'
+      else strftime(date_trunc('month', ts), '%d/%m/%Y') end, '%d/%m/%Y') as date) p from tx_o)"""))
+
+register("calendar_fields", q(["tx_e"], """
+select cl_id, tx_id, hour(ts) tr_hour,
+  case when hour(ts) between 0 and 8 then 1 when hour(ts) between 9 and 18 then 2 else 0 end day_part,
+  isodow(ts) - 1 week_day, datediff('day', date '1970-01-01', cast(ts as date)) global_day_number,
+  floor(datediff('day', date '1970-01-01', cast(ts as date)) / 7) week_global_number,
+  quarter(ts) - 1 quartel, month(ts) + (year(ts) - 2016) * 12 as month, day(ts) as day, year(ts) as year,
+  datediff('day', date '2015-01-01', cast(ts as date)) days_since,
+  year(ts) * 12 + month(ts) period_month
+from tx_e"""))
+
+register("holiday_flag", q(["tx_e"], """
+select cl_id, tx_id, case when cast(ts as date) in (date '2024-01-01', date '2024-01-06', date '2024-01-07',
+  date '2024-01-13', date '2024-01-14') then 1 else 0 end is_holiday from tx_e"""))
+
+register("channel_code", q(["tx_e"], """
+select cl_id, tx_id, coalesce(try_cast(right(coalesce(channel_type, '0'), 1) as int), 0) channel_code from tx_e"""))
+
+register("category_code", q(["tx_e"], """
+select t.cl_id, t.tx_id, coalesce(d.code, -1) cat_index from tx_e t left join
+  (select category, dense_rank() over (order by category) - 1 code from (select distinct category from tx_e
+   where category is not null)) d on t.category = d.category"""))
+
+TENURE = """select *, period_month - max(period_month) over (partition by cl_id) months_before_last,
+  wk - min(wk) over (partition by cl_id) week_number,
+  gd - min(gd) over (partition by cl_id) day_number,
+  cast(floor((epoch_us(ts) - min(epoch_us(ts)) over (partition by cl_id)) / 86400000000.0) as int) transaction_day,
+  period_month - min(period_month) over (partition by cl_id) period_number
+from (select *, year(ts)*12 + month(ts) period_month,
+        floor(datediff('day', date '1970-01-01', cast(ts as date)) / 7) wk,
+        datediff('day', date '1970-01-01', cast(ts as date)) gd from {src})"""
+
+register("period_part_buckets", q(["tx_e"], """
+select cl_id, tx_id, day_number, floor((day_number+1)/2) period_part_2, floor((day_number+1)/4) period_part_4,
+  floor((day_number+1)/8) period_part_8, floor((day_number+1)/16) period_part_16, floor((day_number+1)/32) period_part_32,
+  floor((day_number+1)/64) period_part_64, floor((day_number+1)/128) period_part_128 from ten""",
+    [("ten", TENURE.format(src="tx_e"))]))
+
+register("tenure_fields", q(["tx_o"], """
+select cl_id, tx_id, period_month, months_before_last, week_number, day_number, transaction_day, period_number,
+  cast(floor(transaction_day / 7) as int) transaction_week from ten""", [("ten", TENURE.format(src="tx_o"))]))
+
+register("day_diff", q(["tx_e"], """
+select cl_id, tx_id, day_number, coalesce(greatest(day_number - lag(day_number) over
+  (partition by cl_id order by day_number, ts, tx_id), 0), 0) day_diff from ten""", [("ten", TENURE.format(src="tx_e"))]))
+
+register("tenure_cut", q(["tx_o"], """
+select cl_id, tx_id, transaction_day from ten where transaction_day <= 93""", [("ten", TENURE.format(src="tx_o"))]))
+
+register("last_action_backjoin", q(["tx_e"], """
+select cl_id, tx_id, last_action,
+  case when ts >= last_action - to_days(7) then 1 else 0 end in_last_7,
+  case when ts >= last_action - to_days(14) then 1 else 0 end in_last_14,
+  case when ts >= last_action - to_days(30) then 1 else 0 end in_last_30,
+  case when ts >= last_action - to_days(60) then 1 else 0 end in_last_60
+from (select *, max(ts) over (partition by cl_id) last_action from tx_e)"""))
+
+register("round_amount_flags", q(["tx_e"], """
+select cl_id, tx_id, coalesce(cast(amount % 1 = 0 as int), 0) ostatok_1, coalesce(cast(amount % 10 = 0 as int), 0) ostatok_10,
+  coalesce(cast(amount % 100 = 0 as int), 0) ostatok_100, coalesce(cast(amount % 1000 = 0 as int), 0) ostatok_1000 from tx_e"""))
+
+register("signed_amount", q(["tx_e"], """
+select cl_id, tx_id, cast(case when category in ('signup') then abs(amount) else -amount end as double) signed_amount from tx_e"""))
