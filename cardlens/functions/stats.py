@@ -40,17 +40,17 @@ def smallest_mode(c) -> Column:
     return F.mode(_c(c), deterministic=True)
 
 
-# Statistic name -> builder.  Doubles are rounded to 6 places so results are
-# comparable across engines; min/max/sum keep the input type.
+# Statistic name -> builder.  Outputs are DOUBLE (exact money sums are taken
+# in DECIMAL and cast at the end); means and spreads are rounded to 6 places.
 STAT_BUILDERS = {
-    "sum": lambda c: F.sum(_c(c)),
+    "sum": lambda c: F.sum(_c(c)).cast("double"),
     "mean": lambda c: r6(F.avg(dbl(c))),
     "std": lambda c: r6(F.stddev_samp(dbl(c))),
     "std_pop": lambda c: r6(F.stddev_pop(dbl(c))),
     "median": lambda c: r6(F.median(dbl(c))),
-    "max": lambda c: F.max(_c(c)),
-    "min": lambda c: F.min(_c(c)),
-    "mode": lambda c: smallest_mode(c),
+    "max": lambda c: F.max(_c(c)).cast("double"),
+    "min": lambda c: F.min(_c(c)).cast("double"),
+    "mode": lambda c: smallest_mode(c).cast("double"),
     "mean_div_std": lambda c: r6(mean_div_std(c)),
     "count": lambda c: F.count(_c(c)),
 }

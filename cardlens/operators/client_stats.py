@@ -55,3 +55,78 @@ def client_stats(tx: DataFrame, value: str, stats, prefix: str, where: Column |
         mc = mode_counts(tx, [KEY], value, f"{prefix}mode_count", where)
         out = out.join(mc, KEY, "left")
     return out
+
+
+def money_double(c) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
+
+
+def client_counts(tx: DataFrame, value: str = "amount") -> DataFrame:
+    """Number of non-null amounts and their exact sum per client."""
+    return tx.groupBy(KEY).agg(F.count(value).alias("num_deals"),
+                               money_double(F.sum(value)).alias("sum_deals"))
+
+
+def client_lifespan(tx: DataFrame, base_year: int, ts: str = "ts") -> DataFrame:
+    """Whole days between first and last transaction; first/last month index
+    (from ``base_year``) and their difference."""
+    from cardlens.functions.calendar import base_month_index
+    g = tx.groupBy(KEY).agg(F.min(ts).alias("_mn"), F.max(ts).alias("_mx"))
+    return g.select(
+        KEY, F.expr("timestampdiff(DAY, _mn, _mx)").cast("int").alias("num_days_in_use"),
+        base_month_index("_mx", base_year).alias("max_month"), base_month_index("_mn", base_year).alias("min_month"),
+        (base_month_index("_mx", base_year) - base_month_index("_mn", base_year)).alias("delta_month"))
+
+
+def client_active_days(tx: DataFrame, day_col: str = "days_since") -> DataFrame:
+    """Distinct active days and the density distinct / (last - first + 1)."""
+    g = tx.groupBy(KEY).agg(F.count_distinct(day_col).alias("len_days"),
+                            F.min(day_col).alias("_mn"), F.max(day_col).alias("_mx"))
+    return g.select(KEY, "len_days", r6(safe_div(F.col("len_days").cast("double"),
+                                                  (F.col("_mx") - F.col("_mn") + 1).cast("double"))).alias("len_div_set_days"))
+
+
+def month_cohort(tx: DataFrame, month_col: str = "month") -> DataFrame:
+    """Per month: rows, distinct clients and rows per client."""
+    g = tx.groupBy(month_col).agg(F.count(KEY).alias("num_deals_month"),
+                                  F.count_distinct(KEY).alias("uniq_len_num_cards"))
+    return g.withColumn("avg_act", r6(safe_div(F.col("num_deals_month").cast("double"),
+                                               F.col("uniq_len_num_cards").cast("double"))))
+
+
+def month_amount_stats(tx: DataFrame, value: str = "amount", month_col: str = "month") -> DataFrame:
+    """Global statistics of the amount per month."""
+    return tx.groupBy(month_col).agg(
+        money_double(F.sum(value)).alias("ag_month_sum"), r6(F.avg(dbl(value))).alias("ag_month_mean"),
+        r6(F.stddev_samp(dbl(value))).alias("ag_month_std"), r6(F.median(dbl(value))).alias("ag_month_median"),
+        r6(safe_div(F.avg(dbl(value)), F.stddev_pop(dbl(value)) + 1.0)).alias("ag_month_mean_div_std"))
+
+
+def attach_by_month(clients: DataFrame, per_month: DataFrame, client_month: str, prefix: str,
+                    month_col: str = "month") -> DataFrame:
+    """Left join a per-month table onto clients by one of their month columns
+    (role-played: first month, last month).  The per-month table has one row
+    per calendar month, so its size is bounded by the calendar and it is
+    broadcast."""
+    renamed = per_month.select(F.col(month_col).alias(client_month),
+                               *[F.col(c).alias(f"{prefix}{c}") for c in per_month.columns if c != month_col])
+    return clients.join(F.broadcast(renamed), client_month, "left")
+
+
+def client_first_value(tx: DataFrame, value: str, order: list[str], out: str) -> DataFrame:
+    """The value of the client's first row by ``order`` (deterministic)."""
+    return tx.groupBy(KEY).agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(out))
+
+
+def client_target(rows: DataFrame, labels=("target_flag", "target_sum")) -> DataFrame:
+    """Client label = max of its row labels."""
+    return rows.groupBy(KEY).agg(*[F.max(c).alias(c) for c in labels])
+
+
+def wide_join(left: DataFrame, right: DataFrame, on: str = KEY, how: str = "left",
+              lsuffix: str = "_l", rsuffix: str = "_r") -> DataFrame:
+    """Join two wide client tables; clashing names get suffixes."""
+    clash = (set(left.columns) & set(right.columns)) - {on}
+    l2 = left.select(*[F.col(c).alias(c + lsuffix) if c in clash else F.col(c) for c in left.columns])
+    r2 = right.select(*[F.col(c).alias(c + rsuffix) if c in clash else F.col(c) for c in right.columns])
+    return l2.join(r2, on, how)

@@ -149,3 +149,193 @@ select cl_id, tx_id, coalesce(cast(amount % 1 = 0 as int), 0) ostatok_1, coalesc
 
 register("signed_amount", q(["tx_e"], """
 select cl_id, tx_id, cast(case when category in ('signup') then abs(amount) else -amount end as double) signed_amount from tx_e"""))
+
+# --------------------------------------------------------------------------- client statistics
+MONTH_O = "month(ts) + (year(ts) - 1995) * 12"
+
+
+def stat_sql(x: str, s: str, filt: str = "") -> str:
+    """One statistic of column x in DuckDB, matching cardlens.functions.stats."""
+    f = f" filter (where {filt})" if filt else ""
+    d = f"cast({x} as double)"
+    return {
+        "sum": f"cast(sum({x}){f} as double)",
+        "mean": f"round(avg({d}){f}, 6)",
+        "std": f"round(stddev_samp({d}){f}, 6)",
+        "std_pop": f"round(stddev_pop({d}){f}, 6)",
+        "median": f"round(median({d}){f}, 6)",
+        "max": f"cast(max({x}){f} as double)",
+        "min": f"cast(min({x}){f} as double)",
+        "mode": f"cast(mode({x} order by {x}){f} as double)",
+        "mean_div_std": f"round(avg({d}){f} / (stddev_pop({d}){f} + 1), 6)",
+        "count": f"count({x}){f}",
+    }[s]
+
+
+def client_stats_sql(src: str, x: str, stats, prefix: str, key: str = "cl_id") -> tuple[str, list[str]]:
+    cols = [f"{stat_sql(x, s)} as {prefix}{s}" for s in stats if s != "mode_count"]
+    body = f"select {key}, {', '.join(cols)} from {src} group by {key}"
+    if "mode_count" in stats:
+        body = (f"select a.*, m.{prefix}mode_count from ({body}) a join (select {key}, max(n) {prefix}mode_count from "
+                f"(select {key}, {x}, count(*) n from {src} where {x} is not null group by {key}, {x}) group by {key}) m "
+                f"using ({key})")
+    return body, [f"{prefix}{s}" for s in stats]
+
+
+AMOUNT_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std")
+
+register("client_num_deals", q(["tx_e"], "select cl_id, count(amount) num_deals from tx_e group by cl_id"))
+register("client_sum_deals", q(["tx_e"], "select cl_id, cast(sum(amount) as double) sum_deals from tx_e group by cl_id"))
+
+
+def lifespan_sql(src: str, base: int) -> str:
+    mx = f"month(max(ts)) + (year(max(ts)) - {base}) * 12"
+    mn = f"month(min(ts)) + (year(min(ts)) - {base}) * 12"
+    return (f"select cl_id, cast((epoch_us(max(ts)) - epoch_us(min(ts))) // 86400000000 as int) num_days_in_use, "
+            f"{mx} max_month, {mn} min_month, ({mx}) - ({mn}) delta_month from {src} group by cl_id")
+
+
+register("client_lifespan", q(["tx_o"], lifespan_sql("tx_o", 1995)))
+register("client_amount_stats", q(["tx_e"], client_stats_sql("tx_e", "amount", AMOUNT_STATS, "amount_")[0]))
+register("client_month_stats", q(["tx_o"], client_stats_sql("txm", "month", ("median", "max", "min", "mode_count", "mode"),
+                                                            "month_")[0],
+                                 [("txm", f"select *, {MONTH_O} as month from tx_o")]))
+
+_round_parts = []
+for _d in (1, 10, 100, 1000):
+    for _s in ("mean", "std", "median", "max", "min", "mean_div_std"):
+        _round_parts.append(f"{stat_sql(f'f{_d}', _s)} as ostatok_{_d}_{_s}")
+register("client_round_stats", q(["tx_e"], f"select cl_id, {', '.join(_round_parts)} from fl group by cl_id", [(
+    "fl", "select cl_id, " + ", ".join(f"coalesce(cast(amount % {d} = 0 as int), 0) f{d}" for d in (1, 10, 100, 1000))
+    + " from tx_e")]))
+
+register("client_channel_mode", q(["tx_e"], """
+select cl_id, cast(mode(c order by c) as double) channel_code_mode from
+ (select cl_id, coalesce(try_cast(right(coalesce(channel_type, '0'), 1) as int), 0) c from tx_e) group by cl_id"""))
+
+register("client_mode_count", q(["tx_e"], """
+select cl_id, max(n) mcc_mode_count from (select cl_id, mcc, count(*) n from tx_e where mcc is not null group by cl_id, mcc)
+group by cl_id"""))
+
+register("client_mean_div_std", q(["tx_e"], client_stats_sql("tx_e", "amount", ("mean_div_std",), "amount_")[0]))
+
+
+def active_days_sql(src: str) -> str:
+    return (f"select cl_id, count(distinct ds) len_days, round(count(distinct ds) / nullif(cast(max(ds) - min(ds) + 1 "
+            f"as double), 0), 6) len_div_set_days from (select cl_id, datediff('day', date '2015-01-01', cast(ts as date)) "
+            f"ds from {src}) group by cl_id")
+
+
+register("client_active_days", q(["tx_o"], active_days_sql("tx_o")))
+
+COHORT_O = f"""select month, count(cl_id) num_deals_month, count(distinct cl_id) uniq_len_num_cards,
+  round(count(cl_id) / nullif(cast(count(distinct cl_id) as double), 0), 6) avg_act
+from (select *, {MONTH_O} as month from tx_o) group by month"""
+register("month_cohort", q(["tx_o"], COHORT_O))
+
+register("month_amount_stats", q(["tx_o"], "select month, " + ", ".join(
+    f"{stat_sql('amount', s)} as ag_month_{s}" for s in ("sum", "mean", "std", "median", "mean_div_std"))
+    + f" from (select *, {MONTH_O} as month from tx_o) group by month"))
+
+register("month_cohort_join", q(["tx_o"], """
+select c.cl_id, c.max_month, c.min_month,
+  a.num_deals_month max_num_deals_month, a.uniq_len_num_cards max_uniq_len_num_cards, a.avg_act max_avg_act,
+  b.num_deals_month min_num_deals_month, b.uniq_len_num_cards min_uniq_len_num_cards, b.avg_act min_avg_act
+from (select cl_id, max_month, min_month from ls) c
+left join coh a on c.max_month = a.month left join coh b on c.min_month = b.month""",
+    [("ls", lifespan_sql("tx_o", 1995)), ("coh", COHORT_O)]))
+
+register("client_first_value", q(["tx_o"], "select cl_id, first(channel order by ts, tx_id) first_channel from tx_o group by cl_id"))
+
+register("client_target", q(["cust_lbl"], """
+select t.cl_id, max(l.target_flag) target_flag, cast(max(l.target_sum) as double) target_sum
+from tx_e t left join cust_lbl l on t.cl_id = l.cl_id group by t.cl_id"""))
+
+GAP_E = """select cl_id, round(min(g),6) gap_min, round(max(g),6) gap_max, round(avg(g),6) gap_mean,
+  round(stddev_pop(g),6) gap_std, round(median(g),6) gap_median
+from (select cl_id, case when p is null then null
+        else cast(((epoch_us(ts) - epoch_us(p)) // 1000000) % 86400 as double) / 60 end g
+      from (select cl_id, ts, lag(ts) over (partition by cl_id order by ts, tx_id) p from tx_e))
+group by cl_id"""
+
+register("client_features_left_join", q(["tx_e"], """
+select * from (select cl_id, count(amount) num_deals, cast(sum(amount) as double) sum_deals from tx_e group by cl_id)
+left join gap using (cl_id) left join ls using (cl_id) left join ad using (cl_id)""",
+    [("gap", GAP_E), ("ls", lifespan_sql("tx_e", 2024)), ("ad", active_days_sql("tx_e"))]))
+
+register("wide_join_suffix", q(["tx_e"], """
+select l.cl_id, l.amount_sum amount_sum_l, l.amount_max amount_max_l, l.amount_count amount_count_l, 1 channel_type_l,
+  r.amount_sum amount_sum_r, r.amount_max amount_max_r, r.amount_count amount_count_r, r.channel_type_r
+from (select cl_id, cast(sum(amount) as double) amount_sum, cast(max(amount) as double) amount_max, count(amount) amount_count
+      from tx_e group by cl_id) l
+left join (select cl_id, cast(sum(amount) as double) amount_sum, cast(max(amount) as double) amount_max,
+      count(amount) amount_count, 2 channel_type_r from tx_e where category = 'purchase' group by cl_id) r on l.cl_id = r.cl_id"""))
+
+register("drop_columns", q(["tx_e"], client_stats_sql("tx_e", "amount", ("sum", "mean", "std", "median", "max", "min"),
+                                                      "amount_")[0]))
+
+CATS_E = ["click", "error", "purchase", "signup", "view"]
+CAT_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std", "count")
+_cs_body, _ = client_stats_sql("tx_e", "amount", CAT_STATS, "s_", key="cl_id, category")
+_cat_cols = []
+for _v in CATS_E:
+    for _s in CAT_STATS:
+        _cat_cols.append(f"max(case when category = '{_v}' and s_count > 0 then coalesce(s_{_s}, 0) end) "
+                         f"as trx_category{_v}_amount_{_s}")
+register("category_stats_pivot", q(["tx_e"], f"select cl_id, {', '.join(_cat_cols)} from cs group by cl_id",
+                                   [("cs", _cs_body)]))
+
+REC_DAYS = (7, 14, 30, 60)
+
+
+def recency_sql(stats) -> tuple[str, list]:
+    cols = []
+    for n in REC_DAYS:
+        w = f"ts >= la - to_days({n})"
+        for s in stats:
+            if s != "mode_count":
+                cols.append(f"{stat_sql('amount', s, w)} as last_action_minus_{n}_days_{s}")
+    body = f"select cl_id, {', '.join(cols)} from b group by cl_id"
+    if "mode_count" in stats:
+        mc = ", ".join(f"max(case when n{n} > 0 then n{n} end) last_action_minus_{n}_days_mode_count" for n in REC_DAYS)
+        cnt = ", ".join(f"count(*) filter (where ts >= la - to_days({n})) n{n}" for n in REC_DAYS)
+        body = (f"select * from ({body}) join (select cl_id, {mc} from (select cl_id, amount, {cnt} from b "
+                f"group by cl_id, amount) group by cl_id) using (cl_id)")
+    return body, [("b", "select *, max(ts) over (partition by cl_id) la from tx_e")]
+
+
+_rb, _rc = recency_sql(("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std", "count"))
+register("recency_aggs", q(["tx_e"], _rb, _rc))
+
+_ratio_stats = ("sum", "mean", "std", "median", "max", "min", "count")
+_whole_body, _ = client_stats_sql("tx_e", "amount", _ratio_stats, "amount_")
+_rec_body, _rec_ctes = recency_sql(_ratio_stats)
+_ratio_cols = []
+for _s in _ratio_stats:
+    _names = [f"last_action_minus_{n}_days_{_s}" for n in REC_DAYS]
+    for _a in _names:
+        _ratio_cols.append(f"round(cast({_a} as double) / nullif(cast(amount_{_s} as double), 0), 6) {_a}_div_mean")
+    for _i in range(len(_names)):
+        for _j in range(_i + 1, len(_names)):
+            ai, aj = f"cast({_names[_i]} as double)", f"cast({_names[_j]} as double)"
+            _ratio_cols.append(f"round({ai} / nullif({aj}, 0), 6) {_names[_i]}_div_{_names[_j]}")
+            _ratio_cols.append(f"round(({aj} - {ai}) / nullif({aj}, 0), 6) {_names[_i]}_prc_{_names[_j]}")
+register("recency_ratios", q(["tx_e"], f"select cl_id, {', '.join(_ratio_cols)} from w join r using (cl_id)",
+                             _rec_ctes + [("w", _whole_body), ("r", _rec_body)]))
+
+TENURE_O = TENURE.format(src="tx_o")
+_rms = []
+_flows = []
+for _m in (0, -1, -2, -3, -4):
+    _s = f"sum(amount) filter (where months_before_last = {_m} and category = '1-URGENT')"
+    _rms.append(f"coalesce(cast({_s} as double), 0) \"month_{_m}\"")
+    _rms.append(f"coalesce(cast({_s} >= 19000 as int), 0) \"month_state_{_m}\"")
+    _in = f"coalesce(cast(sum(amount) filter (where months_before_last = {_m} and category in ('5-LOW')) as double), 0)"
+    _tot = f"coalesce(cast(sum(amount) filter (where months_before_last = {_m}) as double), 1)"
+    _out = (f"coalesce(cast(sum(amount) filter (where months_before_last = {_m} and category not in ('5-LOW') "
+            f"and category = '1-URGENT') as double), 0)")
+    _flows.append(f"coalesce(round({_in} / nullif({_tot}, 0), 6), 0) \"portion_in{_m}\"")
+    _flows.append(f"{_out} \"portion_out{_m}\"")
+register("relative_month_state", q(["tx_o"], f"select cl_id, {', '.join(_rms)} from ten group by cl_id",
+                                   [("ten", TENURE_O)]))
+register("inout_flows", q(["tx_o"], f"select cl_id, {', '.join(_flows)} from ten group by cl_id", [("ten", TENURE_O)]))
