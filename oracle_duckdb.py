@@ -339,3 +339,118 @@ for _m in (0, -1, -2, -3, -4):
 register("relative_month_state", q(["tx_o"], f"select cl_id, {', '.join(_rms)} from ten group by cl_id",
                                    [("ten", TENURE_O)]))
 register("inout_flows", q(["tx_o"], f"select cl_id, {', '.join(_flows)} from ten group by cl_id", [("ten", TENURE_O)]))
+
+# --------------------------------------------------------------------------- pivots
+POS_E = "category = 'purchase'"
+GOOD_E = "not coalesce(mcc % 7 = 0, false)"
+PG_E = f"{POS_E} and {GOOD_E}"
+HOL_E = ("cast(ts as date) in (date '2024-01-01', date '2024-01-06', date '2024-01-07', date '2024-01-13', "
+         "date '2024-01-14')")
+ENR_E = ("select *, hour(ts) tr_hour, case when hour(ts) between 0 and 8 then 1 when hour(ts) between 9 and 18 then 2 "
+         "else 0 end day_part, isodow(ts) - 1 week_day, coalesce(greatest(day_number - lag(day_number) over "
+         "(partition by cl_id order by day_number, ts, tx_id), 0), 0) day_diff, "
+         f"case when {HOL_E} then 1 else 0 end is_holiday from ({TENURE.format(src='tx_e')})")
+
+_scalar = {
+    "sum_POS": f"coalesce(cast(sum(amount) filter (where {POS_E}) as double), 0)",
+    "good_mcc_portion": (f"coalesce(round(cast(sum(amount) filter (where {GOOD_E}) as double) / "
+                         f"nullif(cast(sum(amount) filter (where {POS_E}) as double), 0), 6), 0)"),
+    "days_hole_mean": f"coalesce(round(avg(cast(day_diff as double)) filter (where {PG_E}) / 100.0, 6), 0)",
+    "head_hole_size": f"coalesce(round(min(day_number) filter (where {PG_E}) / 100.0, 6), 0)",
+    "tail_hole_size": f"coalesce(round((100.0 - max(day_number) filter (where {PG_E})) / 100.0, 6), 0)",
+    "holydays_amount_part": "coalesce(cast(sum(amount) filter (where is_holiday = 1) as double), 0)",
+}
+
+
+def scalar_sql(cols):
+    return q(["tx_e"], f"select cl_id, {', '.join(f'{_scalar[c]} as {c}' for c in cols)} from enr group by cl_id",
+             [("enr", ENR_E)])
+
+
+register("sum_by_category_filter", scalar_sql(["sum_POS"]))
+register("good_mcc_portion", scalar_sql(["good_mcc_portion"]))
+register("tenure_holes", scalar_sql(["days_hole_mean", "head_hole_size", "tail_hole_size"]))
+register("holiday_amount", scalar_sql(["holydays_amount_part"]))
+register("good_mcc_rows", q(["tx_e"], f"select cl_id, tx_id, mcc from tx_e where {GOOD_E}"))
+register("mcc_feature_list", q(["tx_e"], "select distinct mcc from tx_e where not (mcc % 7 = 0 or mcc % 11 = 0)"))
+
+
+def static_pivot(src, prefix, dim, values, cond=None, share=False):
+    cols = []
+    for v in values:
+        w = f"{dim} = {v}" + (f" and {cond}" if cond else "")
+        s = f"cast(sum(amount) filter (where {w}) as double)"
+        if share:
+            s = f"round({s} / nullif(cast(sum(amount) as double), 0), 6)"
+        cols.append(f"coalesce({s}, 0) \"{prefix}{v}\"")
+    return f"select cl_id, {', '.join(cols)} from {src} group by cl_id"
+
+
+def dynamic_pivot(long_sql):
+    """long_sql yields (cl_id, l, v) including a '__total__' label per client."""
+    return (f"select cl_id, coalesce(columns(* exclude (cl_id, \"__total__\")), 0) from "
+            f"(pivot ({long_sql}) on l using first(v) group by cl_id)")
+
+
+TXO_CAL = f"select *, year(ts) as year, {MONTH_O} as month, day(ts) as day, quarter(ts) - 1 quartel from tx_o"
+POS_O = "category = '1-URGENT'"
+register("pivot_year", q(["tx_o"], dynamic_pivot(
+    f"select cl_id, 'year_' || cast(year as varchar) l, cast(sum(amount) filter (where {POS_O}) as double) v "
+    f"from o group by cl_id, year union all select distinct cl_id, '__total__', 0 from o"), [("o", TXO_CAL)]))
+register("pivot_month", q(["tx_o"], static_pivot("o", "year_month_", "month", range(1, 13), POS_O), [("o", TXO_CAL)]))
+register("pivot_month_day", q(["tx_o"], static_pivot("o", "month_day_", "day", range(1, 32), POS_O), [("o", TXO_CAL)]))
+register("pivot_quarter", q(["tx_o"], static_pivot("o", "quartel_", "quartel", range(4)), [("o", TXO_CAL)]))
+register("pivot_day_part_share", q(["tx_e"], static_pivot("enr", "day_part_", "day_part", range(3), PG_E, True),
+                                   [("enr", ENR_E)]))
+register("pivot_hour_share", q(["tx_e"], static_pivot("enr", "hour_", "tr_hour", range(24), PG_E, True),
+                               [("enr", ENR_E)]))
+register("pivot_currency", q(["tx_e"], static_pivot("enr", "cur_", "currency", (810, 978, 840, 784)),
+                             [("enr", ENR_E)]))
+register("pivot_weekday", q(["tx_e"], static_pivot("enr", "week_day_", "week_day", range(6)), [("enr", ENR_E)]))
+register("pivot_tenure_day", q(["tx_e"], static_pivot("enr", "day_", "day_number", range(100), POS_E),
+                               [("enr", ENR_E)]))
+register("pivot_tenure_week", q(["tx_e"], static_pivot("enr", "week_", "week_number", range(14), PG_E),
+                                [("enr", ENR_E)]))
+register("pivot_category_share", q(["tx_e"], dynamic_pivot(
+    "select e.cl_id, 'cat_' || cast(c.code as varchar) l, round(cast(sum(e.amount) as double) / nullif(cast(max(t.tot) "
+    "as double), 0), 6) v from tx_e e join (select category, dense_rank() over (order by category) - 1 code from "
+    "(select distinct category from tx_e where category is not null)) c using (category) join (select cl_id, sum(amount) "
+    "tot from tx_e group by cl_id) t using (cl_id) group by e.cl_id, c.code "
+    "union all select distinct cl_id, '__total__', 0 from tx_e")))
+register("period_part_coverage", q(["tx_e"], "select cl_id, " + ", ".join(
+    f"round(count(distinct floor((day_number + 1) / {n})) / ({128 / n}), 6) period_part{n}"
+    for n in (2, 4, 8, 16, 32, 64, 128)) + " from ten group by cl_id", [("ten", TENURE.format(src="tx_e"))]))
+register("pivot_mcc_share", q(["tx_e"], dynamic_pivot(
+    "select e.cl_id, 'sum_' || cast(e.mcc as varchar) l, round(cast(sum(e.amount) as double) / nullif(cast(max(g.good) "
+    f"as double), 0), 6) v from tx_e e join (select cl_id, sum(amount) filter (where {GOOD_E}) good from tx_e group by "
+    "cl_id) g using (cl_id) where not (e.mcc % 7 = 0 or e.mcc % 11 = 0) group by e.cl_id, e.mcc "
+    "union all select distinct cl_id, '__total__', 0 from tx_e")))
+
+
+def onehot_long(src, prefix, col, share):
+    idx = (f"(select v, row_number() over (order by n desc, cast(v as varchar)) - 1 i, count(*) over () k from "
+           f"(select {col} v, count(*) n from {src} where {col} is not null group by {col}))")
+    val = "cast(sum(s.amount) as double)"
+    if share:
+        val = f"round({val} / nullif(cast(max(t.tot) as double), 0), 6)"
+    return (f"select s.cl_id, '{prefix}' || cast(x.i as varchar) l, {val} v from {src} s join {idx} x on s.{col} = x.v "
+            f"join (select cl_id, sum(amount) tot from {src} group by cl_id) t on s.cl_id = t.cl_id "
+            f"where x.i < x.k - 1 group by s.cl_id, x.i")
+
+
+_ten_cut = f"select * from ({TENURE.format(src='tx_o')}) where transaction_day <= 93"
+register("onehot_weighted_sum", q(["tx_o"], dynamic_pivot(
+    onehot_long("tc", "tw_", "cast(floor(transaction_day / 7) as int)", False).replace(
+        "s.cast(floor(transaction_day / 7) as int)", "cast(floor(s.transaction_day / 7) as int)")
+    + " union all " + onehot_long("tc", "pn_", "period_number", False)
+    + " union all select distinct cl_id, '__total__', 0 from tc"), [("tc", _ten_cut)]))
+register("onehot_weighted_share", q(["tx_e"], dynamic_pivot(
+    onehot_long("we", "wd_", "iso_weekday", True) + " union all " + onehot_long("we", "cur_", "currency", True)
+    + " union all " + onehot_long("we", "cat_", "category", True)
+    + " union all select distinct cl_id, '__total__', 0 from we"),
+    [("we", "select *, coalesce(isodow(ts), 0) iso_weekday from tx_e")]))
+register("elementwise_vector_sum", """
+select label, list(s order by pos) vec_sum from (
+  select label, pos, round(sum(cast(x as double)), 4) s from (
+    select label, unnest(embedding) x, generate_subscripts(embedding, 1) - 1 pos from embeddings)
+  group by label, pos) group by label""")
