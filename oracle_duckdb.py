@@ -454,3 +454,89 @@ select label, list(s order by pos) vec_sum from (
   select label, pos, round(sum(cast(x as double)), 4) s from (
     select label, unnest(embedding) x, generate_subscripts(embedding, 1) - 1 pos from embeddings)
   group by label, pos) group by label""")
+
+# --------------------------------------------------------------------------- money
+register("fx_rates", q(["fx"], "select code, day, case when code = 978 and day % 5 = 0 then null "
+                               "else cast(rate as double) end rate from fx"))
+register("fx_rates_fallback", q(["fx"], "select code, day, cast(case when day % 5 = 0 then rate + 1 else rate end "
+                                        "as double) rate from fx where code = 978"))
+FLAT_AMT = ("case when currency = 704 then cast(amount as double) * 0.000045 when currency = 360 then "
+            "cast(amount as double) * 0.000074 when currency = 410 then cast(amount as double) * 0.000892 "
+            "when currency = 170 then cast(amount as double) * 0.00035 when currency = 933 then "
+            "cast(amount as double) * 0.5 else cast(amount as double) end")
+FLAT_CUR = "case when currency in (704, 360, 410, 170, 933) then 840 else currency end"
+register("fx_flat", q(["tx_e"], f"select cl_id, tx_id, {FLAT_AMT} amount_flat, {FLAT_CUR} currency_flat from tx_e"))
+register("fx_asof_tolerance", q(["tx_e", "fx_sparse"], """
+select t.cl_id, t.tx_id, t.currency, case when t.code in (840, 978) then (case when t.d - f.day <= 9
+  then t.amt * cast(f.rate as double) end) else t.amt end amount_rub
+from t asof left join fx_sparse f on t.code = f.code and t.d >= f.day""", [(
+    "t", f"select *, {FLAT_AMT} amt, {FLAT_CUR} code, datediff('day', date '1970-01-01', cast(ts as date)) d from tx_e")]))
+register("fx_asof_unbounded", q(["tx_e", "fx_sparse"], """
+select t.cl_id, t.tx_id, t.currency, case when t.currency in (840, 978) then cast(t.amount as double) *
+  cast(f.rate as double) else cast(t.amount as double) end amount_rub
+from t asof left join fx_sparse f on t.currency = f.code and t.d >= f.day""", [(
+    "t", "select *, datediff('day', date '1970-01-01', cast(ts as date)) d from tx_e")]))
+register("mcc_dim", q(["mcc_dim"], "select mcc, mcc_category from mcc_dim"))
+register("mcc_lookup", q(["tx_l", "mcc_dim"], "select t.cl_id, t.tx_id, t.mcc, m.mcc_category from tx_l t "
+                                              "left join mcc_dim m on t.mcc = m.mcc"))
+register("mcc_unmatched", q(["tx_l", "mcc_dim"], "select cl_id, tx_id, mcc from tx_l t where not exists "
+                                                 "(select 1 from mcc_dim m where m.mcc = t.mcc)"))
+
+# --------------------------------------------------------------------------- scans, sinks, sets, metrics
+register("scan_csv_roundtrip", q(["tx_e"], """
+select cl_id, mcc, channel_type, currency, date_trunc('second', ts) trx_time, cast(amount as double) amount, category,
+  cast(date_trunc('month', ts) as date) period from tx_e"""))
+register("scan_text_split", q(["tx_e", "cust_lbl"], """
+select t.cl_id, t.mcc, cast(t.amount as double) amount, t.category,
+  case when l.cl_id is not null then 10 else 8 end n_fields
+from tx_e t left join cust_lbl l on t.cl_id = l.cl_id where t.category <> 'error'"""))
+register("optional_targets", q(["tx_e", "cust_lbl"], """
+select t.cl_id, cast(t.amount as double) amount, coalesce(cast(l.target_flag as double), 0) target_flag,
+  coalesce(cast(l.target_sum as double), 0) target_sum
+from tx_e t left join cust_lbl l on t.cl_id = l.cl_id where t.category <> 'error'"""))
+register("sink_predictions_roundtrip", q(["cust_lbl"], "select cl_id as \"_ID_\", round(ln(cast(target_sum as double) "
+                                                      "+ 1), 6) as \"_VAL_\" from cust_lbl"))
+register("input_counts", q(["tx_e", "cust_lbl"], """
+select case when l.target_flag is not null then 'train' else 'test' end source, count(*) n
+from tx_e t left join cust_lbl l on t.cl_id = l.cl_id group by 1"""))
+register("preview_top10", q(["tx_e"], "select cl_id, tx_id, ts, category, cast(amount as double) amount from tx_e "
+                                      "order by cl_id, ts, tx_id limit 10"))
+register("union_train_test", q(["tx_e"], "select cl_id, tx_id, cast(amount as double) amount from tx_e"))
+register("split_labelled", q(["tx_e", "cust_lbl"], """
+select c.cl_id, case when l.target_flag is not null then 'train' else 'test' end part
+from (select distinct cl_id from tx_e) c left join cust_lbl l on c.cl_id = l.cl_id"""))
+register("target_log", q(["cust_lbl"], "select cl_id, round(ln(cast(target_sum as double) + 1), 6) y_log from cust_lbl"))
+register("target_unlog_clip", q(["cust_lbl"], "select cl_id, round(greatest(exp(round(ln(cast(target_sum as double) "
+                                              "+ 1), 6) - 3.0) - 1, 0), 6) pred from cust_lbl"))
+register("minmax_scale", q(["cust_lbl"], """
+select cl_id, round((s - mn) / nullif(mx - mn, 0), 6) score_scaled from
+ (select cl_id, cast(target_sum as double) s, min(cast(target_sum as double)) over () mn,
+   max(cast(target_sum as double)) over () mx from cust_lbl)"""))
+register("hash_split", q(["tx_e"], """
+select cl_id, cast(((cl_id % 2147483647) * 1103515245 + 12345 + 42) % 2147483648 % 10 as int) fold,
+  case when ((cl_id % 2147483647) * 1103515245 + 12345 + 42) % 2147483648 % 10 < 8 then 1 else 0 end is_train
+from (select distinct cl_id from tx_e)"""))
+register("string_index", q(["tx_e"], """
+select t.cl_id, t.tx_id, cast(d.i as int) category_index from tx_e t join
+ (select category, row_number() over (order by n desc, category) - 1 i from
+   (select category, count(*) n from tx_e where category is not null group by category)) d on t.category = d.category"""))
+register("roc_auc", """
+with s as (select cast(quality as double) label, cast(toxic as double) * 0.5 + cast(doc_id % 7 as double) / 10.0 score
+           from labels),
+ g as (select score, sum(case when label = 1 then 1 else 0 end) pos, sum(case when label = 1 then 0 else 1 end) neg
+       from s group by score),
+ c as (select *, coalesce(sum(neg) over (order by score rows between unbounded preceding and 1 preceding), 0) below
+       from g)
+select round(sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)), 9) auc from c""")
+register("rmsle", q(["tx_e", "cust_lbl"], """
+select round(sqrt(avg(pow(p - y, 2))), 6) rmse from (
+  select round(ln(cast(t.total / 5 as double) + 1), 6) p, round(ln(cast(l.target_sum as double) + 1), 6) y
+  from (select cl_id, sum(amount) total from tx_e group by cl_id) t join cust_lbl l on t.cl_id = l.cl_id)"""))
+_HIST = """select cast(least(floor((pred - mn) / nullif(mx - mn, 0) * 50) + 1, 50) as int) bin from
+ (select pred, min(pred) over () mn, max(pred) over () mx from ({src}))"""
+register("prediction_histogram", q(["cust_lbl"], f"""
+select bin, count(*) n, 'linear' scale from ({_HIST.format(src="select cast(target_sum as double) pred from cust_lbl")})
+group by bin
+union all
+select bin, count(*) n, 'log' scale from ({_HIST.format(src="select ln(cast(target_sum as double) + 1) pred from cust_lbl")})
+group by bin"""))
