@@ -34,3 +34,22 @@ def with_category_code(df: DataFrame, col: str, out: str, values: list | None =
     """Alphabetical ordinal code of a category (a fitted dictionary)."""
     values = fit_values(df, col) if values is None else values
     return df.withColumn(out, code_of(col, values))
+
+
+SHORT_LIST = 64
+
+
+def with_membership(df: DataFrame, col: str, values, out: str) -> DataFrame:
+    """``out`` = the row's ``col`` is in ``values`` (NULL value -> False).
+
+    Short lists stay an ``isin``; long lists (a parameter, so their size is
+    known) become a small dimension table broadcast-joined on ``col``: a hash
+    lookup per row and a constant-size plan."""
+    values = list(values)
+    if len(values) <= SHORT_LIST:
+        flag = F.coalesce(F.col(col).isin(*values), F.lit(False)) if values else F.lit(False)
+        return df.withColumn(out, flag)
+    spark = df.sparkSession
+    dim = spark.createDataFrame([(v,) for v in sorted(set(values))], [f"_{out}_v"]).withColumn(f"_{out}_hit", F.lit(True))
+    j = df.join(F.broadcast(dim), F.col(col) == F.col(f"_{out}_v"), "left")
+    return j.withColumn(out, F.coalesce(F.col(f"_{out}_hit"), F.lit(False))).drop(f"_{out}_v", f"_{out}_hit")

@@ -87,7 +87,7 @@ def cross_validate(data: DataFrame, estimator, evaluator, grid, folds: int, seed
     """k-fold CV with hash folds on the client id; returns the fitted
     CrossValidatorModel and the average metric per grid point."""
     d = hash_folds(data, KEY, folds, seed)
-    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold",
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=folds,
                         parallelism=parallelism, seed=seed)
     model = cv.fit(d)
     return model, list(model.avgMetrics)

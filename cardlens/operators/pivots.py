@@ -38,18 +38,35 @@ class PivotDim:
         return [f"{self.prefix}{v}" for v in self.values]
 
 
+GOOD_COL = "is_good_mcc"
+
+
 def good_mcc(mcc: str, bad_codes) -> Column:
-    """Row is outside the bad-MCC list (a NULL MCC counts as good)."""
+    """Row is outside the bad-MCC list (a NULL MCC counts as good).  Long
+    lists become a hash-set lookup; evaluate it once per row into a column
+    (``with_good_mcc``) rather than repeating the list in many expressions."""
     return ~F.coalesce(F.col(mcc).isin(*bad_codes), F.lit(False)) if bad_codes else F.lit(True)
 
 
-def pos_good(cfg: FeatureConfig, category: str = "category", mcc: str | None = "mcc") -> Column:
-    cond = F.col(category) == cfg.pos_category
-    return cond & good_mcc(mcc, cfg.bad_mcc) if mcc else cond
+def with_good_mcc(tx: DataFrame, bad_codes, mcc: str = "mcc") -> DataFrame:
+    if mcc not in tx.columns:
+        return tx.withColumn(GOOD_COL, F.lit(True))
+    from cardlens.operators.dictionary import with_membership
+    return with_membership(tx, mcc, bad_codes, "_bad").withColumn(GOOD_COL, ~F.col("_bad")).drop("_bad")
+
+
+def is_good(mcc: str | None) -> Column:
+    """The precomputed good-MCC flag (``mcc`` names the flag column; None means
+    the log has no MCC and every row is good)."""
+    return F.col(mcc) if mcc else F.lit(True)
+
+
+def pos_good(cfg: FeatureConfig, category: str = "category", mcc: str | None = GOOD_COL) -> Column:
+    return (F.col(category) == cfg.pos_category) & is_good(mcc)
 
 
-def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", mcc: str | None = None,
-               bad_codes=(), fill: float | None = 0.0) -> DataFrame:
+def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", good: str | None = GOOD_COL,
+               fill: float | None = 0.0) -> DataFrame:
     """All dimensions in one long-form aggregate and one pivot.
 
     Each output column is the client's sum of ``value`` over rows in the
@@ -60,7 +77,7 @@ def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", mcc:
     entries = [F.struct(F.lit(TOTAL).alias("l"), v.alias("v"))]
     need_good = any(d.share_of == GOOD_TOTAL for d in dims)
     if need_good:
-        entries.append(F.when(good_mcc(mcc, bad_codes), F.struct(F.lit(GOOD_TOTAL).alias("l"), v.alias("v"))))
+        entries.append(F.when(is_good(good), F.struct(F.lit(GOOD_TOTAL).alias("l"), v.alias("v"))))
     for d in dims:
         cond = d.expr.isin(*d.values)
         if d.where is not None:
@@ -109,7 +126,7 @@ def category_stats_pivot(tx: DataFrame, cat: str, values: list, value: str = "am
 
 
 def relative_month_features(tx: DataFrame, cfg: FeatureConfig, flows: bool, value: str = "amount",
-                            category: str = "category", mcc: str | None = None,
+                            category: str = "category", mcc: str | None = GOOD_COL,
                             month_col: str = "months_before_last") -> DataFrame:
     """Per relative month m (0 = client's last period month, -1, ...):
 
@@ -139,12 +156,12 @@ def relative_month_features(tx: DataFrame, cfg: FeatureConfig, flows: bool, valu
 
 
 def scalar_features(tx: DataFrame, cfg: FeatureConfig, value: str = "amount", category: str = "category",
-                    mcc: str = "mcc") -> DataFrame:
+                    mcc: str = GOOD_COL) -> DataFrame:
     """Good-MCC share of POS spend, tenure holes, holiday spend (0-filled)."""
     v = F.col(value)
     pg = pos_good(cfg, category, mcc)
     n = float(cfg.max_day_number)
-    good = F.sum(F.when(good_mcc(mcc, cfg.bad_mcc), v)).cast("double")
+    good = F.sum(F.when(is_good(mcc), v)).cast("double")
     pos = F.sum(F.when(F.col(category) == cfg.pos_category, v)).cast("double")
     aggs = [
         F.coalesce(pos, F.lit(0.0)).alias("sum_POS"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cardlens.functions import calendar as cal
 from cardlens.functions.config import FeatureConfig
+from cardlens.operators.dictionary import with_membership
 
 KEY = "cl_id"
 
@@ -96,6 +97,9 @@ def enrich(tx: DataFrame, cfg: FeatureConfig, ts: str = "ts", amount: str = "amo
     if channel in t.columns:
         cols["channel_code"] = cal.channel_code(channel)
     t = t.withColumns(cols).withColumn("day_part", cal.day_part("tr_hour"))
+    if "mcc" in t.columns:
+        t = with_membership(t, "mcc", cfg.bad_mcc, "_bad_mcc")
+        t = t.withColumn("is_good_mcc", ~F.col("_bad_mcc")).drop("_bad_mcc")
     t = tenure_fields(t, ts)
     t = t.withColumns({f"period_part_{n}": cal.period_part("day_number", n) for n in cfg.period_parts})
     t = with_day_diff(t)

@@ -10,8 +10,9 @@
 
 Every block is a partial aggregate keyed by ``cl_id``; the blocks are joined
 on ``cl_id``, so their outputs share one hash partitioning.  The prepared log
-is persisted once (spillable, recomputed from lineage if an executor is lost)
-because a dozen aggregates read it.
+is written once as a parquet table in the shared checkpoint folder, because a
+dozen aggregates read it: the lineage is cut (a lost executor re-reads files),
+and every aggregate scans only the columns it needs.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from cardlens.operators import client_stats as cs
 from cardlens.operators import pivots as P
 from cardlens.operators import recency as R
 from cardlens.operators.asof import convert_with_tolerance
-from cardlens.operators.dictionary import code_of, fit_values
+from cardlens.operators.dictionary import code_of, fit_values, with_membership
 from cardlens.operators.tenure import enrich
+from cardlens.session import write_table
 
 KEY = "cl_id"
 AMOUNT_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std")
@@ -90,12 +92,12 @@ def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFr
 
 def fit_lists(train_log: DataFrame, cfg: FeatureConfig, trash_mcc=()) -> dict:
     """Value lists of the wide columns, learnt from training rows only."""
-    keep = ~(F.col("mcc").isin(*cfg.bad_mcc) | F.col("mcc").isin(*trash_mcc)) if trash_mcc or cfg.bad_mcc \
-        else F.lit(True)
+    mccs = train_log.select("mcc").filter(F.col("mcc").isNotNull()).distinct()
+    mccs = with_membership(with_membership(mccs, "mcc", cfg.bad_mcc, "_bad"), "mcc", trash_mcc, "_trash")
     return {
         "categories": fit_values(train_log, "category"),
         "years": fit_values(train_log, "year"),
-        "mcc": fit_values(train_log.filter(keep), "mcc"),
+        "mcc": fit_values(mccs.filter(~F.col("_bad") & ~F.col("_trash")), "mcc"),
     }
 
 
@@ -118,11 +120,11 @@ def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame
         P.PivotDim("quartel_", F.col("quartel"), (0, 1, 2, 3)),
         P.PivotDim("week_", F.col("week_number"), tuple(range(cfg.max_day_number // 7)), pg),
     ]
-    wide = P.pivot_sums(t, dims, "amount", mcc="mcc", bad_codes=cfg.bad_mcc)
+    wide = P.pivot_sums(t, dims, "amount")
     scal = P.scalar_features(t, cfg)
     cover = P.period_part_coverage(t.select(KEY, *[f"period_part_{n}" for n in cfg.period_parts]).distinct(), cfg)
-    rel = P.relative_month_features(t, cfg, flows=False, mcc="mcc")
-    flows = P.relative_month_features(t, cfg, flows=True, mcc="mcc")
+    rel = P.relative_month_features(t, cfg, flows=False)
+    flows = P.relative_month_features(t, cfg, flows=True)
     out = scal
     for part in (wide, cover, rel, flows):
         out = out.join(part, KEY, "left")
@@ -130,11 +132,19 @@ def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame
 
 
 def client_feature_table(tx: DataFrame, rates: DataFrame | None, labels: DataFrame, cfg: FeatureConfig,
-                         trash_mcc=(), persist: bool = True) -> DataFrame:
+                         trash_mcc=(), materialize: str = "table") -> DataFrame:
     """Both feature blocks joined on the client, with labels (NULL for the
-    unlabelled test clients)."""
+    unlabelled test clients).
+
+    ``materialize``: "table" writes the prepared log as parquet under the
+    shared checkpoint folder and reads it back (lineage cut; each aggregate
+    scans only its columns); "persist" keeps it in executor memory/disk;
+    "none" recomputes it per aggregate.
+    """
     log = prepare_log(tx, rates, cfg)
-    if persist:
+    if materialize == "table":
+        log = write_table(log, "prepared-log")
+    elif materialize == "persist":
         log = log.persist(StorageLevel.MEMORY_AND_DISK)
     train_log = log.join(labels.select(KEY), KEY, "left_semi")
     lists = fit_lists(train_log, cfg, trash_mcc)

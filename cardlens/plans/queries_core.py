@@ -172,7 +172,7 @@ def q_relative_month_state(spark, sf):
     from cardlens.operators.pivots import relative_month_features
     cfg = orders_fixture()
     t = T.tenure_fields(V.tx_o(spark, sf))
-    return relative_month_features(t, cfg, flows=False)
+    return relative_month_features(t, cfg, flows=False, mcc=None)
 
 
 @query("inout_flows")
@@ -180,4 +180,4 @@ def q_inout_flows(spark, sf):
     from cardlens.operators.pivots import relative_month_features
     cfg = orders_fixture()
     t = T.tenure_fields(V.tx_o(spark, sf))
-    return relative_month_features(t, cfg, flows=True)
+    return relative_month_features(t, cfg, flows=True, mcc=None)

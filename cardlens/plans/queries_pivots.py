@@ -9,7 +9,7 @@ from cardlens.functions.config import events_fixture, orders_fixture
 from cardlens.operators import onehot as OH
 from cardlens.operators import pivots as P
 from cardlens.operators import tenure as T
-from cardlens.operators.dictionary import code_of, fit_values
+from cardlens.operators.dictionary import code_of, fit_values, with_membership
 from cardlens.plans.catalog import query
 from cardlens.sources import views as V
 from cardlens.sources.tables import read_table
@@ -58,13 +58,15 @@ def q_holiday_amount(spark, sf):
 @query("good_mcc_rows")
 def q_good_mcc_rows(spark, sf):
     cfg = events_fixture()
-    return V.tx_e(spark, sf).filter(P.good_mcc("mcc", cfg.bad_mcc)).select("cl_id", "tx_id", "mcc")
+    return P.with_good_mcc(V.tx_e(spark, sf), cfg.bad_mcc).filter(P.is_good(P.GOOD_COL)).select("cl_id", "tx_id", "mcc")
 
 
 def mcc_feature_values(tx, cfg, trash):
-    """Fitted MCC list: codes outside the bad and the trash lists."""
-    keep = ~(F.col("mcc").isin(*cfg.bad_mcc) | F.col("mcc").isin(*trash))
-    return tx.filter(keep).select("mcc").distinct()
+    """Fitted MCC list: codes outside the bad and the trash lists (a NULL MCC
+    is in neither list but is not a code, so it is left out)."""
+    d = tx.select("mcc").filter(F.col("mcc").isNotNull()).distinct()
+    d = with_membership(with_membership(d, "mcc", cfg.bad_mcc, "_bad"), "mcc", trash, "_trash")
+    return d.filter(~F.col("_bad") & ~F.col("_trash")).select("mcc")
 
 
 @query("mcc_feature_list")
@@ -161,8 +163,7 @@ def q_pivot_mcc_share(spark, sf):
     cfg = events_fixture()
     t = enriched_e(spark, sf)
     mccs = fit_values(mcc_feature_values(t, cfg, trash_mcc_fixture()), "mcc")
-    return P.pivot_sums(t, [P.PivotDim("sum_", F.col("mcc"), tuple(mccs), None, P.GOOD_TOTAL)], mcc="mcc",
-                        bad_codes=cfg.bad_mcc)
+    return P.pivot_sums(t, [P.PivotDim("sum_", F.col("mcc"), tuple(mccs), None, P.GOOD_TOTAL)])
 
 
 @query("onehot_weighted_sum")

@@ -69,3 +69,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
     return path
+
+
+def write_table(df, name: str):
+    """Materialise ``df`` as parquet in the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan) and later scans prune columns and push filters."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

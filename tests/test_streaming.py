@@ -1,0 +1,24 @@
+"""The streaming client totals equal the batch ones."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from cardlens.operators.client_stats import client_counts
+from cardlens.sources import views as V
+from cardlens.streaming.client_totals import client_totals_stream, run_until_caught_up
+
+from .conftest import SF_SMALL
+
+
+def test_stream_matches_batch(spark):
+    tx = V.tx_e(spark, SF_SMALL).select("cl_id", "ts", F.col("amount"))
+    src = tempfile.mkdtemp(prefix="cardlens-stream-src-")
+    # two arrivals of files: the first and second half of the log
+    tx.filter(F.dayofmonth("ts") <= 15).write.mode("append").parquet(src)
+    tx.filter(F.dayofmonth("ts") > 15).write.mode("append").parquet(src)
+    ckpt = tempfile.mkdtemp(prefix="cardlens-stream-ckpt-")
+    run_until_caught_up(client_totals_stream(spark, src, tx.schema), ckpt, "client_totals_test")
+    got = {r.cl_id: (r.num_deals, round(r.sum_deals, 2)) for r in spark.table("client_totals_test").collect()}
+    want = {r.cl_id: (r.num_deals, round(r.sum_deals, 2)) for r in client_counts(tx).collect()}
+    assert got == want
