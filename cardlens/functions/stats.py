@@ -1,8 +1,9 @@
 """Aggregate column builders (the notebook's named and user-defined aggregates).
 
 All are built-in Spark aggregates, so they run with partial (map-side)
-aggregation.  ``mode_count`` is not a single aggregate: see
-``cardlens.operators.client_stats.mode_counts``.
+aggregation.  The holistic statistics (median, mode, mode count) are not
+built here: they come from a value histogram, see
+``cardlens.operators.holistic`` (``keyed_stats`` combines both kinds).
 """
 
 from __future__ import annotations
@@ -35,11 +36,6 @@ def mean_div_std(c) -> Column:
     return safe_div(F.avg(dbl(c)), F.stddev_pop(dbl(c)) + F.lit(1.0))
 
 
-def smallest_mode(c) -> Column:
-    """Most frequent value; the smallest one on ties."""
-    return F.mode(_c(c), deterministic=True)
-
-
 # Statistic name -> builder.  Outputs are DOUBLE (exact money sums are taken
 # in DECIMAL and cast at the end); means and spreads are rounded to 6 places.
 STAT_BUILDERS = {
@@ -47,10 +43,8 @@ STAT_BUILDERS = {
     "mean": lambda c: r6(F.avg(dbl(c))),
     "std": lambda c: r6(F.stddev_samp(dbl(c))),
     "std_pop": lambda c: r6(F.stddev_pop(dbl(c))),
-    "median": lambda c: r6(F.median(dbl(c))),
     "max": lambda c: F.max(_c(c)).cast("double"),
     "min": lambda c: F.min(_c(c)).cast("double"),
-    "mode": lambda c: smallest_mode(c).cast("double"),
     "mean_div_std": lambda c: r6(mean_div_std(c)),
     "count": lambda c: F.count(_c(c)),
 }
@@ -62,7 +56,7 @@ def stat_block(c, stats, prefix: str, where: Column | None = None) -> list[Colum
     src = _c(c) if where is None else F.when(where, _c(c))
     out = []
     for s in stats:
-        if s == "mode_count":
+        if s in ("median", "mode", "mode_count"):
             continue
         out.append(STAT_BUILDERS[s](src).alias(f"{prefix}{s}"))
     return out

@@ -1,8 +1,9 @@
 """Per-client statistics of the transaction log (one row per client).
 
 Everything keyed by the client is one ``groupBy(cl_id)`` with partial
-aggregation; statistics that need a value histogram (mode count) aggregate on
-``(cl_id, value)`` first, which spreads a hot client over many tasks.
+aggregation; statistics that need a value histogram (median, mode, mode
+count) aggregate on ``(cl_id, value)`` first, which spreads a hot client over
+many tasks (``cardlens.operators.holistic``).
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions.stats import dbl, r6, safe_div, stat_block
+from cardlens.functions.stats import dbl, r6, safe_div
+from cardlens.operators.holistic import keyed_stats
 from cardlens.operators.sequence import with_previous
 
 KEY = "cl_id"
@@ -40,21 +42,15 @@ def client_gap_stats(tx: DataFrame, ts: str = "ts", tiebreak: str = "tx_id",
     transactions (NULL for a one-row client)."""
     seq = with_previous(tx.select(KEY, ts, tiebreak), [KEY], ts, tiebreak, out="_prev")
     g = seq.withColumn("_gap", F.when(F.col("_prev").isNotNull(), gap_minutes("_prev", ts, modulo_day)))
-    return g.groupBy(KEY).agg(
+    return keyed_stats(g, [KEY], [("_gap", ("median",), prefix, None)], extra_aggs=[
         r6(F.min("_gap")).alias(f"{prefix}min"), r6(F.max("_gap")).alias(f"{prefix}max"),
-        r6(F.avg("_gap")).alias(f"{prefix}mean"), r6(F.stddev_pop("_gap")).alias(f"{prefix}std"),
-        r6(F.median("_gap")).alias(f"{prefix}median"))
+        r6(F.avg("_gap")).alias(f"{prefix}mean"), r6(F.stddev_pop("_gap")).alias(f"{prefix}std")])
 
 
 def client_stats(tx: DataFrame, value: str, stats, prefix: str, where: Column | None = None) -> DataFrame:
-    """The notebook's per-client statistic loops as one aggregate; adds
-    ``mode_count`` through ``mode_counts`` when requested."""
-    aggs = stat_block(value, stats, prefix, where)
-    out = tx.groupBy(KEY).agg(*aggs) if aggs else tx.select(KEY).distinct()
-    if "mode_count" in stats:
-        mc = mode_counts(tx, [KEY], value, f"{prefix}mode_count", where)
-        out = out.join(mc, KEY, "left")
-    return out
+    """The notebook's per-client statistic loops as one aggregate (plus the
+    histogram pass for median / mode / mode count)."""
+    return keyed_stats(tx, [KEY], [(value, stats, prefix, where)])
 
 
 def money_double(c) -> Column:
@@ -95,11 +91,12 @@ def month_cohort(tx: DataFrame, month_col: str = "month") -> DataFrame:
 
 
 def month_amount_stats(tx: DataFrame, value: str = "amount", month_col: str = "month") -> DataFrame:
-    """Global statistics of the amount per month."""
-    return tx.groupBy(month_col).agg(
+    """Global statistics of the amount per month.  A month is a huge group, so
+    its median goes through the bucketed histogram, never one buffer."""
+    return keyed_stats(tx, [month_col], [(dbl(value), ("median",), "ag_month_", None)], extra_aggs=[
         money_double(F.sum(value)).alias("ag_month_sum"), r6(F.avg(dbl(value))).alias("ag_month_mean"),
-        r6(F.stddev_samp(dbl(value))).alias("ag_month_std"), r6(F.median(dbl(value))).alias("ag_month_median"),
-        r6(safe_div(F.avg(dbl(value)), F.stddev_pop(dbl(value)) + 1.0)).alias("ag_month_mean_div_std"))
+        r6(F.stddev_samp(dbl(value))).alias("ag_month_std"),
+        r6(safe_div(F.avg(dbl(value)), F.stddev_pop(dbl(value)) + 1.0)).alias("ag_month_mean_div_std")])
 
 
 def attach_by_month(clients: DataFrame, per_month: DataFrame, client_month: str, prefix: str,

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.config import FeatureConfig
-from cardlens.functions.stats import safe_div, stat_block
+from cardlens.functions.stats import safe_div
+from cardlens.operators.holistic import keyed_stats
 
 KEY = "cl_id"
 TOTAL = "__total__"
@@ -106,16 +107,10 @@ def category_stats_pivot(tx: DataFrame, cat: str, values: list, value: str = "am
     """Ten statistics of ``value`` per client and category, one column set per
     category.  Inside a category the client has rows in, missing statistics
     are 0 (std of one row); a category without rows stays NULL."""
-    agg_stats = [s for s in stats if s != "mode_count"]
-    if "count" not in agg_stats:
-        agg_stats.append("count")
-    g = tx.groupBy(KEY).pivot(cat, values).agg(*stat_block(value, agg_stats, ""))
-    if "mode_count" in stats:
-        hist = tx.filter(F.col(value).isNotNull()).groupBy(KEY, cat, value).agg(F.count(F.lit(1)).alias("n"))
-        mc = (hist.groupBy(KEY, cat).agg(F.max("n").alias("mc"))
-              .groupBy(KEY).pivot(cat, values).agg(F.first("mc")))
-        mc = mc.select(KEY, *[F.col(f"`{v}`").alias(f"{v}_mode_count") for v in values])
-        g = g.join(mc, KEY, "left")
+    all_stats = list(stats) + ([] if "count" in stats else ["count"])
+    per_cat = keyed_stats(tx.filter(F.col(cat).isin(*values)), [KEY, cat], [(value, all_stats, "", None)])
+    # one row per (client, category): the pivot only moves values into columns
+    g = per_cat.groupBy(KEY).pivot(cat, values).agg(*[F.first(s).alias(s) for s in all_stats])
     out = [F.col(KEY)]
     for v in values:
         has = F.col(f"`{v}_count`") > 0

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.functions.stats import safe_div, stat_block
+from cardlens.functions.stats import safe_div
+from cardlens.operators.holistic import keyed_stats
 
 KEY = "cl_id"
 RECENCY_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std", "count")
@@ -31,20 +32,11 @@ def recency_name(n: int, stat: str) -> str:
 
 def recency_aggs(tx: DataFrame, days, value: str = "amount", stats=RECENCY_STATS, ts: str = "ts") -> DataFrame:
     """Ten statistics of ``value`` over each client's last N days, all N in
-    one aggregate.  ``mode_count`` comes from a (client, value) histogram with
-    one filtered count per N."""
+    one aggregate (each N is a filter); median / mode / mode count of all N
+    share one (client, N, value) histogram."""
     t = with_last_action(tx, days, ts)
-    aggs = []
-    for n in days:
-        aggs += stat_block(value, [s for s in stats if s != "mode_count"], f"last_action_minus_{n}_days_",
-                           F.col(f"in_last_{n}") == 1)
-    out = t.groupBy(KEY).agg(*aggs)
-    if "mode_count" in stats:
-        hist = t.groupBy(KEY, value).agg(*[F.sum(f"in_last_{n}").alias(f"_n{n}") for n in days])
-        mc = hist.groupBy(KEY).agg(*[F.max(F.when(F.col(f"_n{n}") > 0, F.col(f"_n{n}"))).alias(
-            recency_name(n, "mode_count")) for n in days])
-        out = out.join(mc, KEY, "inner")
-    return out
+    blocks = [(value, stats, f"last_action_minus_{n}_days_", F.col(f"in_last_{n}") == 1) for n in days]
+    return keyed_stats(t, [KEY], blocks)
 
 
 def recency_ratios(features: DataFrame, days, stats=("sum", "mean", "std", "median", "max", "min"),

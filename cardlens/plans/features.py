@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from cardlens.functions import calendar as cal
 from cardlens.functions.config import FeatureConfig
-from cardlens.functions.stats import stat_block
 from cardlens.operators import client_stats as cs
+from cardlens.operators.holistic import keyed_stats
 from cardlens.operators import pivots as P
 from cardlens.operators import recency as R
 from cardlens.operators.asof import convert_with_tolerance
@@ -48,14 +48,14 @@ def prepare_log(tx: DataFrame, rates: DataFrame | None, cfg: FeatureConfig) -> D
 
 def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFrame:
     """Per-client statistics (the notebook's first feature block)."""
-    main_aggs = [F.count("amount").alias("num_deals"), F.sum("amount").cast("double").alias("sum_deals"),
-                 F.min("ts").alias("_mn_ts"), F.max("ts").alias("_mx_ts")]
-    main_aggs += stat_block("channel_code", ("mode",), "channel_code_")
-    main_aggs += stat_block("month", ("median", "max", "min", "mode"), "month_")
-    main_aggs += stat_block("amount", [s for s in AMOUNT_STATS if s != "mode_count"], "amount_")
-    for d in cfg.round_divisors:
-        main_aggs += stat_block(f"ostatok_{d}", ("mean", "std", "median", "max", "min", "mean_div_std"), f"ostatok_{d}_")
-    main = log.groupBy(KEY).agg(*main_aggs)
+    extra = [F.count("amount").alias("num_deals"), F.sum("amount").cast("double").alias("sum_deals"),
+             F.min("ts").alias("_mn_ts"), F.max("ts").alias("_mx_ts")]
+    blocks = [("channel_code", ("mode",), "channel_code_", None),
+              ("month", ("median", "max", "min", "mode", "mode_count"), "month_", None),
+              ("amount", AMOUNT_STATS, "amount_", None)]
+    blocks += [(f"ostatok_{d}", ("mean", "std", "median", "max", "min", "mean_div_std"), f"ostatok_{d}_", None)
+               for d in cfg.round_divisors]
+    main = keyed_stats(log, [KEY], blocks, extra_aggs=extra)
     main = main.withColumns({
         "num_days_in_use": F.expr("timestampdiff(DAY, _mn_ts, _mx_ts)").cast("int"),
         "max_TRDATETIME": cal.base_month_index("_mx_ts", cfg.base_year),
@@ -66,13 +66,11 @@ def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFr
     days = log.select(KEY, "days_since").distinct()
     active = cs.client_active_days(days)
     gaps = cs.client_gap_stats(log.select(KEY, "ts", "tx_id"), prefix="diff_TRDATETIME_")
-    month_mc = cs.mode_counts(log, [KEY], "month", "month_mode_count")
-    amount_mc = cs.mode_counts(log, [KEY], "amount", "amount_mode_count")
     cats = P.category_stats_pivot(log, "category", categories, "amount")
     recency = R.recency_aggs(log, cfg.recency_days)
 
     out = main
-    for part in (active, gaps, month_mc, amount_mc, cats, recency):
+    for part in (active, gaps, cats, recency):
         out = out.join(part, KEY, "left")
 
     # month cohorts by card period, role-played on the first and last month

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cardlens.functions import calendar as cal  # noqa: E402
 from cardlens.functions.config import events_fixture, orders_fixture  # noqa: E402
-from cardlens.functions.stats import stat_block  # noqa: E402
+from cardlens.operators.holistic import keyed_stats  # noqa: E402
 from cardlens.operators import recency as R  # noqa: E402
 from cardlens.operators import tenure as T  # noqa: E402
 
@@ -59,8 +59,8 @@ def q_client_month_stats(spark, sf):
 def q_client_round_stats(spark, sf):
     cfg = events_fixture()
     t = V.tx_e(spark, sf).withColumns({f"ostatok_{d}": cal.round_flag("amount", d) for d in cfg.round_divisors})
-    aggs = [a for d in cfg.round_divisors for a in stat_block(f"ostatok_{d}", ROUND_STATS, f"ostatok_{d}_")]
-    return t.groupBy("cl_id").agg(*aggs)
+    return keyed_stats(t, ["cl_id"], [(f"ostatok_{d}", ROUND_STATS, f"ostatok_{d}_", None)
+                                      for d in cfg.round_divisors])
 
 
 @query("client_channel_mode")
