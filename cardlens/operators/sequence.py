@@ -2,8 +2,9 @@
 
 A plain ``lag().over(partitionBy(client).orderBy(ts))`` sends every row of a
 client to one task; a client holding a third of the log would then be a third
-of the job in one task.  Here the timeline is cut into time buckets (day by
-default): ``lag`` runs inside each ``(client, bucket)``, and the first row of
+of the job in one task.  Here the timeline is cut into time buckets (by
+default: an hour, so a hot client is split into as many groups as it has
+active hours): ``lag`` runs inside each ``(client, bucket)``, and the first row of
 a bucket takes the last order value of the client's previous non-empty bucket
 from a small per-bucket summary (one row per client and bucket).  The result
 equals the plain window exactly.
@@ -15,15 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def day_bucket(order_col: str) -> Column:
-    return F.to_date(F.col(order_col))
+def hour_bucket(order_col: str) -> Column:
+    return F.date_trunc("hour", F.col(order_col))
 
 
 def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str | None = None,
                   bucket: Column | None = None, out: str = "prev") -> DataFrame:
     """Add ``out`` = the ``order_col`` value of the previous row in
     ``(keys) order by order_col, tiebreak``; NULL on the client's first row."""
-    bucket = day_bucket(order_col) if bucket is None else bucket
+    bucket = hour_bucket(order_col) if bucket is None else bucket
     order = [F.col(order_col)] + ([F.col(tiebreak)] if tiebreak else [])
     b = df.withColumn("_bkt", bucket)
     inner = b.withColumn("_prev_in", F.lag(order_col).over(Window.partitionBy(*keys, "_bkt").orderBy(*order)))
