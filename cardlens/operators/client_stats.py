@@ -41,10 +41,21 @@ def client_gap_stats(tx: DataFrame, ts: str = "ts", tiebreak: str = "tx_id",
     """min/max/mean/std_pop/median of minutes between a client's consecutive
     transactions (NULL for a one-row client)."""
     seq = with_previous(tx.select(KEY, ts, tiebreak), [KEY], ts, tiebreak, out="_prev")
-    g = seq.withColumn("_gap", F.when(F.col("_prev").isNotNull(), gap_minutes("_prev", ts, modulo_day)))
-    return keyed_stats(g, [KEY], [("_gap", ("median",), prefix, None)], extra_aggs=[
-        r6(F.min("_gap")).alias(f"{prefix}min"), r6(F.max("_gap")).alias(f"{prefix}max"),
-        r6(F.avg("_gap")).alias(f"{prefix}mean"), r6(F.stddev_pop("_gap")).alias(f"{prefix}std")])
+    g = seq.withColumn("_gap", gap_column("_prev", ts, modulo_day))
+    extra, blocks = gap_blocks(prefix)
+    return keyed_stats(g, [KEY], blocks, extra_aggs=extra)
+
+
+def gap_column(prev: str, ts: str, modulo_day: bool = True) -> Column:
+    return F.when(F.col(prev).isNotNull(), gap_minutes(prev, ts, modulo_day))
+
+
+def gap_blocks(prefix: str, gap: str = "_gap"):
+    """(aggregates, holistic blocks) of the gap statistics, for ``keyed_stats``."""
+    g = F.col(gap)
+    extra = [r6(F.min(g)).alias(f"{prefix}min"), r6(F.max(g)).alias(f"{prefix}max"),
+             r6(F.avg(g)).alias(f"{prefix}mean"), r6(F.stddev_pop(g)).alias(f"{prefix}std")]
+    return extra, [(gap, ("median",), prefix, None)]
 
 
 def client_stats(tx: DataFrame, value: str, stats, prefix: str, where: Column | None = None) -> DataFrame:

@@ -102,22 +102,32 @@ def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", good:
     return wide.select(*cols)
 
 
+def category_blocks(cat: str, values: list, value: str = "amount", stats=CAT_STATS) -> list:
+    """Statistic blocks (see ``keyed_stats``), one per category value, each
+    filtered to the category: conditional aggregation keyed by the client
+    alone, so no (client, category) shuffle and no pivot step."""
+    all_stats = tuple(stats) + (() if "count" in stats else ("count",))
+    return [(value, all_stats, f"_c{i}_", F.col(cat) == F.lit(v)) for i, v in enumerate(values)]
+
+
+def category_columns(values: list, value: str = "amount", stats=CAT_STATS, prefix: str = "trx_category") -> list:
+    """Final category columns: inside a category the client has rows in,
+    missing statistics are 0 (std of one row); a category without rows
+    stays NULL."""
+    out = []
+    for i, v in enumerate(values):
+        has = F.col(f"_c{i}_count") > 0
+        for s in stats:
+            out.append(F.when(has, F.coalesce(F.col(f"_c{i}_{s}"), F.lit(0))).alias(f"{prefix}{v}_{value}_{s}"))
+    return out
+
+
 def category_stats_pivot(tx: DataFrame, cat: str, values: list, value: str = "amount",
                          stats=CAT_STATS, prefix: str = "trx_category") -> DataFrame:
     """Ten statistics of ``value`` per client and category, one column set per
-    category.  Inside a category the client has rows in, missing statistics
-    are 0 (std of one row); a category without rows stays NULL."""
-    all_stats = list(stats) + ([] if "count" in stats else ["count"])
-    per_cat = keyed_stats(tx.filter(F.col(cat).isin(*values)), [KEY, cat], [(value, all_stats, "", None)])
-    # one row per (client, category): the pivot only moves values into columns
-    g = per_cat.groupBy(KEY).pivot(cat, values).agg(*[F.first(s).alias(s) for s in all_stats])
-    out = [F.col(KEY)]
-    for v in values:
-        has = F.col(f"`{v}_count`") > 0
-        for s in stats:
-            c = F.col(f"`{v}_{s}`")
-            out.append(F.when(has, F.coalesce(c, F.lit(0))).alias(f"{prefix}{v}_{value}_{s}"))
-    return g.select(*out)
+    category."""
+    st = keyed_stats(tx, [KEY], category_blocks(cat, values, value, stats))
+    return st.select(KEY, *category_columns(values, value, stats, prefix))
 
 
 def relative_month_features(tx: DataFrame, cfg: FeatureConfig, flows: bool, value: str = "amount",

@@ -16,14 +16,21 @@ KEY = "cl_id"
 RECENCY_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode", "mean_div_std", "count")
 
 
+def recency_flags(days, ts: str = "ts", last: str = "last_action") -> dict:
+    """One 0/1 column per N: the row lies within N days before the client's
+    last transaction (``last`` on the row)."""
+    return {f"in_last_{n}": (F.col(ts) >= F.col(last) - F.make_dt_interval(F.lit(n))).cast("int") for n in days}
+
+
 def with_last_action(tx: DataFrame, days, ts: str = "ts") -> DataFrame:
-    """Client's last transaction time on each row, plus one 0/1 flag per N:
-    the row lies within N days before it."""
+    """Client's last transaction time on each row, plus the flags."""
     last = tx.groupBy(KEY).agg(F.max(ts).alias("last_action"))
-    t = tx.join(last, KEY, "inner")
-    return t.withColumns({
-        f"in_last_{n}": (F.col(ts) >= F.col("last_action") - F.make_dt_interval(F.lit(n))).cast("int")
-        for n in days})
+    return tx.join(last, KEY, "inner").withColumns(recency_flags(days, ts))
+
+
+def recency_blocks(days, value: str = "amount", stats=RECENCY_STATS) -> list:
+    """Statistic blocks (see ``keyed_stats``): one per N, filtered by its flag."""
+    return [(value, stats, f"last_action_minus_{n}_days_", F.col(f"in_last_{n}") == 1) for n in days]
 
 
 def recency_name(n: int, stat: str) -> str:
@@ -34,9 +41,7 @@ def recency_aggs(tx: DataFrame, days, value: str = "amount", stats=RECENCY_STATS
     """Ten statistics of ``value`` over each client's last N days, all N in
     one aggregate (each N is a filter); median / mode / mode count of all N
     share one (client, N, value) histogram."""
-    t = with_last_action(tx, days, ts)
-    blocks = [(value, stats, f"last_action_minus_{n}_days_", F.col(f"in_last_{n}") == 1) for n in days]
-    return keyed_stats(t, [KEY], blocks)
+    return keyed_stats(with_last_action(tx, days, ts), [KEY], recency_blocks(days, value, stats))
 
 
 def recency_ratios(features: DataFrame, days, stats=("sum", "mean", "std", "median", "max", "min"),

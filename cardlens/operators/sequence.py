@@ -21,16 +21,20 @@ def hour_bucket(order_col: str) -> Column:
 
 
 def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str | None = None,
-                  bucket: Column | None = None, out: str = "prev") -> DataFrame:
+                  bucket: Column | None = None, out: str = "prev", last_out: str | None = None) -> DataFrame:
     """Add ``out`` = the ``order_col`` value of the previous row in
-    ``(keys) order by order_col, tiebreak``; NULL on the client's first row."""
+    ``(keys) order by order_col, tiebreak``; NULL on the client's first row.
+    With ``last_out``, also the key's last ``order_col`` value (taken from the
+    same per-bucket summary, so it costs no extra join)."""
     bucket = hour_bucket(order_col) if bucket is None else bucket
     order = [F.col(order_col)] + ([F.col(tiebreak)] if tiebreak else [])
     b = df.withColumn("_bkt", bucket)
     inner = b.withColumn("_prev_in", F.lag(order_col).over(Window.partitionBy(*keys, "_bkt").orderBy(*order)))
     summary = (b.groupBy(*keys, "_bkt").agg(F.max(order_col).alias("_bmax"))
-               .withColumn("_prev_b", F.lag("_bmax").over(Window.partitionBy(*keys).orderBy("_bkt")))
-               .drop("_bmax"))
+               .withColumn("_prev_b", F.lag("_bmax").over(Window.partitionBy(*keys).orderBy("_bkt"))))
+    if last_out:
+        summary = summary.withColumn(last_out, F.max("_bmax").over(Window.partitionBy(*keys)))
+    summary = summary.drop("_bmax")
     joined = inner.join(summary, [*keys, "_bkt"], "left")
     return joined.withColumn(out, F.coalesce("_prev_in", "_prev_b")).drop("_bkt", "_prev_in", "_prev_b")
 

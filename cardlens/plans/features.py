@@ -25,6 +25,7 @@ from cardlens.functions import calendar as cal
 from cardlens.functions.config import FeatureConfig
 from cardlens.operators import client_stats as cs
 from cardlens.operators.holistic import keyed_stats
+from cardlens.operators.sequence import with_previous
 from cardlens.operators import pivots as P
 from cardlens.operators import recency as R
 from cardlens.operators.asof import convert_with_tolerance
@@ -48,14 +49,27 @@ def prepare_log(tx: DataFrame, rates: DataFrame | None, cfg: FeatureConfig) -> D
 
 def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFrame:
     """Per-client statistics (the notebook's first feature block)."""
+    # Row pass: previous-transaction gap and the client's last transaction
+    # time from one bucketed lookup, then the recency flags.
+    rounds = [f"ostatok_{d}" for d in cfg.round_divisors]
+    rows = with_previous(log.select(KEY, "ts", "tx_id", "amount", "category", "month", "channel_code", *rounds),
+                         [KEY], "ts", "tx_id", out="_prev", last_out="last_action")
+    rows = rows.withColumns({"_gap": cs.gap_column("_prev", "ts"), **R.recency_flags(cfg.recency_days)})
+
+    # One client aggregate and one shared histogram pass for every block:
+    # whole-history statistics, gaps, recency windows and categories.
+    gap_aggs, gap_blocks = cs.gap_blocks("diff_TRDATETIME_")
     extra = [F.count("amount").alias("num_deals"), F.sum("amount").cast("double").alias("sum_deals"),
-             F.min("ts").alias("_mn_ts"), F.max("ts").alias("_mx_ts")]
+             F.min("ts").alias("_mn_ts"), F.max("ts").alias("_mx_ts"), *gap_aggs]
     blocks = [("channel_code", ("mode",), "channel_code_", None),
               ("month", ("median", "max", "min", "mode", "mode_count"), "month_", None),
               ("amount", AMOUNT_STATS, "amount_", None)]
-    blocks += [(f"ostatok_{d}", ("mean", "std", "median", "max", "min", "mean_div_std"), f"ostatok_{d}_", None)
-               for d in cfg.round_divisors]
-    main = keyed_stats(log, [KEY], blocks, extra_aggs=extra)
+    blocks += [(r, ("mean", "std", "median", "max", "min", "mean_div_std"), f"{r}_", None) for r in rounds]
+    blocks += gap_blocks + R.recency_blocks(cfg.recency_days)
+    blocks += P.category_blocks("category", categories, "amount")
+    main = keyed_stats(rows, [KEY], blocks, extra_aggs=extra)
+    keep = [c for c in main.columns if not c.startswith("_c")]
+    main = main.select(*keep, *P.category_columns(categories, "amount"))
     main = main.withColumns({
         "num_days_in_use": F.expr("timestampdiff(DAY, _mn_ts, _mx_ts)").cast("int"),
         "max_TRDATETIME": cal.base_month_index("_mx_ts", cfg.base_year),
@@ -65,13 +79,7 @@ def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFr
     # distinct active days: one row per (client, day), then density
     days = log.select(KEY, "days_since").distinct()
     active = cs.client_active_days(days)
-    gaps = cs.client_gap_stats(log.select(KEY, "ts", "tx_id"), prefix="diff_TRDATETIME_")
-    cats = P.category_stats_pivot(log, "category", categories, "amount")
-    recency = R.recency_aggs(log, cfg.recency_days)
-
-    out = main
-    for part in (active, gaps, cats, recency):
-        out = out.join(part, KEY, "left")
+    out = main.join(active, KEY, "left")
 
     # month cohorts by card period, role-played on the first and last month
     per_month = log.withColumn("_pm", cal.base_month_index("period", cfg.base_year))
