@@ -133,6 +133,11 @@ def category_stats_pivot(tx: DataFrame, cat: str, values: list, value: str = "am
 def relative_month_features(tx: DataFrame, cfg: FeatureConfig, flows: bool, value: str = "amount",
                             category: str = "category", mcc: str | None = GOOD_COL,
                             month_col: str = "months_before_last") -> DataFrame:
+    return tx.groupBy(KEY).agg(*relative_month_aggs(cfg, flows, value, category, mcc, month_col))
+
+
+def relative_month_aggs(cfg: FeatureConfig, flows: bool, value: str = "amount", category: str = "category",
+                        mcc: str | None = GOOD_COL, month_col: str = "months_before_last") -> list:
     """Per relative month m (0 = client's last period month, -1, ...):
 
     * ``month_{m}``: POS good-MCC sum, ``month_state_{m}``: that sum >= threshold
@@ -157,11 +162,16 @@ def relative_month_features(tx: DataFrame, cfg: FeatureConfig, flows: bool, valu
             out_sum = F.coalesce(F.sum(F.when(in_m & ~income & pg, v)).cast("double"), F.lit(0.0))
             aggs += [F.coalesce(F.round(safe_div(in_sum, total), 6), F.lit(0.0)).alias(f"portion_in{m}"),
                      out_sum.alias(f"portion_out{m}")]
-    return tx.groupBy(KEY).agg(*aggs)
+    return aggs
 
 
 def scalar_features(tx: DataFrame, cfg: FeatureConfig, value: str = "amount", category: str = "category",
                     mcc: str = GOOD_COL) -> DataFrame:
+    return tx.groupBy(KEY).agg(*scalar_aggs(cfg, value, category, mcc))
+
+
+def scalar_aggs(cfg: FeatureConfig, value: str = "amount", category: str = "category",
+                mcc: str = GOOD_COL) -> list:
     """Good-MCC share of POS spend, tenure holes, holiday spend (0-filled)."""
     v = F.col(value)
     pg = pos_good(cfg, category, mcc)
@@ -176,7 +186,7 @@ def scalar_features(tx: DataFrame, cfg: FeatureConfig, value: str = "amount", ca
         F.coalesce(F.round((n - F.max(F.when(pg, F.col("day_number")))) / n, 6), F.lit(0.0)).alias("tail_hole_size"),
         F.coalesce(F.sum(F.when(F.col("is_holiday") == 1, v)).cast("double"), F.lit(0.0)).alias("holydays_amount_part"),
     ]
-    return tx.groupBy(KEY).agg(*aggs)
+    return aggs
 
 
 def period_part_coverage(tx: DataFrame, cfg: FeatureConfig) -> DataFrame:

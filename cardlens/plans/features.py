@@ -127,12 +127,12 @@ def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame
         P.PivotDim("week_", F.col("week_number"), tuple(range(cfg.max_day_number // 7)), pg),
     ]
     wide = P.pivot_sums(t, dims, "amount")
-    scal = P.scalar_features(t, cfg)
+    # scalar shares, tenure holes and both relative-month families: one aggregate
+    scal = t.groupBy(KEY).agg(*P.scalar_aggs(cfg), *P.relative_month_aggs(cfg, flows=False),
+                              *P.relative_month_aggs(cfg, flows=True))
     cover = P.period_part_coverage(t.select(KEY, *[f"period_part_{n}" for n in cfg.period_parts]).distinct(), cfg)
-    rel = P.relative_month_features(t, cfg, flows=False)
-    flows = P.relative_month_features(t, cfg, flows=True)
     out = scal
-    for part in (wide, cover, rel, flows):
+    for part in (wide, cover):
         out = out.join(part, KEY, "left")
     return out.fillna(0)
 
