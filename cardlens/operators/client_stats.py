@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.stats import dbl, r6, safe_div
 from cardlens.operators.holistic import keyed_stats
-from cardlens.operators.sequence import with_previous
+from cardlens.operators.sequence import first_by, with_previous
 
 KEY = "cl_id"
 
@@ -123,7 +123,7 @@ def attach_by_month(clients: DataFrame, per_month: DataFrame, client_month: str,
 
 def client_first_value(tx: DataFrame, value: str, order: list[str], out: str) -> DataFrame:
     """The value of the client's first row by ``order`` (deterministic)."""
-    return tx.groupBy(KEY).agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(out))
+    return first_by(tx, [KEY], value, order, out)
 
 
 def client_target(rows: DataFrame, labels=("target_flag", "target_sum")) -> DataFrame:

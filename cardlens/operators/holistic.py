@@ -7,7 +7,7 @@ Here the statistics are computed from a value histogram instead:
 
 1. ``hist``: rows per ``(key, value)``, a partial aggregate spread over the
    cluster by the value, so a hot key is split across tasks.
-2. mode and mode count: one partial ``min_by`` / ``max`` over the histogram.
+2. mode and mode count: partial aggregates over the histogram.
 3. exact median (Spark's ``percentile(v, 0.5)``: the mean of the two middle
    ranks): keys with at most ``small_group`` distinct values are ranked in
    one window each (bounded size).  Keys with more distinct values are cut
@@ -70,11 +70,13 @@ def value_histogram(long: DataFrame, gkeys: list[str]) -> DataFrame:
 
 def key_summary(hist: DataFrame, gkeys: list[str]) -> DataFrame:
     """Per key: rows ``_N``, distinct values ``_D``, the mode (smallest value
-    on ties) and the mode count; one partial aggregate over the histogram."""
-    return hist.groupBy(*gkeys).agg(
-        F.sum("_n").alias("_N"), F.count(F.lit(1)).alias("_D"),
-        F.min_by("_v", F.struct((-F.col("_n")).alias("a"), F.col("_v").alias("b"))).alias("_mode"),
-        F.max("_n").alias("_mode_count"))
+    on ties) and the mode count.  Two hash aggregates with fixed-width
+    buffers: the smallest value per (key, count), then ``max_by`` over the
+    count, which is unique per key at that level."""
+    by_count = hist.groupBy(*gkeys, "_n").agg(F.min("_v").alias("_minv"), F.count(F.lit(1)).alias("_k"))
+    return by_count.groupBy(*gkeys).agg(
+        F.sum(F.col("_n") * F.col("_k")).alias("_N"), F.sum("_k").alias("_D"),
+        F.max_by("_minv", "_n").alias("_mode"), F.max("_n").alias("_mode_count"))
 
 
 def exact_median(hist: DataFrame, per: DataFrame, gkeys: list[str], small_group: int = SMALL_GROUP,

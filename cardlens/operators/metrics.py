@@ -25,9 +25,9 @@ def unlog_clip(p) -> Column:
 
 def with_global_stats(df: DataFrame, col: str) -> DataFrame:
     """Attach the column's global min and max to every row: a one-row
-    aggregate broadcast on a constant key (size one row by construction)."""
-    st = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx")).withColumn("_k", F.lit(1))
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(st), "_k").drop("_k")
+    aggregate used as a scalar subquery (evaluated once, no join)."""
+    st = df.agg(F.struct(F.min(col).alias("mn"), F.max(col).alias("mx"))).scalar()
+    return df.withColumns({"_mn": st.getField("mn"), "_mx": st.getField("mx")})
 
 
 def minmax_scale(df: DataFrame, col: str, out: str) -> DataFrame:

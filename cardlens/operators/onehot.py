@@ -56,4 +56,5 @@ def elementwise_sum(df: DataFrame, key: str, arr: str, out: str = "vec_sum", dig
 
 def first_row_onehot(tx: DataFrame, col: str, order: list[str]) -> DataFrame:
     """The client's first row's label (deterministic order)."""
-    return tx.groupBy(KEY).agg(F.min_by(F.col(col), F.struct(*[F.col(c) for c in order])).alias(col))
+    from cardlens.operators.sequence import first_by
+    return first_by(tx, [KEY], col, order, col)

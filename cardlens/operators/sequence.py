@@ -39,11 +39,15 @@ def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str
     return joined.withColumn(out, F.coalesce("_prev_in", "_prev_b")).drop("_bkt", "_prev_in", "_prev_b")
 
 
-def with_first_in_group(df: DataFrame, keys: list[str], group_col: str, order_cols: list[str],
-                        out: str = "is_first") -> DataFrame:
-    """Flag the first row (by ``order_cols``) of each ``(keys, group_col)`` group
-    through a per-group aggregate joined back (no per-client window)."""
-    first = (df.groupBy(*keys, group_col)
-             .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_first")))
-    j = df.join(first, [*keys, group_col], "left")
-    return j.withColumn(out, F.struct(*[F.col(c) for c in order_cols]) == F.col("_first")).drop("_first")
+def first_by(df: DataFrame, keys: list[str], value: str, order: list[str], out: str) -> DataFrame:
+    """Per key, ``value`` of the first row by ``order`` (lexicographic; the
+    last order column should be unique, e.g. a transaction id).
+
+    One hash aggregate per order column, last to first: the first ``value``
+    per ``(keys, order[:i])`` by ``order[i]``, which is unique at that level.
+    ``min`` over a struct would do it in one step but forces a sort-based
+    aggregate; these aggregates keep fixed-width buffers and combine map-side."""
+    cur = df.select(*keys, *order, F.col(value).alias("_x"))
+    for i in range(len(order) - 1, -1, -1):
+        cur = cur.groupBy(*keys, *order[:i]).agg(F.min_by("_x", order[i]).alias("_x"))
+    return cur.select(*keys, F.col("_x").alias(out))

@@ -61,14 +61,17 @@ def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", ti
     Only the first row of each (client, day) can be non-zero, so the lookup
     runs on one summary row per active client-day, not on the rows.
     """
-    first = (tx.groupBy(KEY, day_col)
-             .agg(F.min(F.struct(F.col(ts), F.col(tiebreak))).alias("_first"))
+    # first (time, id) of each client-day with hash aggregates only: the
+    # smallest id per (client, day, time), then the one at the smallest time
+    per_ts = tx.groupBy(KEY, day_col, ts).agg(F.min(tiebreak).alias("_tb"))
+    first = (per_ts.groupBy(KEY, day_col)
+             .agg(F.min(ts).alias("_fts"), F.min_by("_tb", ts).alias("_ftb"))
              .withColumn("_prev_day", F.lag(day_col).over(Window.partitionBy(KEY).orderBy(day_col))))
     j = tx.join(first, [KEY, day_col], "inner")
-    is_first = F.struct(F.col(ts), F.col(tiebreak)) == F.col("_first")
+    is_first = (F.col(ts) == F.col("_fts")) & (F.col(tiebreak) == F.col("_ftb"))
     diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                   F.greatest(F.col(day_col) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
-    return j.withColumn(out, diff.cast("int")).drop("_first", "_prev_day")
+    return j.withColumn(out, diff.cast("int")).drop("_fts", "_ftb", "_prev_day")
 
 
 def tenure_cut(tx: DataFrame, max_day: int, ts: str = "ts") -> DataFrame:
@@ -79,10 +82,12 @@ def tenure_cut(tx: DataFrame, max_day: int, ts: str = "ts") -> DataFrame:
 
 
 def enrich(tx: DataFrame, cfg: FeatureConfig, ts: str = "ts", amount: str = "amount",
-           category: str = "category", channel: str = "channel_type") -> DataFrame:
+           category: str = "category", channel: str = "channel_type", tenure: bool = True) -> DataFrame:
     """All row-level columns of the notebook's dataset loader in one projection
     plus one client-keyed aggregate join (tenure) and one client-day join
-    (day_diff).  ``amount`` is used as given (convert currency first)."""
+    (day_diff).  ``amount`` is used as given (convert currency first).
+    ``tenure=False`` leaves out the two joins and the columns they feed
+    (tenure calendars, period parts, day_diff) for queries that need none."""
     t = tx
     cols = {
         "tr_hour": F.hour(ts),
@@ -100,9 +105,10 @@ def enrich(tx: DataFrame, cfg: FeatureConfig, ts: str = "ts", amount: str = "amo
     if "mcc" in t.columns:
         t = with_membership(t, "mcc", cfg.bad_mcc, "_bad_mcc")
         t = t.withColumn("is_good_mcc", ~F.col("_bad_mcc")).drop("_bad_mcc")
-    t = tenure_fields(t, ts)
-    t = t.withColumns({f"period_part_{n}": cal.period_part("day_number", n) for n in cfg.period_parts})
-    t = with_day_diff(t)
+    if tenure:
+        t = tenure_fields(t, ts)
+        t = t.withColumns({f"period_part_{n}": cal.period_part("day_number", n) for n in cfg.period_parts})
+        t = with_day_diff(t)
     t = t.withColumns({f"ostatok_{d}": cal.round_flag(amount, d) for d in cfg.round_divisors})
     income = F.col(category).isin(*cfg.income_categories)
     return t.withColumn("signed_amount", F.when(income, F.abs(F.col(amount))).otherwise(-F.col(amount)))

@@ -158,8 +158,10 @@ def q_recency_aggs(spark, sf):
 def q_recency_ratios(spark, sf):
     t = V.tx_e(spark, sf)
     days = events_fixture().recency_days
-    whole = cs.client_stats(t, "amount", ("sum", "mean", "std", "median", "max", "min", "count"), "amount_")
-    feats = whole.join(R.recency_aggs(t, days, stats=("sum", "mean", "std", "median", "max", "min", "count")), "cl_id")
+    stats = ("sum", "mean", "std", "median", "max", "min", "count")
+    # whole-history and recency-window statistics: one aggregate, one histogram
+    blocks = [("amount", stats, "amount_", None)] + R.recency_blocks(days, "amount", stats)
+    feats = keyed_stats(R.with_last_action(t, days), ["cl_id"], blocks)
     wh = {s: f"amount_{s}" for s in ("sum", "mean", "std", "median", "max", "min")}
     out = R.recency_ratios(feats, days, whole=wh)
     out = R.recency_ratios(out, days, stats=("count",), whole={"count": "amount_count"})

@@ -20,8 +20,8 @@ def trash_mcc_fixture():
     return tuple(range(0, 10000, 11))
 
 
-def enriched_e(spark, sf):
-    return T.enrich(V.tx_e(spark, sf), events_fixture())
+def enriched_e(spark, sf, tenure: bool = True):
+    return T.enrich(V.tx_e(spark, sf), events_fixture(), tenure=tenure)
 
 
 def orders_calendar(spark, sf):
@@ -106,8 +106,8 @@ def q_pivot_quarter(spark, sf):
     return _pivot_o(spark, sf, lambda t: P.PivotDim("quartel_", F.col("quartel"), (0, 1, 2, 3)))
 
 
-def _pivot_e(spark, sf, dims_fn, **kw):
-    t = enriched_e(spark, sf)
+def _pivot_e(spark, sf, dims_fn, tenure: bool = False, **kw):
+    t = enriched_e(spark, sf, tenure)
     return P.pivot_sums(t, dims_fn(t, events_fixture()), **kw)
 
 
@@ -125,7 +125,7 @@ def q_pivot_hour_share(spark, sf):
 
 @query("pivot_category_share")
 def q_pivot_category_share(spark, sf):
-    t = enriched_e(spark, sf)
+    t = enriched_e(spark, sf, tenure=False)
     cats = fit_values(t, "category")
     t = t.withColumn("cat_index", code_of("category", cats))
     return P.pivot_sums(t, [P.PivotDim("cat_", F.col("cat_index"), tuple(range(len(cats))), None, P.TOTAL)])
@@ -149,19 +149,20 @@ def q_pivot_weekday(spark, sf):
 @query("pivot_tenure_day")
 def q_pivot_tenure_day(spark, sf):
     return _pivot_e(spark, sf, lambda t, c: [P.PivotDim("day_", F.col("day_number"), tuple(range(c.max_day_number)),
-                                                        F.col("category") == c.pos_category)])
+                                                        F.col("category") == c.pos_category)], tenure=True)
 
 
 @query("pivot_tenure_week")
 def q_pivot_tenure_week(spark, sf):
     return _pivot_e(spark, sf, lambda t, c: [P.PivotDim("week_", F.col("week_number"),
-                                                        tuple(range(c.max_day_number // 7)), P.pos_good(c))])
+                                                        tuple(range(c.max_day_number // 7)), P.pos_good(c))],
+                    tenure=True)
 
 
 @query("pivot_mcc_share")
 def q_pivot_mcc_share(spark, sf):
     cfg = events_fixture()
-    t = enriched_e(spark, sf)
+    t = enriched_e(spark, sf, tenure=False)
     mccs = fit_values(mcc_feature_values(t, cfg, trash_mcc_fixture()), "mcc")
     return P.pivot_sums(t, [P.PivotDim("sum_", F.col("mcc"), tuple(mccs), None, P.GOOD_TOTAL)])
 
