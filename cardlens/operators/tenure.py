@@ -1,9 +1,9 @@
 """Each row on its client's own calendar, and the row-level enrichment.
 
-Per-client minima/maxima are computed by one partial aggregate keyed by the
-client and joined back (the join is size-checked by Spark: broadcast when the
-client table is small, otherwise a sort-merge join that AQE splits when one
-client is hot).  No per-client window holds a whole client in one task.
+Per-client minima/maxima come from one summary row per active (client, day):
+windows over those summary rows (bounded by the calendar) give the client's
+first and last values, and the rows join their summary on (client, day).  No
+per-client window or client-only join holds a whole client in one task.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ def with_period(tx: DataFrame, ts: str = "ts", period: str = "period") -> DataFr
     return tx.withColumn(period, F.trunc(F.col(ts), "MM"))
 
 
-def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period") -> DataFrame:
+def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_diff: str | None = None,
+                  tiebreak: str = "tx_id") -> DataFrame:
     """Relative calendars of each row.
 
     * ``months_before_last``: period month minus the client's last period month (0, -1, ...)
@@ -33,24 +34,50 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period") -> Data
     * ``transaction_day``: whole days since the client's first transaction time
     * ``period_number``: period month minus the client's first period month
     * ``transaction_week``: transaction_day // 7
+    * with ``day_diff``: that column as in ``with_day_diff``, from the same join
+
+    Plan: one summary row per active (client, day); the client-level minima
+    and maxima (and the previous active day) are windows over those summary
+    rows, whose count per client is bounded by the calendar; the rows join
+    their summary on (client, day), so a hot client is spread over its days.
     """
     t = with_period(tx, ts, period)
+    g = "global_day_number"
     t = (t.withColumn("period_month", cal.month_index(period))
          .withColumn("week_global_number", cal.epoch_week(ts))
-         .withColumn("global_day_number", cal.epoch_day(ts)))
-    per_client = t.groupBy(KEY).agg(
-        F.max("period_month").alias("_last_pm"), F.min("period_month").alias("_first_pm"),
-        F.min("week_global_number").alias("_first_wk"), F.min("global_day_number").alias("_first_day"),
-        F.min(ts).alias("_first_ts"))
-    j = t.join(per_client, KEY, "inner")
+         .withColumn(g, cal.epoch_day(ts)))
+    if day_diff:
+        # first (time, id) of the day with fixed-width hash aggregates
+        per_ts = t.groupBy(KEY, g, ts).agg(
+            F.min(tiebreak).alias("_tb"), F.min("period_month").alias("_pmn"),
+            F.max("period_month").alias("_pmx"), F.min("week_global_number").alias("_wk"))
+        days = per_ts.groupBy(KEY, g).agg(
+            F.min(ts).alias("_dts"), F.min_by("_tb", ts).alias("_ftb"), F.min("_pmn").alias("_pmn"),
+            F.max("_pmx").alias("_pmx"), F.min("_wk").alias("_wk"))
+    else:
+        days = t.groupBy(KEY, g).agg(
+            F.min(ts).alias("_dts"), F.min("period_month").alias("_pmn"),
+            F.max("period_month").alias("_pmx"), F.min("week_global_number").alias("_wk"))
+    w = Window.partitionBy(KEY)
+    cols = [KEY, g, F.max("_pmx").over(w).alias("_last_pm"), F.min("_pmn").over(w).alias("_first_pm"),
+            F.min("_wk").over(w).alias("_first_wk"), F.min(g).over(w).alias("_first_day"),
+            F.min("_dts").over(w).alias("_first_ts")]
+    if day_diff:
+        cols += ["_dts", "_ftb", F.lag(g).over(w.orderBy(g)).alias("_prev_day")]
+    j = t.join(days.select(*cols), [KEY, g], "inner")
     tday = F.floor(F.expr(f"timestampdiff(MICROSECOND, _first_ts, {ts})") / F.lit(86400 * 1000000))
-    return (j.withColumn("months_before_last", F.col("period_month") - F.col("_last_pm"))
-            .withColumn("week_number", F.col("week_global_number") - F.col("_first_wk"))
-            .withColumn("day_number", F.col("global_day_number") - F.col("_first_day"))
-            .withColumn("transaction_day", tday.cast("int"))
-            .withColumn("period_number", F.col("period_month") - F.col("_first_pm"))
-            .withColumn("transaction_week", F.floor(F.col("transaction_day") / 7).cast("int"))
-            .drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts"))
+    j = (j.withColumn("months_before_last", F.col("period_month") - F.col("_last_pm"))
+         .withColumn("week_number", F.col("week_global_number") - F.col("_first_wk"))
+         .withColumn("day_number", F.col(g) - F.col("_first_day"))
+         .withColumn("transaction_day", tday.cast("int"))
+         .withColumn("period_number", F.col("period_month") - F.col("_first_pm"))
+         .withColumn("transaction_week", F.floor(F.col("transaction_day") / 7).cast("int")))
+    if day_diff:
+        is_first = (F.col(ts) == F.col("_dts")) & (F.col(tiebreak) == F.col("_ftb"))
+        diff = F.when(is_first & F.col("_prev_day").isNotNull(),
+                      F.greatest(F.col(g) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
+        j = j.withColumn(day_diff, diff.cast("int")).drop("_dts", "_ftb", "_prev_day")
+    return j.drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts")
 
 
 def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", tiebreak: str = "tx_id",
@@ -106,9 +133,8 @@ def enrich(tx: DataFrame, cfg: FeatureConfig, ts: str = "ts", amount: str = "amo
         t = with_membership(t, "mcc", cfg.bad_mcc, "_bad_mcc")
         t = t.withColumn("is_good_mcc", ~F.col("_bad_mcc")).drop("_bad_mcc")
     if tenure:
-        t = tenure_fields(t, ts)
+        t = tenure_fields(t, ts, day_diff="day_diff")
         t = t.withColumns({f"period_part_{n}": cal.period_part("day_number", n) for n in cfg.period_parts})
-        t = with_day_diff(t)
     t = t.withColumns({f"ostatok_{d}": cal.round_flag(amount, d) for d in cfg.round_divisors})
     income = F.col(category).isin(*cfg.income_categories)
     return t.withColumn("signed_amount", F.when(income, F.abs(F.col(amount))).otherwise(-F.col(amount)))
