@@ -6,7 +6,7 @@ aggregate (the windows are nested), so the log is read and shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions.stats import safe_div
@@ -23,9 +23,14 @@ def recency_flags(days, ts: str = "ts", last: str = "last_action") -> dict:
 
 
 def with_last_action(tx: DataFrame, days, ts: str = "ts") -> DataFrame:
-    """Client's last transaction time on each row, plus the flags."""
-    last = tx.groupBy(KEY).agg(F.max(ts).alias("last_action"))
-    return tx.join(last, KEY, "inner").withColumns(recency_flags(days, ts))
+    """Client's last transaction time on each row, plus the flags.  The last
+    time comes from one summary row per active (client, hour) and a window
+    over those rows; rows join their summary on (client, hour), so a hot
+    client is spread over its active hours (no client-only join)."""
+    b = tx.withColumn("_bkt", F.date_trunc("hour", F.col(ts)))
+    summary = (b.groupBy(KEY, "_bkt").agg(F.max(ts).alias("_bmax"))
+               .select(KEY, "_bkt", F.max("_bmax").over(Window.partitionBy(KEY)).alias("last_action")))
+    return b.join(summary, [KEY, "_bkt"], "inner").drop("_bkt").withColumns(recency_flags(days, ts))
 
 
 def recency_blocks(days, value: str = "amount", stats=RECENCY_STATS) -> list:
