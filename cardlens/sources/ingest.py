@@ -102,11 +102,10 @@ def transaction_lines(tx: DataFrame, labels: DataFrame | None = None) -> DataFra
     return t.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """Header CSV.  ``single_file`` writes one part file (one task): only for
-    outputs bounded by the number of clients, never for transaction data."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> str:
+    """Header CSV, one part file per task (a folder of parts, read back as one
+    table); nothing is funnelled through a single task."""
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -119,10 +118,9 @@ def materialise(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def write_predictions(pred: DataFrame, path: str, id_col: str = "cl_id", value_col: str = "pred",
-                      single_file: bool = False) -> str:
+def write_predictions(pred: DataFrame, path: str, id_col: str = "cl_id", value_col: str = "pred") -> str:
     """Prediction sink: columns ``_ID_``, ``_VAL_`` with a header."""
-    return write_csv(pred.select(F.col(id_col).alias("_ID_"), F.col(value_col).alias("_VAL_")), path, single_file)
+    return write_csv(pred.select(F.col(id_col).alias("_ID_"), F.col(value_col).alias("_VAL_")), path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
