@@ -2,10 +2,10 @@
 
 Spark has no batch as-of join in the DataFrame API.  Rates are a small time
 series per currency, so the plan forward-fills a dense ``(code, day)``
-calendar once (one task per currency, one row per calendar day) and then
-equi-joins the transactions to it: no range join, no per-row search, no
+calendar once (one task per currency, one row per day of the rate series) and
+then equi-joins the transactions to it: no range join, no per-row search, no
 shuffle of the transactions when the calendar is broadcast.  The calendar is
-broadcast only after its row count (currencies x days in the span) is checked
+broadcast only after its row count (the currencies' rate spans) is checked
 against a limit; beyond it Spark's own size-based join choice applies.
 """
 
@@ -21,12 +21,11 @@ from cardlens.functions.money import flat_converted
 BROADCAST_CALENDAR_ROWS = 2_000_000
 
 
-def rate_calendar(rates: DataFrame, last_day: int) -> DataFrame:
+def rate_calendar(rates: DataFrame) -> DataFrame:
     """(code, day, rate, rate_day): the latest rate on or before ``day`` for
-    every day from the code's first rate day to ``last_day``."""
+    every day from the code's first to its last rate day."""
     firsts = rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
-    days = firsts.select("code", F.explode(F.sequence(F.col("d0"), F.greatest(F.col("d1"), F.lit(last_day))))
-                         .alias("day"))
+    days = firsts.select("code", F.explode(F.sequence(F.col("d0"), F.col("d1"))).alias("day"))
     facts = rates.select("code", "day", F.col("rate").cast("double").alias("rate"), F.col("day").alias("rate_day"))
     j = days.join(facts, ["code", "day"], "left")
     w = Window.partitionBy("code").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -35,15 +34,23 @@ def rate_calendar(rates: DataFrame, last_day: int) -> DataFrame:
 
 
 def _calendar_join(tx: DataFrame, rates: DataFrame, code_col: str, day_col: str) -> DataFrame:
-    span = rates.agg(F.min("day").alias("d0"), F.count_distinct("code").alias("n")).first()
-    last = tx.agg(F.max(day_col).alias("d")).first()["d"]
-    if span["d0"] is None or last is None:
+    """Join each row to the calendar row of its (code, day).  A day after the
+    code's last rate day looks up that last day (its forward-filled rate is
+    the same), so the calendar depends on the rates alone: no pass over the
+    transactions is needed to size it.  Only the per-code span (one row per
+    currency) reaches the driver."""
+    spans = rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1")).collect()
+    if not spans:
         return tx.withColumn("rate", F.lit(None).cast("double")).withColumn("rate_day", F.lit(None).cast("int"))
-    cal = rate_calendar(rates, int(last)).withColumnRenamed("code", code_col).withColumnRenamed("day", day_col)
-    rows = (int(last) - int(span["d0"]) + 1) * int(span["n"])
+    last = F.lit(None).cast("int")
+    for r in spans:
+        last = F.when(F.col(code_col) == F.lit(r["code"]), F.lit(int(r["d1"]))).otherwise(last)
+    cal = (rate_calendar(rates).withColumnRenamed("code", code_col).withColumnRenamed("day", "_lookup_day"))
+    rows = sum(int(r["d1"]) - int(r["d0"]) + 1 for r in spans)
     if rows <= BROADCAST_CALENDAR_ROWS:
         cal = F.broadcast(cal)
-    return tx.join(cal, [code_col, day_col], "left")
+    t = tx.withColumn("_lookup_day", F.least(F.col(day_col), last))
+    return t.join(cal, [code_col, "_lookup_day"], "left").drop("_lookup_day")
 
 
 def convert_with_tolerance(tx: DataFrame, rates: DataFrame, ts: str = "ts", amount: str = "amount",

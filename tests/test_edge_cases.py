@@ -130,3 +130,17 @@ def test_category_pivot_fill_rules(spark):
 def test_fixture_config_bad_mcc_rule():
     cfg = events_fixture()
     assert all(m % 7 == 0 for m in cfg.bad_mcc) and 9996 in cfg.bad_mcc
+
+
+def test_fx_after_last_rate_day(spark):
+    """Days past the last rate day look up that day: unbounded keeps the last
+    rate; the tolerance rule keeps it only within the look-back window."""
+    d = 19733  # 2024-01-11
+    tx = spark.createDataFrame([(1, 1, ts("2024-01-16 10:00:00"), 840, 2.0),
+                                (1, 2, ts("2024-01-31 10:00:00"), 840, 2.0)],
+                               "cl_id long, tx_id long, ts timestamp_ntz, currency int, amount double")
+    rates = spark.createDataFrame([(840, d - 3, 2.5), (840, d, 3.0)], "code int, day int, rate double")
+    tol = {r.tx_id: r.amount_rub for r in convert_with_tolerance(tx, rates).collect()}
+    unb = {r.tx_id: r.amount_rub for r in convert_unbounded(tx, rates).collect()}
+    assert tol == {1: 6.0, 2: None}
+    assert unb == {1: 6.0, 2: 6.0}
