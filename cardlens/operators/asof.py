@@ -19,6 +19,7 @@ from cardlens.functions.calendar import epoch_day
 from cardlens.functions.money import flat_converted
 
 BROADCAST_CALENDAR_ROWS = 2_000_000
+MAX_RATE_CODES = 1000   # ISO 4217 has under 200 active codes
 
 
 def rate_calendar(rates: DataFrame) -> DataFrame:
@@ -39,7 +40,10 @@ def _calendar_join(tx: DataFrame, rates: DataFrame, code_col: str, day_col: str)
     the same), so the calendar depends on the rates alone: no pass over the
     transactions is needed to size it.  Only the per-code span (one row per
     currency) reaches the driver."""
-    spans = rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1")).collect()
+    spans = (rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+             .limit(MAX_RATE_CODES + 1).collect())
+    if len(spans) > MAX_RATE_CODES:
+        raise ValueError(f"more than {MAX_RATE_CODES} currency codes in the rate table")
     if not spans:
         return tx.withColumn("rate", F.lit(None).cast("double")).withColumn("rate_day", F.lit(None).cast("int"))
     last = F.lit(None).cast("int")
