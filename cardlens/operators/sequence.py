@@ -4,7 +4,8 @@ A plain ``lag().over(partitionBy(client).orderBy(ts))`` sends every row of a
 client to one task; a client holding a third of the log would then be a third
 of the job in one task.  Here the timeline is cut into time buckets (by
 default: an hour, so a hot client is split into as many groups as it has
-active hours): ``lag`` runs inside each ``(client, bucket)``, and the first row of
+active hours, and an hour holding more than a million rows is split again
+by second): ``lag`` runs inside each ``(client, bucket)``, and the first row of
 a bucket takes the last order value of the client's previous non-empty bucket
 from a small per-bucket summary (one row per client and bucket).  The result
 equals the plain window exactly.
@@ -20,23 +21,40 @@ def hour_bucket(order_col: str) -> Column:
     return F.date_trunc("hour", F.col(order_col))
 
 
+HOT_BUCKET_ROWS = 1_000_000
+
+
 def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str | None = None,
-                  bucket: Column | None = None, out: str = "prev", last_out: str | None = None) -> DataFrame:
+                  bucket: Column | None = None, out: str = "prev", last_out: str | None = None,
+                  hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """Add ``out`` = the ``order_col`` value of the previous row in
     ``(keys) order by order_col, tiebreak``; NULL on the client's first row.
     With ``last_out``, also the key's last ``order_col`` value (taken from the
-    same per-bucket summary, so it costs no extra join)."""
+    same summary, so it costs no extra join).
+
+    A bucket holding more than ``hot_rows`` rows is split further by second.
+    Such buckets number at most rows / ``hot_rows``, so broadcasting their
+    keys is bounded by the data size over ``hot_rows``.  The summary has one
+    row per (key, bucket, sub-bucket): its per-key window is bounded by the
+    calendar (hours, plus seconds of hot hours), and the rows meet it on the
+    window's own partitioning, so the row data is shuffled once."""
     bucket = hour_bucket(order_col) if bucket is None else bucket
     order = [F.col(order_col)] + ([F.col(tiebreak)] if tiebreak else [])
     b = df.withColumn("_bkt", bucket)
-    inner = b.withColumn("_prev_in", F.lag(order_col).over(Window.partitionBy(*keys, "_bkt").orderBy(*order)))
-    summary = (b.groupBy(*keys, "_bkt").agg(F.max(order_col).alias("_bmax"))
-               .withColumn("_prev_b", F.lag("_bmax").over(Window.partitionBy(*keys).orderBy("_bkt"))))
+    hot = (b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_bn")).filter(F.col("_bn") > hot_rows)
+           .select(*keys, "_bkt", F.lit(True).alias("_hot")))
+    b = b.join(F.broadcast(hot), [*keys, "_bkt"], "left")
+    b = b.withColumn("_sub", F.when(F.col("_hot"), F.date_trunc("second", F.col(order_col)))
+                     .otherwise(F.col("_bkt").cast("timestamp"))).drop("_hot")
+    parts = [*keys, "_bkt", "_sub"]
+    inner = b.withColumn("_prev_in", F.lag(order_col).over(Window.partitionBy(*parts).orderBy(*order)))
+    summary = (b.groupBy(*parts).agg(F.max(order_col).alias("_smax"))
+               .withColumn("_prev_b", F.lag("_smax").over(Window.partitionBy(*keys).orderBy("_bkt", "_sub"))))
     if last_out:
-        summary = summary.withColumn(last_out, F.max("_bmax").over(Window.partitionBy(*keys)))
-    summary = summary.drop("_bmax")
-    joined = inner.join(summary, [*keys, "_bkt"], "left")
-    return joined.withColumn(out, F.coalesce("_prev_in", "_prev_b")).drop("_bkt", "_prev_in", "_prev_b")
+        summary = summary.withColumn(last_out, F.max("_smax").over(Window.partitionBy(*keys)))
+    summary = summary.drop("_smax")
+    joined = inner.join(summary, parts, "left")
+    return joined.withColumn(out, F.coalesce("_prev_in", "_prev_b")).drop("_bkt", "_sub", "_prev_in", "_prev_b")
 
 
 def first_by(df: DataFrame, keys: list[str], value: str, order: list[str], out: str) -> DataFrame:

@@ -92,6 +92,24 @@ def test_with_previous_equals_plain_lag(spark):
     assert a == b
 
 
+def test_with_previous_hot_buckets_split_by_second(spark):
+    """Force the hot-bucket path (tiny threshold): hours with many rows are
+    split by second, including seconds shared by several rows."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        c = rnd.choice([1, 1, 1, 1, 2, 3])
+        sec = rnd.randrange(0, 3 * 3600) if c == 1 else rnd.randrange(0, 86400 * 5)
+        rows.append((c, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=sec // 7 * 7)))
+    df = spark.createDataFrame(rows, "cl_id long, tx_id long, ts timestamp_ntz")
+    got = with_previous(df, ["cl_id"], "ts", "tx_id", hot_rows=20, last_out="last")
+    a = {r.tx_id: (r.prev, r.last) for r in got.collect()}
+    w = Window.partitionBy("cl_id").orderBy("ts", "tx_id")
+    want = df.withColumn("prev", F.lag("ts").over(w)).withColumn("last", F.max("ts").over(Window.partitionBy("cl_id")))
+    b = {r.tx_id: (r.prev, r.last) for r in want.collect()}
+    assert a == b
+
+
 def test_roc_auc_matches_brute_force(spark):
     rnd = random.Random(3)
     rows = [(float(rnd.random() < 0.4), float(rnd.randrange(0, 20))) for _ in range(300)]
