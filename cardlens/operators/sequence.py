@@ -57,14 +57,31 @@ def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str
     return joined.withColumn(out, F.coalesce("_prev_in", "_prev_b")).drop("_bkt", "_sub", "_prev_in", "_prev_b")
 
 
+_SHIFT = "18446744073709551616"   # 2^64
+_OFFSET = "9223372036854775808"   # 2^63
+
+
+def order_key(ts: str, tiebreak: str) -> Column:
+    """``(ts, tiebreak)`` packed into one DECIMAL(38,0) that sorts the same
+    way: micros * 2^64 + (tiebreak + 2^63).  A fixed-width value, so ``min`` /
+    ``min_by`` over it stay hash aggregates that combine map-side (ordering by
+    a struct would force a sort-based aggregate)."""
+    dec = "decimal(38,0)"
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast(dec)
+    hi = (micros * F.lit(_SHIFT).cast(dec)).cast(dec)
+    lo = (F.col(tiebreak).cast(dec) + F.lit(_OFFSET).cast(dec)).cast(dec)
+    return (hi + lo).cast(dec)
+
+
 def first_by(df: DataFrame, keys: list[str], value: str, order: list[str], out: str) -> DataFrame:
     """Per key, ``value`` of the first row by ``order`` (lexicographic; the
     last order column should be unique, e.g. a transaction id).
 
-    One hash aggregate per order column, last to first: the first ``value``
-    per ``(keys, order[:i])`` by ``order[i]``, which is unique at that level.
-    ``min`` over a struct would do it in one step but forces a sort-based
-    aggregate; these aggregates keep fixed-width buffers and combine map-side."""
+    A (time, id) order is packed into one sortable decimal (``order_key``), so
+    this is a single partial aggregate keyed by ``keys``.  Other orders use a
+    chain of hash aggregates, one order column at a time, last to first."""
+    if len(order) == 2:
+        return df.groupBy(*keys).agg(F.min_by(F.col(value), order_key(*order)).alias(out))
     cur = df.select(*keys, *order, F.col(value).alias("_x"))
     for i in range(len(order) - 1, -1, -1):
         cur = cur.groupBy(*keys, *order[:i]).agg(F.min_by("_x", order[i]).alias("_x"))

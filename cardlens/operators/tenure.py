@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cardlens.functions import calendar as cal
 from cardlens.functions.config import FeatureConfig
 from cardlens.operators.dictionary import with_membership
+from cardlens.operators.sequence import order_key
 
 KEY = "cl_id"
 
@@ -46,24 +47,19 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
     t = (t.withColumn("period_month", cal.month_index(period))
          .withColumn("week_global_number", cal.epoch_week(ts))
          .withColumn(g, cal.epoch_day(ts)))
+    aggs = [F.min(ts).alias("_dts"), F.min("period_month").alias("_pmn"),
+            F.max("period_month").alias("_pmx"), F.min("week_global_number").alias("_wk")]
     if day_diff:
-        # first (time, id) of the day with fixed-width hash aggregates
-        per_ts = t.groupBy(KEY, g, ts).agg(
-            F.min(tiebreak).alias("_tb"), F.min("period_month").alias("_pmn"),
-            F.max("period_month").alias("_pmx"), F.min("week_global_number").alias("_wk"))
-        days = per_ts.groupBy(KEY, g).agg(
-            F.min(ts).alias("_dts"), F.min_by("_tb", ts).alias("_ftb"), F.min("_pmn").alias("_pmn"),
-            F.max("_pmx").alias("_pmx"), F.min("_wk").alias("_wk"))
-    else:
-        days = t.groupBy(KEY, g).agg(
-            F.min(ts).alias("_dts"), F.min("period_month").alias("_pmn"),
-            F.max("period_month").alias("_pmx"), F.min("week_global_number").alias("_wk"))
+        # first (time, id) of the day: the smallest packed order key
+        t = t.withColumn("_ok", order_key(ts, tiebreak))
+        aggs.append(F.min("_ok").alias("_fok"))
+    days = t.groupBy(KEY, g).agg(*aggs)
     w = Window.partitionBy(KEY)
     cols = [KEY, g, F.max("_pmx").over(w).alias("_last_pm"), F.min("_pmn").over(w).alias("_first_pm"),
             F.min("_wk").over(w).alias("_first_wk"), F.min(g).over(w).alias("_first_day"),
             F.min("_dts").over(w).alias("_first_ts")]
     if day_diff:
-        cols += ["_dts", "_ftb", F.lag(g).over(w.orderBy(g)).alias("_prev_day")]
+        cols += ["_fok", F.lag(g).over(w.orderBy(g)).alias("_prev_day")]
     j = t.join(days.select(*cols), [KEY, g], "inner")
     tday = F.floor(F.expr(f"timestampdiff(MICROSECOND, _first_ts, {ts})") / F.lit(86400 * 1000000))
     j = (j.withColumn("months_before_last", F.col("period_month") - F.col("_last_pm"))
@@ -73,10 +69,10 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
          .withColumn("period_number", F.col("period_month") - F.col("_first_pm"))
          .withColumn("transaction_week", F.floor(F.col("transaction_day") / 7).cast("int")))
     if day_diff:
-        is_first = (F.col(ts) == F.col("_dts")) & (F.col(tiebreak) == F.col("_ftb"))
+        is_first = F.col("_ok") == F.col("_fok")
         diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                       F.greatest(F.col(g) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
-        j = j.withColumn(day_diff, diff.cast("int")).drop("_dts", "_ftb", "_prev_day")
+        j = j.withColumn(day_diff, diff.cast("int")).drop("_ok", "_fok", "_prev_day")
     return j.drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts")
 
 
@@ -88,17 +84,16 @@ def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", ti
     Only the first row of each (client, day) can be non-zero, so the lookup
     runs on one summary row per active client-day, not on the rows.
     """
-    # first (time, id) of each client-day with hash aggregates only: the
-    # smallest id per (client, day, time), then the one at the smallest time
-    per_ts = tx.groupBy(KEY, day_col, ts).agg(F.min(tiebreak).alias("_tb"))
-    first = (per_ts.groupBy(KEY, day_col)
-             .agg(F.min(ts).alias("_fts"), F.min_by("_tb", ts).alias("_ftb"))
+    # first (time, id) of each client-day: the smallest packed order key, a
+    # hash aggregate that combines map-side to one row per client-day
+    t = tx.withColumn("_ok", order_key(ts, tiebreak))
+    first = (t.groupBy(KEY, day_col).agg(F.min("_ok").alias("_fok"))
              .withColumn("_prev_day", F.lag(day_col).over(Window.partitionBy(KEY).orderBy(day_col))))
-    j = tx.join(first, [KEY, day_col], "inner")
-    is_first = (F.col(ts) == F.col("_fts")) & (F.col(tiebreak) == F.col("_ftb"))
+    j = t.join(first, [KEY, day_col], "inner")
+    is_first = F.col("_ok") == F.col("_fok")
     diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                   F.greatest(F.col(day_col) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
-    return j.withColumn(out, diff.cast("int")).drop("_fts", "_ftb", "_prev_day")
+    return j.withColumn(out, diff.cast("int")).drop("_ok", "_fok", "_prev_day")
 
 
 def tenure_cut(tx: DataFrame, max_day: int, ts: str = "ts") -> DataFrame:

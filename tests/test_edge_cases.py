@@ -162,3 +162,17 @@ def test_fx_after_last_rate_day(spark):
     unb = {r.tx_id: r.amount_rub for r in convert_unbounded(tx, rates).collect()}
     assert tol == {1: 6.0, 2: None}
     assert unb == {1: 6.0, 2: 6.0}
+
+
+def test_order_key_sorts_like_time_then_id(spark):
+    """The packed decimal key orders rows exactly as (ts, id), including equal
+    times, negative ids and times before 1970."""
+    from cardlens.operators.sequence import order_key
+    rnd = random.Random(5)
+    base = [ts("1969-12-31 23:59:59"), ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:00.000001")]
+    rows = [(i, rnd.choice(base), rnd.choice([-(2 ** 63), -5, 0, 7, 2 ** 63 - 1, rnd.randrange(-10 ** 9, 10 ** 9)]))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "rid long, ts timestamp_ntz, id long")
+    by_key = [r.rid for r in df.orderBy(order_key("ts", "id"), "rid").collect()]
+    by_pair = [r.rid for r in df.orderBy("ts", "id", "rid").collect()]
+    assert by_key == by_pair
