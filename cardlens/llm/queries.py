@@ -4,10 +4,21 @@ SQL can express the result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from . import balanced
+from .best_fit import pack_best_fit
 from .common import read
+from .decontaminate import contamination
 from .jaccard_join import jaccard_components
+from .token_counts import token_counts
+from .toxicity import held_out, toxicity
+
+WORD_IDS = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 1
+CAPACITY = 2048
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -22,3 +33,38 @@ def query(fn):
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of each document: five-word shingles, similarity 0.8."""
     return jaccard_components(read(spark, sf_dir, "documents")).drop("set_id")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed best-fit-decreasing: one row per sequence with its id matrix row."""
+    return pack_best_fit(read(spark, sf_dir, "documents"), WORD_IDS, END_ID, CAPACITY)
+
+
+@query
+def op3_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of near equal cost: one row per piece."""
+    return balanced.pieces(balanced.pack_balanced(read(spark, sf_dir, "documents"), WORD_IDS, END_ID, CAPACITY))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each whole text, and whether they are more than 512."""
+    return token_counts(read(spark, sf_dir, "documents"), BYTE_BPE, 512)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that overlap with benchmark items, with the best overlap of each pair."""
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each whole text, learned from document labels, with the worst sentence."""
+    scored, x = toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", held_out(scored["doc_id"]).alias("held_out"), scored[x["toxic_score"]].alias("score"),
+        (scored[x["toxic_score"]] >= 0.5).cast("int").alias("predicted"), scored[x["n_offending"]].alias("n_offending"),
+        scored[x["worst_start"]].alias("worst_start"), scored[x["worst_end"]].alias("worst_end"),
+        scored[x["worst_score"]].alias("worst_score"))
