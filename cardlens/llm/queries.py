@@ -6,12 +6,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import balanced
 from .best_fit import pack_best_fit
 from .common import read
 from .decontaminate import contamination
+from .fingerprints import fingerprints
 from .jaccard_join import jaccard_components
+from .shards import base_tree, shard_rows
 from .token_counts import token_counts
 from .toxicity import held_out, toxicity
 
@@ -68,3 +71,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (scored[x["toxic_score"]] >= 0.5).cast("int").alias("predicted"), scored[x["n_offending"]].alias("n_offending"),
         scored[x["worst_start"]].alias("worst_start"), scored[x["worst_end"]].alias("worst_end"),
         scored[x["worst_score"]].alias("worst_score"))
+
+
+@query
+def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt to 24 shards by a weighted hash tree, and to 25 by the grown tree."""
+    rows = shard_rows(read(spark, sf_dir, "documents"), base_tree(24))
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of each whole text and of its edited text."""
+    return fingerprints(read(spark, sf_dir, "documents"))
