@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balanced
+from cardlens.session import scratch_path
+
+from . import balanced, warc
 from .best_fit import pack_best_fit
 from .common import read
 from .decontaminate import contamination
@@ -84,3 +86,13 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of each whole text and of its edited text."""
     return fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back from byte ranges."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(read(spark, sf_dir, "pages"), path)
+    return warc.read_warc(spark, path, with_payload=False).select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"), "target_uri")
