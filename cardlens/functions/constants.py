@@ -50,5 +50,3 @@ RELATIVE_MONTHS = [0, -1, -2, -3, -4]
 RECENCY_DAYS = [7, 14, 30, 60]
 ROUND_DIVISORS = [1, 10, 100, 1000]
 WEEKDAYS = [0, 1, 2, 3, 4, 5]
-DAY_PARTS = [0, 1, 2]
-QUARTERS = [0, 1, 2, 3]

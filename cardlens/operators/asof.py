@@ -3,10 +3,8 @@
 Spark has no batch as-of join in the DataFrame API.  Rates are a small time
 series per currency, so the plan forward-fills a dense ``(code, day)``
 calendar once (one task per currency, one row per day of the rate series) and
-then equi-joins the transactions to it: no range join, no per-row search, no
-shuffle of the transactions when the calendar is broadcast.  The calendar is
-broadcast only after its row count (the currencies' rate spans) is checked
-against a limit; beyond it Spark's own size-based join choice applies.
+then equi-joins the transactions to it: no range join and no per-row search.
+Whether the calendar is broadcast is Spark's own size-based choice.
 """
 
 from __future__ import annotations
@@ -18,13 +16,19 @@ from cardlens.functions import constants as K
 from cardlens.functions.calendar import epoch_day
 from cardlens.functions.money import flat_converted
 
-BROADCAST_CALENDAR_ROWS = 2_000_000
-MAX_RATE_CODES = 1000   # ISO 4217 has under 200 active codes
+
+def one_per_day(rates: DataFrame) -> DataFrame:
+    """One rate per (code, day): that of the later line where the rates carry a
+    line number (``_line``), else the highest."""
+    order = "_line" if "_line" in rates.columns else "rate"
+    return rates.groupBy("code", "day").agg(F.max_by("rate", order).alias("rate"))
 
 
 def rate_calendar(rates: DataFrame) -> DataFrame:
     """(code, day, rate, rate_day): the latest rate on or before ``day`` for
-    every day from the code's first to its last rate day."""
+    every day from the code's first to its last rate day.  A day with several
+    rates counts once."""
+    rates = one_per_day(rates)
     firsts = rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
     days = firsts.select("code", F.explode(F.sequence(F.col("d0"), F.col("d1"))).alias("day"))
     facts = rates.select("code", "day", F.col("rate").cast("double").alias("rate"), F.col("day").alias("rate_day"))
@@ -37,24 +41,12 @@ def rate_calendar(rates: DataFrame) -> DataFrame:
 def _calendar_join(tx: DataFrame, rates: DataFrame, code_col: str, day_col: str) -> DataFrame:
     """Join each row to the calendar row of its (code, day).  A day after the
     code's last rate day looks up that last day (its forward-filled rate is
-    the same), so the calendar depends on the rates alone: no pass over the
-    transactions is needed to size it.  Only the per-code span (one row per
-    currency) reaches the driver."""
-    spans = (rates.groupBy("code").agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
-             .limit(MAX_RATE_CODES + 1).collect())
-    if len(spans) > MAX_RATE_CODES:
-        raise ValueError(f"more than {MAX_RATE_CODES} currency codes in the rate table")
-    if not spans:
-        return tx.withColumn("rate", F.lit(None).cast("double")).withColumn("rate_day", F.lit(None).cast("int"))
-    last = F.lit(None).cast("int")
-    for r in spans:
-        last = F.when(F.col(code_col) == F.lit(r["code"]), F.lit(int(r["d1"]))).otherwise(last)
-    cal = (rate_calendar(rates).withColumnRenamed("code", code_col).withColumnRenamed("day", "_lookup_day"))
-    rows = sum(int(r["d1"]) - int(r["d0"]) + 1 for r in spans)
-    if rows <= BROADCAST_CALENDAR_ROWS:
-        cal = F.broadcast(cal)
-    t = tx.withColumn("_lookup_day", F.least(F.col(day_col), last))
-    return t.join(cal, [code_col, "_lookup_day"], "left").drop("_lookup_day")
+    the same), so the calendar depends on the rates alone.  The last days are a
+    small table joined on the code; nothing reaches the driver."""
+    lasts = rates.groupBy(F.col("code").alias(code_col)).agg(F.max("day").alias("_last_day"))
+    cal = rate_calendar(rates).withColumnRenamed("code", code_col).withColumnRenamed("day", "_lookup_day")
+    t = tx.join(lasts, code_col, "left").withColumn("_lookup_day", F.least(F.col(day_col), F.col("_last_day")))
+    return t.join(cal, [code_col, "_lookup_day"], "left").drop("_lookup_day", "_last_day")
 
 
 def convert_with_tolerance(tx: DataFrame, rates: DataFrame, ts: str = "ts", amount: str = "amount",

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlens.operators.dictionary import code_table, with_code
 from cardlens.session import ensure_checkpoint_dir
 
 
@@ -37,18 +37,17 @@ def minmax_scale(df: DataFrame, col: str, out: str) -> DataFrame:
 
 
 def hash_folds(df: DataFrame, key: str, k: int, seed: int = 0, out: str = "fold") -> DataFrame:
-    """Deterministic fold of each key (a multiplicative hash), the same in any
-    engine and on any re-run, unlike a random split."""
-    h = F.pmod(F.pmod(F.col(key), F.lit(2147483647)) * F.lit(1103515245) + F.lit(12345 + seed), F.lit(2147483648))
-    return df.withColumn(out, (h % k).cast("int"))
+    """Deterministic fold of each key: the first 32 bits of md5('key:seed') modulo
+    ``k``, the same in any engine and on any re-run.  Another seed gives
+    another partition.  A NULL key has fold 0."""
+    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8), 16, 10).cast("long")
+    return df.withColumn(out, F.coalesce(h % k, F.lit(0)).cast("int"))
 
 
 def string_index(df: DataFrame, col: str, out: str) -> DataFrame:
     """Frequency-ordered index (ties by label text); rows with a missing value
-    are skipped.  MLlib's StringIndexer, fitted on this DataFrame."""
-    model = StringIndexer(inputCol=col, outputCol=out, handleInvalid="skip",
-                          stringOrderType="frequencyDesc").fit(df)
-    return model.transform(df).withColumn(out, F.col(out).cast("int"))
+    are skipped.  The index is a table joined on the value."""
+    return with_code(df.where(F.col(col).isNotNull()), col, out, code_table(df, col, by_frequency=True))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, partitions: int | None = None) -> DataFrame:

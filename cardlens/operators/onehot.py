@@ -9,36 +9,31 @@ order; the least frequent label gets no column, as with ``dropLast``).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.operators.dictionary import code_of
+from cardlens.operators.dictionary import code_table, with_code
 from cardlens.operators.pivots import TOTAL, PivotDim, pivot_sums
+from cardlens.session import write_table
 
 KEY = "cl_id"
 
 
-def frequency_labels(df: DataFrame, col: str) -> list[str]:
-    """Labels in the encoder's order: frequency descending, then label text
-    ascending; fitted with MLlib's StringIndexer (values become text)."""
-    model = StringIndexer(inputCol=col, outputCol=f"{col}__idx", handleInvalid="skip",
-                          stringOrderType="frequencyDesc").fit(df.select(col))
-    return list(model.labelsArray[0])
-
-
 def onehot_collapse(tx: DataFrame, dims: list[tuple[str, str]], value: str = "amount",
                     share: bool = False, drop_last: bool = True) -> DataFrame:
     """Columns ``{prefix}{i}`` = sum of ``value`` over rows whose ``col`` has
-    encoder index i (divided by the client's total when ``share``)."""
+    encoder index i (frequency descending, then text), divided by the client's
+    total when ``share``.  Indexes come from code tables; only their sizes, the
+    numbers of columns, reach the driver."""
     t = tx
     pdims = []
     for prefix, col in dims:
-        labels = frequency_labels(tx, col)
-        keep = labels[:-1] if drop_last else labels
-        idx = f"{col}__idx"
-        t = t.withColumn(idx, code_of(F.col(col).cast("string"), labels))
-        pdims.append(PivotDim(prefix, F.col(idx), tuple(range(len(keep))), None, TOTAL if share else None))
+        text, idx = f"{col}__txt", f"{col}__idx"
+        t = t.withColumn(text, F.col(col).cast("string"))
+        codes = write_table(code_table(tx.withColumn(text, F.col(col).cast("string")), text, by_frequency=True), "codes")
+        t = with_code(t, text, idx, codes).drop(text)
+        n = codes.count() - (1 if drop_last else 0)
+        pdims.append(PivotDim(prefix, F.col(idx), tuple(range(n)), None, TOTAL if share else None))
     return pivot_sums(t, pdims, value=value)
 
 
@@ -53,8 +48,3 @@ def elementwise_sum(df: DataFrame, key: str, arr: str, out: str = "vec_sum", dig
     return s.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "s"))).alias("_p")) \
         .select(key, F.col("_p.s").alias(out))
 
-
-def first_row_onehot(tx: DataFrame, col: str, order: list[str]) -> DataFrame:
-    """The client's first row's label (deterministic order)."""
-    from cardlens.operators.sequence import first_by
-    return first_by(tx, [KEY], col, order, col)

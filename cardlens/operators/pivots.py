@@ -42,13 +42,6 @@ class PivotDim:
 GOOD_COL = "is_good_mcc"
 
 
-def good_mcc(mcc: str, bad_codes) -> Column:
-    """Row is outside the bad-MCC list (a NULL MCC counts as good).  Long
-    lists become a hash-set lookup; evaluate it once per row into a column
-    (``with_good_mcc``) rather than repeating the list in many expressions."""
-    return ~F.coalesce(F.col(mcc).isin(*bad_codes), F.lit(False)) if bad_codes else F.lit(True)
-
-
 def with_good_mcc(tx: DataFrame, bad_codes, mcc: str = "mcc") -> DataFrame:
     if mcc not in tx.columns:
         return tx.withColumn(GOOD_COL, F.lit(True))
@@ -102,6 +95,18 @@ def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", good:
     return wide.select(*cols)
 
 
+def shares_long(tx: DataFrame, col: str, value: str = "amount", keep: Column | None = None,
+                total_of: Column | None = None) -> DataFrame:
+    """(client, value of ``col``, share): the sum of ``value`` per client and value of an
+    open-ended dimension (rows in ``keep``), over the client's total (rows in
+    ``total_of``).  One row per pair that occurs, for any number of values."""
+    v = F.col(value)
+    total = tx.groupBy(KEY).agg(F.sum(v if total_of is None else F.when(total_of, v)).alias("_total"))
+    part = (tx if keep is None else tx.where(keep)).where(F.col(col).isNotNull()).groupBy(KEY, col).agg(F.sum(v).alias("_sum"))
+    share = F.round(safe_div(F.col("_sum").cast("double"), F.col("_total").cast("double")), 6)
+    return part.join(total, KEY).select(KEY, col, F.coalesce(share, F.lit(0.0)).alias("share"))
+
+
 def category_blocks(cat: str, values: list, value: str = "amount", stats=CAT_STATS) -> list:
     """Statistic blocks (see ``keyed_stats``), one per category value, each
     filtered to the category: conditional aggregation keyed by the client
@@ -166,27 +171,27 @@ def relative_month_aggs(cfg: FeatureConfig, flows: bool, value: str = "amount",
 
 
 def scalar_features(tx: DataFrame, cfg: FeatureConfig, value: str = "amount", category: str = "category",
-                    mcc: str = GOOD_COL) -> DataFrame:
-    return tx.groupBy(KEY).agg(*scalar_aggs(cfg, value, category, mcc))
+                    mcc: str = GOOD_COL, only: list[str] | None = None) -> DataFrame:
+    return tx.groupBy(KEY).agg(*scalar_aggs(cfg, value, category, mcc, only))
 
 
 def scalar_aggs(cfg: FeatureConfig, value: str = "amount", category: str = "category",
-                mcc: str = GOOD_COL) -> list:
-    """Good-MCC share of POS spend, tenure holes, holiday spend (0-filled)."""
+                mcc: str = GOOD_COL, only: list[str] | None = None) -> list:
+    """Good-MCC share of POS spend, tenure holes, holiday spend (0-filled); those of ``only``."""
     v = F.col(value)
     pg = pos_good(cfg, category, mcc)
     n = float(cfg.max_day_number)
     good = F.sum(F.when(is_good(mcc), v)).cast("double")
     pos = F.sum(F.when(F.col(category) == cfg.pos_category, v)).cast("double")
-    aggs = [
-        F.coalesce(pos, F.lit(0.0)).alias("sum_POS"),
-        F.coalesce(F.round(safe_div(good, pos), 6), F.lit(0.0)).alias("good_mcc_portion"),
-        F.coalesce(F.round(F.avg(F.when(pg, F.col("day_diff").cast("double"))) / n, 6), F.lit(0.0)).alias("days_hole_mean"),
-        F.coalesce(F.round(F.min(F.when(pg, F.col("day_number"))) / n, 6), F.lit(0.0)).alias("head_hole_size"),
-        F.coalesce(F.round((n - F.max(F.when(pg, F.col("day_number")))) / n, 6), F.lit(0.0)).alias("tail_hole_size"),
-        F.coalesce(F.sum(F.when(F.col("is_holiday") == 1, v)).cast("double"), F.lit(0.0)).alias("holydays_amount_part"),
-    ]
-    return aggs
+    aggs = {
+        "sum_POS": pos,
+        "good_mcc_portion": F.round(safe_div(good, pos), 6),
+        "days_hole_mean": F.round(F.avg(F.when(pg, F.col("day_diff").cast("double"))) / n, 6),
+        "head_hole_size": F.round(F.min(F.when(pg, F.col("day_number"))) / n, 6),
+        "tail_hole_size": F.round((n - F.max(F.when(pg, F.col("day_number")))) / n, 6),
+        "holydays_amount_part": F.sum(F.when(F.col("is_holiday") == 1, v)).cast("double"),
+    }
+    return [F.coalesce(aggs[k], F.lit(0.0)).alias(k) for k in (only or aggs)]
 
 
 def period_part_coverage(tx: DataFrame, cfg: FeatureConfig) -> DataFrame:

@@ -29,8 +29,9 @@ def with_last_action(tx: DataFrame, days, ts: str = "ts") -> DataFrame:
     client is spread over its active hours (no client-only join)."""
     b = tx.withColumn("_bkt", F.date_trunc("hour", F.col(ts)))
     summary = (b.groupBy(KEY, "_bkt").agg(F.max(ts).alias("_bmax"))
-               .select(KEY, "_bkt", F.max("_bmax").over(Window.partitionBy(KEY)).alias("last_action")))
-    return b.join(summary, [KEY, "_bkt"], "inner").drop("_bkt").withColumns(recency_flags(days, ts))
+               .select(F.col(KEY).alias("_k"), F.col("_bkt").alias("_b"), F.max("_bmax").over(Window.partitionBy(KEY)).alias("last_action")))
+    met = F.col(KEY).eqNullSafe(F.col("_k")) & F.col("_bkt").eqNullSafe(F.col("_b"))     # rows without a time stay
+    return b.join(summary, met, "left").drop("_bkt", "_k", "_b").withColumns(recency_flags(days, ts))
 
 
 def recency_blocks(days, value: str = "amount", stats=RECENCY_STATS) -> list:

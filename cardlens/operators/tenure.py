@@ -8,7 +8,7 @@ per-client window or client-only join holds a whole client in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardlens.functions import calendar as cal
@@ -60,7 +60,7 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
             F.min("_dts").over(w).alias("_first_ts")]
     if day_diff:
         cols += ["_fok", F.lag(g).over(w.orderBy(g)).alias("_prev_day")]
-    j = t.join(days.select(*cols), [KEY, g], "inner")
+    j = _join_summary(t, days.select(*cols), [KEY, g])
     tday = F.floor(F.expr(f"timestampdiff(MICROSECOND, _first_ts, {ts})") / F.lit(86400 * 1000000))
     j = (j.withColumn("months_before_last", F.col("period_month") - F.col("_last_pm"))
          .withColumn("week_number", F.col("week_global_number") - F.col("_first_wk"))
@@ -69,13 +69,31 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
          .withColumn("period_number", F.col("period_month") - F.col("_first_pm"))
          .withColumn("transaction_week", F.floor(F.col("transaction_day") / 7).cast("int")))
     if day_diff:
-        is_first = F.col("_ok") == F.col("_fok")
+        is_first = _carries(g)
         diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                       F.greatest(F.col(g) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
         j = j.withColumn(day_diff, diff.cast("int")).drop("_ok", "_fok", "_prev_day")
     return j.drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts")
 
 
+def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the summary row of their keys, where NULL keys meet too (a row
+    without a time keeps its place in the result)."""
+    named = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
+    cond = None
+    for k in keys:
+        same = rows[k].eqNullSafe(F.col(f"_k_{k}"))
+        cond = same if cond is None else cond & same
+    return rows.join(named, cond, "left").drop(*[f"_k_{k}" for k in keys])
+
+
+def _carries(day: str) -> Column:
+    """The row is the day's first by the order key; of rows equal in it, one.  The
+    window's keys begin with the join's, so it needs no shuffle of its own."""
+    one = F.row_number().over(Window.partitionBy(KEY, day, "_ok").orderBy(F.lit(0)))
+    return (F.col("_ok") == F.col("_fok")) & (one == 1)
+
+
 def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", tiebreak: str = "tx_id",
                   out: str = "day_diff") -> DataFrame:
     """Tenure days since the client's previous transaction (rows ordered by
@@ -89,8 +107,8 @@ def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", ti
     t = tx.withColumn("_ok", order_key(ts, tiebreak))
     first = (t.groupBy(KEY, day_col).agg(F.min("_ok").alias("_fok"))
              .withColumn("_prev_day", F.lag(day_col).over(Window.partitionBy(KEY).orderBy(day_col))))
-    j = t.join(first, [KEY, day_col], "inner")
-    is_first = F.col("_ok") == F.col("_fok")
+    j = _join_summary(t, first, [KEY, day_col])
+    is_first = _carries(day_col)
     diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                   F.greatest(F.col(day_col) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
     return j.withColumn(out, diff.cast("int")).drop("_ok", "_fok", "_prev_day")

@@ -29,7 +29,7 @@ from cardlens.operators.sequence import with_previous
 from cardlens.operators import pivots as P
 from cardlens.operators import recency as R
 from cardlens.operators.asof import convert_with_tolerance
-from cardlens.operators.dictionary import code_of, fit_values, with_membership
+from cardlens.operators.dictionary import code_table, fit_values, with_code, with_membership
 from cardlens.operators.tenure import enrich
 from cardlens.session import write_table
 
@@ -102,6 +102,7 @@ def fit_lists(train_log: DataFrame, cfg: FeatureConfig, trash_mcc=()) -> dict:
     mccs = with_membership(with_membership(mccs, "mcc", cfg.bad_mcc, "_bad"), "mcc", trash_mcc, "_trash")
     return {
         "categories": fit_values(train_log, "category"),
+        "category_codes": write_table(code_table(train_log, "category"), "codes"),
         "years": fit_values(train_log, "year"),
         "mcc": fit_values(mccs.filter(~F.col("_bad") & ~F.col("_trash")), "mcc"),
     }
@@ -111,7 +112,7 @@ def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame
     """Pivots, shares and tenure features (the notebook's second block), 0-filled."""
     pg = P.pos_good(cfg)
     pos = F.col("category") == cfg.pos_category
-    t = log.withColumn("cat_index", code_of("category", lists["categories"]))
+    t = with_code(log, "category", "cat_index", lists["category_codes"])
     dims = [
         P.PivotDim("year_", F.col("year"), tuple(lists["years"]), pg),
         P.PivotDim("year_month_", F.col("month"), tuple(range(1, 13)), pg),

@@ -90,7 +90,7 @@ def q_tenure_fields(spark, sf):
 
 @query("day_diff")
 def q_day_diff(spark, sf):
-    t = T.with_day_diff(T.tenure_fields(V.tx_e(spark, sf)))
+    t = T.tenure_fields(V.tx_e(spark, sf), day_diff="day_diff")
     return t.select("cl_id", "tx_id", "day_number", "day_diff")
 
 

@@ -30,16 +30,17 @@ def q_scan_csv_roundtrip(spark, sf):
                        "category", "period")
 
 
-def card_log_text(spark, sf):
-    """The card log as raw comma lines with a header; 'error' rows are cut to
-    two fields (rejected by the scan), labelled rows carry the two labels."""
+def card_log_text(spark, sf, short_rows: bool = False):
+    """The card log as raw comma lines with a header; labelled rows carry the two
+    labels.  With ``short_rows`` the 'error' rows are cut to two fields (which
+    the scan rejects)."""
     tx, lbl = V.tx_e(spark, sf), V.cust_lbl(spark, sf)
     t = tx.join(lbl, "cl_id", "left")
     base = [F.date_format(F.trunc("ts", "MM"), "dd/MM/yyyy"), F.col("cl_id").cast("string"),
             F.col("mcc").cast("string"), F.coalesce("channel_type", F.lit("")), F.col("currency").cast("string"),
             F.upper(F.date_format("ts", "ddMMMyy:HH:mm:ss")), F.col("amount").cast("string"), F.col("category")]
     labels = [F.col("target_flag").cast("double").cast("string"), F.col("target_sum").cast("double").cast("string")]
-    line = (F.when(F.col("category") == "error", F.concat_ws(",", *base[:2]))
+    line = (F.when((F.col("category") == "error") & F.lit(short_rows), F.concat_ws(",", *base[:2]))
             .when(F.col("target_flag").isNotNull(), F.concat_ws(",", *base, *labels))
             .otherwise(F.concat_ws(",", *base)))
     header = spark.range(1).select(F.lit(I.TX_HEADER).alias("value"))
@@ -48,7 +49,7 @@ def card_log_text(spark, sf):
 
 @query("scan_text_split")
 def q_scan_text_split(spark, sf):
-    f = I.read_text_fields(spark, card_log_text(spark, sf))
+    f = I.read_text_fields(spark, card_log_text(spark, sf, short_rows=True))
     return f.select(I.field("f", 1).cast("long").alias("cl_id"), I.field("f", 2).cast("int").alias("mcc"),
                     I.field("f", 6).cast("double").alias("amount"), I.field("f", 7).alias("category"),
                     F.size("f").alias("n_fields"))

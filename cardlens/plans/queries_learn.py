@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.config import events_fixture
 from cardlens.operators import learn as L
+from cardlens.operators.metrics import unlog_clip
 from cardlens.plans import features as FT
 from cardlens.plans.catalog import query
 from cardlens.plans.queries_pivots import trash_mcc_fixture
-from cardlens.session import scratch_path
+from cardlens.session import scratch_path, write_table
 from cardlens.sources import ingest as I
 from cardlens.sources import views as V
 
@@ -31,10 +32,13 @@ def q_client_feature_table(spark, sf):
 
 
 def train_set(spark, sf, regression=False):
-    table = feature_table(spark, sf)
+    """The feature table and the training rows (cl_id, label, features), both written once:
+    trainers pass over their data many times and would run the whole plan each time."""
+    table = write_table(feature_table(spark, sf), "features")
     cols = L.feature_columns(table)
     label = F.log1p(F.col("target_sum").cast("double")) if regression else F.col("target_flag")
-    return table, cols, L.assemble(L.labelled(table, label), cols)
+    data = L.assemble(L.labelled(table, label), cols).select("cl_id", "label", "features")
+    return table, cols, write_table(data, "training")
 
 
 @query("assemble_features")
@@ -46,7 +50,10 @@ def q_assemble_features(spark, sf):
 
 @query("feature_index")
 def q_feature_index(spark, sf):
-    cols = L.feature_columns(feature_table(spark, sf))
+    # only the names are asked for: the plan is built, not run
+    table = FT.client_feature_table(V.tx_e(spark, sf), V.fx(spark, sf), V.cust_lbl(spark, sf), events_fixture(),
+                                    trash_mcc_fixture(), materialize="none")
+    cols = L.feature_columns(table)
     return spark.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("idx", "feature"))
 
 
@@ -107,7 +114,6 @@ def q_cv_classifier(spark, sf):
 @query("cv_repeated")
 def q_cv_repeated(spark, sf):
     _, _, data = train_set(spark, sf)
-    data = data.persist()
     est = L.classifier(max_iter=5)
     rows = []
     for seed in range(7):
@@ -125,6 +131,28 @@ def q_score_clients(spark, sf):
     return L.probability_of_one(model.transform(test)).select("cl_id", "probability_1", "prediction")
 
 
+@query("score_spend")
+def q_score_spend(spark, sf):
+    """Second goal: spend of the unlabelled clients by the regressor on the log target,
+    turned back (exp(p) - 1, not below 0), written as predictions and read back."""
+    table, cols, data = train_set(spark, sf, regression=True)
+    model = L.regressor(max_iter=10).fit(data)
+    test = model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols))
+    spend = test.select("cl_id", unlog_clip("prediction").alias("spend"))
+    return I.read_predictions(spark, I.write_predictions(spend, scratch_path(spark, "spend"), value_col="spend"))
+
+
+@query("cv_regressor")
+def q_cv_regressor(spark, sf):
+    """Grid of the regressor by RMSE on the log target, k-fold."""
+    _, _, data = train_set(spark, sf, regression=True)
+    est = L.regressor(max_iter=5)
+    g = L.grid(est)
+    _, metrics = L.cross_validate(data, est, L.rmse_evaluator(), g, folds=2)
+    rows = [(int(p[est.maxDepth]), int(p[est.minInstancesPerNode]), float(m)) for p, m in zip(g, metrics)]
+    return spark.createDataFrame(rows, "max_depth int, min_instances int, avg_rmse double")
+
+
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     _, cols, data = train_set(spark, sf)
@@ -174,9 +202,9 @@ def q_end_to_end(spark, sf):
                                         F.max("target_sum").alias("target_sum"))
     rows = train.drop("target_flag", "target_sum").unionByName(test)
     rows = rows.withColumn("tx_id", F.xxhash64(*rows.columns))
-    table = FT.client_feature_table(rows, V.fx(spark, sf), labels, events_fixture(), trash_mcc_fixture())
+    table = write_table(FT.client_feature_table(rows, V.fx(spark, sf), labels, events_fixture(), trash_mcc_fixture()), "features")
     cols = L.feature_columns(table)
-    data = L.assemble(L.labelled(table, F.col("target_flag")), cols)
+    data = write_table(L.assemble(L.labelled(table, F.col("target_flag")), cols).select("cl_id", "label", "features"), "training")
     model = L.classifier(max_iter=10).fit(data)
     scored = L.probability_of_one(model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols)))
     path = I.write_predictions(scored, scratch_path(spark, "submission"), value_col="probability_1")

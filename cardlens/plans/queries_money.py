@@ -53,20 +53,19 @@ def q_fx_flat(spark, sf):
 
 @query("fx_asof_tolerance")
 def q_fx_asof_tolerance(spark, sf):
-    t = A.convert_with_tolerance(V.tx_e(spark, sf), V.fx_sparse(spark, sf))
+    t = A.convert_with_tolerance(V.tx_e(spark, sf), V.fx(spark, sf))
     return t.select("cl_id", "tx_id", "currency", "amount_rub")
 
 
 @query("fx_asof_unbounded")
 def q_fx_asof_unbounded(spark, sf):
-    t = A.convert_unbounded(V.tx_e(spark, sf), V.fx_sparse(spark, sf))
+    t = A.convert_unbounded(V.tx_e(spark, sf), V.fx(spark, sf))
     return t.select("cl_id", "tx_id", "currency", "amount_rub")
 
 
 def mcc_file(spark, sf):
-    """The part table written as the MCC dictionary text file
-    (mcc, type, category) with the deliberate holes of the mcc_dim view."""
-    p = read_table(spark, sf, "part").filter(F.col("p_partkey") % 50 != 0)
+    """The whole part table written as the MCC dictionary text file (mcc, type, category)."""
+    p = read_table(spark, sf, "part")
     lines = p.select(F.concat_ws(",", F.col("p_partkey").cast("string"), "p_type", "p_brand").alias("value"))
     return I.write_lines(lines, I.materialise(spark, "mcc-codes"))
 

@@ -9,15 +9,16 @@ from cardlens.functions.config import events_fixture, orders_fixture
 from cardlens.operators import onehot as OH
 from cardlens.operators import pivots as P
 from cardlens.operators import tenure as T
-from cardlens.operators.dictionary import code_of, fit_values, with_membership
+from cardlens.operators.dictionary import code_table, fit_values, with_code, with_membership
+from cardlens.session import write_table
 from cardlens.plans.catalog import query
 from cardlens.sources import views as V
 from cardlens.sources.tables import read_table
 
 
 def trash_mcc_fixture():
-    """Stand-in for the reference's 'trash' MCC list on tx_e: multiples of 11."""
-    return tuple(range(0, 10000, 11))
+    """Stand-in for the 'trash' MCC list on tx_e: multiples of 11, as a predicate."""
+    return lambda code: code % 11 == 0
 
 
 def enriched_e(spark, sf, tenure: bool = True):
@@ -31,8 +32,8 @@ def orders_calendar(spark, sf):
         "quartel": cal.quarter0("ts")})
 
 
-def _scalar(spark, sf, cols):
-    return P.scalar_features(enriched_e(spark, sf), events_fixture()).select("cl_id", *cols)
+def _scalar(spark, sf, cols, tenure=False):
+    return P.scalar_features(enriched_e(spark, sf, tenure), events_fixture(), only=cols)
 
 
 @query("sum_by_category_filter")
@@ -47,7 +48,7 @@ def q_good_mcc_portion(spark, sf):
 
 @query("tenure_holes")
 def q_tenure_holes(spark, sf):
-    return _scalar(spark, sf, ["days_hole_mean", "head_hole_size", "tail_hole_size"])
+    return _scalar(spark, sf, ["days_hole_mean", "head_hole_size", "tail_hole_size"], tenure=True)
 
 
 @query("holiday_amount")
@@ -126,9 +127,9 @@ def q_pivot_hour_share(spark, sf):
 @query("pivot_category_share")
 def q_pivot_category_share(spark, sf):
     t = enriched_e(spark, sf, tenure=False)
-    cats = fit_values(t, "category")
-    t = t.withColumn("cat_index", code_of("category", cats))
-    return P.pivot_sums(t, [P.PivotDim("cat_", F.col("cat_index"), tuple(range(len(cats))), None, P.TOTAL)])
+    codes = write_table(code_table(t, "category"), "codes")
+    t = with_code(t, "category", "cat_index", codes)
+    return P.pivot_sums(t, [P.PivotDim("cat_", F.col("cat_index"), tuple(range(codes.count())), None, P.TOTAL)])
 
 
 @query("period_part_coverage")
@@ -167,6 +168,14 @@ def q_pivot_mcc_share(spark, sf):
     return P.pivot_sums(t, [P.PivotDim("sum_", F.col("mcc"), tuple(mccs), None, P.GOOD_TOTAL)])
 
 
+@query("mcc_share_long")
+def q_mcc_share_long(spark, sf):
+    """The MCC shares of ``pivot_mcc_share`` in long form, for any number of codes."""
+    t = with_membership(enriched_e(spark, sf, tenure=False), "mcc", trash_mcc_fixture(), "_trash")
+    good = F.col(P.GOOD_COL)
+    return P.shares_long(t, "mcc", keep=good & ~F.col("_trash"), total_of=good)
+
+
 @query("onehot_weighted_sum")
 def q_onehot_weighted_sum(spark, sf):
     t = T.tenure_cut(V.tx_o(spark, sf), orders_fixture().max_transaction_day)

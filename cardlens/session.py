@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,36 +38,42 @@ def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of SESSION_CONF to a given session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
-        try:
-            spark.conf.set(k, SESSION_CONF[k])
-        except Exception:  # pragma: no cover - static conf on some deployments
-            pass
+        spark.conf.set(k, SESSION_CONF[k])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is.  Only when it is unset (tests, local benches) do we create one.
+    as is; if it is unset there, that is an error.  Only a ``local`` master
+    (tests, benches), where one machine does all the work, gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
-    local = tempfile.mkdtemp(prefix="cardlens-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not current:
+        if not is_local_master(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="cardlens-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
+
+
+def is_local_master(master: str) -> bool:
+    """``local``, ``local[n]``, ``local[n,m]``: driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
-    return path
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete all tables this session has written to its scratch folder.  DataFrames
+    built on them cannot be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_table(df, name: str):

@@ -70,11 +70,13 @@ def optional_double(arr: str, i: int, default: float = 0.0) -> Column:
 
 def read_rates_csv(spark: SparkSession, path: str, code: int, fallback_open: bool) -> DataFrame:
     """Exchange-rate CSV -> (code, day, rate).  With ``fallback_open`` a
-    missing weighted price falls back to the open price."""
+    missing weighted price falls back to the open price.  ``_line`` orders lines by
+    file, block and place, whichever task reads them."""
     r = spark.read.schema(RATE_SCHEMA).option("header", True).csv(path)
     rate = F.coalesce("WAPRICE", "OPEN") if fallback_open else F.col("WAPRICE")
     return r.select(F.lit(code).alias("code"), cal.epoch_day(cal.parse_rate_date("DATE")).alias("day"),
-                    rate.alias("rate"), F.monotonically_increasing_id().alias("_line"))
+                    rate.alias("rate"), F.struct("_metadata.file_path", "_metadata.file_block_start",
+                                                 F.monotonically_increasing_id().alias("n")).alias("_line"))
 
 
 def last_per_day(rates: DataFrame) -> DataFrame:

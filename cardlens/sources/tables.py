@@ -1,7 +1,7 @@
 """Parquet scans of the given tables.
 
 Each scan is lazy; Catalyst prunes the columns a plan does not use and pushes
-filters into the parquet reader (see ``explain`` in tests/test_plans.py).
+filters into the parquet reader.
 """
 
 from __future__ import annotations

@@ -77,11 +77,6 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usd.unionByName(eur)
 
 
-def fx_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates with long gaps: only days divisible by 13."""
-    return fx(spark, sf_dir).filter(F.col("day") % 13 == 0)
-
-
 def cust_lbl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels for clients with cl_id % 5 != 0 (the rest play the test set)."""
     t = tx_e(spark, sf_dir).filter(F.col("cl_id") % 5 != 0)

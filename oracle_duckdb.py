@@ -26,14 +26,13 @@ from lineitem join orders on l_orderkey = o_orderkey""",
     "fx": f"""select 840 as code, {D} as day, max(cast(value as decimal(18,2))) as rate from events where {D} % 7 not in (2,3) group by {D}
 union all
 select 978 as code, {D} as day, min(cast(value as decimal(18,2))) as rate from events where {D} % 7 not in (2,3) group by {D}""",
-    "fx_sparse": "select * from fx where day % 13 = 0",
     "cust_lbl": """select cl_id, case when sum(case when category='purchase' then amount else 0 end) > 700 then 1 else 0 end as target_flag,
   sum(case when category='purchase' then amount else 0 end) as target_sum
 from tx_e where cl_id % 5 <> 0 group by cl_id""",
 }
 
 # views each view depends on (so the CTE list is complete and ordered)
-DEPS = {"fx_sparse": ["fx"], "cust_lbl": ["tx_e"]}
+DEPS = {"cust_lbl": ["tx_e"]}
 
 
 def q(views: list[str], body: str, ctes: list[tuple[str, str]] | None = None) -> str:
@@ -386,17 +385,19 @@ def static_pivot(src, prefix, dim, values, cond=None, share=False):
     return f"select cl_id, {', '.join(cols)} from {src} group by cl_id"
 
 
-def dynamic_pivot(long_sql):
-    """long_sql yields (cl_id, l, v) including a '__total__' label per client."""
-    return (f"select cl_id, coalesce(columns(* exclude (cl_id, \"__total__\")), 0) from "
-            f"(pivot ({long_sql}) on l using first(v) group by cl_id)")
+def dynamic_pivot(long_sql, labels):
+    """long_sql yields (cl_id, l, v) including a '__total__' label per client; one
+    column per label of the list (those of the data at sf0.01)."""
+    return "select cl_id, " + ", ".join(
+        f"coalesce(max(v) filter (where l = '{x}'), 0) \"{x}\"" for x in labels) + f" from ({long_sql}) group by cl_id"
 
 
 TXO_CAL = f"select *, year(ts) as year, {MONTH_O} as month, day(ts) as day, quarter(ts) - 1 quartel from tx_o"
 POS_O = "category = '1-URGENT'"
 register("pivot_year", q(["tx_o"], dynamic_pivot(
     f"select cl_id, 'year_' || cast(year as varchar) l, cast(sum(amount) filter (where {POS_O}) as double) v "
-    f"from o group by cl_id, year union all select distinct cl_id, '__total__', 0 from o"), [("o", TXO_CAL)]))
+    f"from o group by cl_id, year union all select distinct cl_id, '__total__', 0 from o",
+    [f"year_{y}" for y in range(1995, 2002)]), [("o", TXO_CAL)]))
 register("pivot_month", q(["tx_o"], static_pivot("o", "year_month_", "month", range(1, 13), POS_O), [("o", TXO_CAL)]))
 register("pivot_month_day", q(["tx_o"], static_pivot("o", "month_day_", "day", range(1, 32), POS_O), [("o", TXO_CAL)]))
 register("pivot_quarter", q(["tx_o"], static_pivot("o", "quartel_", "quartel", range(4)), [("o", TXO_CAL)]))
@@ -416,7 +417,7 @@ register("pivot_category_share", q(["tx_e"], dynamic_pivot(
     "as double), 0), 6) v from tx_e e join (select category, dense_rank() over (order by category) - 1 code from "
     "(select distinct category from tx_e where category is not null)) c using (category) join (select cl_id, sum(amount) "
     "tot from tx_e group by cl_id) t using (cl_id) group by e.cl_id, c.code "
-    "union all select distinct cl_id, '__total__', 0 from tx_e")))
+    "union all select distinct cl_id, '__total__', 0 from tx_e", [f"cat_{i}" for i in range(5)])))
 register("period_part_coverage", q(["tx_e"], "select cl_id, " + ", ".join(
     f"round(count(distinct floor((day_number + 1) / {n})) / ({128 / n}), 6) period_part{n}"
     for n in (2, 4, 8, 16, 32, 64, 128)) + " from ten group by cl_id", [("ten", TENURE.format(src="tx_e"))]))
@@ -424,7 +425,13 @@ register("pivot_mcc_share", q(["tx_e"], dynamic_pivot(
     "select e.cl_id, 'sum_' || cast(e.mcc as varchar) l, round(cast(sum(e.amount) as double) / nullif(cast(max(g.good) "
     f"as double), 0), 6) v from tx_e e join (select cl_id, sum(amount) filter (where {GOOD_E}) good from tx_e group by "
     "cl_id) g using (cl_id) where not (e.mcc % 7 = 0 or e.mcc % 11 = 0) group by e.cl_id, e.mcc "
-    "union all select distinct cl_id, '__total__', 0 from tx_e")))
+    "union all select distinct cl_id, '__total__', 0 from tx_e",
+    [f"sum_{m}" for m in range(1, 98) if m % 7 and m % 11])))
+
+
+register("mcc_share_long", q(["tx_e"], f"""select e.cl_id, e.mcc, coalesce(round(cast(sum(e.amount) as double) /
+  nullif(cast(max(g.good) as double), 0), 6), 0) share from tx_e e join (select cl_id, sum(amount) filter (where {GOOD_E}) good
+  from tx_e group by cl_id) g using (cl_id) where not (e.mcc % 7 = 0 or e.mcc % 11 = 0) group by e.cl_id, e.mcc"""))
 
 
 def onehot_long(src, prefix, col, share):
@@ -443,11 +450,13 @@ register("onehot_weighted_sum", q(["tx_o"], dynamic_pivot(
     onehot_long("tc", "tw_", "cast(floor(transaction_day / 7) as int)", False).replace(
         "s.cast(floor(transaction_day / 7) as int)", "cast(floor(s.transaction_day / 7) as int)")
     + " union all " + onehot_long("tc", "pn_", "period_number", False)
-    + " union all select distinct cl_id, '__total__', 0 from tc"), [("tc", _ten_cut)]))
+    + " union all select distinct cl_id, '__total__', 0 from tc",
+    [f"tw_{i}" for i in range(13)] + [f"pn_{i}" for i in range(3)]), [("tc", _ten_cut)]))
 register("onehot_weighted_share", q(["tx_e"], dynamic_pivot(
     onehot_long("we", "wd_", "iso_weekday", True) + " union all " + onehot_long("we", "cur_", "currency", True)
     + " union all " + onehot_long("we", "cat_", "category", True)
-    + " union all select distinct cl_id, '__total__', 0 from we"),
+    + " union all select distinct cl_id, '__total__', 0 from we",
+    [f"wd_{i}" for i in range(6)] + [f"cur_{i}" for i in range(4)] + [f"cat_{i}" for i in range(4)]),
     [("we", "select *, coalesce(isodow(ts), 0) iso_weekday from tx_e")]))
 register("elementwise_vector_sum", """
 select label, list(s order by pos) vec_sum from (
@@ -466,17 +475,17 @@ FLAT_AMT = ("case when currency = 704 then cast(amount as double) * 0.000045 whe
             "cast(amount as double) * 0.5 else cast(amount as double) end")
 FLAT_CUR = "case when currency in (704, 360, 410, 170, 933) then 840 else currency end"
 register("fx_flat", q(["tx_e"], f"select cl_id, tx_id, {FLAT_AMT} amount_flat, {FLAT_CUR} currency_flat from tx_e"))
-register("fx_asof_tolerance", q(["tx_e", "fx_sparse"], """
+register("fx_asof_tolerance", q(["tx_e", "fx"], """
 select t.cl_id, t.tx_id, t.currency, case when t.code in (840, 978) then (case when t.d - f.day <= 9
   then t.amt * cast(f.rate as double) end) else t.amt end amount_rub
-from t asof left join fx_sparse f on t.code = f.code and t.d >= f.day""", [(
+from t asof left join fx f on t.code = f.code and t.d >= f.day""", [(
     "t", f"select *, {FLAT_AMT} amt, {FLAT_CUR} code, datediff('day', date '1970-01-01', cast(ts as date)) d from tx_e")]))
-register("fx_asof_unbounded", q(["tx_e", "fx_sparse"], """
+register("fx_asof_unbounded", q(["tx_e", "fx"], """
 select t.cl_id, t.tx_id, t.currency, case when t.currency in (840, 978) then cast(t.amount as double) *
   cast(f.rate as double) else cast(t.amount as double) end amount_rub
-from t asof left join fx_sparse f on t.currency = f.code and t.d >= f.day""", [(
+from t asof left join fx f on t.currency = f.code and t.d >= f.day""", [(
     "t", "select *, datediff('day', date '1970-01-01', cast(ts as date)) d from tx_e")]))
-register("mcc_dim", q(["mcc_dim"], "select mcc, mcc_category from mcc_dim"))
+register("mcc_dim", "select p_partkey as mcc, p_brand as mcc_category from part")
 register("mcc_lookup", q(["tx_l", "mcc_dim"], "select t.cl_id, t.tx_id, t.mcc, m.mcc_category from tx_l t "
                                               "left join mcc_dim m on t.mcc = m.mcc"))
 register("mcc_unmatched", q(["tx_l", "mcc_dim"], "select cl_id, tx_id, mcc from tx_l t where not exists "
@@ -493,7 +502,7 @@ from tx_e t left join cust_lbl l on t.cl_id = l.cl_id where t.category <> 'error
 register("optional_targets", q(["tx_e", "cust_lbl"], """
 select t.cl_id, cast(t.amount as double) amount, coalesce(cast(l.target_flag as double), 0) target_flag,
   coalesce(cast(l.target_sum as double), 0) target_sum
-from tx_e t left join cust_lbl l on t.cl_id = l.cl_id where t.category <> 'error'"""))
+from tx_e t left join cust_lbl l on t.cl_id = l.cl_id"""))
 register("sink_predictions_roundtrip", q(["cust_lbl"], "select cl_id as \"_ID_\", round(ln(cast(target_sum as double) "
                                                       "+ 1), 6) as \"_VAL_\" from cust_lbl"))
 register("input_counts", q(["tx_e", "cust_lbl"], """
@@ -513,9 +522,9 @@ select cl_id, round((s - mn) / nullif(mx - mn, 0), 6) score_scaled from
  (select cl_id, cast(target_sum as double) s, min(cast(target_sum as double)) over () mn,
    max(cast(target_sum as double)) over () mx from cust_lbl)"""))
 register("hash_split", q(["tx_e"], """
-select cl_id, cast(((cl_id % 2147483647) * 1103515245 + 12345 + 42) % 2147483648 % 10 as int) fold,
-  case when ((cl_id % 2147483647) * 1103515245 + 12345 + 42) % 2147483648 % 10 < 8 then 1 else 0 end is_train
-from (select distinct cl_id from tx_e)"""))
+select cl_id, cast(h % 10 as int) fold, case when h % 10 < 8 then 1 else 0 end is_train
+from (select cl_id, cast('0x' || substr(md5(cast(cl_id as varchar) || ':42'), 1, 8) as bigint) h
+      from (select distinct cl_id from tx_e))"""))
 register("string_index", q(["tx_e"], """
 select t.cl_id, t.tx_id, cast(d.i as int) category_index from tx_e t join
  (select category, row_number() over (order by n desc, category) - 1 i from

@@ -145,9 +145,10 @@ def test_category_pivot_fill_rules(spark):
     assert out[2]["trx_categoryb_amount_count"] == 2
 
 
-def test_fixture_config_bad_mcc_rule():
-    cfg = events_fixture()
-    assert all(m % 7 == 0 for m in cfg.bad_mcc) and 9996 in cfg.bad_mcc
+def test_fixture_config_bad_mcc_rule(spark):
+    codes = spark.range(0, 30000, 1).where(events_fixture().bad_mcc(F.col("id")))
+    assert codes.where("id % 7 <> 0").count() == 0 and codes.where("id in (9996, 29995)").count() == 2
+
 
 
 def test_fx_after_last_rate_day(spark):
@@ -176,3 +177,90 @@ def test_order_key_sorts_like_time_then_id(spark):
     by_key = [r.rid for r in df.orderBy(order_key("ts", "id"), "rid").collect()]
     by_pair = [r.rid for r in df.orderBy("ts", "id", "rid").collect()]
     assert by_key == by_pair
+
+
+ROWS = "cl_id long, tx_id long, ts timestamp_ntz, amount double"
+
+
+def test_day_diff_of_repeated_rows_equals_lag(spark):
+    """Rows alike in time and id: one of them carries the difference, as lag gives it."""
+    t = [ts("2024-01-01 10:00:00"), ts("2024-01-04 09:00:00")]
+    df = spark.createDataFrame([(1, 1, t[0], 1.0), (1, 2, t[1], 2.0), (1, 2, t[1], 2.0), (1, 2, t[1], 2.0), (2, 5, t[1], 1.0)], ROWS)
+    w = Window.partitionBy("cl_id").orderBy("day_number", "ts", "tx_id")
+    plain = tenure_fields(df).withColumn("d", F.coalesce(F.col("day_number") - F.lag("day_number").over(w), F.lit(0)))
+    want = sorted((r.cl_id, r.tx_id, r.d) for r in plain.collect())
+    for got in (with_day_diff(tenure_fields(df)), tenure_fields(df, day_diff="day_diff")):
+        assert sorted((r.cl_id, r.tx_id, r.day_diff) for r in got.collect()) == want
+
+
+def test_rows_without_a_time_stay(spark):
+    df = spark.createDataFrame([(1, 1, ts("2024-01-01 10:00:00"), 1.0), (1, 2, None, 2.0), (1, 3, ts("2024-01-05 10:00:00"), 3.0),
+                                (2, 4, None, 4.0), (None, 5, None, 5.0)], ROWS)
+    out = {r.tx_id: r for r in tenure_fields(df, day_diff="day_diff").collect()}
+    assert sorted(out) == [1, 2, 3, 4, 5]
+    assert out[3].day_number == 4 and out[3].day_diff == 4 and out[2].day_number is None and out[2].day_diff == 0
+    last = {r.tx_id: r.last_action for r in R.with_last_action(df, (7,)).collect()}
+    want = df.withColumn("m", F.max("ts").over(Window.partitionBy("cl_id"))).collect()
+    assert last == {r.tx_id: r.m for r in want}
+    assert with_day_diff(tenure_fields(df)).count() == 5
+
+
+def test_a_repeated_rate_day_keeps_one_row_per_transaction(spark):
+    tx = spark.createDataFrame([(1, 1, ts("2024-01-11 10:00:00"), 840, 2.0)], "cl_id long, tx_id long, ts timestamp_ntz, currency int, amount double")
+    d = 19733
+    rates = spark.createDataFrame([(840, d - 1, 3.0), (840, d - 1, 4.0)], "code int, day int, rate double")
+    for f in (convert_with_tolerance, convert_unbounded):
+        assert [r.amount_rub for r in f(tx, rates).collect()] == [8.0]
+    lines = rates.withColumn("_line", -F.col("rate"))
+    assert convert_unbounded(tx, lines).first().amount_rub == 6.0      # the later line, not the higher rate
+
+
+def test_many_currency_codes(spark):
+    d = 19733
+    rates = spark.range(3000).select(F.col("id").cast("int").alias("code"), F.lit(d).alias("day"), (F.col("id") + 1.0).alias("rate"))
+    tx = spark.createDataFrame([(1, 1, ts("2024-01-11 10:00:00"), 840, 2.0)], "cl_id long, tx_id long, ts timestamp_ntz, currency int, amount double")
+    assert convert_unbounded(tx, rates).first().amount_rub == 2.0 * 841
+
+
+def test_dictionaries_of_any_size(spark):
+    from cardlens.operators.dictionary import code_table, with_category_code
+    df = spark.range(25000).select((F.col("id") % 10).alias("cl_id"), F.format_string("c%06d", "id").alias("category"),
+                                   F.lit(2.0).alias("amount"))
+    out = with_category_code(df, "category", "code")
+    assert out.where(F.col("code") != F.substring("category", 2, 6).cast("int")).count() == 0
+    shares = P.shares_long(df, "category")
+    assert shares.count() == 25000 and shares.where("share <> 0.0004").count() == 0
+    freq = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "v string")
+    assert {r.value: r.code for r in code_table(freq, "v", by_frequency=True).collect()} == {"c": 0, "a": 1, "b": 2}
+    assert code_table(freq.limit(0), "v").count() == 0
+
+
+def test_folds_depend_on_the_seed(spark):
+    keys = spark.range(400).withColumnRenamed("id", "cl_id")
+    folds = [tuple(r.fold for r in M.hash_folds(keys, "cl_id", 4, seed).orderBy("cl_id").collect()) for seed in range(3)]
+    together = [{(a, b) for a in range(60) for b in range(a) if f[a] == f[b]} for f in folds]
+    assert together[0] != together[1] != together[2] != together[0]
+    assert all(60 < f.count(k) < 140 for f in folds for k in range(4))
+
+
+def test_scratch_folder_is_an_error_off_local_masters():
+    import pytest
+
+    from cardlens import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+    assert session.is_local_master("local[8]") and not session.is_local_master("local-cluster[3,2,1024]")
