@@ -9,6 +9,7 @@ pieces are encoded but not kept.  Files are read once per Python worker.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -70,6 +71,11 @@ def word_ids(path: str, end_id: int) -> WordIds:
 #: fixed value: the pattern that cuts a text before byte-level merges
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: fixed values: ranges in which the pattern's classes here and in the tokenizer's library agree for
+#: every character (they know different Unicode versions); a text with any other one is left to the library
+SAFE = [(0x0, 0x557), (0x58D, 0x88E), (0x890, 0xC5B), (0xCDD, 0x208E), (0x20A0, 0xA7CD), (0xAB6E, 0xD7FF), (0xE000, 0x107BA), (0x1E700, 0x2B739)]
+UNSAFE = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SAFE).replace("\x00", "\\x00") + "]")
+
 
 def whole_tokens(path: str) -> set[str]:
     """Vocabulary strings proven to be one token when they stand alone as a pre-token:
@@ -104,12 +110,14 @@ class ByteCounts:
         tokenizer = _unsplit(path)
         self.specials = [a.content for a in load(path).get_added_tokens_decoder().values()]
         self.kept = _Kept(lambda s: len(tokenizer.encode(s, add_special_tokens=False).ids))
-        self.whole = whole
+        self.count_all = lambda s: len(load(path).encode(s, add_special_tokens=False).ids)
         self.kept.update(dict.fromkeys(whole, 1))
 
     def __call__(self, text: str | None) -> int:
         if not text:
             return 0
+        if not text.isascii() and UNSAFE.search(text):
+            return self.count_all(text)
         n, parts = 0, [text]
         for s in self.specials:     # a special string inside a text is one token, as is the library's default
             if s in text:
