@@ -20,10 +20,14 @@ from .common import documents, fresh, in_tasks
 
 FEATURES_LOG2 = 18
 PREFIX_BYTES = (4, 5)            # beginnings of words, for inflected forms
-MAX_TRAINING_ROWS = 16_000       # labelled documents the model is fitted on, taken in hash order
+MAX_TRAINING_ROWS = 12_000       # labelled documents the model is fitted on, taken in hash order
 MAX_TRAINING_BYTES = 20_000      # longer labelled texts are not fitted on (all texts are scored whole)
 MIN_DOCUMENTS = 5                # a feature of fewer training documents has no weight
-STEPS = 120
+STEPS = 200
+RATE = 0.1
+SPARSITY = 2.0                   # L1 penalty: a weight must pay for the pull of this many documents,
+SPARSITY_SHARE = 0.005           # or of this share of the positive ones, if fewer
+PRUNE_FROM, PRUNE_EVERY = 40, 20  # steps at which features with weight 0 leave
 
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?\n"]] = True
@@ -69,7 +73,8 @@ def _softplus(x):
 
 
 def fit_noisy_or(labels: np.ndarray, features: list[np.ndarray], sentences: list[np.ndarray]) -> np.ndarray:
-    """Weights (the last is the intercept) by full-batch Adam on the document likelihood."""
+    """Weights (the last is the intercept) by full-batch Adam on the document likelihood, with an
+    L1 penalty, so that only features that tell many documents apart keep a weight."""
     size = 1 << FEATURES_LOG2
     weights = np.zeros(size + 1)
     weights[-1] = -30.0
@@ -90,18 +95,24 @@ def fit_noisy_or(labels: np.ndarray, features: list[np.ndarray], sentences: list
     w, b = np.zeros(len(used)), -6.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     positive = labels[doc] > 0
+    penalty = min(SPARSITY, SPARSITY_SHARE * (labels > 0).sum()) / len(labels)
     for step in range(1, STEPS + 1):
         s = np.bincount(row, w[at], total) + b
         a = np.bincount(doc, _softplus(s), len(labels))          # -log of the chance that no sentence offends
         pull = np.exp(-a) / np.maximum(-np.expm1(-a), 1e-9)
         g = np.where(positive, -pull[doc], 1.0) / (1 + np.exp(-s)) / len(labels)
-        gw = np.bincount(at, g[row], len(used)) + 2e-6 * w
-        gb = g.sum()
+        gw, gb = np.bincount(at, g[row], len(used)), g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        rate = 0.15 / (1 - 0.9 ** step)
-        w -= rate * m / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
-        b -= rate * mb / (np.sqrt(vb / (1 - 0.99 ** step)) + 1e-7)
+        scale = RATE / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
+        w = w - scale * m / (1 - 0.9 ** step)
+        w = np.sign(w) * np.maximum(np.abs(w) - scale * penalty, 0)
+        b -= RATE * mb / (1 - 0.9 ** step) / (np.sqrt(vb / (1 - 0.99 ** step)) + 1e-7)
+        if step >= PRUNE_FROM and step % PRUNE_EVERY == 0:
+            alive = w != 0
+            here = alive[at]
+            at, row = (np.cumsum(alive) - 1)[at[here]], row[here]
+            used, w, m, v = used[alive], w[alive], m[alive], v[alive]
     weights[used], weights[-1] = w, b
     return weights
 
