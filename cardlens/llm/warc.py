@@ -117,25 +117,24 @@ class _Range:
     def member(self, at: int) -> tuple[bytes, int] | None:
         """(content, place after it) of the gzip member at ``at``, or None when there is no
         member that starts with a WARC header.  A record that breaks off raises."""
-        d, out, place, known = zlib.decompressobj(31), bytearray(), at, False
+        while len(self.data) - at < 256 and self.more():
+            pass
+        try:    # the first bytes alone, so that damage further on cannot hide a record
+            if zlib.decompressobj(31).decompress(bytes(self.data[at:at + 4096]), 5) != b"WARC/":
+                return None
+        except zlib.error:
+            return None
+        d, out, place = zlib.decompressobj(31), bytearray(), at
         try:
             while not d.eof:
                 if place >= len(self.data) and not self.more():
-                    if known:
-                        raise EOFError(f"record at {self.start + at} is cut off")
-                    return None
+                    raise EOFError(f"record at {self.start + at} is cut off")
                 piece = bytes(self.data[place:place + 65536])
                 out += d.decompress(piece)
                 place += len(piece)
-                if not known and len(out) >= 5:
-                    if out[:5] != b"WARC/":
-                        return None
-                    known = True
         except zlib.error as e:
-            if known:
-                raise OSError(f"record at {self.start + at} is damaged: {e}") from e
-            return None
-        return (bytes(out), place - len(d.unused_data)) if known else None
+            raise OSError(f"record at {self.start + at} is damaged: {e}") from e
+        return bytes(out), place - len(d.unused_data)
 
     def records(self):
         at = 0
