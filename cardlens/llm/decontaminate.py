@@ -103,9 +103,12 @@ def _regions(filter_, shorts):
 def overlap(text: np.ndarray, item: np.ndarray, shift: int, at: int, length: int) -> tuple[int, int, int]:
     """(first, last + 1, equal words) in item places of the best overlap around the seed at
     ``at``, where item place i lies over text place i + shift: grown both ways while equal
-    words (+1) outweigh different ones (-2), given up once 6 below the best."""
+    words (+1) outweigh different ones (-2), given up once 6 below the best.  If the two
+    sequences are similar enough over their whole common range, that is the overlap."""
     lo, hi = max(0, -shift), min(len(item), len(text) - shift)
     same = item[lo:hi] == text[lo + shift:hi + shift]
+    if len(same) and same.sum() >= SIMILARITY * len(same):
+        return lo, hi, int(same.sum())
     gain = np.where(same, 1, -2)
     left, right = at - lo, min(at + length, hi) - lo
 
