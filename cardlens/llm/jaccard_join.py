@@ -5,15 +5,17 @@ a shingle repeats (the rarer, the earlier; from a fixed-size sketch that one pas
 over all documents fills), then the shingle's hash.
 
 * Candidates: two sets of Jaccard similarity ``t`` share one of the first
-  ``n - ceil(t n) + 1`` shingles of that order, so only those are shuffled.
+  ``n - ceil(t n) + 1`` shingles of that order, so only those are shuffled.  How many
+  of them a pair shares bounds its overlap from above; pairs below the bound go.
 * Overlaps: the order is cut into ``FRAGMENTS`` pieces.  Each candidate pair meets
   once per fragment, the partial overlaps are counted there, and one sum per pair
   gives the exact overlap.
 * No group of similar texts is expanded to all its pairs.  Equal sets are one class.
-  A first round links each class with the longest class of its posting list
-  ("star"); classes it already connects need no more links among them.  A second
-  round tests every remaining candidate pair between different components, so no
-  link between components is lost.
+  The first round compares each class with a few leaders of its posting lists; classes
+  it connects need no more links among them.  The second round tests every remaining
+  candidate pair between different components, so no link between components is lost.
+  Knowing both sizes, it needs only the first ``n - overlap + 1`` shingles of either set
+  (``overlap``: the least that links the sizes), which leaves out the frequent ones.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkernel as K
-from .common import bit_table, documents, in_tasks, write_table
+from .common import bit_table, documents, fresh, in_tasks, write_table
 from .components import components
 
 THRESHOLD = 80          # percent
@@ -34,6 +37,8 @@ SHINGLE = 5             # words
 FRAGMENTS = 4
 SKETCH_LOG2 = 20        # cells of the repeat sketch: 2**20 bytes, whatever the input
 FLUSH = 2_000_000       # shingles that a task counts at a time
+HASH_LEADERS = 6        # of the first round
+BAND = 0.1              # size bands of the second round: factors of exp(BAND)
 CANDIDATE_BITS = 25     # 4 MB bitmap of classes that have candidates
 
 _RECORD = "kind tinyint, doc_id long, n long, set_id long"
@@ -84,7 +89,7 @@ def _ordered(s: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _prefixes(shingle: int, threshold: int, classes):
-    """(token, set_id, n) of each class's prefix in the global order."""
+    """(token, set_id, n, pos) of each class's prefix in the global order."""
     def run(batches):
         seen = set()
         for _, sets in _sets(batches, shingle):
@@ -107,45 +112,36 @@ def _prefixes(shingle: int, threshold: int, classes):
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(marks, np.int64), counts)),
-                     pa.array(np.repeat(np.array(sizes, np.int64), counts))], ["token", "set_id", "n"])
+                     pa.array(np.repeat(np.array(sizes, np.int64), counts)),
+                     pa.array(np.concatenate([np.arange(c) for c in counts]), pa.int64())], ["token", "set_id", "n", "pos"])
     return run
 
 
-def _runs(threshold: int):
-    """Sorted postings (token, n descending, set_id) in; postings of tokens that more
-    than one class has out, each with its leader: the longest class that can still be similar."""
-    def run(batches):
-        token = lead = None         # of the row before
-        lead_n, pending = 0, None   # pending: first row of a token, not sent until a second class comes
-        for batch in batches:
-            t, s, n = (batch.column(i).to_numpy() for i in range(3))
-            out = [[], [], [], []]
-            same_next = np.zeros(len(t), bool)
-            same_next[:-1] = t[1:] == t[:-1]
-            # rows alone in their token within the batch (not its first or last) cannot match: skipped at once
-            lone = np.zeros(len(t), bool)
-            if len(t) > 2:
-                lone[1:-1] = ~same_next[1:-1] & ~same_next[:-2]
-            for i in np.flatnonzero(~lone):
-                ti, si, ni = int(t[i]), int(s[i]), int(n[i])
-                if ti != token:
-                    token, lead, lead_n, pending = ti, si, ni, (ti, si, ni, si)
-                    last = si
-                    continue
-                if si == last:
-                    continue        # the same class from another task
-                last = si
-                if pending:
-                    for c, v in zip(out, pending):
-                        c.append(v)
-                    pending = None
-                if 100 * ni < threshold * lead_n:
-                    lead, lead_n = si, ni
-                for c, v in zip(out, (ti, si, ni, lead)):
-                    c.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["token", "set_id", "n", "leader"])
-    return run
+def _runs(batches):
+    """Postings sorted by (token, set_id) in; those of tokens that more than one class has out."""
+    names = ["token", "set_id", "n", "pos"]
+    held = None                 # first row of a token, not sent until a second class comes
+    last = (None, None)         # token and class of the row before
+    for batch in batches:
+        columns = [batch.column(i).to_numpy() for i in range(4)]
+        t = columns[0]
+        # rows alone in their token within the batch (not its first or last) cannot match: skipped at once
+        same = t[1:] == t[:-1]
+        lone = np.zeros(len(t), bool)
+        if len(t) > 2:
+            lone[1:-1] = ~same[1:] & ~same[:-1]
+        out = []
+        for row in zip(*(c[~lone].tolist() for c in columns)):
+            if row[0] != last[0]:
+                held = row
+            elif row[1] != last[1]:     # equal: the same class from another task
+                if held:
+                    out.append(held)
+                    held = None
+                out.append(row)
+            last = row[:2]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
 
 def _segments(shingle: int, classes, wanted):
@@ -176,21 +172,108 @@ def _segments(shingle: int, classes, wanted):
     return run
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, threshold: int) -> DataFrame:
+def _may_link(pairs: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b, na, nb), one row per shared prefix shingle in; once each out, without
+    those whose overlap cannot reach the threshold.  Beyond the prefix that ends first,
+    a set of size n has ``ceil(t n) - 1`` shingles left, so the overlap is at most
+    the number of shared prefix shingles plus the larger of the two rests."""
+    need = _least_overlap(F.col("na"), F.col("nb"), threshold)
+    rest = F.ceil(threshold * F.greatest("na", "nb") / 100) - 1
+    return (pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
+            .where(F.col("met") + rest >= need).drop("met"))
+
+
+def _linked(base: DataFrame, pairs: DataFrame, shingle: int, threshold: int, order) -> DataFrame:
     """Of the candidate pairs (a, b, na, nb) those that reach the threshold: partial
     overlaps per fragment, summed per pair."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    wanted = base.sparkSession.sparkContext.broadcast(bit_table(ends, "set_id", CANDIDATE_BITS))
+    segments = write_table(in_tasks(base, _segments(shingle, order, wanted), "set_id long, fragment int, part array<long>")
+                           .join(ends, "set_id", "left_semi")
+                           .groupBy("set_id", "fragment").agg(F.any_value("part").alias("part")), "segments")
     a = segments.select(F.col("set_id").alias("a"), "fragment", F.col("part").alias("part_a"))
     b = segments.select(F.col("set_id").alias("b"), "fragment", F.col("part").alias("part_b"))
-    partial = (pairs.join(a, "a").join(b, ["b", "fragment"])
+    each = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)])))
+    partial = (each.join(a, ["a", "fragment"]).join(b, ["b", "fragment"])
                .select("a", "b", "na", "nb", F.size(F.array_intersect("part_a", "part_b")).cast("long").alias("shared")))
-    return (partial.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
-            .where(100 * F.col("shared") >= threshold * (F.col("na") + F.col("nb") - F.col("shared")))
-            .select("a", "b"))
+    return write_table(partial.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared"))
+                       .where(100 * F.col("shared") >= threshold * (F.col("na") + F.col("nb") - F.col("shared")))
+                       .select("a", "b"), "linked")
+
+
+def _stars(shared: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of each class with its token's leaders.  One row per token and pair.
+
+    Leaders are the class that has the token earliest (the fewest shingles of its own
+    before it, so the likeliest origin of the others), the longest class, and the smallest by
+    some hashes, which are the same classes over many tokens."""
+    tie = F.xxhash64("set_id").bitwiseAND(F.lit((1 << 20) - 1))
+    rank = [F.col("pos") * (1 << 20) + tie, F.col("n") * -(1 << 20) + tie, *[F.xxhash64("set_id", F.lit(r)) for r in range(HASH_LEADERS)]]
+    lead = shared.groupBy("token").agg(*[x for i, r in enumerate(rank) for x in (
+        F.min_by("set_id", r).alias(f"s{i}"), F.min_by("n", r).alias(f"n{i}"))])
+    leaders = F.array_distinct(F.array(*[F.struct(F.col(f"s{i}").alias("s"), F.col(f"n{i}").alias("n")) for i in range(len(rank))]))
+    near = F.filter(leaders, lambda x: (x["s"] != F.col("set_id")) & (100 * x["n"] >= threshold * F.col("n"))
+                    & (100 * F.col("n") >= threshold * x["n"]))
+    met = shared.join(lead, "token").select("set_id", "n", F.explode(near).alias("x"))
+    a_first = F.col("set_id") < F.col("x.s")
+    return met.select(F.least("set_id", "x.s").alias("a"), F.greatest("set_id", "x.s").alias("b"),
+                      F.when(a_first, F.col("n")).otherwise(F.col("x.n")).alias("na"),
+                      F.when(a_first, F.col("x.n")).otherwise(F.col("n")).alias("nb"))
+
+
+def _least_overlap(na, nb, threshold: int):
+    return F.ceil(threshold * (na + nb) / (100 + threshold))
+
+
+def _crossing(shared: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
+    """All pairs (a, b, na, nb) of classes of different components that may link, once each.
+
+    A posting goes to one key per size band of a possible partner, while its place is within
+    the prefix that such a partner asks for.  Keys of a single component go; the others
+    meet by component first, so members of one component are never compared.
+    """
+    named = (shared.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
+             .withColumn("part", F.coalesce("component", "set_id")).drop("component"))
+    apart = named.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("token")
+    band = lambda n: F.floor(F.log(n.cast("double")) / BAND).cast("int")
+    n = F.col("n")
+    low, high = F.ceil(threshold * n / 100), F.floor(100 * n / threshold)
+    smallest = F.greatest(low, F.floor(F.exp(F.col("other") * BAND)) - 1)    # partner in that band, at least
+    keyed = (named.join(apart, "token").withColumn("own", band(n))
+             .withColumn("other", F.explode(F.sequence(band(low), band(high))))
+             .where(F.col("pos") < n - _least_overlap(n, smallest, threshold) + 1)
+             .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
+    key = ["token", "lo", "hi"]
+    several = (keyed.groupBy(*key).agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min("own").alias("s"), F.max("own").alias("t"))
+               .where("x <> y and s = lo and t = hi").select(*key))
+    keyed = write_table(keyed.join(several, key), "crossing")
+    groups = keyed.groupBy(*key, "part", "own").agg(F.count(F.lit(1)).alias("m"))
+    side = lambda t, x, *more: t.select(*key, F.col("part").alias(f"p{x}"), F.col("own").alias(f"own_{x}"), *more)
+    # the smaller component of the key is a, so that the first join stays small
+    meets = side(groups, "a", F.col("m").alias("ma")).join(side(groups, "b", F.col("m").alias("mb")), key).where(
+        (F.struct("ma", "pa") < F.struct("mb", "pb")) & (F.col("pa") != F.col("pb"))
+        & ((F.col("own_a") != F.col("own_b")) | (F.col("lo") == F.col("hi")))).drop("ma", "mb")
+    members = lambda x: side(keyed, x, F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"at_{x}"))
+    na, nb = F.col("na"), F.col("nb")
+    need = _least_overlap(na, nb, threshold)
+    met = (meets.join(members("a"), [*key, "pa", "own_a"]).join(members("b"), [*key, "pb", "own_b"])
+           .where((100 * na >= threshold * nb) & (100 * nb >= threshold * na)
+                  & (F.col("at_a") < na - need + 1) & (F.col("at_b") < nb - need + 1)))
+    first = F.col("a") < F.col("b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(first, na).otherwise(nb).alias("na"),
+                      F.when(first, nb).otherwise(na).alias("nb")).distinct()
+
+
+def _shared_tokens(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb), one row per prefix shingle that both have."""
+    have = lambda x: shared.select(F.col("set_id").alias(x), "token")
+    return pairs.join(have("a"), "a").join(have("b"), ["b", "token"]).drop("token")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, set_id.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, set_id, group (a number of the
+    component, null without shingles).
 
     Two rows link when ``100 * |intersection| >= threshold * |union|`` of their
     shingle sets; component_id is the smallest id reachable by links.  Null or
@@ -211,37 +294,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         classes[cells["doc_id"].to_numpy()] = np.log2(cells["n"].to_numpy()).astype(np.uint8)
     order = sc.broadcast(classes)
 
-    postings = in_tasks(base, _prefixes(shingle, threshold, order), "token long, set_id long, n long")
-    in_order = postings.repartition("token").sortWithinPartitions("token", F.desc("n"), "set_id")
-    shared = write_table(in_tasks(in_order, _runs(threshold), "token long, set_id long, n long, leader long"), "postings")
+    columns = "token long, set_id long, n long, pos long"
+    postings = in_tasks(base, _prefixes(shingle, threshold, order), columns)
+    shared = write_table(in_tasks(postings.repartition("token").sortWithinPartitions("token", "set_id"), _runs, columns), "postings")
 
-    wanted = sc.broadcast(bit_table(shared.select("set_id"), "set_id", CANDIDATE_BITS))
-    segments = write_table(in_tasks(base, _segments(shingle, order, wanted), "set_id long, fragment int, part array<long>")
-                           .join(shared.select("set_id").distinct(), "set_id", "left_semi")
-                           .groupBy("set_id", "fragment").agg(F.any_value("part").alias("part")), "segments")
-    sizes = shared.groupBy("set_id").agg(F.any_value("n").alias("n"))
-
-    stars = (shared.where("leader <> set_id").select(F.least("leader", "set_id").alias("a"), F.greatest("leader", "set_id").alias("b"))
-             .distinct())
-    stars = _with_sizes(stars, sizes)
-    first = write_table(_linked(stars, segments, threshold), "links")
+    first = _linked(base, write_table(_may_link(_stars(shared, threshold), threshold), "pairs"), shingle, threshold, order)
     parts = write_table(components(first), "parts")
-
-    # tokens whose classes lie in different components, one row per (token, component)
-    named = shared.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "token", "set_id", "n", F.coalesce("component", "set_id").alias("part"))
-    apart = named.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
-    named = write_table(named.join(apart, "token"), "apart")
-    groups = named.groupBy("token", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left = groups.select("token", F.col("part").alias("pa"), F.col("least").alias("la"), F.col("most").alias("ma"))
-    right = groups.select("token", F.col("part").alias("pb"), F.col("least").alias("lb"), F.col("most").alias("mb"))
-    meets = left.join(right, "token").where(
-        (F.col("pa") < F.col("pb")) & (100 * F.col("ma") >= threshold * F.col("lb")) & (100 * F.col("mb") >= threshold * F.col("la")))
-    members = lambda x: named.select("token", F.col("part").alias(f"p{x}"), F.col("set_id").alias(x), F.col("n").alias(f"n{x}"))
-    crossing = (meets.select("token", "pa", "pb").join(members("a"), ["token", "pa"]).join(members("b"), ["token", "pb"])
-                .where((100 * F.col("na") >= threshold * F.col("nb")) & (100 * F.col("nb") >= threshold * F.col("na")))
-                .select("a", "b", "na", "nb").distinct())
-    second = write_table(_linked(crossing, segments, threshold), "links")
+    crossing = write_table(_crossing(shared, parts, threshold), "pairs")
+    second = _linked(base, write_table(_may_link(_shared_tokens(crossing, shared), threshold), "pairs"), shingle, threshold, order)
     whole = components(first.union(second))
 
     named_rows = rows.join(whole.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -250,9 +310,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = named_rows.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
     return (named_rows.join(least, "part", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id"))
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id",
+                    F.when(F.col("n") > 0, F.col("part")).alias("group")))
+
 
+def _with_set_id(docs: DataFrame, text_col: str, shingle: int) -> tuple[DataFrame, str]:
+    """``docs`` with the id of each row's shingle set (0 without shingles), and the column's name."""
+    name, where = fresh(docs, "set_id"), docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, ptr in K.blocks(batch.column(where).cast(pa.string())):
+                marks = pa.array([K.set_id(s) for s in K.shingle_sets(data, ptr, shingle)], pa.int64())
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, marks], schema.names)
+    return in_tasks(docs, run, schema), name
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             threshold: int = THRESHOLD) -> DataFrame:
+    """Rows of ``docs``, all columns, with one row of each component of ``jaccard_components``: that of the
+    smallest id (a null id only where there is no other), one of its repeats.  Rows without shingles all stay."""
+    found = jaccard_components(docs, id_col, text_col, shingle, threshold).where("group is not null")
+    chosen = (found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "set_id")).alias("c"))
+              .select(F.col("c.doc_id").alias("chosen_id"), F.col("c.set_id").alias("chosen_set"), F.lit(True).alias("chosen")))
+    rows, mark = _with_set_id(docs, text_col, shingle)
+    number, key = fresh(rows, "row_number"), F.col(f"`{id_col}`").cast("long")
+    # rows without shingles are told apart by a number; of the others one per (set, id) goes on
+    apart = F.when(F.col(mark) == 0, F.monotonically_increasing_id()).otherwise(F.lit(0))
+    one = Window.partitionBy(mark, key, fresh(rows, "apart")).orderBy(F.lit(0))
+    rows = rows.withColumn(fresh(rows, "apart"), apart).withColumn(number, F.row_number().over(one)).where(F.col(number) == 1)
+    sides = rows.join(chosen, (F.col(mark) == chosen["chosen_set"]) & key.eqNullSafe(chosen["chosen_id"]), "left")
+    return sides.where((F.col(mark) == 0) | chosen["chosen"]).select(*[rows[f"`{c}`"] for c in docs.columns])
 
-def _with_sizes(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    return (pairs.join(sizes.select(F.col("set_id").alias("a"), F.col("n").alias("na")), "a")
-            .join(sizes.select(F.col("set_id").alias("b"), F.col("n").alias("nb")), "b"))

@@ -16,6 +16,7 @@ from .common import read
 from .decontaminate import contamination
 from .fingerprints import fingerprints
 from .jaccard_join import jaccard_components
+from .licenses import license_scan
 from .shards import base_tree, shard_rows
 from .token_counts import token_counts
 from .toxicity import held_out, toxicity
@@ -37,7 +38,7 @@ def query(fn):
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of each document: five-word shingles, similarity 0.8."""
-    return jaccard_components(read(spark, sf_dir, "documents")).drop("set_id")
+    return jaccard_components(read(spark, sf_dir, "documents")).drop("set_id", "group")
 
 
 @query
@@ -96,3 +97,9 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, with_payload=False).select(
         warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         warc.page_of("refers_to").alias("refers_to"), "target_uri")
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in each whole text."""
+    return license_scan(read(spark, sf_dir, "documents"))
