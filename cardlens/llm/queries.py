@@ -41,6 +41,21 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents")).drop("set_id", "group")
 
 
+SQL["op8_jaccard_join"] = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) >= 5 then list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
+e as (select doc_id, len(s) as n, unnest(s) as x from s),
+pairs as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as c from e a join e b on a.x = b.x and a.doc_id <> b.doc_id
+  group by all),
+links as (select a, b from pairs where 100 * c >= 80 * (na + nb - c)),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a, min(b) as component_id from reach group by a)
+select s.doc_id, cast(len(s) as bigint) as n_shingles, component_id from s join least on least.a = s.doc_id"""
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed best-fit-decreasing: one row per sequence with its id matrix row."""
@@ -96,7 +111,16 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_warc(read(spark, sf_dir, "pages"), path)
     return warc.read_warc(spark, path, with_payload=False).select(
         warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
-        warc.page_of("refers_to").alias("refers_to"), "target_uri")
+        warc.page_of("refers_to").alias("refers_to"))
+
+
+SQL["op1_warc"] = """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as d from pages),
+ g as (select d, max(page_id) as last from p where n >= 1000 group by d having count(*) > 1)
+select p.page_id, cast(p.n as bigint) as payload_bytes, p.d as payload_digest,
+  case when g.last <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when g.last <> p.page_id then g.last end as refers_to
+from p left join g on p.d = g.d and p.n >= 1000"""
 
 
 @query
