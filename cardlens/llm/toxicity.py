@@ -20,7 +20,7 @@ from .common import documents, fresh, in_tasks
 
 FEATURES_LOG2 = 18
 PREFIX_BYTES = (4, 5)            # beginnings of words, for inflected forms
-MAX_TRAINING_ROWS = 12_000       # labelled documents the model is fitted on, taken in hash order
+MAX_TRAINING_ROWS = 8_000        # labelled documents the model is fitted on, taken in hash order
 MAX_TRAINING_BYTES = 20_000      # longer labelled texts are not fitted on (all texts are scored whole)
 MIN_DOCUMENTS = 5                # a feature of fewer training documents has no weight
 STEPS = 200
@@ -72,26 +72,34 @@ def _softplus(x):
     return np.logaddexp(0, x)
 
 
-def fit_noisy_or(labels: np.ndarray, features: list[np.ndarray], sentences: list[np.ndarray]) -> np.ndarray:
+def fit_noisy_or(labels: np.ndarray, features: np.ndarray, sentences: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Weights (the last is the intercept) by full-batch Adam on the document likelihood, with an
-    L1 penalty, so that only features that tell many documents apart keep a weight."""
+    L1 penalty, so that only features that tell many documents apart keep a weight.
+
+    ``features`` and ``sentences`` (numbers within the document) hold all documents one after
+    another, ``lengths`` entries each.
+    """
     size = 1 << FEATURES_LOG2
     weights = np.zeros(size + 1)
     weights[-1] = -30.0
     if not len(labels) or labels.max() == 0:
         return weights
-    seen = np.zeros(size, np.int64)
-    for f in features:
-        seen[np.unique(f)] += 1
-    count = np.array([s[-1] + 1 if len(s) else 0 for s in sentences])
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    seen = np.zeros(size, np.int32)
+    for a, z in zip(starts, ends):
+        seen[np.unique(features[a:z])] += 1
+    count = np.array([sentences[z - 1] + 1 if z > a else 0 for a, z in zip(starts, ends)])
     first = np.concatenate([[0], np.cumsum(count)])
-    feats = np.concatenate(features)
-    row = np.concatenate([s + first[i] for i, s in enumerate(sentences)]).astype(np.int64)
-    keep = seen[feats] >= MIN_DOCUMENTS
-    feats, row = feats[keep], row[keep]
-    used, at = np.unique(feats, return_inverse=True)
     total = int(first[-1])
     doc = np.repeat(np.arange(len(labels)), count)
+    keep = seen[features] >= MIN_DOCUMENTS
+    row = sentences[keep] + np.repeat(first[:-1].astype(np.int32), lengths)[keep]
+    frequent = np.flatnonzero(seen >= MIN_DOCUMENTS)
+    number = np.zeros(size, np.int32)
+    number[frequent] = np.arange(len(frequent))
+    at, used = number[features[keep]], frequent
+    del keep
     w, b = np.zeros(len(used)), -6.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     positive = labels[doc] > 0
@@ -137,9 +145,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .join(F.broadcast(marks), "doc_id")                # max_rows small rows
               .groupBy("doc_id", "label").agg(F.min("text").alias("text")))   # repeated rows count once
     got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, features binary, sentences binary").toArrow()
-    return fit_noisy_or(got["label"].to_numpy() if got.num_rows else np.zeros(0, int),
-                        [np.frombuffer(x, "<i4") for x in got["features"].to_pylist()],
-                        [np.frombuffer(x, "<i4") for x in got["sentences"].to_pylist()])
+    if not got.num_rows:
+        return fit_noisy_or(np.zeros(0, np.int32), *[np.zeros(0, np.int32)] * 3)
+    (off, features), (_, sentences) = (K.text_column(got[c].cast(pa.large_binary())) for c in ("features", "sentences"))
+    return fit_noisy_or(got["label"].to_numpy(), features[off[0]:off[-1]].view("<i4"), sentences[off[0]:off[-1]].view("<i4"), np.diff(off) // 4)
 
 
 _EXTRA = [("toxic_score", T.DoubleType()), ("n_offending", T.LongType()), ("worst_start", T.LongType()),
