@@ -57,28 +57,6 @@ def q_feature_index(spark, sf):
     return spark.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("idx", "feature"))
 
 
-@query("one_hot")
-def q_one_hot(spark, sf):
-    tx = V.tx_e(spark, sf)
-    model = L.fit_encoder(tx, ["category", "currency"])
-    out = model.transform(tx)
-    return out.select("cl_id", "tx_id", vector_to_array("category_vec").alias("category_vec"),
-                      vector_to_array("currency_vec").alias("currency_vec"))
-
-
-@query("encode_pipeline")
-def q_encode_pipeline(spark, sf):
-    tx, lbl = V.tx_e(spark, sf), V.cust_lbl(spark, sf)
-    train = tx.join(lbl.select("cl_id"), "cl_id", "left_semi")
-    test = tx.join(lbl.select("cl_id"), "cl_id", "left_anti")
-    cols = ["category", "currency", "channel_type"]
-    model = L.fit_encoder(train.unionByName(test), cols)
-    enc = [vector_to_array(f"{c}_vec").alias(f"{c}_vec") for c in cols]
-    a = model.transform(train).select("cl_id", "tx_id", F.lit("train").alias("part"), *enc)
-    b = model.transform(test).select("cl_id", "tx_id", F.lit("test").alias("part"), *enc)
-    return a.unionByName(b)
-
-
 @query("train_classifier")
 def q_train_classifier(spark, sf):
     _, _, data = train_set(spark, sf)

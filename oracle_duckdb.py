@@ -458,6 +458,19 @@ register("onehot_weighted_share", q(["tx_e"], dynamic_pivot(
     + " union all select distinct cl_id, '__total__', 0 from we",
     [f"wd_{i}" for i in range(6)] + [f"cur_{i}" for i in range(4)] + [f"cat_{i}" for i in range(4)]),
     [("we", "select *, coalesce(isodow(ts), 0) iso_weekday from tx_e")]))
+_card_rows = (f"select t.*, m.mcc_category, coalesce(isodow(ts), 0) iso_weekday, coalesce(channel_type, 'none') channel "
+              f"from (select * from ({TENURE.format(src='tx_e')}) where transaction_day <= 93) t left join mcc_dim m on t.mcc = m.mcc")
+register("card_vector", q(["tx_e", "mcc_dim"], "select p.*, c.* exclude (cl_id), o.total_amount from (" + dynamic_pivot(
+    onehot_long("cr", "tw_", "cast(floor(transaction_day / 7) as int)", False).replace(
+        "s.cast(floor(transaction_day / 7) as int)", "cast(floor(s.transaction_day / 7) as int)")
+    + "".join(" union all " + onehot_long("cr", a, b, True) for a, b in (
+        ("wd_", "iso_weekday"), ("cur_", "currency"), ("mc_", "mcc_category"), ("cat_", "category"))),
+    [f"tw_{i}" for i in range(4)] + [f"wd_{i}" for i in range(6)] + [f"cur_{i}" for i in range(4)]
+    + [f"mc_{i}" for i in range(23)] + [f"cat_{i}" for i in range(4)])
+    + ") p join (select cl_id, " + ", ".join(f"case when i = {k} then 1.0 else 0.0 end ch_{k}" for k in range(6))
+    + """ from (select cl_id, arg_min(channel, (ts, tx_id)) ch from cr group by cl_id) f
+  join (select channel, row_number() over (order by count(*) desc, channel) - 1 i from cr group by channel) x on f.ch = x.channel) c on p.cl_id = c.cl_id
+  join (select cl_id, cast(sum(amount) as double) total_amount from cr group by cl_id) o on p.cl_id = o.cl_id""", [("cr", _card_rows)]))
 register("elementwise_vector_sum", """
 select label, list(s order by pos) vec_sum from (
   select label, pos, round(sum(cast(x as double)), 4) s from (

@@ -14,7 +14,7 @@ SQL = E.oracle_sql()
 
 
 SF_FIT = "/root/testdata/sf0.01"
-FITTED = {"onehot_weighted_sum"}
+FITTED = {"onehot_weighted_sum", "card_vector"}
 
 
 @pytest.fixture(scope="module")
