@@ -6,7 +6,8 @@ third of the log would put a third of its distinct values in one buffer.
 Here the statistics are computed from a value histogram instead:
 
 1. ``hist``: rows per ``(key, value)``, a partial aggregate spread over the
-   cluster by the value, so a hot key is split across tasks.
+   cluster by the value, so a hot key is split across tasks.  All statistics
+   of one value (whole history, windows, categories) are counted in it at once.
 2. mode and mode count: partial aggregates over the histogram.
 3. exact median (Spark's ``percentile(v, 0.5)``: the mean of the two middle
    ranks): keys with at most ``small_group`` distinct values are ranked in
@@ -20,7 +21,7 @@ Here the statistics are computed from a value histogram instead:
    histogram to a single task.
 
 Several statistics (different values, filters) share one pass: each row
-emits one ``(statistic id, value)`` entry per statistic it belongs to.
+emits one entry per value, with a mask of the statistics it counts in.
 """
 
 from __future__ import annotations
@@ -49,23 +50,49 @@ class HolisticSpec:
     where: Column | None = None
 
 
-def _entries(df: DataFrame, keys: list[str], specs: list[HolisticSpec]) -> DataFrame:
-    """Long form ``(keys, _m, _v)``: one entry per row and statistic it counts in."""
-    def ok(s: HolisticSpec) -> Column:
-        c = s.value.isNotNull()
-        return c if s.where is None else c & s.where
+_BITS = 60      # statistics of one value that share a bit mask
 
-    if len(specs) == 1:
-        s = specs[0]
-        return df.filter(ok(s)).select(*keys, F.lit(0).alias("_m"), s.value.cast("double").alias("_v"))
-    arr = F.array(*[F.when(ok(s), F.struct(F.lit(i).alias("m"), s.value.cast("double").alias("v")))
-                    for i, s in enumerate(specs)])
-    return (df.select(*keys, F.explode(arr).alias("_e")).filter(F.col("_e").isNotNull())
-            .select(*keys, F.col("_e.m").alias("_m"), F.col("_e.v").alias("_v")))
+
+def _codes(specs: list[HolisticSpec]) -> list[int]:
+    """Code of each statistic: _BITS times its value's number, plus its bit.  Statistics
+    of the same value expression have the same number."""
+    groups: dict[tuple[str, int], int] = {}
+    used: dict[str, int] = {}
+    out = []
+    for s in specs:
+        name = str(s.value)
+        n = used[name] = used.get(name, -1) + 1
+        g = groups.setdefault((name, n // _BITS), len(groups))
+        out.append(g * _BITS + n % _BITS)
+    return out
 
 
-def value_histogram(long: DataFrame, gkeys: list[str]) -> DataFrame:
-    return long.groupBy(*gkeys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+def value_histogram(df: DataFrame, keys: list[str], specs: list[HolisticSpec], codes: list[int]) -> DataFrame:
+    """``(keys, _m, _v, _n)``: rows per statistic code and value.
+
+    A row gives one entry per value expression, not per statistic: the entry's bit mask
+    says which statistics it counts in.  One partial aggregate per (key, value) counts
+    each bit, so however many windows and categories share a value, the shuffle has
+    one row per distinct value; the statistics are told apart after it."""
+    groups: dict[int, list[int]] = {}
+    for i, c in enumerate(codes):
+        groups.setdefault(c // _BITS, []).append(i)
+    entries = []
+    for g, members in groups.items():
+        mask = F.lit(0).cast("long")
+        for i in members:
+            bit = F.lit(1 << (codes[i] % _BITS)).cast("long")
+            mask = mask + (bit if specs[i].where is None else F.when(specs[i].where, bit).otherwise(F.lit(0).cast("long")))
+        entries.append(F.struct(F.lit(g).alias("g"), specs[members[0]].value.cast("double").alias("v"), mask.alias("mask")))
+    width = max(len(m) for m in groups.values())
+    e = F.col("_e")
+    long = (df.select(*keys, F.explode(F.array(*entries)).alias("_e")).where(e["v"].isNotNull() & (e["mask"] != 0))
+            .select(*keys, e["g"].alias("_g"), e["v"].alias("_v"), e["mask"].alias("_mask")))
+    bits = [F.sum(F.shiftright("_mask", b).bitwiseAND(F.lit(1).cast("long"))).alias(f"_b{b}") for b in range(width)]
+    counts = long.groupBy(*keys, "_g", "_v").agg(*bits)
+    each = F.array(*[F.struct((F.col("_g") * _BITS + b).alias("m"), F.col(f"_b{b}").alias("n")) for b in range(width)])
+    return (counts.select(*keys, "_v", F.explode(F.filter(each, lambda x: x["n"] > 0)).alias("_x"))
+            .select(*keys, F.col("_x.m").alias("_m"), "_v", F.col("_x.n").alias("_n")))
 
 
 def key_summary(hist: DataFrame, gkeys: list[str]) -> DataFrame:
@@ -135,12 +162,13 @@ def holistic_stats(df: DataFrame, keys: list[str], specs: list[HolisticSpec], ro
     for a spec gets NULLs."""
     specs = [s for s in specs if set(s.stats) & set(HOLISTIC)]
     gkeys = [*keys, "_m"]
-    hist = value_histogram(_entries(df, keys, specs), gkeys)
+    codes = _codes(specs)
+    hist = value_histogram(df, keys, specs, codes)
     per = key_summary(hist, gkeys)
     long = exact_median(hist, per, gkeys, **median_opts) if any("median" in s.stats for s in specs) else per
     aggs = []
-    for i, s in enumerate(specs):
-        mine = F.col("_m") == i
+    for code, s in zip(codes, specs):
+        mine = F.col("_m") == code
         for st in s.stats:
             if st == "median":
                 c = F.col("_median") if round_to is None else F.round(F.col("_median"), round_to)

@@ -92,9 +92,16 @@ def test_with_previous_equals_plain_lag(spark):
     assert a == b
 
 
-def test_with_previous_hot_buckets_split_by_second(spark):
-    """Force the hot-bucket path (tiny threshold): hours with many rows are
-    split by second, including seconds shared by several rows."""
+def previous_and_last(df, shares):
+    got = with_previous(df, ["cl_id"], "ts", "tx_id", last_out="last", shares=shares)
+    a = {r.tx_id: (r.prev, r.last) for r in got.collect()}
+    w = Window.partitionBy("cl_id").orderBy("ts", "tx_id")
+    want = df.withColumn("prev", F.lag("ts").over(w)).withColumn("last", F.max("ts").over(Window.partitionBy("cl_id")))
+    return a, {r.tx_id: (r.prev, r.last) for r in want.collect()}
+
+
+def test_with_previous_cuts_hot_clients(spark):
+    """Clients with many shares of the rows are cut by (time, id), also inside a second."""
     rnd = random.Random(11)
     rows = []
     for i in range(600):
@@ -102,12 +109,20 @@ def test_with_previous_hot_buckets_split_by_second(spark):
         sec = rnd.randrange(0, 3 * 3600) if c == 1 else rnd.randrange(0, 86400 * 5)
         rows.append((c, i, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=sec // 7 * 7)))
     df = spark.createDataFrame(rows, "cl_id long, tx_id long, ts timestamp_ntz")
-    got = with_previous(df, ["cl_id"], "ts", "tx_id", hot_rows=20, last_out="last")
-    a = {r.tx_id: (r.prev, r.last) for r in got.collect()}
-    w = Window.partitionBy("cl_id").orderBy("ts", "tx_id")
-    want = df.withColumn("prev", F.lag("ts").over(w)).withColumn("last", F.max("ts").over(Window.partitionBy("cl_id")))
-    b = {r.tx_id: (r.prev, r.last) for r in want.collect()}
+    for shares in (1, 3, 40):
+        a, b = previous_and_last(df, shares)
+        assert a == b
+
+
+def test_with_previous_all_rows_of_a_client_in_one_second(spark):
+    rows = [(1, i, dt.datetime(2024, 1, 1)) for i in range(500)] + [(2, 1000 + i, dt.datetime(2024, 1, 1 + i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "cl_id long, tx_id long, ts timestamp_ntz")
+    a, b = previous_and_last(df, 10)
     assert a == b
+    from cardlens.operators import sequence as S
+    keyed = df.withColumn("_h", F.hash("cl_id"))
+    cut = keyed.withColumn("r", S._ranges(keyed, "ts", "tx_id", 10)).where("cl_id = 1").groupBy("r").count().collect()
+    assert len(cut) >= 8 and max(r["count"] for r in cut) < 100       # the second itself is cut
 
 
 def test_roc_auc_matches_brute_force(spark):

@@ -32,7 +32,8 @@ def test_filter_and_columns_pushed_to_scan(spark):
 
 
 def test_previous_row_not_partitioned_by_client_only(spark):
-    df = with_previous(V.tx_e(spark, SF_SMALL).select("cl_id", "ts", "tx_id"), ["cl_id"], "ts", "tx_id")
+    # more shares than clients: every client is cut
+    df = with_previous(V.tx_e(spark, SF_SMALL).select("cl_id", "ts", "tx_id"), ["cl_id"], "ts", "tx_id", shares=200)
     p = df._jdf.queryExecution().optimizedPlan().toString()
     # the row-level window is keyed by (client, bucket), never by the client alone
     rows_window = [line for line in p.splitlines() if "Window [lag(ts" in line]
