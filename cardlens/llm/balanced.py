@@ -129,4 +129,4 @@ def pieces(sequences: DataFrame, id_bytes: int = 2) -> DataFrame:
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
     return in_tasks(sequences.select("sequence_id", "doc_ids", "doc_tokens", "starts", "cu_seqlens", "input_ids"), run,
-                    ", ".join(f"{n} long" for n in names))
+                    ", ".join(f"{n} long" for n in names), tokenizer=True)

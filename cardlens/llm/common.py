@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import zipfile
 
@@ -15,9 +16,24 @@ from cardlens.session import write_table
 __all__ = ["write_table", "documents", "fresh", "bit_table", "read", "in_tasks"]
 
 
-def in_tasks(df: DataFrame, function, schema) -> DataFrame:
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_tasks(df: DataFrame, function, schema, tokenizer: bool = False) -> DataFrame:
     """``mapInArrow`` after the package's own source went to the executors, which
-    need not have it installed."""
+    need not have it installed.
+
+    Python workers are used again by later tasks.  Those that need no ``tokenizer``
+    first give back what tokenizing tasks have kept in their worker."""
+    def task(batches):
+        tokens = sys.modules.get("cardlens.llm.tokens")
+        if tokens and not tokenizer:
+            tokens.forget()
+        return function(batches)
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH, "67108864").rstrip("b")) > BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))      # for the session: a task holds a few batches of long texts at once
     sc = df.sparkSession.sparkContext
     if not getattr(sc, "_cardlens_sent", False):
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -29,7 +45,7 @@ def in_tasks(df: DataFrame, function, schema) -> DataFrame:
                     z.write(path, os.path.relpath(path, os.path.dirname(top)))
         sc.addPyFile(archive)
         sc._cardlens_sent = True
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(task, schema)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

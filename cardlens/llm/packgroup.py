@@ -19,7 +19,8 @@ from . import textkernel as K
 from .common import documents, in_tasks
 from .tokens import word_ids
 
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS = 2_000_000
+TEXT_BYTES = 3 << 20      # of text that is tokenized at a time
 
 SCHEMA = ("sequence_id long, n_tokens int, capacity int, doc_ids array<long>, doc_tokens array<long>, starts array<long>, "
           "cu_seqlens array<int>, position_resets array<int>, cost double, input_ids binary")
@@ -39,8 +40,8 @@ def _groups(batches, path: str, end_id: int, capacity: int, group_tokens: int) -
     doc_ids, ids, total = [], [], 0
     for batch in batches:
         keys, text = batch.column(0), batch.column(1)
-        for lo, hi, _, _ in K.blocks(text):
-            for key, x in zip(keys.slice(lo, hi - lo).to_pylist(), encode(text.slice(lo, hi - lo).to_pylist())):
+        for lo, hi, _, _ in K.blocks(text, TEXT_BYTES):
+            for key, x in zip(keys.slice(lo, hi - lo).to_pylist(), encode(text.slice(lo, hi - lo))):
                 if ids and total + len(x) > group_tokens:
                     yield Group(doc_ids, ids, capacity)
                     doc_ids, ids, total = [], [], 0
@@ -77,7 +78,7 @@ def pack(docs: DataFrame, assign: Callable[[Group], list[tuple[int, float, list[
                     rows, waiting = [], 0
             if rows:
                 yield _batch(rows)
-    return in_tasks(documents(docs, id_col, text_col), run, SCHEMA)
+    return in_tasks(documents(docs, id_col, text_col), run, SCHEMA, tokenizer=True)
 
 
 _TYPES = [("sequence_id", pa.int64()), ("n_tokens", pa.int32()), ("capacity", pa.int32()), ("doc_ids", pa.list_(pa.int64())),

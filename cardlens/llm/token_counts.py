@@ -7,9 +7,7 @@ from pyspark.sql import DataFrame
 
 from . import textkernel as K
 from .common import documents, in_tasks
-from .tokens import ByteCounts, whole_tokens
-
-_COUNTERS: dict = {}
+from .tokens import byte_counts, whole_tokens
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str = "doc_id",
@@ -25,13 +23,11 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
     whole = docs.sparkSession.sparkContext.broadcast(frozenset(whole_tokens(tokenizer_path)))
 
     def run(batches):
-        count = _COUNTERS.get(tokenizer_path)
-        if count is None:
-            count = _COUNTERS[tokenizer_path] = ByteCounts(tokenizer_path, whole.value)
+        count = byte_counts(tokenizer_path, lambda: whole.value)
         for batch in batches:
             off, _ = K.text_column(batch.column(1))
             n = [count(x.as_py()) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(off[1:] - off[:-1], pa.int64()), pa.array(n, pa.int64()),
                  pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
-    return in_tasks(documents(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return in_tasks(documents(docs, id_col, text_col), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", tokenizer=True)

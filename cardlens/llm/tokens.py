@@ -13,8 +13,10 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MAX_KEPT = 500_000
+MAX_KEPT = 600_000
 
 
 @lru_cache(maxsize=4)
@@ -42,25 +44,74 @@ class _Kept(dict):
 class WordIds:
     """Ids of a tokenizer whose pre-tokenizer drops white space.  A text is cut at
     ASCII blanks and line breaks only; the library does all the rest of each piece
-    (normalizing, special strings, merges), so ids equal those of the whole text."""
+    (normalizing, special strings, merges), so ids equal those of the whole text.
+
+    Each distinct piece of a call is looked up once; new pieces go to the library
+    many at a time, parted by a character that is one token of its own.
+    """
+
+    MARK = "\x01"
+    AT_ONCE = 4000
 
     def __init__(self, path: str, end_id: int):
         self.tokenizer = load(path)
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.end_id = end_id
         self.kept: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text with the end id, as unsigned 32-bit integers; null is the empty text."""
-        cut = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = list(set().union(*cut) - self.kept.keys())
-        for piece, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.kept[piece] = np.array(e.ids, "<u4").tobytes()
-        one = self.kept.__getitem__
-        ids = [np.frombuffer(b"".join(map(one, pieces)) + self.end, "<u4") for pieces in cut]
+        mark = self._ids([self.MARK])[0]
+        self.mark = int(mark[0]) if len(mark) == 1 else None
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, new: list[str]) -> None:
+        alone = new if self.mark is None else [p for p in new if self.MARK in p]
+        for piece, ids in zip(alone, self._ids(alone)):
+            self.kept[piece] = ids.tobytes()
+        together = [] if self.mark is None else [p for p in new if self.MARK not in p]
+        for i in range(0, len(together), self.AT_ONCE):
+            part = together[i:i + self.AT_ONCE]
+            (ids,) = self._ids([f" {self.MARK} ".join([*part, ""])])
+            cut = np.flatnonzero(ids == self.mark).tolist()
+            body, at = ids.tobytes(), 0
+            for piece, c in zip(part, cut, strict=True):
+                self.kept[piece] = body[4 * at:4 * c]
+                at = c + 1
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string column with the end id, as unsigned 32-bit
+        integers; null is the empty text."""
+        if not len(texts):
+            return []
+        texts = texts.cast(pa.large_string()).fill_null("")
+        # ASCII texts are lower-cased here, as the library would: fewer distinct pieces.
+        # Not where a special string could come about.
+        plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<|")))
+        texts = pc.if_else(plain, pc.utf8_lower(texts), texts)
+        for white in "\n\t\r":
+            texts = pc.replace_substring(texts, white, " ")
+        # a mark alone between a letter or digit and a blank is a pre-token of its own
+        texts = pc.replace_substring_regex(texts, "([A-Za-z0-9])([.,]) ", r"\1 \2 ")
+        lists = pc.split_pattern(texts, " ")
+        pieces = lists.flatten().dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(self.kept.get, distinct))
+        missing = [i for i, ids in enumerate(parts) if ids is None]
+        new = [distinct[i] for i in missing]
+        self._add(new)
+        for i, piece in zip(missing, new):
+            parts[i] = self.kept[piece]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        index = pieces.indices.to_numpy()
+        length = sizes[index]
+        stop = np.cumsum(length)
+        first = (np.cumsum(sizes) - sizes)[index] - (stop - length)
+        ids = flat[np.arange(stop[-1] if len(stop) else 0) + np.repeat(first, length)]
+        at = np.concatenate([[0], stop])[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
         if len(self.kept) > MAX_KEPT:       # full: this call's new pieces are not kept
             for piece in new:
                 del self.kept[piece]
-        return ids
+        return [np.append(ids[a:b], np.uint32(self.end_id)).astype("<u4", copy=False) for a, b in zip(at, at[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -128,3 +179,20 @@ class ByteCounts:
         for p in parts:
             n += sum(map(one, self.find(p)))
         return n
+
+
+_COUNTERS: dict[str, ByteCounts] = {}
+
+
+def byte_counts(path: str, whole) -> ByteCounts:
+    """The worker's counter of a vocabulary file; ``whole()`` gives its proven tokens."""
+    if path not in _COUNTERS:
+        _COUNTERS[path] = ByteCounts(path, whole())
+    return _COUNTERS[path]
+
+
+def forget() -> None:
+    """Drop tokenizers and what was kept of their answers."""
+    word_ids.cache_clear()
+    load.cache_clear()
+    _COUNTERS.clear()

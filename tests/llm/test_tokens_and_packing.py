@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 
@@ -25,7 +26,7 @@ def random_texts(n, seed=1):
 def test_word_ids_equal_the_library():
     texts = random_texts(5000)
     t, own = load(WORD), WordIds(WORD, 1)
-    for a, b in zip(own(texts), t.encode_batch(texts, add_special_tokens=False)):
+    for a, b in zip(own(pa.array(texts)), t.encode_batch(texts, add_special_tokens=False)):
         assert a.tolist() == b.ids + [1]
 
 
@@ -102,7 +103,7 @@ ROWS = EDGES + [(100 + i, prose(i, 30 + 17 * i)) for i in range(60)]
 @pytest.mark.parametrize("capacity,group", [(2048, 4_000_000), (64, 5000)])
 def test_packed_ids_round_trip(spark, capacity, group):
     df = table(spark, ROWS, clash=["starts", "cost", "sequence_id"]).repartition(3)
-    want = sorted((i or -1, x.tobytes()) for (i, t) in ROWS for x in WordIds(WORD, 1)([t]))
+    want = sorted((i or -1, x.tobytes()) for (i, t) in ROWS for x in WordIds(WORD, 1)(pa.array([t], pa.string())))
     best = best_fit.pack_best_fit(df, WORD, 1, capacity, group_tokens=group).collect()
     even = balanced.pack_balanced(df, WORD, 1, capacity, group_tokens=group).collect()
     for rows in (best, even):
@@ -135,7 +136,7 @@ def test_packed_ids_round_trip(spark, capacity, group):
 def test_pieces(spark):
     rows = [(i, prose(i, 200 * i)) for i in range(8)] + [(50, None), (51, "")]
     out = balanced.pieces(balanced.pack_balanced(table(spark, rows), WORD, 1, 256)).collect()
-    ids = {i: WordIds(WORD, 1)([t])[0] for i, t in rows}
+    ids = {i: WordIds(WORD, 1)(pa.array([t], pa.string()))[0] for i, t in rows}
     for r in out:
         assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start:r.start + r.length].tobytes())
         assert r.doc_tokens == len(ids[r.doc_id])
