@@ -36,7 +36,7 @@ THRESHOLD = 80          # percent
 SHINGLE = 5             # words
 FRAGMENTS = 4
 SKETCH_LOG2 = 20        # cells of the repeat sketch: 2**20 bytes, whatever the input
-FLUSH = 2_000_000       # shingles that a task counts at a time
+FLUSH = 1_000_000       # shingles that a task counts at a time
 HASH_LEADERS = 6        # of the first round
 BAND = 0.1              # size bands of the second round: factors of exp(BAND)
 CANDIDATE_BITS = 25     # 4 MB bitmap of classes that have candidates
