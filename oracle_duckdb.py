@@ -471,6 +471,26 @@ register("card_vector", q(["tx_e", "mcc_dim"], "select p.*, c.* exclude (cl_id),
     + """ from (select cl_id, arg_min(channel, (ts, tx_id)) ch from cr group by cl_id) f
   join (select channel, row_number() over (order by count(*) desc, channel) - 1 i from cr group by channel) x on f.ch = x.channel) c on p.cl_id = c.cl_id
   join (select cl_id, cast(sum(amount) as double) total_amount from cr group by cl_id) o on p.cl_id = o.cl_id""", [("cr", _card_rows)]))
+_ENCODED = {"transaction_week": "cast(floor(transaction_day / 7) as int)", "period_number": "period_number", "mcc_category": "mcc_category",
+            "iso_weekday": "iso_weekday", "channel": "channel", "currency": "currency", "category": "category"}
+
+
+def encoded(part=""):
+    """One-hot vectors of the card rows: labels by falling frequency (ties by text), the last without a place.
+    Encoders are fitted one after another, on the rows that those before have kept (rows without a label go)."""
+    names = list(_ENCODED)
+    ctes = [("cr", _card_rows), ("er", "select cl_id, tx_id, " + ", ".join(f"{e} {c}" for c, e in _ENCODED.items()) + " from cr")]
+    ctes += [(f"x_{c}", f"select v, row_number() over (order by n desc, cast(v as varchar)) - 1 i, count(*) over () k from "
+                        f"(select {c} v, count(*) n from er where " + " and ".join(f"{x} is not null" for x in names[:names.index(c) + 1]) + f" group by {c})") for c in _ENCODED]
+    vecs = ", ".join(f"[case when j = x_{c}.i then 1.0::double else 0.0::double end for j in range(x_{c}.k - 1)] {c}_vec" for c in _ENCODED)
+    joins = " ".join(f"join x_{c} on er.{c} = x_{c}.v" for c in _ENCODED)
+    return f"select er.cl_id, er.tx_id, {part}{vecs} from er {joins}", ctes
+
+
+_body, _ctes = encoded()
+register("one_hot", q(["tx_e", "mcc_dim"], _body, _ctes))
+_body, _ctes = encoded("case when er.cl_id in (select cl_id from cust_lbl) then 'train' else 'test' end part, ")
+register("encode_pipeline", q(["tx_e", "mcc_dim", "cust_lbl"], _body, _ctes))
 register("elementwise_vector_sum", """
 select label, list(s order by pos) vec_sum from (
   select label, pos, round(sum(cast(x as double)), 4) s from (
