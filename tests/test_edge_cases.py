@@ -279,3 +279,11 @@ def test_scratch_folder_is_an_error_off_local_masters():
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
     assert session.is_local_master("local[8]") and not session.is_local_master("local-cluster[3,2,1024]")
+
+
+def test_membership_by_list_table_and_predicate_agree(spark):
+    from cardlens.operators.dictionary import SHORT_LIST, with_membership
+    df = spark.createDataFrame([(v,) for v in (None, 0, 3, 7, 14, 5000)], "v int")
+    flags = lambda values: [r.f for r in with_membership(df, "v", values, "f").orderBy(F.col("v").asc_nulls_first()).collect()]
+    want = [False, True, False, True, True, False]
+    assert flags([0, 7, 14]) == flags(list(range(0, 7 * (SHORT_LIST + 5), 7))) == flags(lambda c: (c % 7 == 0) & (c < 100)) == want
