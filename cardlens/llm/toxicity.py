@@ -21,11 +21,12 @@ from .common import documents, fresh, in_tasks
 FEATURES_LOG2 = 18
 PREFIX_BYTES = (4, 5)            # beginnings of words, for inflected forms
 MAX_TRAINING_ROWS = 8_000        # labelled documents the model is fitted on, taken in hash order
-MAX_TRAINING_BYTES = 20_000      # longer labelled texts are not fitted on (all texts are scored whole)
+MAX_TRAINING_BYTES = 20_000      # longer labelled texts are not fitted on (all texts are scored whole); below 2**15, so that
+                                 # a sentence's number and a feature fit in 32 bits
 MIN_DOCUMENTS = 5                # a feature of fewer training documents has no weight
 STEPS = 200
 RATE = 0.1
-SPARSITY = 2.0                   # L1 penalty: a weight must pay for the pull of this many documents,
+SPARSITY = 1.0                   # L1 penalty: a weight must pay for the pull of this many documents,
 SPARSITY_SHARE = 0.005           # or of this share of the positive ones, if fewer
 PRUNE_FROM, PRUNE_EVERY = 40, 20  # steps at which features with weight 0 leave
 
@@ -58,26 +59,24 @@ def _training_bags(batches):
         for lo, hi, data, ptr in K.blocks(batch.column(1)):
             feats, sentence, doc, _, _ = bags(data, ptr)
             bound = np.searchsorted(doc, np.arange(hi - lo + 1))     # sentences of each document
-            out_f, out_s = [], []
+            out = []
             for d in range(hi - lo):
                 a, b = np.searchsorted(sentence, (bound[d], bound[d + 1]))
                 key = np.unique((sentence[a:b] - bound[d]).astype(np.int64) << FEATURES_LOG2 | feats[a:b])
-                out_f.append((key & (1 << FEATURES_LOG2) - 1).astype("<i4").tobytes())
-                out_s.append((key >> FEATURES_LOG2).astype("<i4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo).cast(pa.int32()), pa.array(out_f, pa.binary()),
-                                              pa.array(out_s, pa.binary())], ["label", "features", "sentences"])
+                out.append(key.astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo).cast(pa.int32()), pa.array(out, pa.binary())], ["label", "bag"])
 
 
 def _softplus(x):
     return np.logaddexp(0, x)
 
 
-def fit_noisy_or(labels: np.ndarray, features: np.ndarray, sentences: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Weights (the last is the intercept) by full-batch Adam on the document likelihood, with an
     L1 penalty, so that only features that tell many documents apart keep a weight.
 
-    ``features`` and ``sentences`` (numbers within the document) hold all documents one after
-    another, ``lengths`` entries each.
+    ``bags_`` holds all documents one after another, ``lengths`` entries each: the sentence's
+    number in the document above ``FEATURES_LOG2`` bits of the feature.
     """
     size = 1 << FEATURES_LOG2
     weights = np.zeros(size + 1)
@@ -86,19 +85,19 @@ def fit_noisy_or(labels: np.ndarray, features: np.ndarray, sentences: np.ndarray
         return weights
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    seen = np.zeros(size, np.int32)
+    seen, low = np.zeros(size, np.int32), np.uint32(size - 1)
     for a, z in zip(starts, ends):
-        seen[np.unique(features[a:z])] += 1
-    count = np.array([sentences[z - 1] + 1 if z > a else 0 for a, z in zip(starts, ends)])
+        seen[np.unique(bags_[a:z] & low)] += 1
+    count = np.array([int(bags_[z - 1] >> FEATURES_LOG2) + 1 if z > a else 0 for a, z in zip(starts, ends)])
     first = np.concatenate([[0], np.cumsum(count)])
     total = int(first[-1])
     doc = np.repeat(np.arange(len(labels)), count)
-    keep = seen[features] >= MIN_DOCUMENTS
-    row = sentences[keep] + np.repeat(first[:-1].astype(np.int32), lengths)[keep]
+    keep = seen[bags_ & low] >= MIN_DOCUMENTS
+    row = (bags_[keep] >> FEATURES_LOG2).astype(np.int32) + np.repeat(first[:-1].astype(np.int32), lengths)[keep]
     frequent = np.flatnonzero(seen >= MIN_DOCUMENTS)
     number = np.zeros(size, np.int32)
     number[frequent] = np.arange(len(frequent))
-    at, used = number[features[keep]], frequent
+    at, used = number[bags_[keep] & low], frequent
     del keep
     w, b = np.zeros(len(used)), -6.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
@@ -144,11 +143,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = (documents(docs, id_col, text_col).where(F.octet_length("text") <= MAX_TRAINING_BYTES)
               .join(F.broadcast(marks), "doc_id")                # max_rows small rows
               .groupBy("doc_id", "label").agg(F.min("text").alias("text")))   # repeated rows count once
-    got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, features binary, sentences binary").toArrow()
+    got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, bag binary").toArrow()
     if not got.num_rows:
-        return fit_noisy_or(np.zeros(0, np.int32), *[np.zeros(0, np.int32)] * 3)
-    (off, features), (_, sentences) = (K.text_column(got[c].cast(pa.large_binary())) for c in ("features", "sentences"))
-    return fit_noisy_or(got["label"].to_numpy(), features[off[0]:off[-1]].view("<i4"), sentences[off[0]:off[-1]].view("<i4"), np.diff(off) // 4)
+        return fit_noisy_or(np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    off, data = K.text_column(got["bag"].cast(pa.large_binary()))
+    return fit_noisy_or(got["label"].to_numpy(), data[off[0]:off[-1]].view("<u4"), np.diff(off) // 4)
 
 
 _EXTRA = [("toxic_score", T.DoubleType()), ("n_offending", T.LongType()), ("worst_start", T.LongType()),
