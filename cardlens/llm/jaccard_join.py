@@ -304,11 +304,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     second = _linked(base, write_table(_may_link(_shared_tokens(crossing, shared), threshold), "pairs"), shingle, threshold, order)
     whole = components(first.union(second))
 
-    named_rows = rows.join(whole.withColumnRenamed("node", "set_id"), "set_id", "left")
-    # n = 0: linked with nothing; the rest by component, or by class where the class has no link
-    named_rows = write_table(named_rows.select("doc_id", "n", "set_id", F.coalesce("component", "set_id").alias("part")), "rows")
-    least = named_rows.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
-    return (named_rows.join(least, "part", "left")
+    # names are worked out per class, so that a group of copies is one row, and given to the rows last
+    classes = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least_id"))
+    placed = write_table(classes.join(whole.withColumnRenamed("node", "set_id"), "set_id", "left")
+                         .select("set_id", "least_id", F.coalesce("component", "set_id").alias("part")), "classes")
+    least = write_table(placed.groupBy("part").agg(F.min("least_id").alias("least")), "least")
+    named = write_table(placed.join(least, "part").select("set_id", "part", "least"), "named")
+    # n = 0: linked with nothing
+    return (rows.join(named, "set_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id",
                     F.when(F.col("n") > 0, F.col("part")).alias("group")))
