@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import heapq
-import zlib
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import in_tasks
 from .packgroup import GROUP_TOKENS, Group, pack
 
 LINEAR = 1.0                # per token: projections and feed-forward
@@ -112,21 +109,13 @@ def pack_balanced(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: i
     return pack(docs, assign, tokenizer_path, end_id, capacity, id_bytes, id_col, text_col, group_tokens)
 
 
-def pieces(sequences: DataFrame, id_bytes: int = 2) -> DataFrame:
-    """One row per segment of packed sequences, with the CRC-32 of its ids as
-    little-endian unsigned 32-bit integers."""
-    kind = {2: "<u2", 4: "<u4"}[id_bytes]
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-
-    def run(batches):
-        for batch in batches:
-            out = [[] for _ in names]
-            for sequence, docs_, totals, starts, cu, ids in zip(*(batch.column(i).to_pylist() for i in range(5)), batch.column(5)):
-                row = np.frombuffer(ids.as_buffer(), kind).astype("<u4")
-                for k, doc in enumerate(docs_):
-                    a, b = cu[k], cu[k + 1]
-                    for c, v in zip(out, (doc, starts[k], b - a, zlib.crc32(row[a:b]), totals[k], sequence, a)):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
-    return in_tasks(sequences.select("sequence_id", "doc_ids", "doc_tokens", "starts", "cu_seqlens", "input_ids"), run,
-                    ", ".join(f"{n} long" for n in names), tokenizer=True)
+def pieces(sequences: DataFrame) -> DataFrame:
+    """One row per segment of packed sequences: doc_id, start, length, ids_crc32, doc_tokens,
+    sequence_id and offset."""
+    x = F.col("x")
+    length = F.transform("doc_ids", lambda _, i: F.col("cu_seqlens")[i + 1] - F.col("cu_seqlens")[i]).alias("lengths")
+    each = sequences.select("sequence_id", "doc_ids", "doc_tokens", "starts", "position_resets", "crc32", length)
+    each = each.select("sequence_id", F.explode(F.arrays_zip("doc_ids", "starts", "lengths", "crc32", "doc_tokens", "position_resets")).alias("x"))
+    return each.select(x["doc_ids"].alias("doc_id"), x["starts"].alias("start"), x["lengths"].cast("long").alias("length"),
+                       x["crc32"].alias("ids_crc32"), x["doc_tokens"].alias("doc_tokens"), "sequence_id",
+                       x["position_resets"].cast("long").alias("offset"))

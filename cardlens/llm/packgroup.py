@@ -8,6 +8,7 @@ memory is bounded; a task that runs again gives the same sequences.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ GROUP_TOKENS = 2_000_000
 TEXT_BYTES = 3 << 20      # of text that is tokenized at a time
 
 SCHEMA = ("sequence_id long, n_tokens int, capacity int, doc_ids array<long>, doc_tokens array<long>, starts array<long>, "
-          "cu_seqlens array<int>, position_resets array<int>, cost double, input_ids binary")
+          "cu_seqlens array<int>, position_resets array<int>, crc32 array<long>, cost double, input_ids binary")
 
 
 class Group:
@@ -55,7 +56,8 @@ def _groups(batches, path: str, end_id: int, capacity: int, group_tokens: int) -
 def pack(docs: DataFrame, assign: Callable[[Group], list[tuple[int, float, list[tuple[int, int, int]]]]], tokenizer_path: str,
          end_id: int, capacity: int, id_bytes: int, id_col: str, text_col: str, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """``assign`` gives a group's sequences as (size, cost, pieces); size is what the
-    sequence is padded to (id 0).  One row per sequence."""
+    sequence is padded to (id 0).  One row per sequence; ``crc32`` has each segment's
+    ids as little-endian unsigned 32-bit integers."""
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
 
     def run(batches):
@@ -65,12 +67,13 @@ def pack(docs: DataFrame, assign: Callable[[Group], list[tuple[int, float, list[
             rows, waiting = [], 0
             for size, cost, pieces in assign(group):
                 row = np.zeros(size, kind)
-                cu = [0]
+                cu, crc = [0], []
                 for d, s, n in pieces:
                     row[cu[-1]:cu[-1] + n] = group.ids[d][s:s + n]
+                    crc.append(zlib.crc32(row[cu[-1]:cu[-1] + n].astype("<u4")))     # of the ids as written
                     cu.append(cu[-1] + n)
                 rows.append((first + made, cu[-1], size, [group.doc_ids[p[0]] for p in pieces],
-                             [len(group.ids[p[0]]) for p in pieces], [p[1] for p in pieces], cu, cu[:-1], float(cost), row.tobytes()))
+                             [len(group.ids[p[0]]) for p in pieces], [p[1] for p in pieces], cu, cu[:-1], crc, float(cost), row.tobytes()))
                 made += 1
                 waiting += size
                 if waiting >= 1 << 20:
@@ -83,7 +86,7 @@ def pack(docs: DataFrame, assign: Callable[[Group], list[tuple[int, float, list[
 
 _TYPES = [("sequence_id", pa.int64()), ("n_tokens", pa.int32()), ("capacity", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
           ("doc_tokens", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("cu_seqlens", pa.list_(pa.int32())),
-          ("position_resets", pa.list_(pa.int32())), ("cost", pa.float64()), ("input_ids", pa.binary())]
+          ("position_resets", pa.list_(pa.int32())), ("crc32", pa.list_(pa.int64())), ("cost", pa.float64()), ("input_ids", pa.binary())]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -196,3 +196,4 @@ def forget() -> None:
     word_ids.cache_clear()
     load.cache_clear()
     _COUNTERS.clear()
+    pa.default_memory_pool().release_unused()
