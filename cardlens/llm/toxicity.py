@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning.
 
 Only documents carry labels.  A document is a bag of sentences; a sentence's score is
-a logistic function of its words and word beginnings, and the document's score is
-their noisy-or: 1 - product of (1 - sentence score).  Training maximizes the
-likelihood of the document labels through the noisy-or, so the weights find the
+a function of its words and word beginnings, and the document's score is their
+noisy-or with one leak: 1 - (1 - leak) * product of (1 - sentence score).  The leak is
+the share of marked documents that no sentence accounts for; a document has it once,
+however long it is, and a sentence whose words tell too little scores 0.  Training maximizes
+the likelihood of the document labels through the noisy-or, so the weights find the
 offending sentences, which scoring then reports.
 """
 
@@ -21,13 +23,14 @@ from .common import documents, fresh, in_tasks
 FEATURES_LOG2 = 18
 PREFIX_BYTES = (4, 5)            # beginnings of words, for inflected forms
 MAX_TRAINING_ROWS = 8_000        # labelled documents the model is fitted on, taken in hash order
-MAX_TRAINING_BYTES = 20_000      # longer labelled texts are not fitted on (all texts are scored whole); below 2**15, so that
-                                 # a sentence's number and a feature fit in 32 bits
 MIN_DOCUMENTS = 5                # a feature of fewer training documents has no weight
+BASE = -6.0                      # a sentence's log odds before its words: what they must outweigh
+FLOOR = 3.0                      # least sum of weights that counts (a chance of 5 %): weak words of many sentences must not add up,
+FLOOR_FROM = 100                 # from this step of the fit on, so that what they explained goes to the leak
 STEPS = 200
 RATE = 0.1
-SPARSITY = 1.0                   # L1 penalty: a weight must pay for the pull of this many documents,
-SPARSITY_SHARE = 0.005           # or of this share of the positive ones, if fewer
+SPARSITY = 2.0                   # L1 penalty: a weight must pay for the pull of this many documents,
+SPARSITY_SHARE = 0.01            # or of this share of the positive ones, if fewer
 PRUNE_FROM, PRUNE_EVERY = 40, 20  # steps at which features with weight 0 leave
 
 _STOP = np.zeros(256, bool)
@@ -55,60 +58,69 @@ def bags(data: np.ndarray, ptr: np.ndarray):
 
 
 def _training_bags(batches):
+    mask = (1 << FEATURES_LOG2) - 1
     for batch in batches:
         for lo, hi, data, ptr in K.blocks(batch.column(1)):
             feats, sentence, doc, _, _ = bags(data, ptr)
             bound = np.searchsorted(doc, np.arange(hi - lo + 1))     # sentences of each document
-            out = []
+            out, sizes = [], []
             for d in range(hi - lo):
                 a, b = np.searchsorted(sentence, (bound[d], bound[d + 1]))
                 key = np.unique((sentence[a:b] - bound[d]).astype(np.int64) << FEATURES_LOG2 | feats[a:b])
-                out.append(key.astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo).cast(pa.int32()), pa.array(out, pa.binary())], ["label", "bag"])
+                out.append((key & mask).astype("<u4").tobytes())
+                sizes.append(np.bincount(key >> FEATURES_LOG2, minlength=bound[d + 1] - bound[d]).astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(2).slice(lo, hi - lo).cast(pa.int32()), pa.array(out, pa.binary()),
+                                              pa.array(sizes, pa.binary())], ["label", "bag", "sizes"])
 
 
 def _softplus(x):
     return np.logaddexp(0, x)
 
 
-def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Weights (the last is the intercept) by full-batch Adam on the document likelihood, with an
-    L1 penalty, so that only features that tell many documents apart keep a weight.
+def _excess(s: np.ndarray, base: float, floor: float = FLOOR) -> np.ndarray:
+    """-log of the chance that a sentence does not offend, by the sum of its words' weights:
+    nothing up to ``floor``, so that any number of such sentences adds nothing."""
+    return np.where(s > floor, _softplus(s + base) - _softplus(base), 0)
 
-    ``bags_`` holds all documents one after another, ``lengths`` entries each: the sentence's
-    number in the document above ``FEATURES_LOG2`` bits of the feature.
+
+def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, sizes: np.ndarray, sentences: np.ndarray) -> np.ndarray:
+    """Weights by full-batch Adam on the document likelihood, with an L1 penalty, so that only
+    features that tell many documents apart keep a weight.  The last two are the leak (-log of
+    the chance that it does not mark a document) and ``BASE``.
+
+    ``bags_`` holds the features of all sentences of all documents one after another, ``sizes``
+    the number of each sentence, ``sentences`` the number of sentences of each document.
     """
     size = 1 << FEATURES_LOG2
-    weights = np.zeros(size + 1)
+    weights = np.zeros(size + 2)
     weights[-1] = -30.0
+    labels, sentences = labels[sentences > 0], sentences[sentences > 0]     # no sentence, nothing to learn
     if not len(labels) or labels.max() == 0:
         return weights
-    ends = np.cumsum(lengths)
-    starts = ends - lengths
-    seen, low = np.zeros(size, np.int32), np.uint32(size - 1)
-    for a, z in zip(starts, ends):
-        seen[np.unique(bags_[a:z] & low)] += 1
-    count = np.array([int(bags_[z - 1] >> FEATURES_LOG2) + 1 if z > a else 0 for a, z in zip(starts, ends)])
-    first = np.concatenate([[0], np.cumsum(count)])
+    first = np.concatenate([[0], np.cumsum(sentences)])
     total = int(first[-1])
-    doc = np.repeat(np.arange(len(labels)), count)
-    keep = seen[bags_ & low] >= MIN_DOCUMENTS
-    row = (bags_[keep] >> FEATURES_LOG2).astype(np.int32) + np.repeat(first[:-1].astype(np.int32), lengths)[keep]
-    frequent = np.flatnonzero(seen >= MIN_DOCUMENTS)
+    doc = np.repeat(np.arange(len(labels), dtype=np.int32), sentences)
+    bound = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[first]
+    seen = np.zeros(size, np.int32)
+    for a, z in zip(bound, bound[1:]):
+        seen[np.unique(bags_[a:z])] += 1
+    keep = seen[bags_] >= MIN_DOCUMENTS
+    row = np.repeat(np.arange(total, dtype=np.int32), sizes)[keep]
+    used = np.flatnonzero(seen >= MIN_DOCUMENTS)
     number = np.zeros(size, np.int32)
-    number[frequent] = np.arange(len(frequent))
-    at, used = number[bags_[keep] & low], frequent
+    number[used] = np.arange(len(used))
+    at = number[bags_[keep]]
     del keep
-    w, b = np.zeros(len(used)), -6.0
+    w, b = np.zeros(len(used)), BASE                             # b: log of the leak
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
-    positive = labels[doc] > 0
     penalty = min(SPARSITY, SPARSITY_SHARE * (labels > 0).sum()) / len(labels)
     for step in range(1, STEPS + 1):
-        s = np.bincount(row, w[at], total) + b
-        a = np.bincount(doc, _softplus(s), len(labels))          # -log of the chance that no sentence offends
-        pull = np.exp(-a) / np.maximum(-np.expm1(-a), 1e-9)
-        g = np.where(positive, -pull[doc], 1.0) / (1 + np.exp(-s)) / len(labels)
-        gw, gb = np.bincount(at, g[row], len(used)), g.sum()
+        s = np.bincount(row, w[at], total)
+        floor = 0.0 if step < FLOOR_FROM else FLOOR
+        a = np.bincount(doc, _excess(s, BASE, floor), len(labels)) + np.exp(b)
+        pull = np.where(labels > 0, -np.exp(-a) / np.maximum(-np.expm1(-a), 1e-9), 1.0) / len(labels)
+        g = np.where(s >= floor, pull[doc] / (1 + np.exp(-s - BASE)), 0)
+        gw, gb = np.bincount(at, g[row], len(used)), pull.sum() * np.exp(b)
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         scale = RATE / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
@@ -120,7 +132,7 @@ def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, lengths: np.ndarray) ->
             here = alive[at]
             at, row = (np.cumsum(alive) - 1)[at[here]], row[here]
             used, w, m, v = used[alive], w[alive], m[alive], v[alive]
-    weights[used], weights[-1] = w, b
+    weights[used], weights[-2], weights[-1] = w, np.exp(b), BASE
     return weights
 
 
@@ -131,7 +143,8 @@ def held_out(id_column) -> F.Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           label_id_col: str = "doc_id", max_rows: int = MAX_TRAINING_ROWS) -> np.ndarray:
-    """Weights learned from at most ``max_rows`` labelled, not held-out documents.
+    """Weights learned from the whole texts of at most ``max_rows`` labelled, not held-out
+    documents of any length.
 
     Rows without a label or an id are not used; of several labels of a document the
     highest counts.  Without positive labels every score is 0.
@@ -140,14 +153,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    sample = (documents(docs, id_col, text_col).where(F.octet_length("text") <= MAX_TRAINING_BYTES)
+    sample = (documents(docs, id_col, text_col).where("text is not null")
               .join(F.broadcast(marks), "doc_id")                # max_rows small rows
               .groupBy("doc_id", "label").agg(F.min("text").alias("text")))   # repeated rows count once
-    got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, bag binary").toArrow()
+    got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, bag binary, sizes binary").toArrow()
     if not got.num_rows:
-        return fit_noisy_or(np.zeros(0, np.int32), np.zeros(0, np.uint32), np.zeros(0, np.int64))
-    off, data = K.text_column(got["bag"].cast(pa.large_binary()))
-    return fit_noisy_or(got["label"].to_numpy(), data[off[0]:off[-1]].view("<u4"), np.diff(off) // 4)
+        return fit_noisy_or(*[np.zeros(0, np.uint32)] * 4)
+    (bag_off, bag), (size_off, sizes) = (K.text_column(got[c].cast(pa.large_binary())) for c in ("bag", "sizes"))
+    return fit_noisy_or(got["label"].to_numpy(), bag[bag_off[0]:bag_off[-1]].view("<u4"), sizes[size_off[0]:size_off[-1]].view("<u4"),
+                        np.diff(size_off) // 4)
 
 
 _EXTRA = [("toxic_score", T.DoubleType()), ("n_offending", T.LongType()), ("worst_start", T.LongType()),
@@ -173,12 +187,13 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> tuple
                 n = hi - lo
                 # a feature counts once a sentence
                 key = np.unique(sentence << FEATURES_LOG2 | feats)
-                s = np.bincount(key >> FEATURES_LOG2, w[key & (1 << FEATURES_LOG2) - 1], len(doc)) + w[-1]
-                p = 1 / (1 + np.exp(-s))
-                total = -np.expm1(-np.bincount(doc, _softplus(s), n))
-                order = np.lexsort((np.arange(len(doc)), -p, doc))
+                s = np.bincount(key >> FEATURES_LOG2, w[key & (1 << FEATURES_LOG2) - 1], len(doc))
+                c = _excess(s, w[-1])
+                p = -np.expm1(-c)
+                order = np.lexsort((np.arange(len(doc)), -s, doc))
                 has = np.zeros(n, bool)
                 has[doc] = True
+                total = -np.expm1(-np.where(has, np.bincount(doc, c, n) + w[-2], 0))
                 top = np.zeros(n, np.int64)
                 top[doc[order[::-1]]] = order[::-1]             # the best of each document is written last
                 pick = lambda x: pa.array([v if h else None for v, h in zip(x, has)])

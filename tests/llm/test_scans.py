@@ -184,6 +184,26 @@ def test_score_is_the_noisy_or_of_sentences(learned):
         assert miss <= 1
 
 
+def test_length_alone_is_not_toxic(spark):
+    rows, labels = labelled(1500, seed=4)
+    labels = [(i, q, int(t or i % 25 == 1)) for i, q, t in labels]            # marked texts without a bad word
+    w = T.train(table(spark, [r[:2] for r in rows]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    clean = {n: ". ".join(prose(k, 12) for k in range(n)) for n in (1, 1000, 20000)}
+    out, _ = T.score(table(spark, [*clean.items(), (5, clean[1000] + ". " + "what a vileness of prose")]), w)
+    got = {r.doc_id: r for r in out.collect()}
+    assert all(got[n].toxic_score < 0.5 and got[n].n_offending == 0 for n in clean), [got[n].toxic_score for n in clean]
+    assert got[5].toxic_score >= 0.5 and got[5].n_offending == 1
+
+
+def test_long_texts_are_learned_from(spark):
+    rows = [(i, ". ".join(prose(1000 * i + k, 12) for k in range(1 + 500 * (i % 2)))) for i in range(200)]
+    rows = [(i, t + ". so vileness it is" if i % 4 == 1 else t) for i, t in rows]         # only among the long ones
+    assert min(len(t) for i, t in rows if i % 2) > 20_000
+    w = T.train(table(spark, rows), spark.createDataFrame([(i, 1, int(i % 4 == 1)) for i, _ in rows], "doc_id long, quality int, toxic int"))
+    out = T.score(table(spark, rows), w)[0].collect()
+    assert all((r.toxic_score >= 0.5) == (r.doc_id % 4 == 1) for r in out)
+
+
 def test_toxicity_edges(spark, learned):
     df = table(spark, EDGES, clash=["toxic_score", "worst_start", "TOXIC_SCORE2"])
     out, names = T.score(df, learned[2])
