@@ -2,8 +2,8 @@
 
 A seed is a fixed mask over ``SPAN`` consecutive words; only the words at its ones
 are hashed, so a substituted word under a zero does not hide a match.  Hashes of all
-training documents meet those of the benchmark in a Spark join; around each hit the
-two word sequences are compared along their diagonal, and the overlap is verified.
+training documents meet those of the benchmark in a Spark join; on the
+diagonal of each hit the two word sequences are searched for their best overlap.
 """
 
 from __future__ import annotations
@@ -100,39 +100,41 @@ def _regions(filter_, shorts):
     return run
 
 
-def overlap(text: np.ndarray, item: np.ndarray, shift: int, at: int, length: int) -> tuple[int, int, int]:
-    """(first, last + 1, equal words) in item places of the best overlap around the seed at
-    ``at``, where item place i lies over text place i + shift: grown both ways while equal
-    words (+1) outweigh different ones (-2), given up once 6 below the best.  If the two
-    sequences are similar enough over their whole common range, that is the overlap."""
+def overlap(text: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
+    """(first, last + 1, equal words) in item places of the best overlap on a diagonal, where item
+    place i lies over text place i + shift: of all ranges of at least ``MIN_WORDS`` words (or the
+    whole item) with ``SIMILARITY`` equal words, the one of most equal words, then of fewest words,
+    then the first.  None if there is no such range."""
     lo, hi = max(0, -shift), min(len(item), len(text) - shift)
+    need = min(MIN_WORDS, len(item))
+    if hi - lo < need:
+        return None
     same = item[lo:hi] == text[lo + shift:hi + shift]
-    if len(same) and same.sum() >= SIMILARITY * len(same):
-        return lo, hi, int(same.sum())
-    gain = np.where(same, 1, -2)
-    left, right = at - lo, min(at + length, hi) - lo
-
-    def reach(g: np.ndarray) -> int:
-        if not len(g):
-            return 0
-        total = np.cumsum(g)
-        drop = np.flatnonzero(np.maximum.accumulate(np.maximum(total, 0)) - total > 6)
-        total = total[:drop[0]] if len(drop) else total
-        return int(np.argmax(total)) + 1 if len(total) and total.max() > 0 else 0
-    a = left - reach(gain[:left][::-1])
-    b = right + reach(gain[right:])
-    return a + lo, b + lo, int(same[a:b].sum())
+    n = len(same)
+    equal = np.concatenate([[0], np.cumsum(same)])
+    surplus = equal - SIMILARITY * np.arange(n + 1)              # a range is similar enough if it does not fall
+    least = np.minimum.accumulate(surplus)
+    ends = np.arange(need, n + 1)
+    a = np.searchsorted(-least, -(surplus[ends] + 1e-9))         # first place from which the range to each end is
+    ends, a = ends[a <= ends - need], a[a <= ends - need]
+    if not len(ends):
+        return None
+    places = np.append(np.flatnonzero(same), n)
+    a = np.minimum(places[equal[a]], ends - need)                # different words at the front are left out
+    k = np.lexsort((a, ends - a, equal[a] - equal[ends]))[0]
+    return lo + int(a[k]), lo + int(ends[k]), int(equal[ends[k]] - equal[a[k]])
 
 
 def _verify(batches):
     names = ["doc_id", "item", "doc_start", "doc_end", "item_start", "overlap_words", "matched_words"]
     for batch in batches:
         out = [[] for _ in names]
-        ids, skipped, item_id, shift, at = (batch.column(i).to_pylist() for i in (0, 1, 3, 5, 6))
+        ids, skipped, item_id, shift = (batch.column(i).to_pylist() for i in (0, 1, 3, 5))
         for i in range(batch.num_rows):
             text, item = np.array(batch.column(2)[i].values, np.int64), np.array(batch.column(4)[i].values, np.int64)
-            a, b, same = overlap(text, item, shift[i], at[i], SHORT)
-            if b - a >= min(MIN_WORDS, len(item)) and same >= SIMILARITY * (b - a):
+            found = overlap(text, item, shift[i])
+            if found:
+                a, b, same = found
                 for c, v in zip(out, (ids[i], item_id[i], skipped[i] + a + shift[i], skipped[i] + b + shift[i], a, b - a, same)):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names)
@@ -141,7 +143,7 @@ def _verify(batches):
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Overlaps of documents with benchmark items: one row per (document, item text), its
-    longest verified overlap: doc_id, item_id, n_items, doc_start, doc_end (words), item_start,
+    overlap of most equal words: doc_id, item_id, n_items, doc_start, doc_end (words), item_start,
     overlap_words, matched_words, similarity.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters.  An overlap has at

@@ -78,6 +78,40 @@ def test_two_overlaps_of_one_item_keep_the_longer(spark):
     assert (x.item_start, x.overlap_words) == (10, 30)
 
 
+def brute_overlap(same, need):
+    """The range of most equal words, then fewest words, then the first, by trying all."""
+    ok = [(-sum(same[a:b]), b - a, a) for a in range(len(same)) for b in range(a + need, len(same) + 1)
+          if 5 * sum(same[a:b]) >= 4 * (b - a)]
+    return (min(ok)[2], min(ok)[2] + min(ok)[1], -min(ok)[0]) if ok else None
+
+
+def test_overlap_equals_trying_all_ranges():
+    r = random.Random(7)
+    for k in range(600):
+        n = r.randrange(5, 70)
+        item, share = np.arange(n), r.choice([0.6, 0.7, 0.77, 0.8, 0.9, 1.0])
+        same = [r.random() < share for _ in range(n)]
+        before, after = r.randrange(3), r.randrange(3)
+        cut = r.randrange(4) if before == 0 else 0                # the text begins within the item
+        text = np.array([-1] * before + [i if x else -2 for i, x in enumerate(same)][cut:] + [-1] * after)
+        got = D.overlap(text, item, before - cut)
+        want = brute_overlap(same[cut:], min(n, D.MIN_WORDS))
+        assert got == (want and (want[0] + cut, want[1] + cut, want[2])), (k, same)
+
+
+def changed(w, same):
+    return " ".join(x if s else f"other{i}" for i, (x, s) in enumerate(zip(w, same)))
+
+
+def test_quotes_in_less_alike_surroundings(spark):
+    bench = [(i, passage(50 + i, 59)) for i in range(4)]
+    alike = [True] * 13 + ([False, True, True, True, False, True, True] * 7)[:46]         # an exact quote, then 71 % alike
+    docs = [(i, "a b c " + changed(w, alike if i % 2 else alike[::-1]) + " d e") for i, w in bench]
+    out = D.contamination(table(spark, docs), items(spark, [(i, " ".join(w)) for i, w in bench])).collect()
+    assert {(x.doc_id, x.item_id) for x in out} == {(i, i) for i, _ in bench}
+    assert all(x.overlap_words >= 13 and x.similarity >= 0.8 for x in out)
+
+
 # ---- licenses
 def test_phrases_equal_a_plain_search(spark):
     r, rows = random.Random(2), []
