@@ -168,12 +168,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = (regions.select("region", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
             .select("region", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
             .join(hashes, "hash")
-            .groupBy("region", "item", (F.col("place") - F.col("at")).alias("shift")).agg(F.min("at").alias("first"), F.max("at").alias("last")))
-    # a diagonal with hits far apart may hold two overlaps: both ends are tried
-    tries = hits.select("region", "item", "shift", F.explode(F.array_distinct(F.array("first", "last"))).alias("at"))
-    joined = (tries.join(regions.select("region", "doc_id", "skipped", "words"), "region")
+            .select("region", "item", (F.col("place") - F.col("at")).alias("shift")).distinct())
+    # a diagonal is searched once, whole, however many hits it has
+    joined = (hits.join(regions.select("region", "doc_id", "skipped", "words"), "region")
               .join(items.select("item", F.col("words").alias("item_words")), "item")
-              .select("doc_id", "skipped", "words", "item", "item_words", "shift", "at"))
+              .select("doc_id", "skipped", "words", "item", "item_words", "shift"))
     found = in_tasks(joined, _verify, "doc_id long, item long, doc_start long, doc_end long, item_start long, overlap_words long, matched_words long")
     best = (found.groupBy("doc_id", "item")
             .agg(F.max(F.struct("matched_words", (-F.col("overlap_words")).alias("o"), (-F.col("doc_start")).alias("s"),

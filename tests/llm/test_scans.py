@@ -112,6 +112,13 @@ def test_quotes_in_less_alike_surroundings(spark):
     assert all(x.overlap_words >= 13 and x.similarity >= 0.8 for x in out)
 
 
+def test_an_overlap_between_two_short_ones(spark):
+    w = passage(77, 59)
+    same = [True] * 8 + [False] * 12 + [True] * 20 + [False] * 11 + [True] * 8
+    out = D.contamination(table(spark, [(1, "a b c " + changed(w, same))]), items(spark, [(1, " ".join(w))])).collect()
+    assert [(x.item_start, x.overlap_words, x.matched_words, x.doc_start, x.doc_end) for x in out] == [(20, 20, 20, 23, 43)]
+
+
 # ---- licenses
 def test_phrases_equal_a_plain_search(spark):
     r, rows = random.Random(2), []
