@@ -57,14 +57,18 @@ def fit_encoder(union: DataFrame, cols: list[str]) -> PipelineModel:
     return Pipeline(stages=encoder_stages(cols)).fit(union)
 
 
-def classifier(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, subsample: float = 0.9,
-               min_instances: int = 1, seed: int = 101) -> GBTClassifier:
+#: rounds of the reference's grid search (200) and of its plain cross-validation (the library's 100)
+GRID_ROUNDS, CV_ROUNDS = 200, 100
+
+
+def classifier(max_iter: int = 300, max_depth: int = 7, step: float = 0.1, subsample: float = 0.9,
+               min_instances: int = 4, seed: int = 101) -> GBTClassifier:
     return GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                          stepSize=step, subsamplingRate=subsample, minInstancesPerNode=min_instances, seed=seed)
 
 
-def regressor(max_iter: int = 20, max_depth: int = 3, step: float = 0.1, subsample: float = 0.9,
-              min_instances: int = 1, seed: int = 101) -> GBTRegressor:
+def regressor(max_iter: int = 3000, max_depth: int = 3, step: float = 0.01, subsample: float = 0.9,
+              min_instances: int = 3, seed: int = 101) -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                         stepSize=step, subsamplingRate=subsample, minInstancesPerNode=min_instances, seed=seed)
 
@@ -82,7 +86,7 @@ def rmse_evaluator() -> RegressionEvaluator:
     return RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
 
 
-def cross_validate(data: DataFrame, estimator, evaluator, grid, folds: int, seed: int = 0,
+def cross_validate(data: DataFrame, estimator, evaluator, grid, folds: int = 4, seed: int = 0,
                    parallelism: int = 2) -> tuple:
     """k-fold CV with hash folds on the client id; returns the fitted
     CrossValidatorModel and the average metric per grid point."""
@@ -113,6 +117,6 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def grid(estimator, depths=(2, 3), min_instances=(1, 2)):
+def grid(estimator, depths=range(2, 9), min_instances=range(1, 5)):
     return (ParamGridBuilder().addGrid(estimator.maxDepth, list(depths))
             .addGrid(estimator.minInstancesPerNode, list(min_instances)).build())

@@ -88,6 +88,6 @@ def q_card_job_score(spark, sf):
     table = write_table(card_vector(card_rows(spark, sf)).join(V.cust_lbl(spark, sf), KEY, "left"), "card-vector")
     cols = L.feature_columns(table)
     data = write_table(L.assemble(L.labelled(table, F.col("target_flag")), cols).select(KEY, "label", "features"), "training")
-    model = L.classifier(max_iter=10).fit(data)
+    model = L.classifier().fit(data)
     test = L.assemble(table.filter(F.col("target_flag").isNull()), cols)
     return L.probability_of_one(model.transform(test)).select(KEY, "probability_1", "prediction")

@@ -60,23 +60,23 @@ def q_feature_index(spark, sf):
 @query("train_classifier")
 def q_train_classifier(spark, sf):
     _, _, data = train_set(spark, sf)
-    model = L.classifier(max_iter=10).fit(data)
+    model = L.classifier().fit(data)
     return L.probability_of_one(model.transform(data)).select("cl_id", "label", "probability_1", "prediction")
 
 
 @query("train_regressor")
 def q_train_regressor(spark, sf):
     _, _, data = train_set(spark, sf, regression=True)
-    model = L.regressor(max_iter=10, step=0.1).fit(data)
+    model = L.regressor().fit(data)
     return model.transform(data).select("cl_id", "label", "prediction")
 
 
 @query("grid_search")
 def q_grid_search(spark, sf):
     _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=5)
+    est = L.classifier(max_iter=L.GRID_ROUNDS)
     g = L.grid(est)
-    _, metrics = L.cross_validate(data, est, L.auc_evaluator(), g, folds=2)
+    _, metrics = L.cross_validate(data, est, L.auc_evaluator(), g)
     rows = [(int(p[est.maxDepth]), int(p[est.minInstancesPerNode]), float(m)) for p, m in zip(g, metrics)]
     return spark.createDataFrame(rows, "max_depth int, min_instances int, avg_auc double")
 
@@ -84,7 +84,7 @@ def q_grid_search(spark, sf):
 @query("cv_classifier")
 def q_cv_classifier(spark, sf):
     _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=5)
+    est = L.classifier(max_iter=L.CV_ROUNDS, max_depth=3, min_instances=1)
     _, metrics = L.cross_validate(data, est, L.auc_evaluator(), [{}], folds=4, seed=1)
     return spark.createDataFrame([(4, float(metrics[0]))], "folds int, avg_auc double")
 
@@ -92,7 +92,7 @@ def q_cv_classifier(spark, sf):
 @query("cv_repeated")
 def q_cv_repeated(spark, sf):
     _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=5)
+    est = L.classifier(max_iter=L.CV_ROUNDS, max_depth=3, min_instances=1)
     rows = []
     for seed in range(7):
         _, metrics = L.cross_validate(data, est, L.auc_evaluator(), [{}], folds=4, seed=seed)
@@ -104,7 +104,7 @@ def q_cv_repeated(spark, sf):
 @query("score_clients")
 def q_score_clients(spark, sf):
     table, cols, data = train_set(spark, sf)
-    model = L.classifier(max_iter=10).fit(data)
+    model = L.classifier().fit(data)
     test = L.assemble(table.filter(F.col("target_flag").isNull()), cols)
     return L.probability_of_one(model.transform(test)).select("cl_id", "probability_1", "prediction")
 
@@ -114,7 +114,7 @@ def q_score_spend(spark, sf):
     """Second goal: spend of the unlabelled clients by the regressor on the log target,
     turned back (exp(p) - 1, not below 0), written as predictions and read back."""
     table, cols, data = train_set(spark, sf, regression=True)
-    model = L.regressor(max_iter=10).fit(data)
+    model = L.regressor().fit(data)
     test = model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols))
     spend = test.select("cl_id", unlog_clip("prediction").alias("spend"))
     return I.read_predictions(spark, I.write_predictions(spend, scratch_path(spark, "spend"), value_col="spend"))
@@ -124,9 +124,9 @@ def q_score_spend(spark, sf):
 def q_cv_regressor(spark, sf):
     """Grid of the regressor by RMSE on the log target, k-fold."""
     _, _, data = train_set(spark, sf, regression=True)
-    est = L.regressor(max_iter=5)
+    est = L.regressor(max_iter=L.GRID_ROUNDS, step=0.1)
     g = L.grid(est)
-    _, metrics = L.cross_validate(data, est, L.rmse_evaluator(), g, folds=2)
+    _, metrics = L.cross_validate(data, est, L.rmse_evaluator(), g)
     rows = [(int(p[est.maxDepth]), int(p[est.minInstancesPerNode]), float(m)) for p, m in zip(g, metrics)]
     return spark.createDataFrame(rows, "max_depth int, min_instances int, avg_rmse double")
 
@@ -150,8 +150,8 @@ def q_select_features(spark, sf):
 @query("best_params")
 def q_best_params(spark, sf):
     _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=5)
-    model, _ = L.cross_validate(data, est, L.auc_evaluator(), L.grid(est), folds=2)
+    est = L.classifier(max_iter=L.GRID_ROUNDS)
+    model, _ = L.cross_validate(data, est, L.auc_evaluator(), L.grid(est))
     best = model.bestModel
     rows = [(p.name, str(v)) for p, v in best.extractParamMap().items()]
     return spark.createDataFrame(rows, "param string, value string")
@@ -183,7 +183,7 @@ def q_end_to_end(spark, sf):
     table = write_table(FT.client_feature_table(rows, V.fx(spark, sf), labels, events_fixture(), trash_mcc_fixture()), "features")
     cols = L.feature_columns(table)
     data = write_table(L.assemble(L.labelled(table, F.col("target_flag")), cols).select("cl_id", "label", "features"), "training")
-    model = L.classifier(max_iter=10).fit(data)
+    model = L.classifier().fit(data)
     scored = L.probability_of_one(model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols)))
     path = I.write_predictions(scored, scratch_path(spark, "submission"), value_col="probability_1")
     return I.read_predictions(spark, path)

@@ -41,3 +41,14 @@ def test_save_load_same_scores(spark):
     loaded = L.load_model(L.save_model(pipe, scratch_path(spark, "model-test")))
     after = {r.cl_id: r.probability_1 for r in L.probability_of_one(loaded.transform(data)).collect()}
     assert before == after
+
+
+def test_sizes_are_the_reference_s(spark):
+    """Rounds, depths, weights and step of the two models; grid and folds of the search."""
+    import inspect
+    c, r = L.classifier(), L.regressor()
+    assert (c.getMaxIter(), c.getMaxDepth(), c.getMinInstancesPerNode(), c.getStepSize()) == (300, 7, 4, 0.1)
+    assert (r.getMaxIter(), r.getMaxDepth(), r.getMinInstancesPerNode(), r.getStepSize()) == (3000, 3, 3, 0.01)
+    g = L.grid(c)
+    assert {(p[c.maxDepth], p[c.minInstancesPerNode]) for p in g} == {(d, w) for d in range(2, 9) for w in range(1, 5)} and len(g) == 28
+    assert inspect.signature(L.cross_validate).parameters["folds"].default == 4 and L.GRID_ROUNDS == 200
