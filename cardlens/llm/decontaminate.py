@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from . import textkernel as K
 from .common import bit_table, documents, in_tasks, write_table
 
-#: masks of seven words; any two substituted words in fifteen leave one seed whole
-MASKS = ("10110011011", "11100110011", "11110100101", "11110111")
+#: masks of seven words; whichever words of an overlap of MIN_WORDS or more are substituted, SIMILARITY equal
+#: ones leave one seed whole (by enumeration up to 30 words; longer overlaps hold one of 13 to 30 as similar)
+MASKS = ("10110011011", "11100110011", "11110100101", "11110111", "1101010111", "11000011111", "11011111", "101101111")
+#: masks for items shorter than that: four of five words
+SHORT_MASKS = ("1111", "10111", "11011", "11101")
 SPAN = max(map(len, MASKS))
 SHORT = 5                # words; shorter benchmark items cannot be told from chance and are not searched
 MIN_WORDS = 13           # least overlap, or the whole item if that is shorter
@@ -30,8 +33,8 @@ def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
 
-#: offsets of each seed; items shorter than the longest mask are found by plain windows of SHORT words
-SEEDS = [_offsets(m) for m in MASKS] + [list(range(SHORT))]
+#: offsets of each seed; short items are also found by the short masks
+SEEDS = [_offsets(m) for m in MASKS + SHORT_MASKS]
 
 
 def _seed_hashes(words: np.ndarray, which) -> list[tuple[int, np.ndarray]]:
@@ -147,8 +150,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     overlap_words, matched_words, similarity.
 
     Words are lower-cased runs of letters, digits and non-ASCII characters.  An overlap has at
-    least ``MIN_WORDS`` words (or the whole item), ``SIMILARITY`` of them equal.  Items with equal
-    words are one; item_id is the smallest and n_items counts them.  Items of fewer than ``SHORT``
+    least ``MIN_WORDS`` words (or the whole item), ``SIMILARITY`` of them equal, wherever the others
+    are substituted.  Items with equal words are one; item_id is the smallest and n_items counts them.  Items of fewer than ``SHORT``
     words, null and empty texts never match; a null id stays null; repeated document rows give one
     row; empty tables give an empty result; other columns are not read.
     """

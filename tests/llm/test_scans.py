@@ -58,6 +58,24 @@ def test_every_pair_of_substitutions_in_fifteen_words():
             assert any(all(i + j not in (a, b) for j in m) for m in masks for i in range(15 - max(m)))
 
 
+def test_every_allowed_substitution_leaves_a_seed():
+    from itertools import combinations
+    for n in [*range(5, 23), 25]:
+        masks = D.MASKS if n >= D.MIN_WORDS else D.MASKS + D.SHORT_MASKS
+        seeds = [sum(1 << i + j for i, c in enumerate(m) if c == "1") for m in masks for j in range(n - len(m) + 1)]
+        left = np.array([sum(1 << i for i in c) for c in combinations(range(n), n - -(-4 * n // 5))])
+        for s in seeds:
+            left = left[left & s != 0]
+        assert not len(left), n
+
+
+def test_short_items_with_one_substitution(spark):
+    bench = [(n, passage(n, n)) for n in (5, 6, 7, 8)]
+    docs = [(100 * n + i, "a b c " + changed(w, [j != i for j in range(n)]) + " d e f") for n, w in bench for i in range(n)]
+    out = D.contamination(table(spark, docs), items(spark, [(n, " ".join(w)) for n, w in bench])).collect()
+    assert {(x.doc_id, x.item_id) for x in out} == {(i, i // 100) for i, _ in docs}
+
+
 def test_contamination_edges(spark):
     short, p = ["s1", "s2", "s3", "s4", "s5", "s6"], passage(99, 20)
     bench = [(1, None), (2, ""), (3, "of the"), (4, " ".join(short)), (7, " ".join(p)), (5, " ".join(p).upper()), (None, " ".join(passage(98, 30)))]
