@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cardlens.session import scratch_path
 
-from . import balanced, warc
+from . import balanced, byte_bpe, warc
 from .best_fit import pack_best_fit
 from .common import read
 from .decontaminate import contamination
@@ -23,6 +23,7 @@ from .toxicity import held_out, toxicity
 
 WORD_IDS = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 1
 CAPACITY = 2048
 
@@ -127,3 +128,11 @@ from p left join g on p.d = g.d and p.n >= 1000"""
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in each whole text."""
     return license_scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each whole text and the bytes they decode to, as digests."""
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    rows, decoded = byte_bpe.decode(encoded, BYTE_RANKS)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"))
