@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from array import array
 from dataclasses import dataclass
 from functools import lru_cache
@@ -26,6 +27,7 @@ from .tokens import MAX_KEPT, UNSAFE
 
 PER_BUCKET = 3          # keys in a bucket of the perfect hash, on average
 TRIALS = 64             # displacements tried at a time
+NARROW = 0x250          # code points of Latin texts
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -174,6 +176,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _narrow(pattern: str):
+    """The pattern for texts of characters below NARROW, with its Unicode classes written out, for the faster ``re``;
+    None if it uses other classes."""
+    import regex
+    l, n, white = ("".join(re.escape(c) for c in map(chr, range(NARROW)) if regex.match(p, c)) for p in (r"\p{L}", r"\p{N}", r"\s"))
+    out = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^{white}{l}{n}]").replace(r"\p{L}", f"[{l}]").replace(r"\p{N}", f"[{n}]")
+    out = out.replace(r"\S", f"[^{white}]").replace(r"\s", f"[{white}]")
+    return None if re.search(r"\\[pPdDwWbB]", out) else re.compile(out)
+
+
 class Splitter:
     """Pre-tokens of a text as the library's own pattern engine cuts it.
 
@@ -186,6 +198,8 @@ class Splitter:
     def __init__(self, pattern: str):
         import regex
         self.pattern = regex.compile(pattern)
+        self.narrow = _narrow(pattern)
+        self.beyond = re.compile(f"[^\x00-{chr(NARROW - 1)}]")
         self.known: dict[str, str] = {}
         self.engines = None
 
@@ -200,7 +214,9 @@ class Splitter:
         return self.known[c]
 
     def __call__(self, text: str) -> list[str]:
-        if text.isascii() or not UNSAFE.search(text):
+        if self.narrow and (text.isascii() or not self.beyond.search(text)):
+            return self.narrow.findall(text)
+        if not UNSAFE.search(text):
             return self.pattern.findall(text)
         like = UNSAFE.sub(lambda m: self._class(m[0]), text)
         return [text[m.start():m.end()] for m in self.pattern.finditer(like)]

@@ -15,9 +15,11 @@ from .best_fit import pack_best_fit
 from .common import read
 from .decontaminate import contamination
 from .fingerprints import fingerprints
+from .hard_negatives import hard_negatives
 from .jaccard_join import jaccard_components
 from .licenses import license_scan
 from .shards import base_tree, shard_rows
+from .spelling import count_words, spelling_variants
 from .token_counts import token_counts
 from .toxicity import held_out, toxicity
 
@@ -136,3 +138,38 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     rows, decoded = byte_bpe.decode(encoded, BYTE_RANKS)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all texts, one in 199 of them misspelled by rule."""
+    return spelling_variants(count_words(read(spark, sf_dir, "documents"), delete_every=199))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each anchor's best positives, with one label in seven of the ids moved on."""
+    rows = read(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    return hard_negatives(rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
+
+
+SQL["op11_hard_negatives"] = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as x
+  from embeddings where label is not null and embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+    cast(list_inner_product(a.x, b.x) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+  cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank,
+  s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on p.anchor_id = s.anchor_id and s.label <> s.anchor_label
+  and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) <= 5"""
