@@ -77,6 +77,27 @@ def roc_auc(df: DataFrame, label: str, score: str, partitions: int | None = None
     return j.agg(F.round(auc, 9).alias("auc"))
 
 
+def roc_auc_by(df: DataFrame, key: str, label: str, score: str, partitions: int | None = None) -> DataFrame:
+    """(key, auc): ``roc_auc`` of every key's rows.  Distinct scores are ranged by (key, score), so a
+    key with most of the rows is cut like the single one; NULL where a key has one label only."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    is_pos = (F.col(label) == 1).cast("long")
+    g = df.groupBy(key, score).agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
+    g = g.repartitionByRange(n, key, score).withColumn("pid", F.spark_partition_id()).checkpoint()
+    # a row per key and range: the negatives of the key's ranges before it
+    totals = g.groupBy(key, "pid").agg(F.sum("neg").alias("pneg"))
+    offs = totals.select(key, "pid", F.coalesce(F.sum("pneg").over(
+        Window.partitionBy(key).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    within = F.coalesce(F.sum("neg").over(
+        Window.partitionBy(key, "pid").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    j = g.withColumn("within", within).join(offs, [key, "pid"]).withColumn("below", F.col("off") + F.col("within"))
+    auc = F.try_divide(F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))),
+                       (F.sum("pos") * F.sum("neg")).cast("double"))
+    return j.groupBy(key).agg(F.round(auc, 9).alias("auc"))
+
+
 def rmse(df: DataFrame, pred: str, y: str) -> DataFrame:
     return df.agg(F.round(F.sqrt(F.avg(F.pow(F.col(pred) - F.col(y), 2))), 6).alias("rmse"))
 

@@ -8,18 +8,23 @@ of the client's first row, and the client's total amount.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardlens.functions import calendar as cal
 from cardlens.functions.config import events_fixture
 from cardlens.operators import asof as A
+from cardlens.operators import boost as B
 from cardlens.operators import learn as L
 from cardlens.operators import onehot as OH
 from cardlens.operators import tenure as T
 from cardlens.operators.dictionary import code_table, with_code
+from cardlens.operators.metrics import roc_auc_by
 from cardlens.operators.sequence import first_by
 from cardlens.plans.catalog import query
+from cardlens.plans.queries_learn import on_folds, probability, unlabelled, vector, with_groups
 from cardlens.session import write_table
 from cardlens.sources import views as V
 
@@ -82,12 +87,32 @@ def q_card_vector(spark, sf):
     return card_vector(card_rows(spark, sf))
 
 
+def job_table(spark, sf):
+    """(client vectors with labels, written; their columns; the labelled clients' rows)"""
+    table = write_table(card_vector(card_rows(spark, sf)).join(V.cust_lbl(spark, sf), KEY, "left"), "card-vector")
+    cols = L.feature_columns(table)
+    return table, cols, L.labelled(table, F.col("target_flag")).select(KEY, "label", vector(cols))
+
+
 @query("card_job_score")
 def q_card_job_score(spark, sf):
     """Train on the labelled clients' vectors, score the others."""
-    table = write_table(card_vector(card_rows(spark, sf)).join(V.cust_lbl(spark, sf), KEY, "left"), "card-vector")
-    cols = L.feature_columns(table)
-    data = write_table(L.assemble(L.labelled(table, F.col("target_flag")), cols).select(KEY, "label", "features"), "training")
-    model = L.classifier().fit(data)
-    test = L.assemble(table.filter(F.col("target_flag").isNull()), cols)
-    return L.probability_of_one(model.transform(test)).select(KEY, "probability_1", "prediction")
+    table, cols, data = job_table(spark, sf)
+    forest = B.fit(B.bin_rows(data, len(cols), KEY), [B.classifier()], cols)
+    return probability(B.predict(forest, unlabelled(table, cols)), KEY)
+
+
+@query("card_job_grid")
+def q_card_job_grid(spark, sf):
+    """The job's search over the minimum child weight: ten folds, 2000 rounds on two bins a feature; area
+    under ROC of the hard prediction."""
+    weights, folds = (1.0, 3.0), 10
+    _, cols, data = job_table(spark, sf)
+    data, names = B.with_folds(data, KEY, folds, (0,))
+    binned = B.bin_rows(data, len(cols), KEY, max_bins=2, fold_columns=names)
+    point = B.Settings(rounds=2000, depth=3, step=0.001, gamma=0.0, alpha=0.6, reg_lambda=0.8, subsample=0.5, colsample=1.0, seed=0)
+    models = [m for w in weights for m in on_folds(replace(point, min_child_weight=w), folds=folds)]
+    held = B.predict(B.fit(binned, models, cols), data, range(len(models)), folds=names)
+    metrics = roc_auc_by(held.withColumn("hard", (F.col("prediction") > 0.5).cast("int")), "model", "label", "hard").withColumnRenamed("auc", "metric")
+    return (with_groups(spark, metrics, [(w,) for w in weights for _ in range(folds)], "min_child_weight double")
+            .groupBy("min_child_weight").agg(F.avg("metric").alias("avg_auc")))

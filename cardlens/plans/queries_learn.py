@@ -6,13 +6,15 @@ row counts only.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from dataclasses import replace
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardlens.functions.config import events_fixture
+from cardlens.operators import boost as B
 from cardlens.operators import learn as L
-from cardlens.operators.metrics import unlog_clip
+from cardlens.operators.metrics import roc_auc_by, unlog_clip
 from cardlens.plans import features as FT
 from cardlens.plans.catalog import query
 from cardlens.plans.queries_pivots import trash_mcc_fixture
@@ -31,14 +33,46 @@ def q_client_feature_table(spark, sf):
     return feature_table(spark, sf)
 
 
-def train_set(spark, sf, regression=False):
-    """The feature table and the training rows (cl_id, label, features), both written once:
-    trainers pass over their data many times and would run the whole plan each time."""
+def vector(cols):
+    return F.array(*[F.col(c).cast("double") for c in cols]).alias("features")
+
+
+def train_set(spark, sf, regression=False, seeds=(), folds=4):
+    """The feature table, its feature columns, the training rows (cl_id, label, features, a fold column per seed) and the
+    same binned, written once: trainers pass over them many times."""
     table = write_table(feature_table(spark, sf), "features")
     cols = L.feature_columns(table)
     label = F.log1p(F.col("target_sum").cast("double")) if regression else F.col("target_flag")
-    data = L.assemble(L.labelled(table, label), cols).select("cl_id", "label", "features")
-    return table, cols, write_table(data, "training")
+    data = L.labelled(table, label).select("cl_id", "label", vector(cols))
+    data, names = B.with_folds(data, "cl_id", folds, seeds)
+    return table, cols, data, B.bin_rows(data, len(cols), fold_columns=names), names
+
+
+def unlabelled(table, cols):
+    return table.filter(F.col("target_flag").isNull()).select("cl_id", vector(cols))
+
+
+def probability(scored, *keep):
+    return scored.select(*keep, F.col("prediction").alias("probability_1"), (F.col("prediction") > 0.5).cast("double").alias("prediction"))
+
+
+def on_folds(setting, fold_of=0, folds=4):
+    """The setting once per fold, each leaving its fold out."""
+    return [replace(setting, fold_of=fold_of, fold=f) for f in range(folds)]
+
+
+def held_metrics(forest, data, names, metric):
+    """(model, metric) of every model on the rows that it left out: ``auc`` or ``mse``."""
+    held = B.predict(forest, data, range(len(forest.models)), folds=names)
+    if metric == "auc":
+        return roc_auc_by(held, "model", "label", "prediction").withColumnRenamed("auc", "metric")
+    return held.groupBy("model").agg(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)).alias("metric"))
+
+
+def with_groups(spark, metrics, rows, columns):
+    """Metrics with what their models are: ``rows`` holds one tuple of ``columns`` per model."""
+    about = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"model int, {columns}")
+    return about.join(metrics, "model", "left").drop("model")
 
 
 @query("assemble_features")
@@ -59,119 +93,127 @@ def q_feature_index(spark, sf):
 
 @query("train_classifier")
 def q_train_classifier(spark, sf):
-    _, _, data = train_set(spark, sf)
-    model = L.classifier().fit(data)
-    return L.probability_of_one(model.transform(data)).select("cl_id", "label", "probability_1", "prediction")
+    _, cols, data, binned, _ = train_set(spark, sf)
+    return probability(B.predict(B.fit(binned, [B.classifier()], cols), data), "cl_id", "label")
 
 
 @query("train_regressor")
 def q_train_regressor(spark, sf):
-    _, _, data = train_set(spark, sf, regression=True)
-    model = L.regressor().fit(data)
-    return model.transform(data).select("cl_id", "label", "prediction")
+    _, cols, data, binned, _ = train_set(spark, sf, regression=True)
+    return B.predict(B.fit(binned, [B.regressor()], cols), data).select("cl_id", "label", "prediction")
+
+
+GRID_SEEDS = range(100, 108)
+DEPTHS, WEIGHTS = range(2, 9), range(1, 5)
+
+
+def grid_scores(spark, sf):
+    """(seed, max_depth, min_child_weight, score): the regressor on the flag, 200 rounds, each seed with its own
+    folds; the score is the folds' mean negative squared error."""
+    _, cols, data, binned, names = train_set(spark, sf, seeds=GRID_SEEDS)
+    points = [(s, i, d, w) for i, s in enumerate(GRID_SEEDS) for d in DEPTHS for w in WEIGHTS]
+    models = [m for s, i, d, w in points for m in on_folds(
+        B.regressor(rounds=200, depth=d, step=0.1, min_child_weight=float(w), seed=s), fold_of=i)]
+    metrics = held_metrics(B.fit(binned, models, cols), data, names, "mse")
+    about = [(s, d, w) for s, _, d, w in points for _ in range(4)]
+    return (with_groups(spark, metrics, about, "seed int, max_depth int, min_child_weight int")
+            .groupBy("seed", "max_depth", "min_child_weight").agg((-F.avg("metric")).alias("score")))
 
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=L.GRID_ROUNDS)
-    g = L.grid(est)
-    _, metrics = L.cross_validate(data, est, L.auc_evaluator(), g)
-    rows = [(int(p[est.maxDepth]), int(p[est.minInstancesPerNode]), float(m)) for p, m in zip(g, metrics)]
-    return spark.createDataFrame(rows, "max_depth int, min_instances int, avg_auc double")
+    return grid_scores(spark, sf)
+
+
+@query("best_params")
+def q_best_params(spark, sf):
+    """The best point of each seed's grid (ties: the smaller depth, then weight)."""
+    scores = grid_scores(spark, sf)
+    best = scores.groupBy("seed").agg(F.max_by(F.struct("max_depth", "min_child_weight", "score"),
+                                               F.struct("score", -F.col("max_depth"), -F.col("min_child_weight"))).alias("x"))
+    value = lambda c: F.struct(F.lit(c).alias("param"), F.col(f"x.{c}").cast("string").alias("value"))
+    return best.select("seed", F.explode(F.array(*[value(c) for c in ("max_depth", "min_child_weight", "score")])).alias("p")).select("seed", "p.*")
 
 
 @query("cv_classifier")
 def q_cv_classifier(spark, sf):
-    _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=L.CV_ROUNDS, max_depth=3, min_instances=1)
-    _, metrics = L.cross_validate(data, est, L.auc_evaluator(), [{}], folds=4, seed=1)
-    return spark.createDataFrame([(4, float(metrics[0]))], "folds int, avg_auc double")
+    """The full classifier, four folds, mean AUC."""
+    _, cols, data, binned, names = train_set(spark, sf, seeds=(1,))
+    metrics = held_metrics(B.fit(binned, on_folds(B.classifier()), cols), data, names, "auc")
+    return metrics.agg(F.count(F.lit(1)).cast("int").alias("folds"), F.avg("metric").alias("avg_auc"))
+
+
+@query("cv_regressor")
+def q_cv_regressor(spark, sf):
+    """The full regressor on the log target, four folds: mean squared error and its root."""
+    _, cols, data, binned, names = train_set(spark, sf, regression=True, seeds=(1,))
+    metrics = held_metrics(B.fit(binned, on_folds(B.regressor()), cols), data, names, "mse")
+    return metrics.agg(F.count(F.lit(1)).cast("int").alias("folds"), F.avg("metric").alias("avg_mse"), F.sqrt(F.avg("metric")).alias("rmse"))
 
 
 @query("cv_repeated")
 def q_cv_repeated(spark, sf):
-    _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=L.CV_ROUNDS, max_depth=3, min_instances=1)
-    rows = []
-    for seed in range(7):
-        _, metrics = L.cross_validate(data, est, L.auc_evaluator(), [{}], folds=4, seed=seed)
-        rows.append((seed, float(metrics[0])))
-    mean = sum(m for _, m in rows) / len(rows)
-    return spark.createDataFrame([(s, m, mean) for s, m in rows], "seed int, avg_auc double, mean_auc double")
+    """The plain regressor on the flag over seven foldings: AUC of each and the mean of all."""
+    seeds = range(7)
+    _, cols, data, binned, names = train_set(spark, sf, seeds=seeds)
+    models = [m for i in seeds for m in on_folds(B.plain(logistic=False), fold_of=i)]
+    metrics = held_metrics(B.fit(binned, models, cols), data, names, "auc")
+    each = with_groups(spark, metrics, [(s,) for s in seeds for _ in range(4)], "seed int").groupBy("seed").agg(F.avg("metric").alias("avg_auc"))
+    mean = each.agg(F.avg("avg_auc")).scalar()
+    return each.withColumn("mean_auc", mean)
 
 
 @query("score_clients")
 def q_score_clients(spark, sf):
-    table, cols, data = train_set(spark, sf)
-    model = L.classifier().fit(data)
-    test = L.assemble(table.filter(F.col("target_flag").isNull()), cols)
-    return L.probability_of_one(model.transform(test)).select("cl_id", "probability_1", "prediction")
+    table, cols, _, binned, _ = train_set(spark, sf)
+    return probability(B.predict(B.fit(binned, [B.classifier()], cols), unlabelled(table, cols)), "cl_id")
 
 
 @query("score_spend")
 def q_score_spend(spark, sf):
     """Second goal: spend of the unlabelled clients by the regressor on the log target,
     turned back (exp(p) - 1, not below 0), written as predictions and read back."""
-    table, cols, data = train_set(spark, sf, regression=True)
-    model = L.regressor().fit(data)
-    test = model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols))
-    spend = test.select("cl_id", unlog_clip("prediction").alias("spend"))
+    table, cols, _, binned, _ = train_set(spark, sf, regression=True)
+    scored = B.predict(B.fit(binned, [B.regressor()], cols), unlabelled(table, cols))
+    spend = scored.select("cl_id", unlog_clip("prediction").alias("spend"))
     return I.read_predictions(spark, I.write_predictions(spend, scratch_path(spark, "spend"), value_col="spend"))
 
 
-@query("cv_regressor")
-def q_cv_regressor(spark, sf):
-    """Grid of the regressor by RMSE on the log target, k-fold."""
-    _, _, data = train_set(spark, sf, regression=True)
-    est = L.regressor(max_iter=L.GRID_ROUNDS, step=0.1)
-    g = L.grid(est)
-    _, metrics = L.cross_validate(data, est, L.rmse_evaluator(), g)
-    rows = [(int(p[est.maxDepth]), int(p[est.minInstancesPerNode]), float(m)) for p, m in zip(g, metrics)]
-    return spark.createDataFrame(rows, "max_depth int, min_instances int, avg_rmse double")
+@query("early_stopping")
+def q_early_stopping(spark, sf):
+    """Held-out loss of the classifier by round on one fold, stopped 30 rounds after its best one."""
+    _, cols, _, binned, _ = train_set(spark, sf, seeds=(1,))
+    forest = B.fit(binned, [replace(m, patience=30) for m in on_folds(B.classifier())], cols)
+    best = spark.createDataFrame(list(enumerate(forest.best_round)), "fold int, best_round int")
+    loss = B.held_out_loss(forest).withColumnRenamed("model", "fold")
+    return loss.join(best, "fold").withColumn("is_best", F.col("round") + 1 == F.col("best_round"))
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    _, cols, data = train_set(spark, sf)
-    model = L.classifier(max_iter=10).fit(data)
-    return L.importances(spark, model, cols)
+    _, cols, _, binned, _ = train_set(spark, sf)
+    return B.importances(B.fit(binned, [B.classifier()], cols))
 
 
 @query("select_features")
 def q_select_features(spark, sf):
-    table, cols, data = train_set(spark, sf)
-    model = L.classifier(max_iter=10).fit(data)
-    imp = model.featureImportances.toArray().tolist()
-    keep = [c for c, v in zip(cols, imp) if v > 0]
-    return table.select("cl_id", *keep)
-
-
-@query("best_params")
-def q_best_params(spark, sf):
-    _, _, data = train_set(spark, sf)
-    est = L.classifier(max_iter=L.GRID_ROUNDS)
-    model, _ = L.cross_validate(data, est, L.auc_evaluator(), L.grid(est))
-    best = model.bestModel
-    rows = [(p.name, str(v)) for p, v in best.extractParamMap().items()]
-    return spark.createDataFrame(rows, "param string, value string")
+    """The feature table without the columns that the classifier never splits on."""
+    table, cols, _, binned, _ = train_set(spark, sf)
+    used = {r.feature for r in B.importances(B.fit(binned, [B.classifier()], cols)).where("importance > 0").collect()}
+    return table.select("cl_id", *[c for c in cols if c in used])
 
 
 @query("model_save_load")
 def q_model_save_load(spark, sf):
-    table, cols, _ = train_set(spark, sf)
-    data = L.labelled(table, F.col("target_flag")).select(
-        "cl_id", "label", *[F.col(c).cast("double").alias(c) for c in cols])
-    pipe = Pipeline(stages=[L.assembler(cols), L.classifier(max_iter=5)]).fit(data)
-    path = L.save_model(pipe, scratch_path(spark, "model"))
-    loaded = L.load_model(path)
-    return L.probability_of_one(loaded.transform(data)).select("cl_id", "probability_1")
+    _, cols, data, binned, _ = train_set(spark, sf)
+    forest, _ = B.load(spark, B.save(B.fit(binned, [B.classifier()], cols), scratch_path(spark, "model")))
+    return probability(B.predict(forest, data), "cl_id").select("cl_id", "probability_1")
 
 
 @query("end_to_end")
 def q_end_to_end(spark, sf):
-    """Card-log CSV files -> parse -> convert -> features -> train -> score
-    the unlabelled clients -> prediction CSV -> read back."""
+    """Card-log CSV files -> parse -> convert -> features -> train both models -> score the unlabelled
+    clients -> one prediction CSV per goal -> read back."""
     from cardlens.plans.queries_io import card_log_files
     train_p, test_p = card_log_files(spark, sf)
     train = I.parse_transactions(I.read_transactions_csv(spark, train_p, labelled=True))
@@ -182,8 +224,13 @@ def q_end_to_end(spark, sf):
     rows = rows.withColumn("tx_id", F.xxhash64(*rows.columns))
     table = write_table(FT.client_feature_table(rows, V.fx(spark, sf), labels, events_fixture(), trash_mcc_fixture()), "features")
     cols = L.feature_columns(table)
-    data = write_table(L.assemble(L.labelled(table, F.col("target_flag")), cols).select("cl_id", "label", "features"), "training")
-    model = L.classifier().fit(data)
-    scored = L.probability_of_one(model.transform(L.assemble(table.filter(F.col("target_flag").isNull()), cols)))
-    path = I.write_predictions(scored, scratch_path(spark, "submission"), value_col="probability_1")
-    return I.read_predictions(spark, path)
+    goals = [("flag", B.classifier(), F.col("target_flag"), F.col("prediction")),
+             ("spend", B.regressor(), F.log1p(F.col("target_sum").cast("double")), unlog_clip("prediction"))]
+    out = None
+    for goal, setting, label, value in goals:
+        forest = B.fit(B.bin_rows(L.labelled(table, label).select("cl_id", "label", vector(cols)), len(cols)), [setting], cols)
+        scored = B.predict(forest, unlabelled(table, cols)).select("cl_id", value.alias("value"))
+        path = I.write_predictions(scored, scratch_path(spark, "submission"), value_col="value")
+        read = I.read_predictions(spark, path).withColumn("goal", F.lit(goal))
+        out = read if out is None else out.unionByName(read)
+    return out

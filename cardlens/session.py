@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -84,3 +86,19 @@ def write_table(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send the package's own source to the executors, once a session: they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cardlens_sent", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="cardlens-code-"), "cardlens_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._cardlens_sent = True
