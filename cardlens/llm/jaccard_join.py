@@ -16,6 +16,9 @@ over all documents fills), then the shingle's hash.
   candidate pair between different components, so no link between components is lost.
   Knowing both sizes, it needs only the first ``n - overlap + 1`` shingles of either set
   (``overlap``: the least that links the sizes), which leaves out the frequent ones.
+* Many variants of one text that link with few others share prefixes all the same.  Each class has a signature: the parity
+  of its shingles in ``SIGNATURE`` buckets.  Two sets differ in at least as many shingles as their signatures in bits, so
+  the join of the second round drops pairs that differ too much before they become rows.
 """
 
 from __future__ import annotations
@@ -40,8 +43,9 @@ FLUSH = 1_000_000       # shingles that a task counts at a time
 HASH_LEADERS = 6        # of the first round
 BAND = 0.1              # size bands of the second round: factors of exp(BAND)
 CANDIDATE_BITS = 25     # 4 MB bitmap of classes that have candidates
+SIGNATURE = 1024        # bits
 
-_RECORD = "kind tinyint, doc_id long, n long, set_id long"
+_RECORD = "kind tinyint, doc_id long, n long, set_id long, signature array<long>"
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
@@ -51,9 +55,18 @@ def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
             yield ids.slice(lo, hi - lo), K.shingle_sets(data, ptr, shingle)
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Parity of a set's shingles per bucket, as 64-bit words."""
+    odd = np.bincount((s >> K.U64(20) & K.U64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _survey(shingle: int):
-    """Rows of kind 0: one per document (its set's size and id).  Rows of kind 1:
+    """Rows of kind 0: one per document (its set's size, id and signature).  Rows of kind 1:
     sketch cells (in doc_id) of shingles that repeat within a run of documents, with counts (in n)."""
+    names = ["kind", "doc_id", "n", "set_id", "signature"]
+    words = SIGNATURE // 64
+
     def run(batches):
         held, size, seen = [], 0, set()
 
@@ -63,13 +76,14 @@ def _survey(shingle: int):
             count = np.bincount(cells, c[c > 1], 1 << SKETCH_LOG2) if len(cells) else np.zeros(0)
             at = np.flatnonzero(count)
             return pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int8)), pa.array(at.astype(np.int64)),
-                                               pa.array(count[at].astype(np.int64)), pa.array(np.zeros(len(at), np.int64))],
-                                              ["kind", "doc_id", "n", "set_id"])
+                                               pa.array(count[at].astype(np.int64)), pa.array(np.zeros(len(at), np.int64)),
+                                               pa.nulls(len(at), pa.list_(pa.int64()))], names)
         for ids, sets in _sets(batches, shingle):
             marks = [K.set_id(s) for s in sets]
+            signs = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * words, pa.int32()),
+                                             pa.array(np.concatenate([np.zeros(0, np.int64), *map(signature, sets)])))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(sets), np.int8)), ids.cast(pa.int64()),
-                                              pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.int64())],
-                                             ["kind", "doc_id", "n", "set_id"])
+                                              pa.array([len(s) for s in sets], pa.int64()), pa.array(marks, pa.int64()), signs], names)
             for m, s in zip(marks, sets):
                 if m not in seen:          # copies are one class; they make nothing frequent
                     seen.add(m)
@@ -173,14 +187,12 @@ def _segments(shingle: int, classes, wanted):
 
 
 def _may_link(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b, na, nb), one row per shared prefix shingle in; once each out, without
-    those whose overlap cannot reach the threshold.  Beyond the prefix that ends first,
-    a set of size n has ``ceil(t n) - 1`` shingles left, so the overlap is at most
-    the number of shared prefix shingles plus the larger of the two rests."""
+    """Pairs (a, b, na, nb, met) without those whose overlap cannot reach the threshold.  Beyond the prefix that ends first,
+    a set of size n has ``ceil(t n) - 1`` shingles left, so the overlap is at most the number of
+    prefix shingles that both have (``met``) plus the larger of the two rests."""
     need = _least_overlap(F.col("na"), F.col("nb"), threshold)
     rest = F.ceil(threshold * F.greatest("na", "nb") / 100) - 1
-    return (pairs.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
-            .where(F.col("met") + rest >= need).drop("met"))
+    return pairs.where(F.col("met") + rest >= need).drop("met")
 
 
 def _linked(base: DataFrame, pairs: DataFrame, shingle: int, threshold: int, order) -> DataFrame:
@@ -225,13 +237,15 @@ def _least_overlap(na, nb, threshold: int):
     return F.ceil(threshold * (na + nb) / (100 + threshold))
 
 
-def _crossing(shared: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
+def _crossing(shared: DataFrame, parts: DataFrame, signatures: DataFrame, threshold: int) -> DataFrame:
     """All pairs (a, b, na, nb) of classes of different components that may link, once each.
 
     A posting goes to one key per size band of a possible partner, while its place is within
-    the prefix that such a partner asks for.  Keys of a single component go; the others
-    meet by component first, so members of one component are never compared.
+    the prefix that such a partner asks for.  Keys of a single component go.  In a key, the members of its largest
+    component are not compared with each other; all other pairs of different components are, in the join's
+    condition: sizes, places and signatures must allow a link.
     """
+    words = [f"s{i}" for i in range(SIGNATURE // 64)]
     named = (shared.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left")
              .withColumn("part", F.coalesce("component", "set_id")).drop("component"))
     apart = named.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("token")
@@ -246,28 +260,37 @@ def _crossing(shared: DataFrame, parts: DataFrame, threshold: int) -> DataFrame:
     key = ["token", "lo", "hi"]
     several = (keyed.groupBy(*key).agg(F.min("part").alias("x"), F.max("part").alias("y"), F.min("own").alias("s"), F.max("own").alias("t"))
                .where("x <> y and s = lo and t = hi").select(*key))
-    keyed = write_table(keyed.join(several, key), "crossing")
-    groups = keyed.groupBy(*key, "part", "own").agg(F.count(F.lit(1)).alias("m"))
-    side = lambda t, x, *more: t.select(*key, F.col("part").alias(f"p{x}"), F.col("own").alias(f"own_{x}"), *more)
-    # the smaller component of the key is a, so that the first join stays small
-    meets = side(groups, "a", F.col("m").alias("ma")).join(side(groups, "b", F.col("m").alias("mb")), key).where(
-        (F.struct("ma", "pa") < F.struct("mb", "pb")) & (F.col("pa") != F.col("pb"))
-        & ((F.col("own_a") != F.col("own_b")) | (F.col("lo") == F.col("hi")))).drop("ma", "mb")
-    members = lambda x: side(keyed, x, F.col("set_id").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"at_{x}"))
+    keyed = write_table(keyed.join(several, key).join(signatures, "set_id").select(
+        *key, "part", "own", "set_id", "n", "pos", *[F.get("signature", F.lit(i)).alias(w) for i, w in enumerate(words)]), "crossing")
+    major = (keyed.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("m"))
+             .groupBy(*key).agg(F.max(F.struct("m", "part")).alias("x")).select(*key, F.col("x.part").alias("major")))
+    side = lambda t, x: t.select(*key, F.col("part").alias(f"p{x}"), F.col("own").alias(f"own_{x}"), F.col("set_id").alias(x),
+                                 F.col("n").alias(f"n{x}"), F.col("pos").alias(f"at_{x}"), *[F.col(w).alias(f"{x}{w}") for w in words],
+                                 *[c for c in t.columns if c == "major"])
+    minor = side(keyed.join(major, key).where("part <> major"), "a")
     na, nb = F.col("na"), F.col("nb")
     need = _least_overlap(na, nb, threshold)
-    met = (meets.join(members("a"), [*key, "pa", "own_a"]).join(members("b"), [*key, "pb", "own_b"])
-           .where((100 * na >= threshold * nb) & (100 * nb >= threshold * na)
-                  & (F.col("at_a") < na - need + 1) & (F.col("at_b") < nb - need + 1)))
+    differ = sum((F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}"))) for w in words[1:]), F.bit_count(F.col(f"a{words[0]}").bitwiseXOR(F.col(f"b{words[0]}"))))
+    b = side(keyed, "b").withColumnsRenamed({k: f"b_{k}" for k in key})
+    meets = ((F.col("pa") != F.col("pb")) & ((F.col("pb") == F.col("major")) | (F.col("pa") < F.col("pb")))
+             & ((F.col("own_a") != F.col("own_b")) | (F.col("lo") == F.col("hi")))
+             & (100 * na >= threshold * nb) & (100 * nb >= threshold * na)
+             & (F.col("at_a") < na - need + 1) & (F.col("at_b") < nb - need + 1) & (differ <= na + nb - 2 * need))
+    for k in key:
+        meets = (F.col(k) == F.col(f"b_{k}")) & meets
+    met = minor.join(b, meets)
     first = F.col("a") < F.col("b")
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(first, na).otherwise(nb).alias("na"),
                       F.when(first, nb).otherwise(na).alias("nb")).distinct()
 
 
-def _shared_tokens(pairs: DataFrame, shared: DataFrame) -> DataFrame:
-    """Pairs (a, b, na, nb), one row per prefix shingle that both have."""
-    have = lambda x: shared.select(F.col("set_id").alias(x), "token")
-    return pairs.join(have("a"), "a").join(have("b"), ["b", "token"]).drop("token")
+def _with_met(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """Pairs with ``met``, the number of prefix shingles that both have: one row per pair."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    prefix = shared.join(ends, "set_id", "left_semi").groupBy("set_id").agg(F.collect_list("token").alias("tokens"))
+    have = lambda x: prefix.select(F.col("set_id").alias(x), F.col("tokens").alias(f"t{x}"))
+    return (pairs.join(have("a"), "a").join(have("b"), "b")
+            .select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("met")))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -288,6 +311,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = documents(docs, id_col, text_col)
     survey = write_table(in_tasks(base, _survey(shingle), _RECORD), "survey")
     rows = survey.where("kind = 0").select("doc_id", "n", "set_id")
+    signatures = survey.where("kind = 0 and n > 0").groupBy("set_id").agg(F.any_value("signature").alias("signature"))
     cells = survey.where("kind = 1").groupBy("doc_id").agg(F.sum("n").alias("n")).toArrow()  # 2**SKETCH_LOG2 rows at most
     classes = np.zeros(1 << SKETCH_LOG2, np.uint8)
     if cells.num_rows:
@@ -298,10 +322,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     postings = in_tasks(base, _prefixes(shingle, threshold, order), columns)
     shared = write_table(in_tasks(postings.repartition("token").sortWithinPartitions("token", "set_id"), _runs, columns), "postings")
 
-    first = _linked(base, write_table(_may_link(_stars(shared, threshold), threshold), "pairs"), shingle, threshold, order)
+    stars = _stars(shared, threshold).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
+    first = _linked(base, write_table(_may_link(stars, threshold), "pairs"), shingle, threshold, order)
     parts = write_table(components(first), "parts")
-    crossing = write_table(_crossing(shared, parts, threshold), "pairs")
-    second = _linked(base, write_table(_may_link(_shared_tokens(crossing, shared), threshold), "pairs"), shingle, threshold, order)
+    crossing = write_table(_crossing(shared, parts, signatures, threshold), "pairs")
+    second = _linked(base, write_table(_may_link(_with_met(crossing, shared), threshold), "pairs"), shingle, threshold, order)
     whole = components(first.union(second))
 
     # names are worked out per class, so that a group of copies is one row, and given to the rows last
@@ -310,11 +335,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                          .select("set_id", "least_id", F.coalesce("component", "set_id").alias("part")), "classes")
     least = write_table(placed.groupBy("part").agg(F.min("least_id").alias("least")), "least")
     named = write_table(placed.join(least, "part").select("set_id", "part", "least"), "named")
-    # n = 0: linked with nothing
-    return (rows.join(named, "set_id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "set_id",
-                    F.when(F.col("n") > 0, F.col("part")).alias("group")))
+    linked = rows.where("n > 0").join(named, "set_id").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), "set_id", F.col("part").alias("group"))
+    # linked with nothing, and not one hot key of the join
+    return linked.union(rows.where("n = 0").select("doc_id", "n", "doc_id", "set_id", F.lit(None).cast("long")))
 
 
 def _with_set_id(docs: DataFrame, text_col: str, shingle: int) -> tuple[DataFrame, str]:

@@ -1,7 +1,9 @@
+import random
+
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
+from cardlens.llm import jaccard_join as J
 from cardlens.llm import textkernel as K
 from cardlens.llm.components import components
 from cardlens.llm.jaccard_join import jaccard_components, keep_one
@@ -33,6 +35,40 @@ def test_group_of_variants_at_the_threshold(spark):
     assert got(jaccard_components(table(spark, rows))) == sorted(jaccard_classes(rows), key=key)
 
 
+def below_threshold(n, words=200, changed=5):
+    """Variants of one text, none of which links with another: each has other words in ``changed`` places."""
+    r, base, rows = random.Random(1), [f"w{i}" for i in range(words)], []
+    for i in range(n):
+        t = list(base)
+        for j in range(changed):
+            t[(r.randrange(words // changed - 8) + j * (words // changed)) + 3] = f"x{i}_{j}"
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def test_candidates_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    counts = {}
+    kept = J._crossing
+    for n in (200, 800):
+        def counted(*args, n=n):
+            out = kept(*args)
+            counts[n] = out.count()
+            return out
+        monkeypatch.setattr(J, "_crossing", counted)
+        assert len({r[2] for r in got(jaccard_components(table(spark, below_threshold(n))))}) == n
+    assert counts[800] <= 4 * max(counts[200], 10)
+
+
+def test_signature_bounds_the_difference():
+    r = np.random.default_rng(3)
+    for n in (1, 50, 3000):
+        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], r.integers(0, 1 << 63, n // 3).astype(np.uint64)]))
+        bits = np.unpackbits((J.signature(a) ^ J.signature(b)).view(np.uint8)).sum()
+        assert bits <= len(np.setxor1d(a, b)) and len(J.signature(a)) == J.SIGNATURE // 64
+    assert not J.signature(a[:0]).any()
+
+
 def test_edge_rows(spark):
     df = table(spark, EDGES, clash=["set_id", "n", "token", "group", "part", "row_number"])
     assert got(jaccard_components(df)) == sorted(jaccard_classes(EDGES), key=key)
