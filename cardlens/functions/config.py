@@ -6,11 +6,37 @@ same roles onto the synthetic ``events`` table (see FIXTURES.md).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+import json
+from dataclasses import asdict, dataclass, field, fields, replace
 
 from cardlens.functions import constants as K
 
 
+@dataclass(frozen=True)
+class DivisibleBy:
+    """Code list as a rule: codes that one of the divisors divides."""
+    divisors: tuple
+
+    def __call__(self, code):
+        out = code % self.divisors[0] == 0
+        for d in self.divisors[1:]:
+            out = out | (code % d == 0)
+        return out
+
+
+def codes_to_json(codes):
+    """A code list or a ``DivisibleBy`` rule; any other predicate cannot be saved."""
+    if isinstance(codes, DivisibleBy):
+        return {"divisible_by": list(codes.divisors)}
+    if callable(codes):
+        raise ValueError("a saved configuration needs a list of codes or DivisibleBy")
+    return list(codes)
+
+
+def codes_from_json(codes):
+    return DivisibleBy(tuple(codes["divisible_by"])) if isinstance(codes, dict) else tuple(codes)
+
+
 @dataclass(frozen=True)
 class FeatureConfig:
     pos_category: str = K.POS_CATEGORY
@@ -34,6 +60,15 @@ class FeatureConfig:
     def with_(self, **kw) -> "FeatureConfig":
         return replace(self, **kw)
 
+    def to_json(self) -> str:
+        return json.dumps({**asdict(self.with_(bad_mcc=())), "bad_mcc": codes_to_json(self.bad_mcc)})
+
+    @classmethod
+    def from_json(cls, text: str) -> "FeatureConfig":
+        d = json.loads(text)
+        tuples = {f.name for f in fields(cls) if isinstance(f.default, tuple)}
+        return cls(**{k: codes_from_json(v) if k == "bad_mcc" else tuple(v) if k in tuples else v for k, v in d.items()})
+
 
 def reference() -> FeatureConfig:
     return FeatureConfig()
@@ -45,7 +80,7 @@ def events_fixture() -> FeatureConfig:
     return FeatureConfig(
         pos_category="purchase",
         income_categories=("signup",),
-        bad_mcc=lambda code: code % 7 == 0,
+        bad_mcc=DivisibleBy((7,)),
         base_year=2024,
         holidays=("2024-01-01", "2024-01-06", "2024-01-07", "2024-01-13", "2024-01-14"),
     )

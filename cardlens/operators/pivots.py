@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cardlens.functions.config import FeatureConfig
 from cardlens.functions.stats import safe_div
 from cardlens.operators.holistic import keyed_stats
+from cardlens.session import write_table
 
 KEY = "cl_id"
 TOTAL = "__total__"
@@ -28,10 +29,10 @@ CAT_STATS = ("sum", "mean", "std", "median", "max", "min", "mode_count", "mode",
 
 @dataclass(frozen=True)
 class PivotDim:
-    """One pivot dimension: columns ``{prefix}{value}`` for the fitted values."""
+    """One pivot dimension: columns ``{prefix}{value}`` for the fitted values (None: those of a label table)."""
     prefix: str
     expr: Column
-    values: tuple
+    values: tuple | None
     where: Column | None = None
     share_of: str | None = None   # None, TOTAL or GOOD_TOTAL
 
@@ -95,6 +96,31 @@ def pivot_sums(tx: DataFrame, dims: list[PivotDim], value: str = "amount", good:
     return wide.select(*cols)
 
 
+def open_labels(tx: DataFrame, dims: list[PivotDim]) -> DataFrame:
+    """(label): the labels that the dimensions without a value list have in ``tx``, in one pass."""
+    entries = [F.concat(F.lit(d.prefix), d.expr.cast("string")) for d in dims if d.values is None]
+    return tx.select(F.explode(F.array(*entries)).alias("label")).where("label is not null").distinct()
+
+
+def pivot_long(tx: DataFrame, dims: list[PivotDim], labels: DataFrame, value: str = "amount", good: str | None = GOOD_COL) -> DataFrame:
+    """The columns of ``pivot_sums`` as (client, feature, x) rows, those that are not 0.  Dimensions without a value list take
+    the labels of a table (``open_labels``), which may have any size; the plan does not grow with the values."""
+    v = F.col(value)
+    entry = lambda label, open_, share: F.struct(label.alias("l"), F.lit(open_).alias("o"), F.lit(share).alias("t"), v.alias("v"))
+    entries = [entry(F.lit(TOTAL), False, None), F.when(is_good(good), entry(F.lit(GOOD_TOTAL), False, None))]
+    for d in dims:
+        cond = d.expr.isNotNull() if d.values is None else d.expr.isin(*d.values)
+        cond = cond if d.where is None else cond & d.where
+        entries.append(F.when(cond, entry(F.concat(F.lit(d.prefix), d.expr.cast("string")), d.values is None, d.share_of)))
+    sums = write_table(tx.select(KEY, F.explode(F.array(*entries)).alias("e")).where("e is not null")
+                       .groupBy(KEY, "e.l", "e.o", "e.t").agg(F.sum("e.v").alias("s")), "pivot-long")
+    totals = sums.where(F.col("l").isin(TOTAL, GOOD_TOTAL)).select(KEY, F.col("l").alias("t"), F.col("s").cast("double").alias("total"))
+    rest = sums.where(~F.col("l").isin(TOTAL, GOOD_TOTAL)).select(KEY, F.col("l").alias("feature"), "o", "t", F.col("s").cast("double").alias("s"))
+    fixed = rest.where("not o").union(rest.where("o").join(labels.withColumnRenamed("label", "feature"), "feature", "left_semi").select(*rest.columns))
+    shared = fixed.where("t is not null").join(totals, [KEY, "t"], "left").select(KEY, "feature", F.round(safe_div(F.col("s"), F.col("total")), 6).alias("x"))
+    return fixed.where("t is null").select(KEY, "feature", F.col("s").alias("x")).union(shared).where("x is not null and x <> 0")
+
+
 def shares_long(tx: DataFrame, col: str, value: str = "amount", keep: Column | None = None,
                 total_of: Column | None = None) -> DataFrame:
     """(client, value of ``col``, share): the sum of ``value`` per client and value of an

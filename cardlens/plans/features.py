@@ -30,6 +30,8 @@ from cardlens.operators import pivots as P
 from cardlens.operators import recency as R
 from cardlens.operators.asof import convert_with_tolerance
 from cardlens.operators.dictionary import code_table, fit_values, with_code, with_membership
+from cardlens.operators.encoding import long_vectors, unpivot
+from cardlens.operators.learn import feature_columns
 from cardlens.operators.tenure import enrich
 from cardlens.session import write_table
 
@@ -108,34 +110,67 @@ def fit_lists(train_log: DataFrame, cfg: FeatureConfig, trash_mcc=()) -> dict:
     }
 
 
-def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame:
-    """Pivots, shares and tenure features (the notebook's second block), 0-filled."""
+def pivot_dims(cfg: FeatureConfig, years, cat_codes, mccs) -> list[P.PivotDim]:
+    """The pivot families; None instead of a list leaves a family's values to a label table."""
     pg = P.pos_good(cfg)
     pos = F.col("category") == cfg.pos_category
-    t = with_code(log, "category", "cat_index", lists["category_codes"])
-    dims = [
-        P.PivotDim("year_", F.col("year"), tuple(lists["years"]), pg),
+    return [
+        P.PivotDim("year_", F.col("year"), years, pg),
         P.PivotDim("year_month_", F.col("month"), tuple(range(1, 13)), pg),
         P.PivotDim("month_day_", F.col("day"), tuple(range(1, 32)), pg),
         P.PivotDim("day_part_", F.col("day_part"), (0, 1, 2), pg, P.TOTAL),
         P.PivotDim("hour_", F.col("tr_hour"), tuple(range(24)), pg, P.TOTAL),
-        P.PivotDim("cat_", F.col("cat_index"), tuple(range(len(lists["categories"]))), None, P.TOTAL),
+        P.PivotDim("cat_", F.col("cat_index"), cat_codes, None, P.TOTAL),
         P.PivotDim("cur_", F.col("currency"), tuple(cfg.currencies)),
         P.PivotDim("week_day_", F.col("week_day"), tuple(cfg.weekdays)),
         P.PivotDim("day_", F.col("day_number"), tuple(range(cfg.max_day_number)), pos),
-        P.PivotDim("sum_", F.col("mcc"), tuple(lists["mcc"]), None, P.GOOD_TOTAL),
+        P.PivotDim("sum_", F.col("mcc"), mccs, None, P.GOOD_TOTAL),
         P.PivotDim("quartel_", F.col("quartel"), (0, 1, 2, 3)),
         P.PivotDim("week_", F.col("week_number"), tuple(range(cfg.max_day_number // 7)), pg),
     ]
-    wide = P.pivot_sums(t, dims, "amount")
-    # scalar shares, tenure holes and both relative-month families: one aggregate
+
+
+def scalar_features(t: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Scalar shares, tenure holes, both relative-month families and tenure coverage."""
     scal = t.groupBy(KEY).agg(*P.scalar_aggs(cfg), *P.relative_month_aggs(cfg, flows=False),
                               *P.relative_month_aggs(cfg, flows=True))
     cover = P.period_part_coverage(t.select(KEY, *[f"period_part_{n}" for n in cfg.period_parts]).distinct(), cfg)
-    out = scal
-    for part in (wide, cover):
-        out = out.join(part, KEY, "left")
-    return out.fillna(0)
+    return scal.join(cover, KEY, "left").fillna(0)
+
+
+def build_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame:
+    """Pivots, shares and tenure features (the notebook's second block), 0-filled."""
+    t = with_code(log, "category", "cat_index", lists["category_codes"])
+    dims = pivot_dims(cfg, tuple(lists["years"]), tuple(range(len(lists["categories"]))), tuple(lists["mcc"]))
+    wide = P.pivot_sums(t, dims, "amount")
+    return scalar_features(t, cfg).join(wide, KEY, "left").fillna(0)
+
+
+def client_vectors(tx: DataFrame, rates: DataFrame | None, labels: DataFrame, cfg: FeatureConfig, trash_mcc=()) -> tuple[DataFrame, DataFrame]:
+    """(vectors, names): one sparse vector of all features per client, and (idx, feature).
+
+    Holds what ``client_feature_table`` holds, but the pivot families go from long sums to the vector without
+    becoming columns, and their open-ended values (years, categories, codes) stay in a written table.  A missing value is NaN; 0 takes no place."""
+    log = write_table(prepare_log(tx, rates, cfg), "prepared-log")
+    train_log = log.join(labels.select(KEY), KEY, "left_semi")
+    codes = write_table(code_table(train_log, "category"), "codes")
+    t = with_code(log, "category", "cat_index", codes)
+    dims = pivot_dims(cfg, None, None, None)
+    train = with_membership(with_membership(with_code(train_log, "category", "cat_index", codes), "mcc", cfg.bad_mcc, "_bad"), "mcc", trash_mcc, "_trash")
+    known = train.withColumns({"mcc": F.when(~F.col("_bad") & ~F.col("_trash"), F.col("mcc")),
+                               "cat_index": F.when(F.col("cat_index") >= 0, F.col("cat_index"))})
+    found = write_table(P.open_labels(known, dims), "labels")
+    scal = scalar_features(t, cfg)
+    frame = client_frame(log, cfg, fit_values(train_log, "category"))
+    long = (P.pivot_long(t, dims, found)
+            .union(unpivot(scal, [c for c in scal.columns if c != KEY]).where("x <> 0"))
+            .union(unpivot(frame, feature_columns(frame)).select(KEY, "feature", F.coalesce("x", F.lit(float("nan"))).alias("x"))))
+    return long_vectors(long, log.select(KEY))
+
+
+def scored_features(log: DataFrame, cfg: FeatureConfig, lists: dict) -> DataFrame:
+    """Both feature blocks of a prepared log by fitted value lists."""
+    return cs.wide_join(build_features(log, cfg, lists), client_frame(log, cfg, lists["categories"]))
 
 
 def client_feature_table(tx: DataFrame, rates: DataFrame | None, labels: DataFrame, cfg: FeatureConfig,
@@ -154,8 +189,4 @@ def client_feature_table(tx: DataFrame, rates: DataFrame | None, labels: DataFra
     elif materialize == "persist":
         log = log.persist(StorageLevel.MEMORY_AND_DISK)
     train_log = log.join(labels.select(KEY), KEY, "left_semi")
-    lists = fit_lists(train_log, cfg, trash_mcc)
-    built = build_features(log, cfg, lists)
-    frame = client_frame(log, cfg, lists["categories"])
-    table = cs.wide_join(built, frame)
-    return table.join(labels, KEY, "left")
+    return scored_features(log, cfg, fit_lists(train_log, cfg, trash_mcc)).join(labels, KEY, "left")

@@ -17,6 +17,7 @@ from cardlens.functions import calendar as cal
 from cardlens.functions.config import events_fixture
 from cardlens.operators import asof as A
 from cardlens.operators import boost as B
+from cardlens.operators import encoding as E
 from cardlens.operators import learn as L
 from cardlens.operators import onehot as OH
 from cardlens.operators import tenure as T
@@ -40,24 +41,14 @@ def card_rows(spark, sf):
             .withColumn("channel", F.coalesce("channel_type", F.lit("none"))))
 
 
-def _fit(rows):
-    """(fitted encoders, encoded columns): a column with one label only has an empty one-hot,
-    for which the encoder has no model."""
-    several = rows.agg(*[(F.min(c) != F.max(c)).alias(c) for c in ENCODED]).first()
-    cols = [c for c in ENCODED if several[c]]
-    return L.fit_encoder(rows, cols), cols
-
-
-def _encoded(rows, cols, *extra):
-    vec = lambda c: vector_to_array(f"{c}_vec") if c in cols else F.array().cast("array<double>")
-    return rows.select(KEY, "tx_id", *extra, *[vec(c).alias(f"{c}_vec") for c in ENCODED])
+def _encoded(encoder, rows, *extra):
+    return encoder.transform(rows).select(KEY, "tx_id", *extra, *[f"{c}_vec" for c in ENCODED])
 
 
 @query("one_hot")
 def q_one_hot(spark, sf):
     rows = card_rows(spark, sf)
-    model, cols = _fit(rows)
-    return _encoded(model.transform(rows), cols)
+    return _encoded(E.fit_encoder(rows, ENCODED), rows)
 
 
 @query("encode_pipeline")
@@ -65,9 +56,8 @@ def q_encode_pipeline(spark, sf):
     """Encoders fitted on train and test together, applied to each."""
     rows, labels = card_rows(spark, sf), V.cust_lbl(spark, sf).select(KEY)
     train, test = rows.join(labels, KEY, "left_semi"), rows.join(labels, KEY, "left_anti")
-    model, cols = _fit(train.unionByName(test))
-    return _encoded(model.transform(train), cols, F.lit("train").alias("part")).unionByName(
-        _encoded(model.transform(test), cols, F.lit("test").alias("part")))
+    encoder = E.fit_encoder(train.unionByName(test), ENCODED)
+    return _encoded(encoder, train, F.lit("train").alias("part")).unionByName(_encoded(encoder, test, F.lit("test").alias("part")))
 
 
 def card_vector(rows):
@@ -78,8 +68,7 @@ def card_vector(rows):
     first = with_code(first_by(rows, [KEY], "channel", ["ts", "tx_id"], "channel"), "channel", "channel_index", codes)
     first = first.select(KEY, *[(F.col("channel_index") == i).cast("double").alias(f"ch_{i}") for i in range(n)])
     total = rows.groupBy(KEY).agg(F.sum("amount").cast("double").alias("total_amount"))
-    return (OH.onehot_collapse(rows, SUMS).join(OH.onehot_collapse(rows, SHARES, share=True), KEY)
-            .join(first, KEY).join(total, KEY))
+    return OH.onehot_collapse_mixed(rows, SUMS + SHARES, [p for p, _ in SHARES]).join(first, KEY).join(total, KEY)
 
 
 @query("card_vector")
@@ -102,6 +91,14 @@ def q_card_job_score(spark, sf):
     return probability(B.predict(forest, unlabelled(table, cols)), KEY)
 
 
+@query("card_vector_sparse")
+def q_card_vector_sparse(spark, sf):
+    """The collapsed columns of ``card_vector`` from sparse vectors: one row per client and feature that is not 0."""
+    vectors, names = E.onehot_vectors(card_rows(spark, sf), SUMS + SHARES, share=[p for p, _ in SHARES])
+    return (vectors.select(KEY, F.posexplode(vector_to_array("features")).alias("idx", "x")).where("x <> 0")
+            .join(names, "idx").select(KEY, "feature", F.col("value").alias("label"), "x"))
+
+
 @query("card_job_grid")
 def q_card_job_grid(spark, sf):
     """The job's search over the minimum child weight: ten folds, 2000 rounds on two bins a feature; area

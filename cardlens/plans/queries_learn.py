@@ -15,7 +15,9 @@ from cardlens.functions.config import events_fixture
 from cardlens.operators import boost as B
 from cardlens.operators import learn as L
 from cardlens.operators.metrics import roc_auc_by, unlog_clip
+from cardlens.plans import card_model as CM
 from cardlens.plans import features as FT
+from cardlens.plans.card_model import vector
 from cardlens.plans.catalog import query
 from cardlens.plans.queries_pivots import trash_mcc_fixture
 from cardlens.session import scratch_path, write_table
@@ -33,10 +35,6 @@ def q_client_feature_table(spark, sf):
     return feature_table(spark, sf)
 
 
-def vector(cols):
-    return F.array(*[F.col(c).cast("double") for c in cols]).alias("features")
-
-
 def train_set(spark, sf, regression=False, seeds=(), folds=4):
     """The feature table, its feature columns, the training rows (cl_id, label, features, a fold column per seed) and the
     same binned, written once: trainers pass over them many times."""
@@ -82,6 +80,14 @@ def q_assemble_features(spark, sf):
     return a.select("cl_id", vector_to_array("features").alias("features"))
 
 
+@query("assemble_features_sparse")
+def q_assemble_features_sparse(spark, sf):
+    """The same features from sparse vectors: one row per client and feature that is not 0 (missing is NaN)."""
+    vectors, names = FT.client_vectors(V.tx_e(spark, sf), V.fx(spark, sf), V.cust_lbl(spark, sf), events_fixture(), trash_mcc_fixture())
+    return (vectors.select("cl_id", F.posexplode(vector_to_array("features")).alias("idx", "x")).where("x <> 0")
+            .join(names, "idx").select("cl_id", "feature", "x"))
+
+
 @query("feature_index")
 def q_feature_index(spark, sf):
     # only the names are asked for: the plan is built, not run
@@ -205,9 +211,13 @@ def q_select_features(spark, sf):
 
 @query("model_save_load")
 def q_model_save_load(spark, sf):
-    _, cols, data, binned, _ = train_set(spark, sf)
-    forest, _ = B.load(spark, B.save(B.fit(binned, [B.classifier()], cols), scratch_path(spark, "model")))
-    return probability(B.predict(forest, data), "cl_id").select("cl_id", "probability_1")
+    """Fit on the labelled clients' log, save, load, and score the log of the other clients, which the fit has not seen."""
+    log, labels, rates = V.tx_e(spark, sf), V.cust_lbl(spark, sf), V.fx(spark, sf)
+    seen = log.join(labels.select("cl_id"), "cl_id", "left_semi")
+    unseen = log.join(labels.select("cl_id"), "cl_id", "left_anti")
+    path = scratch_path(spark, "card-model")
+    CM.fit_card_model(seen, rates, labels, events_fixture(), trash_mcc_fixture()).write().save(path)
+    return CM.CardModel.load(path).with_rates(rates).transform(unseen)
 
 
 @query("end_to_end")

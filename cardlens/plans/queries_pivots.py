@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardlens.functions import calendar as cal
-from cardlens.functions.config import events_fixture, orders_fixture
+from cardlens.functions.config import DivisibleBy, events_fixture, orders_fixture
 from cardlens.operators import onehot as OH
 from cardlens.operators import pivots as P
 from cardlens.operators import tenure as T
@@ -18,7 +18,7 @@ from cardlens.sources.tables import read_table
 
 def trash_mcc_fixture():
     """Stand-in for the 'trash' MCC list on tx_e: multiples of 11, as a predicate."""
-    return lambda code: code % 11 == 0
+    return DivisibleBy((11,))
 
 
 def enriched_e(spark, sf, tenure: bool = True):

@@ -471,6 +471,15 @@ register("card_vector", q(["tx_e", "mcc_dim"], "select p.*, c.* exclude (cl_id),
     + """ from (select cl_id, arg_min(channel, (ts, tx_id)) ch from cr group by cl_id) f
   join (select channel, row_number() over (order by count(*) desc, channel) - 1 i from cr group by channel) x on f.ch = x.channel) c on p.cl_id = c.cl_id
   join (select cl_id, cast(sum(amount) as double) total_amount from cr group by cl_id) o on p.cl_id = o.cl_id""", [("cr", _card_rows)]))
+register("card_vector_sparse", q(["tx_e", "mcc_dim"], " union all ".join(
+    f"select s.cl_id, '{p}' || cast(x.i as varchar) feature, cast(x.v as varchar) as label, "
+    + ("round(cast(sum(s.amount) as double) / nullif(cast(max(t.tot) as double), 0), 6)" if share else "cast(sum(s.amount) as double)")
+    + f" x from (select *, {e} as v_{p} from cr) s join (select v, row_number() over (order by n desc, cast(v as varchar)) - 1 i, "
+    f"count(*) over () k from (select {e} v, count(*) n from cr where {e} is not null group by {e})) x on s.v_{p} = x.v "
+    "join (select cl_id, sum(amount) tot from cr group by cl_id) t on s.cl_id = t.cl_id "
+    "where x.i < x.k - 1 group by s.cl_id, x.i, x.v having x <> 0"
+    for p, e, share in (("tw_", "cast(floor(transaction_day / 7) as int)", False), ("pn_", "period_number", False), ("wd_", "iso_weekday", True),
+                        ("cur_", "currency", True), ("mc_", "mcc_category", True), ("cat_", "category", True))), [("cr", _card_rows)]))
 _ENCODED = {"transaction_week": "cast(floor(transaction_day / 7) as int)", "period_number": "period_number", "mcc_category": "mcc_category",
             "iso_weekday": "iso_weekday", "channel": "channel", "currency": "currency", "category": "category"}
 
