@@ -1,6 +1,7 @@
-"""Backward as-of joins of transactions to daily exchange rates.
+"""Backward as-of joins of transactions to exchange rates.
 
-Spark has no batch as-of join in the DataFrame API.  Rates are a small time
+Spark has no batch as-of join in the DataFrame API.  Rates by time meet the rows in one cut timeline
+(``asof_join``).  Daily rates are a small time
 series per currency, so the plan forward-fills a dense ``(code, day)``
 calendar once (one task per currency, one row per day of the rate series) and
 then equi-joins the transactions to it: no range join and no per-row search.
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from cardlens.functions import constants as K
 from cardlens.functions.calendar import epoch_day
 from cardlens.functions.money import flat_converted
+from cardlens.operators.sequence import ranges
 
 
 def one_per_day(rates: DataFrame) -> DataFrame:
@@ -77,6 +79,40 @@ def convert_unbounded(tx: DataFrame, rates: DataFrame, ts: str = "ts", amount: s
     return j.withColumn(out, conv).drop("_day", "_code", "rate", "rate_day")
 
 
+def asof_join(tx: DataFrame, rates: DataFrame, code: str, ts: str, rate_code: str = "code", rate_ts: str = "ts", rate: str = "rate",
+              tolerance_seconds: float | None = None, shares: int | None = None) -> DataFrame:
+    """``tx`` with ``rate`` and ``rate_ts``: the latest rate of the row's code at or before its time, to the microsecond; NULL
+    where there is none, or where it is older than the tolerance.
+
+    Rates and rows stand in one timeline per code.  A code that holds more than a partition's share of it is cut into
+    ranges of time, a single crowded time too (rates come first in it).  Inside a range the last rate is a window; the first
+    rows of a range take the last rate of the ranges before, from one summary row per (code, range).  Of several
+    rates at one time the highest counts.  Rows without a code or time keep NULL.
+    """
+    n = shares or int(tx.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    known = rates.where(F.col(rate_code).isNotNull() & F.col(rate_ts).isNotNull() & F.col(rate).isNotNull())
+    known = known.groupBy(F.col(rate_code).alias("_code"), F.col(rate_ts).alias("_at")).agg(F.max(rate).alias("_rate"))
+    least = F.lit(-(1 << 63)).cast("long")
+    # a row's place among those of its time only spreads them over ranges; rates stand before all
+    rows = tx.select(F.col(code).alias("_code"), F.col(ts).alias("_at"), F.shiftrightunsigned(F.xxhash64(*tx.columns), 1).alias("_tie"),
+                     F.struct(*[F.col(f"`{c}`") for c in tx.columns]).alias("_row"))
+    line = rows.unionByName(known.withColumn("_tie", least), allowMissingColumns=True).withColumn("_h", F.hash("_code"))
+    line = line.withColumn("_bkt", F.greatest(ranges(line, "_at", "_tie", n), F.lit(0))).withColumn("_seen", F.when(F.col("_rate").isNotNull(), F.struct(
+        F.col("_at").alias("at"), F.col("_rate").alias("rate"))))
+    own = Window.partitionBy("_code", "_bkt").orderBy(F.col("_at").asc_nulls_first(), "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("_code").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (line.groupBy("_code", "_bkt").agg(F.max_by("_rate", F.when(F.col("_rate").isNotNull(), micros("_at"))).alias("_r"),
+                                                 F.max(F.when(F.col("_rate").isNotNull(), F.col("_at"))).alias("_t"))
+               .select("_code", "_bkt", F.last("_r", ignorenulls=True).over(earlier).alias("_r"), F.last("_t", ignorenulls=True).over(earlier).alias("_t")))
+    met = line.withColumn("_seen", F.last("_seen", ignorenulls=True).over(own)).join(carried, ["_code", "_bkt"], "left").where("_row is not null")
+    out_rate, out_at = F.coalesce("_seen.rate", "_r"), F.coalesce("_seen.at", "_t")
+    usable = F.col("_code").isNotNull() & F.col("_at").isNotNull()
+    if tolerance_seconds is not None:
+        usable = usable & (micros("_at") - F.unix_micros(out_at.cast("timestamp")) <= int(tolerance_seconds * 1_000_000))
+    return met.select("_row.*", F.when(usable, out_rate).alias("rate"), F.when(usable, out_at).alias("rate_ts"))
+
+
 def lookup(tx: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Dictionary lookup (left join).  The join strategy is Spark's size-based
     choice: broadcast for a small dictionary, shuffle join otherwise."""

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.functions.stats import dbl, r6, safe_div
+from cardlens.operators.daybits import day_sets
 from cardlens.operators.holistic import keyed_stats
 from cardlens.operators.sequence import first_by, with_previous
 
@@ -87,10 +88,7 @@ def client_lifespan(tx: DataFrame, base_year: int, ts: str = "ts") -> DataFrame:
 
 def client_active_days(tx: DataFrame, day_col: str = "days_since") -> DataFrame:
     """Distinct active days and the density distinct / (last - first + 1)."""
-    g = tx.groupBy(KEY).agg(F.count_distinct(day_col).alias("len_days"),
-                            F.min(day_col).alias("_mn"), F.max(day_col).alias("_mx"))
-    return g.select(KEY, "len_days", r6(safe_div(F.col("len_days").cast("double"),
-                                                  (F.col("_mx") - F.col("_mn") + 1).cast("double"))).alias("len_div_set_days"))
+    return day_sets(tx, day_col)
 
 
 def month_cohort(tx: DataFrame, month_col: str = "month") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cardlens.functions.config import FeatureConfig
 from cardlens.functions.stats import safe_div
+from cardlens.operators.daybits import countable, day_sets
 from cardlens.operators.holistic import keyed_stats
 from cardlens.session import write_table
 
@@ -221,7 +222,10 @@ def scalar_aggs(cfg: FeatureConfig, value: str = "amount", category: str = "cate
 
 
 def period_part_coverage(tx: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Share of tenure buckets used: distinct buckets / (horizon / N)."""
+    """Share of tenure buckets used: distinct buckets / (horizon / N).  Bucket lengths that are powers of two come from
+    the day bits; any others from the distinct buckets."""
+    if countable(cfg.period_parts):
+        return day_sets(tx, "day_number", cfg.period_parts, cfg.max_period_day).drop("len_days", "len_div_set_days")
     return tx.groupBy(KEY).agg(*[
         F.round(F.count_distinct(f"period_part_{n}") / (cfg.max_period_day / n), 6).alias(f"period_part{n}")
         for n in cfg.period_parts])

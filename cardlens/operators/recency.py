@@ -27,10 +27,12 @@ def with_last_action(tx: DataFrame, days, ts: str = "ts") -> DataFrame:
     time comes from one summary row per active (client, hour) and a window
     over those rows; rows join their summary on (client, hour), so a hot
     client is spread over its active hours (no client-only join)."""
-    b = tx.withColumn("_bkt", F.date_trunc("hour", F.col(ts)))
+    # rows without a time would be one key per client: they are dealt to 1024 slots below all hours
+    b = tx.withColumn("_bkt", F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / 3_600_000_000),
+                                         F.lit(-(1 << 40)) - F.pmod(F.xxhash64(*tx.columns), F.lit(1024))))
     summary = (b.groupBy(KEY, "_bkt").agg(F.max(ts).alias("_bmax"))
                .select(F.col(KEY).alias("_k"), F.col("_bkt").alias("_b"), F.max("_bmax").over(Window.partitionBy(KEY)).alias("last_action")))
-    met = F.col(KEY).eqNullSafe(F.col("_k")) & F.col("_bkt").eqNullSafe(F.col("_b"))     # rows without a time stay
+    met = F.col(KEY).eqNullSafe(F.col("_k")) & (F.col("_bkt") == F.col("_b"))
     return b.join(summary, met, "left").drop("_bkt", "_k", "_b").withColumns(recency_flags(days, ts))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 _CUTS = 256     # quantiles taken of a hot client's timeline, of which its cuts are chosen
 
 
-def _ranges(rows: DataFrame, order_col: str, tiebreak: str | None, n: int) -> Column:
+def ranges(rows: DataFrame, order_col: str, tiebreak: str | None, n: int) -> Column:
     """Number of the (time, id) range of each row: 0 for all rows of an ordinary client.
 
     n quantiles of the clients' 32-bit hashes ``_h`` show which clients hold more than a
@@ -67,7 +67,7 @@ def with_previous(df: DataFrame, keys: list[str], order_col: str, tiebreak: str
     n = shares or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(order_col)] + ([F.col(tiebreak)] if tiebreak else [])
     rows = df.withColumn("_h", F.hash(*keys))
-    b = rows.withColumn("_bkt", F.greatest(_ranges(rows, order_col, tiebreak, n), F.lit(0))).drop("_h")
+    b = rows.withColumn("_bkt", F.greatest(ranges(rows, order_col, tiebreak, n), F.lit(0))).drop("_h")
     parts = [*keys, "_bkt"]
     inner = b.withColumn("_prev_in", F.lag(order_col).over(Window.partitionBy(*parts).orderBy(*order)))
     summary = (b.groupBy(*parts).agg(F.max(order_col).alias("_smax"))

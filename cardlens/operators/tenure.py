@@ -53,14 +53,15 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
         # first (time, id) of the day: the smallest packed order key
         t = t.withColumn("_ok", order_key(ts, tiebreak))
         aggs.append(F.min("_ok").alias("_fok"))
-    days = t.groupBy(KEY, g).agg(*aggs)
+    t = t.withColumn("_slot", _slot(t, g, tiebreak))
+    days = t.groupBy(KEY, "_slot").agg(F.first(g).alias(g), *aggs)
     w = Window.partitionBy(KEY)
-    cols = [KEY, g, F.max("_pmx").over(w).alias("_last_pm"), F.min("_pmn").over(w).alias("_first_pm"),
+    cols = [KEY, "_slot", F.max("_pmx").over(w).alias("_last_pm"), F.min("_pmn").over(w).alias("_first_pm"),
             F.min("_wk").over(w).alias("_first_wk"), F.min(g).over(w).alias("_first_day"),
             F.min("_dts").over(w).alias("_first_ts")]
     if day_diff:
         cols += ["_fok", F.lag(g).over(w.orderBy(g)).alias("_prev_day")]
-    j = _join_summary(t, days.select(*cols), [KEY, g])
+    j = _join_summary(t, days.select(*cols))
     tday = F.floor(F.expr(f"timestampdiff(MICROSECOND, _first_ts, {ts})") / F.lit(86400 * 1000000))
     j = (j.withColumn("months_before_last", F.col("period_month") - F.col("_last_pm"))
          .withColumn("week_number", F.col("week_global_number") - F.col("_first_wk"))
@@ -69,28 +70,33 @@ def tenure_fields(tx: DataFrame, ts: str = "ts", period: str = "period", day_dif
          .withColumn("period_number", F.col("period_month") - F.col("_first_pm"))
          .withColumn("transaction_week", F.floor(F.col("transaction_day") / 7).cast("int")))
     if day_diff:
-        is_first = _carries(g)
+        is_first = _carries()
         diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                       F.greatest(F.col(g) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
         j = j.withColumn(day_diff, diff.cast("int")).drop("_ok", "_fok", "_prev_day")
-    return j.drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts")
+    return j.drop("_last_pm", "_first_pm", "_first_wk", "_first_day", "_first_ts", "_slot")
 
 
-def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with the summary row of their keys, where NULL keys meet too (a row
-    without a time keeps its place in the result)."""
-    named = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
-    cond = None
-    for k in keys:
-        same = rows[k].eqNullSafe(F.col(f"_k_{k}"))
-        cond = same if cond is None else cond & same
-    return rows.join(named, cond, "left").drop(*[f"_k_{k}" for k in keys])
+TIMELESS = 1024     # slots of a client's rows without a time
 
 
-def _carries(day: str) -> Column:
-    """The row is the day's first by the order key; of rows equal in it, one.  The
-    window's keys begin with the join's, so it needs no shuffle of its own."""
-    one = F.row_number().over(Window.partitionBy(KEY, day, "_ok").orderBy(F.lit(0)))
+def _slot(t: DataFrame, day: str, tiebreak: str) -> Column:
+    """The row's day.  Rows without one would be a single key per client; they are dealt to ``TIMELESS`` slots below all days."""
+    spread = F.xxhash64(tiebreak) if tiebreak in t.columns else F.xxhash64(*t.columns)
+    return F.coalesce(F.col(day).cast("long"), F.lit(-(1 << 40)) - F.pmod(spread, F.lit(TIMELESS)))
+
+
+def _join_summary(rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """Rows with the summary row of their (client, slot); a NULL client meets too."""
+    named = summary.select(F.col(KEY).alias("_k"), F.col("_slot").alias("_s"), *[c for c in summary.columns if c not in (KEY, "_slot")])
+    return rows.join(named, rows[KEY].eqNullSafe(F.col("_k")) & (rows["_slot"] == F.col("_s")), "left").drop("_k", "_s")
+
+
+def _carries() -> Column:
+    """The row is the day's first by the order key; of rows equal in it, one.  The window's keys begin with the
+    join's, so it needs no shuffle of its own, unless the join is skewed: then (``forceOptimizeSkewedJoin``) a hot
+    (client, day) is split for the join and dealt by the order key for the window."""
+    one = F.row_number().over(Window.partitionBy(KEY, "_slot", "_ok").orderBy(F.lit(0)))
     return (F.col("_ok") == F.col("_fok")) & (one == 1)
 
 
@@ -104,14 +110,14 @@ def with_day_diff(tx: DataFrame, day_col: str = "day_number", ts: str = "ts", ti
     """
     # first (time, id) of each client-day: the smallest packed order key, a
     # hash aggregate that combines map-side to one row per client-day
-    t = tx.withColumn("_ok", order_key(ts, tiebreak))
-    first = (t.groupBy(KEY, day_col).agg(F.min("_ok").alias("_fok"))
-             .withColumn("_prev_day", F.lag(day_col).over(Window.partitionBy(KEY).orderBy(day_col))))
-    j = _join_summary(t, first, [KEY, day_col])
-    is_first = _carries(day_col)
+    t = tx.withColumn("_ok", order_key(ts, tiebreak)).withColumn("_slot", _slot(tx, day_col, tiebreak))
+    first = (t.groupBy(KEY, "_slot").agg(F.first(day_col).alias("_day"), F.min("_ok").alias("_fok"))
+             .withColumn("_prev_day", F.lag("_day").over(Window.partitionBy(KEY).orderBy("_day"))).drop("_day"))
+    j = _join_summary(t, first)
+    is_first = _carries()
     diff = F.when(is_first & F.col("_prev_day").isNotNull(),
                   F.greatest(F.col(day_col) - F.col("_prev_day"), F.lit(0))).otherwise(F.lit(0))
-    return j.withColumn(out, diff.cast("int")).drop("_ok", "_fok", "_prev_day")
+    return j.withColumn(out, diff.cast("int")).drop("_ok", "_fok", "_prev_day", "_slot")
 
 
 def tenure_cut(tx: DataFrame, max_day: int, ts: str = "ts") -> DataFrame:

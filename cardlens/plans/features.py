@@ -78,10 +78,7 @@ def client_frame(log: DataFrame, cfg: FeatureConfig, categories: list) -> DataFr
         "min_TRDATETIME": cal.base_month_index("_mn_ts", cfg.base_year)}).drop("_mn_ts", "_mx_ts")
     main = main.withColumn("delta_month", F.col("max_TRDATETIME") - F.col("min_TRDATETIME"))
 
-    # distinct active days: one row per (client, day), then density
-    days = log.select(KEY, "days_since").distinct()
-    active = cs.client_active_days(days)
-    out = main.join(active, KEY, "left")
+    out = main.join(cs.client_active_days(log), KEY, "left")
 
     # month cohorts by card period, role-played on the first and last month
     per_month = log.withColumn("_pm", cal.base_month_index("period", cfg.base_year))
@@ -134,7 +131,7 @@ def scalar_features(t: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Scalar shares, tenure holes, both relative-month families and tenure coverage."""
     scal = t.groupBy(KEY).agg(*P.scalar_aggs(cfg), *P.relative_month_aggs(cfg, flows=False),
                               *P.relative_month_aggs(cfg, flows=True))
-    cover = P.period_part_coverage(t.select(KEY, *[f"period_part_{n}" for n in cfg.period_parts]).distinct(), cfg)
+    cover = P.period_part_coverage(t, cfg)
     return scal.join(cover, KEY, "left").fillna(0)
 
 

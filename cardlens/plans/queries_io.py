@@ -55,6 +55,34 @@ def q_scan_text_split(spark, sf):
                     F.size("f").alias("n_fields"))
 
 
+def damaged_log(spark, sf):
+    """The card log as text with a header: 'error' rows cut to two fields, rows without a channel with an unreadable time, and
+    'signup' rows with an unreadable amount."""
+    t = V.tx_e(spark, sf)
+    short = F.col("category") == "error"
+    time = F.when(F.col("channel_type").isNull(), F.concat(F.lit("bad"), F.col("tx_id"))).otherwise(F.upper(F.date_format("ts", "ddMMMyy:HH:mm:ss")))
+    amount = F.when(F.col("category") == "signup", "n/a").otherwise(F.col("amount").cast("string"))
+    base = [F.date_format(F.trunc("ts", "MM"), "dd/MM/yyyy"), F.col("cl_id").cast("string"), F.col("mcc").cast("string"),
+            F.coalesce("channel_type", F.lit("")), F.col("currency").cast("string"), time, amount, F.col("category")]
+    line = F.when(short, F.concat_ws(",", *base[:2])).otherwise(F.concat_ws(",", *base))
+    header = spark.range(1).select(F.lit(I.TX_HEADER).alias("value"))
+    return I.write_lines(header.unionByName(t.select(line.alias("value"))), I.materialise(spark, "damaged-text"))
+
+
+@query("rejected_lines")
+def q_rejected_lines(spark, sf):
+    """Lines that the scan does not accept, with the reason."""
+    return I.sort_lines(spark, damaged_log(spark, sf))[1].select("line", "reason")
+
+
+@query("sorted_lines")
+def q_sorted_lines(spark, sf):
+    """How many lines were accepted, and rejected for each reason."""
+    accepted, rejected = I.sort_lines(spark, damaged_log(spark, sf))
+    return accepted.select(F.lit("accepted").alias("reason"), "amount").union(rejected.select("reason", F.lit(None).cast("double"))).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("amount"))
+
+
 @query("optional_targets")
 def q_optional_targets(spark, sf):
     f = I.read_text_fields(spark, card_log_text(spark, sf))

@@ -84,3 +84,17 @@ def q_mcc_lookup(spark, sf):
 @query("mcc_unmatched")
 def q_mcc_unmatched(spark, sf):
     return A.unmatched(V.tx_l(spark, sf), V.mcc_dim(spark, sf), "mcc").select("cl_id", "tx_id", "mcc")
+
+
+@query("fx_asof_seconds")
+def q_fx_asof_seconds(spark, sf):
+    """The latest quote of the row's currency at or before its time: quotes are the purchases in dollars and euros."""
+    t, quotes = V.tx_e(spark, sf), V.fx_quotes(spark, sf)
+    return A.asof_join(t, quotes, "currency", "ts").select("cl_id", "tx_id", "rate", "rate_ts")
+
+
+@query("fx_asof_seconds_tolerance")
+def q_fx_asof_seconds_tolerance(spark, sf):
+    """The same with quotes of the last two hours only."""
+    t, quotes = V.tx_e(spark, sf), V.fx_quotes(spark, sf)
+    return A.asof_join(t, quotes, "currency", "ts", tolerance_seconds=7200).select("cl_id", "tx_id", "rate")

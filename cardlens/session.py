@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a skewed join is split even where a window or aggregate on its keys then needs a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,7 +41,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of SESSION_CONF to a given session."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
+              "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
         spark.conf.set(k, SESSION_CONF[k])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlens.functions import calendar as cal
-from cardlens.session import scratch_path
+from cardlens.session import scratch_path, write_table
 
 TX_HEADER = "PERIOD,cl_id,MCC,channel_type,currency,TRDATETIME,amount,trx_category"
 TX_COLUMNS = ["PERIOD", "cl_id", "MCC", "channel_type", "currency", "TRDATETIME", "amount", "trx_category"]
@@ -58,6 +58,27 @@ def read_text_fields(spark: SparkSession, path: str, header_marker: str = "PERIO
             .filter(F.size("f") >= min_fields))
 
 
+def sort_lines(spark: SparkSession, path: str, header_marker: str = "PERIOD,cl_id,MCC,channel_type",
+               min_fields: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of a card log's lines: one scan, written once, so that every line is in one of them.
+
+    Accepted rows are typed as by ``parse_transactions``, with the file and the text.  Rejected ones have ``file``, ``line`` (the
+    text) and ``reason``: header, short (fewer than ``min_fields`` fields), client, time or amount (not readable; the first of them
+    that fails).  A missing period or trailing label is no reason.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+    f = lines.withColumn("f", F.split("line", ","))
+    typed = f.select(
+        "file", "line", F.size("f").alias("_n"), field("f", 1).try_cast("long").alias("cl_id"), cal.parse_period(field("f", 0)).alias("period"),
+        field("f", 2).try_cast("int").alias("mcc"), F.nullif(field("f", 3), F.lit("")).alias("channel_type"), field("f", 4).try_cast("int").alias("currency"),
+        cal.parse_trx_time(field("f", 5)).alias("ts"), field("f", 6).try_cast("double").alias("amount"), field("f", 7).alias("category"),
+        *[field("f", 8 + i).try_cast("double").alias(c) for i, c in enumerate(LABEL_COLUMNS)])
+    reason = (F.when(F.col("line").contains(header_marker), "header").when(F.col("_n") < min_fields, "short")
+              .when(F.col("cl_id").isNull(), "client").when(F.col("ts").isNull(), "time").when(F.col("amount").isNull(), "amount"))
+    sorted_ = write_table(typed.withColumn("reason", reason).drop("_n"), "lines")
+    return sorted_.where("reason is null").drop("reason"), sorted_.where("reason is not null").select("file", "line", "reason")
+
+
 def field(arr: str, i: int) -> Column:
     """i-th field (0-based), NULL when the line is shorter."""
     return F.get(F.col(arr), i)

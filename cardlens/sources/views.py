@@ -77,6 +77,12 @@ def fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usd.unionByName(eur)
 
 
+def fx_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """USD and EUR quotes to the second: (code, ts, rate), several a day."""
+    t = tx_e(spark, sf_dir).where((F.col("category") == "purchase") & F.col("currency").isin(840, 978))
+    return t.select(F.col("currency").alias("code"), "ts", F.col("amount").cast("double").alias("rate"))
+
+
 def cust_lbl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels for clients with cl_id % 5 != 0 (the rest play the test set)."""
     t = tx_e(spark, sf_dir).filter(F.col("cl_id") % 5 != 0)

@@ -506,6 +506,12 @@ select label, list(s order by pos) vec_sum from (
     select label, unnest(embedding) x, generate_subscripts(embedding, 1) - 1 pos from embeddings)
   group by label, pos) group by label""")
 
+_quotes = "select currency code, ts, max(cast(amount as double)) rate from tx_e where category = 'purchase' and currency in (840, 978) group by all"
+register("fx_asof_seconds", q(["tx_e"], f"""select t.cl_id, t.tx_id, r.rate, r.ts rate_ts from tx_e t
+  asof left join ({_quotes}) r on t.currency = r.code and t.ts >= r.ts"""))
+register("fx_asof_seconds_tolerance", q(["tx_e"], f"""select t.cl_id, t.tx_id, case when t.ts - r.ts <= interval 2 hour then r.rate end rate from tx_e t
+  asof left join ({_quotes}) r on t.currency = r.code and t.ts >= r.ts"""))
+
 # --------------------------------------------------------------------------- money
 register("fx_rates", q(["fx"], "select code, day, case when code = 978 and day % 5 = 0 then null "
                                "else cast(rate as double) end rate from fx"))
@@ -541,6 +547,15 @@ register("scan_text_split", q(["tx_e", "cust_lbl"], """
 select t.cl_id, t.mcc, cast(t.amount as double) amount, t.category,
   case when l.cl_id is not null then 10 else 8 end n_fields
 from tx_e t left join cust_lbl l on t.cl_id = l.cl_id where t.category <> 'error'"""))
+_damaged = """select case when category = 'error' then 'short' when channel_type is null then 'time' when category = 'signup' then 'amount' end reason, amount,
+  strftime(date_trunc('month', ts), '%d/%m/%Y') || ',' || cl_id || case when category = 'error' then '' else ',' || mcc || ',' || coalesce(channel_type, '')
+  || ',' || currency || ',' || case when channel_type is null then 'bad' || tx_id else upper(strftime(ts, '%d%b%y:%H:%M:%S')) end || ','
+  || case when category = 'signup' then 'n/a' else cast(amount as varchar) end || ',' || category end as line from tx_e"""
+_header = "PERIOD,cl_id,MCC,channel_type,currency,TRDATETIME,amount,trx_category"
+register("rejected_lines", q(["tx_e"], f"select line, reason from ({_damaged}) where reason is not null union all select '{_header}', 'header'"))
+register("sorted_lines", q(["tx_e"], f"""select coalesce(reason, 'accepted') reason, count(*) n,
+  case when reason is null then round(cast(sum(amount) as double), 2) end amount from ({_damaged}) group by reason
+  union all select 'header', 1, null"""))
 register("optional_targets", q(["tx_e", "cust_lbl"], """
 select t.cl_id, cast(t.amount as double) amount, coalesce(cast(l.target_flag as double), 0) target_flag,
   coalesce(cast(l.target_sum as double), 0) target_sum
