@@ -57,10 +57,13 @@ def pack(docs: DataFrame, assign: Callable[[Group], list[tuple[int, float, list[
          end_id: int, capacity: int, id_bytes: int, id_col: str, text_col: str, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """``assign`` gives a group's sequences as (size, cost, pieces); size is what the
     sequence is padded to (id 0).  One row per sequence; ``crc32`` has each segment's
-    ids as little-endian unsigned 32-bit integers."""
+    ids as little-endian unsigned 32-bit integers.  A tokenizer that keeps case or white space, and one with
+    ids beyond ``id_bytes``, raise ``ValueError``."""
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
 
     def run(batches):
+        if word_ids(tokenizer_path, end_id).size > 1 << 8 * id_bytes:
+            raise ValueError(f"ids of {tokenizer_path} need more than {id_bytes} bytes")
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         made = 0
         for group in _groups(batches, tokenizer_path, end_id, capacity, group_tokens):

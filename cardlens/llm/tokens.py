@@ -56,6 +56,10 @@ class WordIds:
     def __init__(self, path: str, end_id: int):
         self.tokenizer = load(path)
         self.end_id = end_id
+        self.size = max(self.tokenizer.get_vocab_size(True), end_id + 1)
+        whole, first, second = self._ids(["Ab  Cd\n", "ab", "cd"])
+        if whole.tolist() != [*first.tolist(), *second.tolist()]:
+            raise ValueError(f"{path} keeps case or white space: its ids cannot be put together from pieces cut at blanks")
         self.kept: dict[str, bytes] = {}
         mark = self._ids([self.MARK])[0]
         self.mark = int(mark[0]) if len(mark) == 1 else None

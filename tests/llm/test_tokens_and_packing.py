@@ -162,3 +162,13 @@ def test_pattern_is_the_libraries_on_safe_characters():
         for c in range(a, b + 1, 1 if b - a < 5000 else 97):
             s = f"a{chr(c)}1{chr(c)}! {chr(c)}{chr(c)}"
             assert [x for _, x in cut.pre_tokenize_str(s)] == [m.span() for m in own.finditer(s)], hex(c)
+
+
+def test_tokenizers_that_do_not_fit_raise(spark):
+    from cardlens.llm.best_fit import pack_best_fit
+    docs = table(spark, [(1, "Some text")])
+    with pytest.raises(Exception, match="keeps case or white space"):
+        pack_best_fit(docs, public_tokenizers.path("byte_bpe_50k.json"), 1, 16).collect()
+    with pytest.raises(Exception, match="more than 2 bytes"):
+        pack_best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), 70_000, 16).collect()
+    assert pack_best_fit(docs, public_tokenizers.path("word_bpe_49k.json"), 70_000, 16, id_bytes=4).count() == 1
