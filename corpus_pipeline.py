@@ -36,8 +36,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     key = fresh(docs, "row_key")
     marked = docs.withColumn(key, F.xxhash64("doc_id", "text"))
-    hit = contamination(marked, read(spark, sf_dir, "benchmark"), id_col=key).select(F.col("doc_id").alias("hit")).distinct()
-    return marked.join(hit, F.col(key) == F.col("hit"), "left_anti").drop(key)
+    found = fresh(marked, "hit")
+    hit = contamination(marked, read(spark, sf_dir, "benchmark"), id_col=key).select(F.col("doc_id").alias(found)).distinct()
+    return marked.join(hit, F.col(key) == F.col(found), "left_anti").drop(key)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
