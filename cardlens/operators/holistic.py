@@ -31,6 +31,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardlens.session import write_table
+
 HOLISTIC = ("median", "mode", "mode_count")
 
 # Keys with more distinct values than this are split into value buckets.
@@ -164,8 +166,12 @@ def holistic_stats(df: DataFrame, keys: list[str], specs: list[HolisticSpec], ro
     gkeys = [*keys, "_m"]
     codes = _codes(specs)
     hist = value_histogram(df, keys, specs, codes)
-    per = key_summary(hist, gkeys)
-    long = exact_median(hist, per, gkeys, **median_opts) if any("median" in s.stats for s in specs) else per
+    if any("median" in s.stats for s in specs):
+        # read by the summary, the cuts and the ranks: written once, so that neither the plan nor a lost executor repeats what is above
+        hist = write_table(hist, "histogram")
+        long = exact_median(hist, key_summary(hist, gkeys), gkeys, **median_opts)
+    else:
+        long = key_summary(hist, gkeys)
     aggs = []
     for code, s in zip(codes, specs):
         mine = F.col("_m") == code

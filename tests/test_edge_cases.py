@@ -121,7 +121,7 @@ def test_with_previous_all_rows_of_a_client_in_one_second(spark):
     assert a == b
     from cardlens.operators import sequence as S
     keyed = df.withColumn("_h", F.hash("cl_id"))
-    cut = keyed.withColumn("r", S._ranges(keyed, "ts", "tx_id", 10)).where("cl_id = 1").groupBy("r").count().collect()
+    cut = keyed.withColumn("r", S.ranges(keyed, "ts", "tx_id", 10)).where("cl_id = 1").groupBy("r").count().collect()
     assert len(cut) >= 8 and max(r["count"] for r in cut) < 100       # the second itself is cut
 
 
