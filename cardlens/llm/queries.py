@@ -173,3 +173,28 @@ select p.anchor_id, p.positive_id,
 from positives p join scored s on p.anchor_id = s.anchor_id and s.label <> s.anchor_label
   and 80 * p.positive_score <= 100 * s.score and s.score <= p.positive_score
 qualify row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) <= 5"""
+
+
+#: accented letters and, for each, an ASCII character that no word has: the edit distance of SQL counts bytes
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_STAND_INS = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c not in "'\\")[:len(_ACCENTED)]
+
+SQL["op13_spelling_variants"] = f"""
+with recursive crc as (select list(c order by b) as t from (select b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, cast(3988292384 as bigint)) else c >> 1 end) as c from range(256) as r(b))),
+runs as (select doc_id, w, count(*) as n from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) as w from documents) group by doc_id, w having length(w) >= 6),
+keyed as (select w, n, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || w)) as x from runs),
+hashed as (select w, n, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(range(length(x) // 2),
+    lambda i: cast('0x' || substr(x, cast(2 * i + 1 as integer), 2) as bigint))),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as h from keyed, crc),
+altered as (select case when h % 199 = 0 then substr(w, 1, cast(h % length(w) as integer)) || substr(w, cast(h % length(w) as integer) + 2) else w end as word, n from hashed),
+words as (select word, cast(sum(n) as bigint) as n, translate(word, '{_ACCENTED}', '{_STAND_INS}') as m from altered
+  group by word having length(word) >= 6 and sum(n) >= 5),
+near as (select a.word, b.word as other, b.n from words a join words b on a.m[1] = b.m[1] and abs(length(a.m) - length(b.m)) <= 1 and levenshtein(a.m, b.m) = 1
+  union select a.word, b.word, b.n from words a join words b on a.m[-1] = b.m[-1] and abs(length(a.m) - length(b.m)) <= 1 and levenshtein(a.m, b.m) = 1),
+best as (select word, count(*) as n_near, first(other order by n desc, encode(other)) as other, max(n) as most from near group by word),
+forms as (select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.most >= 5 * w.n then b.other end as form, case when b.most >= 5 * w.n then b.most end as form_n
+  from words w left join best b on w.word = b.word),
+ways as (select word, word as root, form as next from forms union all select w.word, f.word, f.form from ways w join forms f on w.next = f.word)
+select f.word, f.form, w.root, f.n, cast(f.n_near as bigint) as n_near, cast(f.form_n as bigint) as form_n from forms f join ways w on f.word = w.word and w.next is null"""
