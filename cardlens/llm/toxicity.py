@@ -27,6 +27,7 @@ MIN_DOCUMENTS = 5                # a feature of fewer training documents has no
 BASE = -6.0                      # a sentence's log odds before its words: what they must outweigh
 FLOOR = 3.0                      # least sum of weights that counts (a chance of 5 %): weak words of many sentences must not add up,
 FLOOR_FROM = 100                 # from this step of the fit on, so that what they explained goes to the leak
+SUM_AT_ONCE = 4_000_000
 STEPS = 200
 RATE = 0.1
 SPARSITY = 2.0                   # L1 penalty: a weight must pay for the pull of this many documents,
@@ -83,6 +84,14 @@ def _excess(s: np.ndarray, base: float, floor: float = FLOOR) -> np.ndarray:
     return np.where(s > floor, _softplus(s + base) - _softplus(base), 0)
 
 
+def _sums(index: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Sum of ``values[at]`` per index.  In parts, as the wide temporary arrays are what the driver's memory is needed for."""
+    out = np.zeros(n)
+    for i in range(0, len(index), SUM_AT_ONCE):
+        out += np.bincount(index[i:i + SUM_AT_ONCE], values[at[i:i + SUM_AT_ONCE]], n)
+    return out
+
+
 def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, sizes: np.ndarray, sentences: np.ndarray) -> np.ndarray:
     """Weights by full-batch Adam on the document likelihood, with an L1 penalty, so that only
     features that tell many documents apart keep a weight.  The last two are the leak (-log of
@@ -115,12 +124,12 @@ def fit_noisy_or(labels: np.ndarray, bags_: np.ndarray, sizes: np.ndarray, sente
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     penalty = min(SPARSITY, SPARSITY_SHARE * (labels > 0).sum()) / len(labels)
     for step in range(1, STEPS + 1):
-        s = np.bincount(row, w[at], total)
+        s = _sums(row, w, at, total)
         floor = 0.0 if step < FLOOR_FROM else FLOOR
         a = np.bincount(doc, _excess(s, BASE, floor), len(labels)) + np.exp(b)
         pull = np.where(labels > 0, -np.exp(-a) / np.maximum(-np.expm1(-a), 1e-9), 1.0) / len(labels)
         g = np.where(s >= floor, pull[doc] / (1 + np.exp(-s - BASE)), 0)
-        gw, gb = np.bincount(at, g[row], len(used)), pull.sum() * np.exp(b)
+        gw, gb = _sums(at, g, row, len(used)), pull.sum() * np.exp(b)
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         scale = RATE / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
@@ -159,9 +168,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     got = in_tasks(sample.select("doc_id", "text", "label"), _training_bags, "label int, bag binary, sizes binary").toArrow()
     if not got.num_rows:
         return fit_noisy_or(*[np.zeros(0, np.uint32)] * 4)
-    (bag_off, bag), (size_off, sizes) = (K.text_column(got[c].cast(pa.large_binary())) for c in ("bag", "sizes"))
-    return fit_noisy_or(got["label"].to_numpy(), bag[bag_off[0]:bag_off[-1]].view("<u4"), sizes[size_off[0]:size_off[-1]].view("<u4"),
-                        np.diff(size_off) // 4)
+    marked = got["label"].to_numpy()
+    # chunk by chunk, so that no second copy of all bags is made
+    parts = [[K.text_column(chunk) for chunk in got[c].chunks] for c in ("bag", "sizes")]
+    bag, sizes = (np.concatenate([body[off[0]:off[-1]].view("<u4") for off, body in p]) for p in parts)
+    sentences = np.concatenate([np.diff(off) for off, _ in parts[1]]) // 4
+    del got, parts
+    return fit_noisy_or(marked, bag, sizes, sentences)
 
 
 _EXTRA = [("toxic_score", T.DoubleType()), ("n_offending", T.LongType()), ("worst_start", T.LongType()),

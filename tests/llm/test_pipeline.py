@@ -2,8 +2,9 @@ import random
 
 import corpus_pipeline as C
 import pytest
+from pyspark.sql import functions as F
 
-from .helpers import prose, shingles, table
+from .helpers import prose, table
 from .test_scans import labelled, passage
 
 
@@ -32,7 +33,6 @@ def test_stages_take_effect(spark, folder):
     path, rows, labels = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
     columns = docs.columns
-    text = {}
     # toxicity
     a = C.drop_toxic(spark, docs, path)
     assert a.columns == columns
@@ -52,7 +52,26 @@ def test_stages_take_effect(spark, folder):
     gone = {i for i, _ in rows} - {r.doc_id for r in c.select("doc_id").collect()}
     assert gone == {5000 + i for i in range(12)}
     assert c.count() == len(rows) - 12
-    assert text == {} and shingles("") == set()
+
+
+def test_columns_of_clashing_names(spark, folder):
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name in ("hit", "row_key", "set_id", "toxic_score", "label", "group", "item_id", "n"):
+        docs = docs.withColumn(name, F.lit("x"))
+    for _, stage in C.STAGES[:-1]:
+        docs = C.write_table(stage(spark, docs, path), "stage")
+        assert docs.columns[-2:] == ["item_id", "n"] and docs.where("hit <> 'x' or n <> 'x'").count() == 0
+    assert 0 < docs.count() < len(rows) and C.STAGES[-1][1](spark, docs, path).count() > 0
+
+
+def test_empty_tables(spark):
+    from cardlens.session import scratch_path
+    path = scratch_path(spark, "empty_input")
+    table(spark, []).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    assert C.run(spark, path).collect() == []
 
 
 def test_run_packs_what_the_stages_keep(spark, folder):

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardlens.llm import decontaminate as D
 from cardlens.llm import licenses as L
@@ -243,6 +244,47 @@ def test_score_is_the_noisy_or_of_sentences(learned):
         assert miss <= 1
 
 
+def test_score_equals_a_plain_noisy_or(spark, learned):
+    """Document score, offending sentences and worst sentence, sentence by sentence: 1 - (1 - leak) * product(1 - p), where a sentence whose
+    weights add up to no more than the floor has p = 0."""
+    weights = learned[2]
+    rows = learned[0][:150]
+    texts = [t for _, t, *_ in rows] + ["Vileness here. Nothing there! grumblers, grumbler\nend", "one", "", "...", "vileness. vileness", None]
+    out = T.score(table(spark, list(enumerate(texts))), weights)[0].collect()
+    assert len(out) == len(texts)
+    for r in out:
+        data = (r.text or "").encode()
+        block = np.frombuffer(data, np.uint8)
+        feats, sentence, doc, start, end = T.bags(block, np.array([0, len(data)]))
+        clear, chances = np.exp(-weights[-2]), []
+        for k in range(len(doc)):
+            s = sum(weights[j] for j in set(feats[sentence == k].tolist()))
+            miss = (1 + np.exp(weights[-1])) / (1 + np.exp(s + weights[-1])) if s > T.FLOOR else 1.0
+            chances.append(1 - miss)
+            clear *= miss
+        assert r.toxic_score == pytest.approx(1 - clear if len(doc) else 0.0, abs=1e-9)
+        assert r.n_offending == sum(p >= 0.5 for p in chances)
+        assert r.worst_score is None if not len(doc) else r.worst_score == pytest.approx(max(chances), abs=1e-9)
+
+
+def test_rare_features_stay_with_the_tasks(spark):
+    """The fit on bags without features of too few documents equals that on whole bags."""
+    rows, labels = labelled(600, seed=9)
+    docs, marks = table(spark, [r[:2] for r in rows]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    w = T.train(docs, marks)
+    ids = [r.doc_id for r in docs.where(~T.held_out(F.col("doc_id"))).select("doc_id").collect()]
+    text, mark = {r[0]: r[1] for r in rows}, {i: t for i, _, t in labels}
+    found = {i: [] for i in ids}
+    for i in ids:
+        data = np.frombuffer(text[i].encode(), np.uint8)
+        feats, sentence, doc, _, _ = T.bags(data, np.array([0, len(data)]))
+        found[i] = [np.unique(feats[sentence == k]) for k in range(len(doc))]
+    ids = sorted(ids, key=lambda i: i)
+    whole = T.fit_noisy_or(np.array([mark[i] for i in ids], np.int32), np.concatenate([f for i in ids for f in found[i]]).astype(np.uint32),
+                           np.array([len(f) for i in ids for f in found[i]], np.uint32), np.array([len(found[i]) for i in ids]))
+    assert np.flatnonzero(w).tolist() == np.flatnonzero(whole).tolist() and np.allclose(w, whole, atol=1e-6)
+
+
 def test_length_alone_is_not_toxic(spark):
     rows, labels = labelled(1500, seed=4)
     labels = [(i, q, int(t or i % 25 == 1)) for i, q, t in labels]            # marked texts without a bad word
