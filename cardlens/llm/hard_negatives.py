@@ -260,11 +260,12 @@ def _runs(order: np.ndarray, k: int, low: int | None):
 
 
 def _meet(anchors: DataFrame, blocks: DataFrame, parts: int) -> DataFrame:
-    """Each block of anchors with each block of rows: rows are dealt to parts, anchors go to every part."""
+    """Each block of anchors with each block of rows: rows are dealt to parts, anchors go to every part.  By merging: a broadcast
+    (Spark sizes it by the written blocks, before their copies) would collect all copies of all anchors on the driver."""
     named = anchors.select(F.monotonically_increasing_id().alias("a_name"), *[F.col(c).alias(f"a_{c}") for c in _NAMES[1:]])
     sent = write_table(named, "anchor_blocks").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     dealt = blocks.select(F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int").alias("part"), *_NAMES[1:])
-    return sent.join(dealt, "part").drop("part")
+    return sent.hint("merge").join(dealt, "part").drop("part")
 
 
 def valid_rows(rows: DataFrame, scale: int, id_col: str, label_col: str, vector_col: str) -> DataFrame:
@@ -313,7 +314,7 @@ def hard_negatives(rows: DataFrame, every: int = 100, k: int = 5, low: int = 80,
 
     windows = positives.groupBy("anchor_id").agg(F.collect_list(F.struct(F.col("positive_id").alias("id"), F.col("positive_score").alias("score")))
                                                  .alias("windows"))      # k at most
-    anchors = in_tasks(chosen.drop("windows").join(windows, F.col("vec_id") == F.col("anchor_id")).select("vec_id", "label", "vector", "windows")
+    anchors = in_tasks(chosen.drop("windows").hint("merge").join(windows, F.col("vec_id") == F.col("anchor_id")).select("vec_id", "label", "vector", "windows")
                        .repartition(groups), pack(ANCHOR_ROWS, k), _BLOCK)
     found = in_tasks(_meet(anchors, blocks, parts), _runs(order, k, low),
                      "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long")

@@ -109,3 +109,9 @@ def test_query(spark):
     rows = [(r.vec_id, r.embedding, r.label if r.label is None or r.vec_id % 7 else (r.label + 1) % 10)
             for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in Q.op11_hard_negatives(spark, sf).collect()} == brute(rows)
+
+
+def test_anchors_are_not_broadcast(spark):
+    """Copies of all anchors would be collected on the driver."""
+    rows = spark.createDataFrame([(i, i % 3, [float(i % 7) / 8, float(i % 5) / 8]) for i in range(300)], "vec_id long, label long, embedding array<double>")
+    assert "Broadcast" not in H.hard_negatives(rows)._jdf.queryExecution().toString()
