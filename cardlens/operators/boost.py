@@ -10,13 +10,15 @@ written once.
 * Gradients are whole numbers (fixed point), so sums do not depend on the order of rows, tasks or retries.
 * Margins are written to the shared folder every ``KEEP_ROUNDS`` rounds; a lost executor costs at most those rounds' walks.
 * Where the binned rows are at most ``SMALL_BYTES`` (checked), the same kernel fits each model in one task on a broadcast
-  copy, models spread over tasks: no pass per level.  Both ways give the same trees.
+  copy, models spread over tasks: no pass per level.  Of two siblings only the smaller is summed, and neighbouring features of many
+  rows are counted by one joint histogram, whose margins are theirs.  Both ways give the same trees.
 
 Sampling is a hash of (seed, round, row or feature), so re-runs and other partitionings draw the same.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from dataclasses import asdict, dataclass, field, replace
@@ -32,6 +34,8 @@ from cardlens.session import send_package, write_table
 
 SMALL_BYTES = 64 << 20
 KEEP_ROUNDS = 10
+CHUNK = 1 << 17         # numbers worked on at a time
+JOINT = 4096            # places of the largest joint histogram; fits 16 bits
 MISSING = 255           # bin of a missing value
 LOSS = -1               # feature of the rows that carry the held-out loss
 U64 = np.uint64
@@ -381,58 +385,150 @@ def with_folds(data: DataFrame, key: str, folds: int, seeds) -> tuple[DataFrame,
 # ---------------------------------------------------------------- fitting: one model in one task
 
 class Local:
-    """All rows in memory."""
+    """All rows in memory, one byte per row and feature, by feature."""
 
     def __init__(self, key, label, folds, bins, sizes: np.ndarray, missing: np.ndarray, scale: float):
-        self.key, self.label, self.folds, self.bins, self.scale = key, label, folds, bins, scale
-        self.sizes, self.missing = sizes, missing
-        self.places = np.minimum(bins, sizes).astype(np.int64) if bins.size else np.zeros(bins.shape, np.int64)
+        self.key, self.label, self.folds, self.scale = key, label, folds, scale
+        self.sizes, self.missing, self.n_features = sizes, missing, bins.shape[1]
+        self.places = np.ascontiguousarray(bins.T)      # of each feature; no copy of bins that lie by feature
+        if self.places.size and self.places.max() == MISSING:
+            self.places = np.minimum(self.places, sizes.astype(np.uint8)[:, None])      # missing rows behind the last bin
         # columns that bin all rows alike give equal splits, of which the first counts; constant ones give none
-        self.alike = np.unique(bins.T, axis=0, return_inverse=True)[1].ravel() if bins.size else np.arange(bins.shape[1])
-        self.varies = (bins != bins[:1]).any(axis=0)
+        first: dict[bytes, int] = {}
+        self.alike = np.array([first.setdefault(hashlib.blake2b(c).digest(), f) for f, c in enumerate(self.places)], np.int64)
+        self.varies = np.array([(c != c[:1]).any() for c in self.places], bool)
 
     def worth_searching(self, columns: np.ndarray) -> np.ndarray:
         first = columns[np.sort(np.unique(self.alike[columns], return_index=True)[1])]
         some = first[self.varies[first]]
         return some if len(some) else columns[:1]
 
+    def goes_right(self, rows: np.ndarray, feature: int, bin_: int, missing_left: bool) -> np.ndarray:
+        place = self.places[feature].take(rows)
+        right = place > bin_
+        return right & (place != self.sizes[feature]) if missing_left and self.missing[feature] else right
+
+    def joined(self, columns: np.ndarray, most: int) -> list[tuple]:
+        """(first, end, place in the group's joint histogram of each row) of neighbouring drawn features whose joint histogram has at most ``most`` places."""
+        widths = self.sizes[columns] + self.missing[columns]
+        out, lo = [], 0
+        while lo < len(columns):
+            hi, size = lo + 1, int(widths[lo])
+            while hi < len(columns) and size * int(widths[hi]) <= most:
+                size *= int(widths[hi])
+                hi += 1
+            place = self.places[columns[lo]]
+            if hi > lo + 1:
+                place = place.astype(np.uint16)
+                for j in range(lo + 1, hi):
+                    place *= np.uint16(widths[j])
+                    place += self.places[columns[j]]
+            out.append((lo, hi, place))
+            lo = hi
+        return out
+
+    def sums(self, columns: np.ndarray, layout: Layout, groups: list[tuple], nodes: list, g: np.ndarray, h: np.ndarray):
+        """Sums of ``g`` and ``h`` per [node, place] over each node's rows, a few groups of features at a time."""
+        rows = np.concatenate(nodes)
+        number = np.repeat(np.arange(len(nodes)), [len(x) for x in nodes])
+        g, h = g[rows], h[rows]
+        even = h[0] if len(h) and (h == h[0]).all() else None      # of squared error: counting rows is enough
+        out_g, out_h = (np.zeros((len(nodes), layout.width)) for _ in range(2))
+        widths = self.sizes[columns] + self.missing[columns]
+        sizes = [int(np.prod(widths[lo:hi])) for lo, hi, _ in groups]
+        step = min(len(groups), max(1, CHUNK // max(1, len(rows))))
+        some_g, some_h = np.tile(g, step), None if even is not None else np.tile(h, step)
+        index = np.empty((step, len(rows)), np.int64)
+        for first in range(0, len(groups), step):
+            part, size = groups[first:first + step], sizes[first:first + step]
+            starts = np.cumsum(size) - size
+            total = int(sum(size))
+            base = number * total
+            for j, (_, _, place) in enumerate(part):
+                np.add(place.take(rows), base + starts[j], out=index[j])
+            at = index[:len(part)].ravel()
+            hg = np.bincount(at, some_g[:len(at)], len(nodes) * total).reshape(-1, total)
+            hh = np.bincount(at, None if even is not None else some_h[:len(at)], len(nodes) * total).reshape(-1, total)
+            for j, (lo, hi, _) in enumerate(part):
+                shape = (len(nodes), *widths[lo:hi])
+                for out, x in ((out_g, hg), (out_h, hh)):
+                    x = x[:, starts[j]:starts[j] + size[j]].reshape(shape)
+                    for f in range(lo, hi):
+                        others = tuple(i for i in range(1, x.ndim) if i != f - lo + 1)
+                        out[:, layout.starts[f]:layout.starts[f] + widths[f]] = x.sum(axis=others) if others else x
+        return out_g, out_h if even is None else out_h * even
+
+    def grow(self, m: Settings, round_: int, margin: np.ndarray, held: np.ndarray) -> tuple[Tree, np.ndarray]:
+        """(one tree, each row's value in it)"""
+        g, h = gradients(m, self.label, margin, self.scale)
+        drawn = rows_drawn(self.key, m, round_) & ~held
+        columns = features_drawn(self.n_features, m, round_)
+        if len(columns):
+            columns = self.worth_searching(columns)
+        layout = Layout(self.sizes[columns], self.missing[columns])
+        grower = Grower(m)
+        used, others = {0: np.flatnonzero(drawn)}, {0: np.flatnonzero(~drawn)}      # rows of each leaf; ``others`` only take its value
+        kept: dict[int, tuple] = {}             # sums of open nodes
+        most = min(JOINT, len(used[0]) // 16)
+        single = [(j, j + 1, self.places[f]) for j, f in enumerate(columns)]
+        joint = self.joined(columns, most) if most >= JOINT // 4 else single
+        parent = {}
+        for _ in range(m.depth):
+            open_ = [n for n in grower.open if len(used[n])]
+            if not open_ or not len(columns):
+                break
+            # of two siblings the smaller is summed, the other is the rest of their parent; sums are whole numbers
+            direct, rest = [], []
+            for n in sorted({n if not n else n - (n - 1) % 2 for n in open_}):
+                if not n:
+                    direct.append(n)
+                    continue
+                small = n if len(used[n]) <= len(used[n + 1]) else n + 1
+                direct.append(small)
+                rest.append((small, 2 * n + 1 - small))
+            many = sum(len(used[n]) for n in direct) >= 2 * most * len(direct)
+            hg, hh = self.sums(columns, layout, joint if many else single, [used[n] for n in direct], g, h)
+            now = {n: (hg[i], hh[i]) for i, n in enumerate(direct)}
+            for small, large in rest:
+                if large in grower.open:
+                    pg, ph = kept[parent[small]]
+                    now[large] = pg - now[small][0], ph - now[small][1]
+            found, few = {}, max(1, CHUNK // max(1, layout.width))
+            for lo in range(0, len(open_), few):
+                part = open_[lo:lo + few]
+                gain, feature, bin_, left, lg, lh, tg, th = best_splits(
+                    np.stack([now[n][0] for n in part]), np.stack([now[n][1] for n in part]), layout, m, self.scale)
+                for i, n in enumerate(part):
+                    found[n] = (float(gain[i]), int(columns[feature[i]]), int(bin_[i]), bool(left[i]), float(lg[i]), float(lh[i]), float(tg[i]), float(th[i]))
+            kept = now
+            grower.level(found)
+            tree = grower.tree
+            for n in open_:
+                c = tree.child[n]
+                if c >= 0:
+                    parent[c] = parent[c + 1] = n
+                    for rows in (used, others):
+                        mine = rows.pop(n)
+                        right = self.goes_right(mine, tree.feature[n], tree.bin[n], tree.missing_left[n])
+                        rows[c], rows[c + 1] = mine[~right], mine[right]
+        tree = grower.done()
+        out, value = np.empty(len(self.key)), {0: tree.value[0]}
+        for n in range(1, len(tree.child)):     # below an undone split its node's value holds
+            value[n] = tree.value[n] if tree.child[parent[n]] >= 0 else value[parent[n]]
+        for rows in (used, others):
+            for n, mine in rows.items():
+                out[mine] = value[n]
+        return tree, out
+
     def fit(self, m: Settings) -> tuple[list[Tree], np.ndarray, list[float]]:
         """(trees, margins of all rows, held-out loss sum after each round)"""
         held = _held(m, self.folds)
         margin = np.full(len(self.key), base_margin(m))
         trees, loss = [], []
         for r in range(m.rounds):
-            g, h = gradients(m, self.label, margin, self.scale)
-            use = np.flatnonzero(rows_drawn(self.key, m, r) & ~held)
-            columns = self.worth_searching(features_drawn(self.bins.shape[1], m, r))
-            layout = Layout(self.sizes[columns], self.missing[columns])
-            places = self.places[np.ix_(use, columns)] + layout.starts
-            g, h = g[use], h[use]
-            grower, node = Grower(m), np.zeros(len(use), np.int64)
-            live = np.arange(len(use))
-            for _ in range(m.depth):
-                if not grower.open or not len(live) or not len(columns):
-                    break
-                # rows of open nodes only, which are numbered in order
-                place = np.full(len(grower.tree.child), -1)
-                place[grower.open] = np.arange(len(grower.open))
-                local = place[node[live]]
-                live, local = live[local >= 0], local[local >= 0]
-                there = np.flatnonzero(np.bincount(local, minlength=len(grower.open)))
-                hg, hh = histograms(places[live], local, g[live], h[live], len(grower.open), layout.width)
-                gain, feature, bin_, left, lg, lh, tg, th = best_splits(hg, hh, layout, m, self.scale)
-                drawn = columns[feature]
-                grower.level({grower.open[i]: (float(gain[i]), int(drawn[i]), int(bin_[i]), bool(left[i]), float(lg[i]), float(lh[i]),
-                                               float(tg[i]), float(th[i])) for i in there.tolist()})
-                child = np.array(grower.tree.child)
-                to = child[node[live]]
-                b = self.bins[use[live], drawn[local]]
-                right = np.where(b == MISSING, ~left[local], b > bin_[local])
-                node[live] = np.where(to >= 0, to + right, node[live])
-                live = live[to >= 0]
-            tree = grower.done()
+            tree, value = self.grow(m, r, margin, held)
             trees.append(tree)
-            margin = margin + np.array(tree.value)[tree.walk(self.bins)]
+            margin = margin + value
             if m.fold is not None:
                 loss.append(held_loss(m, self.label[held], margin[held], self.scale))
                 if stops(m, loss):
@@ -482,11 +578,12 @@ def _fit_in_tasks(data: Binned, models: list[Settings]) -> DataFrame:
     folds = _folds(t["folds"])
     bins = np.frombuffer(b"".join(t["bins"].to_pylist()), np.uint8).reshape(n, width)
     order = np.argsort(t["key"].to_numpy(), kind="stable")
-    shared = spark.sparkContext.broadcast((t["key"].to_numpy()[order].astype(np.int64).view(U64), t["label"].to_numpy()[order], folds[order], bins[order]))
+    shared = spark.sparkContext.broadcast((t["key"].to_numpy()[order].astype(np.int64).view(U64), t["label"].to_numpy()[order], folds[order], np.ascontiguousarray(bins[order].T)))
     sizes, missing, scale, cuts = data.sizes, data.missing, data.scale, data.cuts
 
     def run(batches):
-        rows = Local(*shared.value, sizes, missing, scale)
+        key, label, folds, by_feature = shared.value
+        rows = Local(key, label, folds, by_feature.T, sizes, missing, scale)
         for batch in batches:
             for model in batch.column(0).to_pylist():
                 trees, _, loss = rows.fit(models[model])

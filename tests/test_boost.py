@@ -82,6 +82,32 @@ def test_passes_per_level_and_one_task_per_model_give_the_same_trees(spark):
     assert trees_of(small) == trees_of(large) and small.best_round == large.best_round
 
 
+@pytest.mark.parametrize("joint", [0, 40, 4096])
+def test_joint_histograms_and_sibling_sums_give_the_passes_trees(spark, monkeypatch, joint):
+    """Deep trees, features of few and many bins, missing rows, subsampled rows."""
+    monkeypatch.setattr(B, "JOINT", joint)
+    data = [(i, y, [*x, float(i % 2), float(i % 3) if i % 5 else None, 1.0, x[0]]) for i, y, x in rows(13, 900, 4)]
+    _, b, _ = binned(spark, data, 6, folds=3, seeds=(1,))
+    models = [B.Settings(rounds=2, depth=6, min_child_weight=0.5, gamma=0.1, alpha=0.0, fold_of=0, fold=0),
+              B.Settings(rounds=2, depth=5, min_child_weight=1.0, alpha=0.1, logistic=False, subsample=0.5)]
+    local = B.Local(*_arrays(b), b.sizes, b.missing, b.scale)
+    kept = [tuple(r) for i, m in enumerate(models) for k, t in enumerate(local.fit(m)[0]) for r in B.tree_rows(i, k, t, b.cuts)]
+    large = [r for r in trees_of(B.fit(b, models, list("abcdefgh"), small_bytes=0)) if r[2] >= 0]
+    assert sorted(kept) == large and len(large) > 60
+
+
+def test_rows_in_memory_take_a_byte_per_bin():
+    """Eight bytes did not fit executors; a tree's own numbers are a few per row."""
+    import tracemalloc
+    n, f = 20000, 100
+    bins = np.asfortranarray(np.random.default_rng(1).integers(0, 30, (n, f)).astype(np.uint8))
+    tracemalloc.start()
+    B.Local(np.arange(n, dtype=np.uint64), np.arange(n) % 2.0, np.zeros((n, 0), np.int32), bins, np.full(f, 30), np.zeros(f, np.int64), 2.0 ** 20).fit(B.plain(rounds=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * n * f / 2
+
+
 def test_margins_written_between_rounds_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(B, "KEEP_ROUNDS", 2)
     _, b, _ = binned(spark, rows(4, 120, 4))
