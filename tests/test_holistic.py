@@ -60,3 +60,13 @@ def test_keyed_stats_hot_client_matches_builtin(spark):
     g = {r.cl_id: r.asDict() for r in got.collect()}
     w = {r.cl_id: r.asDict() for r in want.collect()}
     assert g == w
+
+
+def test_cuts_below_are_found_by_halving(spark):
+    """As counting every cut, for any number of cuts, repeated ones and NaN; the plan has no pass over all cuts."""
+    from cardlens.operators.holistic import cuts_below
+    nan = float("nan")
+    for cuts in ([], [1.0], [1.0, 1.0, 2.0], [float(i // 3) for i in range(511)], [0.0, 5.0, nan]):
+        df = spark.createDataFrame([(v, cuts) for v in (-1.0, 0.0, 1.0, 1.5, 2.0, 5.0, 99.0, 169.5, 1e9, nan)], "v double, c array<double>")
+        got = df.select(cuts_below("c", F.col("v"), len(cuts)).alias("n"), F.size(F.filter("c", lambda x: x < F.col("v"))).alias("m"))
+        assert all(r.n == r.m for r in got.collect())
