@@ -199,48 +199,67 @@ class Layout:
 
 def best_splits(g: np.ndarray, h: np.ndarray, layout: Layout, m: Settings, scale: float):
     """Best split of each node by histograms [node, place]: (gain, feature, bin, missing left, left sums of g and h,
-    sums of g and h); gain 0 where none is allowed.  Of equal gains the first in (feature, bin, missing right before left) order."""
-    g, h = g / scale, h / scale
-    end = int(layout.starts[1]) if len(layout.starts) > 1 else layout.width
-    total_g, total_h = g[:, :end].sum(axis=1), h[:, :end].sum(axis=1)       # every feature has all rows
-
-    def running(x):
-        c = np.cumsum(x, axis=1)
-        before = np.zeros((len(x), len(layout.starts)))
-        before[:, 1:] = c[:, layout.starts[1:] - 1]
-        c -= before[:, layout.feature]
-        return c
+    sums of g and h); gain 0 where none is allowed.  Of equal gains the first in (feature, bin, missing right before left) order.
+    Only cuts behind places that hold rows and leave both sides heavy enough are scored: behind an empty place it is the cut before."""
+    n, n_features = len(g), len(layout.starts)
+    end = int(layout.starts[1]) if n_features > 1 else layout.width
+    total_g, total_h = g[:, :end].sum(axis=1) / scale, h[:, :end].sum(axis=1) / scale       # every feature has all rows
+    least = max(m.min_child_weight, 0.5 / scale)
 
     def score(a, b):
         t = np.maximum(np.abs(a) - m.alpha, 0.0) if m.alpha > 0 else a
         return t * t / (b + m.reg_lambda if m.reg_lambda > 0 else np.maximum(b, 1e-12))
-    least = max(m.min_child_weight, 0.5 / scale)
-    root = score(total_g, total_h)[:, None]
-
-    def gains(lg, lh):
-        rh = total_h[:, None] - lh
+    root = score(total_g, total_h)
+
+    def first_best(node, place, lg, lh):
+        """(gain, place, left sums) of each node's first best cut, the cuts sorted by (node, place); gains are rounded so that equal splits tie."""
+        best, at, left_g, left_h = np.zeros(n), np.zeros(n, np.int64), g[:, 0] / scale, h[:, 0] / scale
+        ok = np.flatnonzero((lh >= least) & (total_h[node] - lh >= least))
+        if not len(ok):
+            return best, at, left_g, left_h
+        node, place, lg, lh = node[ok], place[ok], lg[ok], lh[ok]
         gain = score(lg, lh)
-        gain += score(total_g[:, None] - lg, rh)
-        gain -= root
-        gain[(lh < least) | (rh < least)] = 0.0
-        return np.round(gain, 9, out=gain)          # equal splits tie
-    left_g, left_h = running(g), running(h)
-    rows = np.arange(len(g))
-    gain = gains(left_g, left_h)
-    at = gain.argmax(axis=1)
-    best, lg, lh, left = gain[rows, at], left_g[rows, at], left_h[rows, at], np.zeros(len(g), bool)
-    if len(layout.holes) and h[:, layout.hole_at].any():
-        mg, mh = np.zeros((len(g), len(layout.starts))), np.zeros((len(g), len(layout.starts)))
-        mg[:, layout.holes], mh[:, layout.holes] = g[:, layout.hole_at], h[:, layout.hole_at]
-        left_g += mg[:, layout.feature]
-        left_h += mh[:, layout.feature]
-        left_h[:, layout.hole_at] = 0.0             # no cut behind the missing rows
-        other = gains(left_g, left_h)
-        also = other.argmax(axis=1)
-        better = (other[rows, also] > best) | ((other[rows, also] == best) & (also < at))
-        at = np.where(better, also, at)
-        best, left = np.where(better, other[rows, also], best), better
-        lg, lh = np.where(better, left_g[rows, also], lg), np.where(better, left_h[rows, also], lh)
+        gain += score(total_g[node] - lg, total_h[node] - lh)
+        gain -= root[node]
+        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+        some = node[starts]
+        best[some] = np.maximum(np.round(np.maximum.reduceat(gain, starts), 9), 0.0)
+        near = np.flatnonzero(gain >= (best - 2e-9 - 1e-14 * best)[node])
+        near = near[np.round(gain[near], 9) == best[node[near]]]
+        some, first = np.unique(node[near], return_index=True)
+        first = near[first]
+        at[some], left_g[some], left_h[some] = place[first], lg[first], lh[first]
+        return best, at, left_g, left_h
+    filled = (g != 0) | (h != 0)
+    node, place = np.repeat(np.arange(n), np.count_nonzero(filled, axis=1)), np.flatnonzero(filled)
+    place -= node * layout.width
+    mine = node * n_features + layout.feature[place]
+    starts = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]]) if len(mine) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[starts, len(mine)])
+
+    def running(x):
+        x = x[filled].astype(np.int64)          # whole numbers: no sum is rounded
+        c = np.cumsum(x)
+        c -= np.repeat(c[starts] - x[starts], sizes)
+        return c / scale
+    best, at, lg, lh = first_best(node, place, running(g), running(h))
+    left = np.zeros(n, bool)
+    if len(layout.holes) and h[:, layout.hole_at].any():       # features without missing rows have no other cuts
+        cuts = layout.sizes[layout.holes]
+        where = np.repeat(np.arange(len(cuts)), cuts)
+        begin = np.cumsum(cuts) - cuts
+        places = np.arange(len(where)) - begin[where] + layout.starts[layout.holes][where]
+
+        def with_missing(x):
+            x = x / scale
+            c = np.cumsum(x[:, places], axis=1)
+            before = np.zeros((n, len(cuts)))
+            before[:, 1:] = c[:, begin[1:] - 1]
+            return (c + (x[:, layout.hole_at] - before)[:, where]).ravel()
+        gain, also, other_g, other_h = first_best(np.repeat(np.arange(n), len(places)), np.tile(places, n), with_missing(g), with_missing(h))
+        left = (gain > best) | ((gain == best) & (gain > 0) & (also < at))
+        best, at = np.where(left, gain, best), np.where(left, also, at)
+        lg, lh = np.where(left, other_g, lg), np.where(left, other_h, lh)
     feature = layout.feature[at]
     return best, feature, at - layout.starts[feature], left, lg, lh, total_g, total_h
 
@@ -458,6 +477,20 @@ class Local:
                         out[:, layout.starts[f]:layout.starts[f] + widths[f]] = x.sum(axis=others) if others else x
         return out_g, out_h if even is None else out_h * even
 
+    def sums_by_row(self, by_row: np.ndarray, layout: Layout, nodes: list, g: np.ndarray, h: np.ndarray):
+        """The same sums where no joint histogram pays: ``by_row`` holds each row's bins of the drawn features side by side."""
+        out_g, out_h = (np.zeros((len(nodes), layout.width)) for _ in range(2))
+        n = by_row.shape[1]
+        step = max(1, CHUNK // max(1, n))
+        even = h[0] if len(h) and (h == h[0]).all() else None      # of squared error: counting rows is enough
+        for i, rows in enumerate(nodes):
+            for lo in range(0, len(rows), step):
+                part = rows[lo:lo + step]
+                at = np.add(by_row[part], layout.starts, dtype=np.int64).ravel()
+                out_g[i] += np.bincount(at, np.repeat(g[part], n), layout.width)
+                out_h[i] += np.bincount(at, None if even is not None else np.repeat(h[part], n), layout.width)
+        return out_g, out_h if even is None else out_h * even
+
     def grow(self, m: Settings, round_: int, margin: np.ndarray, held: np.ndarray) -> tuple[Tree, np.ndarray]:
         """(one tree, each row's value in it)"""
         g, h = gradients(m, self.label, margin, self.scale)
@@ -470,8 +503,8 @@ class Local:
         used, others = {0: np.flatnonzero(drawn)}, {0: np.flatnonzero(~drawn)}      # rows of each leaf; ``others`` only take its value
         kept: dict[int, tuple] = {}             # sums of open nodes
         most = min(JOINT, len(used[0]) // 16)
-        single = [(j, j + 1, self.places[f]) for j, f in enumerate(columns)]
-        joint = self.joined(columns, most) if most >= JOINT // 4 else single
+        joint = self.joined(columns, most) if most >= JOINT // 4 else None
+        by_row = None
         parent = {}
         for _ in range(m.depth):
             open_ = [n for n in grower.open if len(used[n])]
@@ -486,8 +519,12 @@ class Local:
                 small = n if len(used[n]) <= len(used[n + 1]) else n + 1
                 direct.append(small)
                 rest.append((small, 2 * n + 1 - small))
-            many = sum(len(used[n]) for n in direct) >= 2 * most * len(direct)
-            hg, hh = self.sums(columns, layout, joint if many else single, [used[n] for n in direct], g, h)
+            if joint is not None and sum(len(used[n]) for n in direct) >= 2 * most * len(direct):
+                hg, hh = self.sums(columns, layout, joint, [used[n] for n in direct], g, h)
+            else:
+                if by_row is None:
+                    by_row = np.ascontiguousarray(self.places[columns].T)
+                hg, hh = self.sums_by_row(by_row, layout, [used[n] for n in direct], g, h)
             now = {n: (hg[i], hh[i]) for i, n in enumerate(direct)}
             for small, large in rest:
                 if large in grower.open:
@@ -647,7 +684,7 @@ def _level_task(models, trees, growing, active, round_, first, sizes, missing, s
         for i, (hg, hh) in sums.items():
             columns, open_ = features_drawn(n_features, models[i], round_), np.array(growing[i][1])
             layout = Layout(sizes[columns], missing[columns])
-            n, at = np.nonzero(hh)
+            n, at = np.nonzero((hg != 0) | (hh != 0))
             f = layout.feature[at]
             b = at - layout.starts[f]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(open_[n].astype(np.int32)), pa.array(columns[f].astype(np.int32)),
@@ -664,15 +701,20 @@ _SPLIT = "model int, node int, feature int, bin int, missing_left boolean, gain
 
 
 def _split_task(models, sizes, missing, scale):
-    """Summed histograms sorted by (model, node, feature) in; the best split of each out."""
+    """Summed histograms sorted by (model, node, feature) in; the best split of each node by the task's features out."""
     def searched(model, node, feature, b, g, h):
-        if feature == LOSS:
-            return (model, node, LOSS, 0, False, 0.0, float(g.sum()), 0.0, 0.0, 0.0)
-        layout = Layout(sizes[feature:feature + 1], missing[feature:feature + 1])
-        hg, hh = np.zeros((1, layout.width)), np.zeros((1, layout.width))
-        hg[0, b], hh[0, b] = g, h
-        gain, _, bin_, left, *sums = (x[0] for x in best_splits(hg, hh, layout, models[model], scale))
-        return (model, node, feature, int(bin_), bool(left), float(gain), *map(float, sums))
+        out, first = [], int(np.searchsorted(feature, LOSS, "right"))
+        if first:
+            out.append((model, node, LOSS, 0, False, 0.0, float(g[:first].sum()), 0.0, 0.0, 0.0))
+        if first < len(feature):
+            columns, at = np.unique(feature[first:], return_inverse=True)
+            layout = Layout(sizes[columns], missing[columns])
+            hg, hh = np.zeros((1, layout.width)), np.zeros((1, layout.width))
+            at = layout.starts[at] + b[first:]
+            hg[0, at], hh[0, at] = g[first:], h[first:]
+            gain, column, bin_, left, *sums = (x[0] for x in best_splits(hg, hh, layout, models[model], scale))
+            out.append((model, node, int(columns[column]), int(bin_), bool(left), float(gain), *map(float, sums)))
+        return out
 
     def run(batches):
         rest = None
@@ -682,14 +724,14 @@ def _split_task(models, sizes, missing, scale):
         def batch_of(c, ends):
             rows, lo = [], 0
             for hi in ends:
-                rows.append(searched(int(c[0][lo]), int(c[1][lo]), int(c[2][lo]), c[3][lo:hi], c[4][lo:hi], c[5][lo:hi]))
+                rows += searched(int(c[0][lo]), int(c[1][lo]), *[x[lo:hi] for x in c[2:]])
                 lo = hi
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
         for batch in batches:
             c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
             c = c if rest is None else [np.concatenate(x) for x in zip(rest, c)]
-            new = np.flatnonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1]) | (c[2][1:] != c[2][:-1])) + 1
-            if len(new):            # the last group may go on in the next batch
+            new = np.flatnonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1])) + 1
+            if len(new):            # the last node may go on in the next batch
                 yield batch_of(c, new)
                 c = [x[new[-1]:] for x in c]
             rest = c

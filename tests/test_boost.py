@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from dataclasses import replace
 
 import numpy as np
@@ -203,3 +204,48 @@ def test_sizes_are_the_reference_s():
     c, r = B.classifier(), B.regressor()
     assert (c.rounds, c.depth, c.step, c.min_child_weight, c.gamma, c.subsample, c.colsample, c.alpha, c.seed) == (300, 7, 0.1, 4, 0.4, 0.9, 0.6, 1.0, 101)
     assert (r.rounds, r.depth, r.step, r.min_child_weight, r.gamma, r.subsample, r.colsample, r.alpha) == (3000, 3, 0.01, 3, 0.4, 0.9, 0.6, 1.0)
+
+
+def test_splits_among_many_features_and_nodes_are_those_of_each_alone():
+    """Nodes and features searched at once against one feature of one node at a time, with plain whole-number sums."""
+    r = np.random.default_rng(5)
+    sizes, missing = np.array([1, 7, 4, 9, 2]), np.array([0, 1, 0, 1, 1])
+    layout, scale = B.Layout(sizes, missing), 4.0
+    node, bins = r.integers(0, 6, 120), np.stack([r.integers(0, s + m, 120) for s, m in zip(sizes, missing)], axis=1)
+    g, h = r.integers(-9, 10, 120).astype(float), r.integers(0, 5, 120).astype(float)
+    hg, hh = B.histograms(bins + layout.starts, node, g, h, 7, layout.width)       # the seventh node has no rows
+    for m in (B.classifier(min_child_weight=1.0), B.plain(alpha=0.5, min_child_weight=0.0), B.plain(min_child_weight=1e9)):
+        gain, feature, bin_, left, lg, lh, tg, th = B.best_splits(hg, hh, layout, m, scale)
+        soft = lambda a: max(abs(a) - m.alpha, 0.0)
+        score = lambda a, b: soft(a) ** 2 / (b + m.reg_lambda)
+        for i in range(7):
+            mine, best = node == i, (0.0,)
+            total_g, total_h = g[mine].sum() / scale, h[mine].sum() / scale
+            for f in range(len(sizes)):
+                for b in range(sizes[f] + missing[f]):
+                    for missing_left in (False, True):
+                        hole = bins[:, f] == sizes[f]
+                        if missing_left and b == sizes[f]:
+                            continue
+                        low = mine & ((bins[:, f] <= b) & (~hole | (b == sizes[f])) | hole & missing_left)
+                        a, c = g[low].sum() / scale, h[low].sum() / scale
+                        if min(c, total_h - c) < max(m.min_child_weight, 0.5 / scale):
+                            continue
+                        x = round(score(a, c) + score(total_g - a, total_h - c) - score(total_g, total_h), 9)
+                        if x > best[0]:
+                            best = (x, f, b, missing_left, a, c)
+            assert (tg[i], th[i]) == (total_g, total_h)
+            assert gain[i] == pytest.approx(best[0], abs=1e-9)
+            if best[0]:
+                assert (feature[i], bin_[i], left[i], lg[i], lh[i]) == best[1:]
+
+
+def test_split_search_scores_only_places_that_hold_rows():
+    layout = B.Layout(np.full(300, 32), np.zeros(300, np.int64))
+    hg, hh = np.zeros((64, layout.width)), np.zeros((64, layout.width))
+    hg[:, ::16], hh[:, ::16] = 1.0, 8.0
+    tracemalloc.start()
+    B.best_splits(hg, hh, layout, B.plain(), 1.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * hg.nbytes
