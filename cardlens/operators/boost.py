@@ -5,10 +5,11 @@ column sampling, and the fold it leaves out.  All models of a call read the same
 written once.
 
 * A level of all trees of a round is one pass: every task adds the gradients and hessians of its rows up per (model,
-  node, feature, bin), Spark sums these partial histograms, each (model, node, feature) is searched for its best split where it was
-  summed, and one row per (model, node) comes back.  So a pass serves every fold, seed and grid point.
+  node, feature, bin), the partial histograms of a (model, node) meet in one task, which sums and searches them, and one row
+  per (model, node) comes back.  So a pass serves every fold, seed and grid point.  The rows are packed as arrays and kept by the executors.
 * Gradients are whole numbers (fixed point), so sums do not depend on the order of rows, tasks or retries.
-* Margins are written to the shared folder every ``KEEP_ROUNDS`` rounds; a lost executor costs at most those rounds' walks.
+* Margins are written to the shared folder every ``KEEP_ROUNDS`` rounds; between them a Python worker keeps those it has worked out, and
+  walks the trees that it lacks.  A lost executor costs at most those rounds' walks.
 * Where the binned rows are at most ``SMALL_BYTES`` (checked), the same kernel fits each model in one task on a broadcast
   copy, models spread over tasks: no pass per level.  Of two siblings only the smaller is summed, and neighbouring features of many
   rows are counted by one joint histogram, whose margins are theirs.  Both ways give the same trees.
@@ -21,10 +22,15 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import os
+import uuid
+from collections import OrderedDict
 from dataclasses import asdict, dataclass, field, replace
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +39,10 @@ from cardlens.operators.metrics import hash_folds
 from cardlens.session import send_package, write_table
 
 SMALL_BYTES = 64 << 20
-KEEP_ROUNDS = 10
+KEEP_ROUNDS = 50
+KEEP_NODES = 100_000    # nodes of the trees that the written margins lack
+PACK_BYTES = 24 << 20   # bins of a pack of rows
+KEPT_BYTES = 256 << 20  # margins that a Python worker keeps between passes
 CHUNK = 1 << 17         # numbers worked on at a time
 JOINT = 4096            # places of the largest joint histogram; fits 16 bits
 MISSING = 255           # bin of a missing value
@@ -271,6 +280,21 @@ def histograms(places: np.ndarray, node: np.ndarray, g: np.ndarray, h: np.ndarra
     return tuple(np.bincount(index, np.repeat(w, n), n_nodes * width).reshape(n_nodes, width) for w in (g, h))
 
 
+def sums_by_row(by_row: np.ndarray, layout: Layout, nodes: list, g: np.ndarray, h: np.ndarray):
+    """Sums of ``g`` and ``h`` per [node, place] over each node's rows; ``by_row`` holds each row's bins of the drawn features side by side."""
+    out_g, out_h = (np.zeros((len(nodes), layout.width)) for _ in range(2))
+    n = by_row.shape[1]
+    step = max(1, CHUNK // max(1, n))
+    even = h[0] if len(h) and (h == h[0]).all() else None      # of squared error: counting rows is enough
+    for i, rows in enumerate(nodes):
+        for lo in range(0, len(rows), step):
+            part = rows[lo:lo + step]
+            at = np.add(by_row[part], layout.starts, dtype=np.int64).ravel()
+            out_g[i] += np.bincount(at, np.repeat(g[part], n), layout.width)
+            out_h[i] += np.bincount(at, None if even is not None else np.repeat(h[part], n), layout.width)
+    return out_g, out_h if even is None else out_h * even
+
+
 MIN_GAIN = 1e-6
 
 
@@ -477,20 +501,6 @@ class Local:
                         out[:, layout.starts[f]:layout.starts[f] + widths[f]] = x.sum(axis=others) if others else x
         return out_g, out_h if even is None else out_h * even
 
-    def sums_by_row(self, by_row: np.ndarray, layout: Layout, nodes: list, g: np.ndarray, h: np.ndarray):
-        """The same sums where no joint histogram pays: ``by_row`` holds each row's bins of the drawn features side by side."""
-        out_g, out_h = (np.zeros((len(nodes), layout.width)) for _ in range(2))
-        n = by_row.shape[1]
-        step = max(1, CHUNK // max(1, n))
-        even = h[0] if len(h) and (h == h[0]).all() else None      # of squared error: counting rows is enough
-        for i, rows in enumerate(nodes):
-            for lo in range(0, len(rows), step):
-                part = rows[lo:lo + step]
-                at = np.add(by_row[part], layout.starts, dtype=np.int64).ravel()
-                out_g[i] += np.bincount(at, np.repeat(g[part], n), layout.width)
-                out_h[i] += np.bincount(at, None if even is not None else np.repeat(h[part], n), layout.width)
-        return out_g, out_h if even is None else out_h * even
-
     def grow(self, m: Settings, round_: int, margin: np.ndarray, held: np.ndarray) -> tuple[Tree, np.ndarray]:
         """(one tree, each row's value in it)"""
         g, h = gradients(m, self.label, margin, self.scale)
@@ -524,7 +534,7 @@ class Local:
             else:
                 if by_row is None:
                     by_row = np.ascontiguousarray(self.places[columns].T)
-                hg, hh = self.sums_by_row(by_row, layout, [used[n] for n in direct], g, h)
+                hg, hh = sums_by_row(by_row, layout, [used[n] for n in direct], g, h)
             now = {n: (hg[i], hh[i]) for i, n in enumerate(direct)}
             for small, large in rest:
                 if large in grower.open:
@@ -636,124 +646,158 @@ def _fit_in_tasks(data: Binned, models: list[Settings]) -> DataFrame:
 
 # ---------------------------------------------------------------- fitting: one pass per level
 
-def _state_matrix(batch: pa.RecordBatch, n_features: int, n_models: int):
-    n = batch.num_rows
-    key = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
-    folds = _folds(batch.column(3))
-    bins = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(n, n_features)
-    margins = np.frombuffer(b"".join(batch.column(5).to_pylist()), "<f8").reshape(n, n_models) if batch.num_columns > 5 else None
-    return key, batch.column(2).to_numpy(zero_copy_only=False), folds, bins, margins
-
+def _pack_task(n_features: int):
+    """Binned rows in; packs of at most ``PACK_BYTES`` of bins out, each one row of plain bytes, so that a pass hands a task arrays, not rows."""
+    most = max(1, PACK_BYTES // max(1, n_features))
 
-def _level_task(models, trees, growing, active, round_, first, sizes, missing, scale):
-    """Partial histograms of a task's rows per (model, node, feature, bin); on a round's first level also the held-out loss so far."""
-    n_features = len(sizes)
+    def pack(t):
+        folds = _folds(t["folds"])
+        number = int.from_bytes(os.urandom(7), "little")        # written, so a pack keeps it
+        columns = [t["key"].to_numpy().astype("<i8").tobytes(), t["label"].to_numpy().astype("<f8").tobytes(), folds.astype("<i4").tobytes(),
+                   b"".join(t["bins"].to_pylist()), b""]
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([t.num_rows]), *[pa.array([x], pa.binary()) for x in columns]], PACK_NAMES)
 
     def run(batches):
-        sums: dict[int, list] = {}
-        held_sum = dict.fromkeys(active, 0)
+        held, n = [], 0
         for batch in batches:
-            key, label, folds, bins, margins = _state_matrix(batch, n_features, len(models))
-            for i in active:
-                m = models[i]
-                margin = margins[:, i] if margins is not None else np.full(len(key), base_margin(m))
-                for tree in trees[i]:
-                    margin = margin + np.array(tree.value)[tree.walk(bins)]
-                held = _held(m, folds)
-                if first and m.fold is not None:
-                    held_sum[i] += held_loss(m, label[held], margin[held], scale)
-                columns = features_drawn(n_features, m, round_)
-                g, h = gradients(m, label, margin, scale)
-                use = rows_drawn(key, m, round_) & ~held
-                tree, open_ = growing[i]
-                at = tree.walk(bins)
-                place = np.full(len(tree.child), -1)
-                place[open_] = np.arange(len(open_))
-                node = place[at]
-                take = np.flatnonzero(use & (node >= 0))
-                if len(take) and len(open_):
-                    layout = Layout(sizes[columns], missing[columns])
-                    places = np.minimum(bins[np.ix_(take, columns)], sizes[columns]).astype(np.int64) + layout.starts
-                    hg, hh = histograms(places, node[take], g[take], h[take], len(open_), layout.width)
-                    if i in sums:
-                        sums[i][0] += hg
-                        sums[i][1] += hh
-                    else:
-                        sums[i] = [hg, hh]
-        names = ["model", "node", "feature", "bin", "g", "h"]
-        for i, (hg, hh) in sums.items():
-            columns, open_ = features_drawn(n_features, models[i], round_), np.array(growing[i][1])
-            layout = Layout(sizes[columns], missing[columns])
-            n, at = np.nonzero((hg != 0) | (hh != 0))
-            f = layout.feature[at]
-            b = at - layout.starts[f]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(open_[n].astype(np.int32)), pa.array(columns[f].astype(np.int32)),
-                                              pa.array(b.astype(np.int32)), pa.array(hg[n, at].astype(np.int64)), pa.array(hh[n, at].astype(np.int64))], names)
-        if first:
-            keep = [i for i in active if models[i].fold is not None]
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int32()), pa.array([0] * len(keep), pa.int32()), pa.array([LOSS] * len(keep), pa.int32()),
-                                              pa.array([0] * len(keep), pa.int32()), pa.array([held_sum[i] for i in keep], pa.int64()),
-                                              pa.array([0] * len(keep), pa.int64())], names)
+            while batch.num_rows:
+                part, batch = batch.slice(0, most - n), batch.slice(most - n)
+                held.append(part)
+                n += part.num_rows
+                if n == most:
+                    yield pack(pa.Table.from_batches(held))
+                    held, n = [], 0
+        if held:
+            yield pack(pa.Table.from_batches(held))
     return run
 
 
-_SPLIT = "model int, node int, feature int, bin int, missing_left boolean, gain double, lg double, lh double, g double, h double"
+PACK = "pack long, n long, key binary, label binary, folds binary, bins binary, margins binary"
+PACK_NAMES = [x.split()[0] for x in PACK.split(", ")]
 
 
-def _split_task(models, sizes, missing, scale):
-    """Summed histograms sorted by (model, node, feature) in; the best split of each node by the task's features out."""
-    def searched(model, node, feature, b, g, h):
-        out, first = [], int(np.searchsorted(feature, LOSS, "right"))
-        if first:
-            out.append((model, node, LOSS, 0, False, 0.0, float(g[:first].sum()), 0.0, 0.0, 0.0))
-        if first < len(feature):
-            columns, at = np.unique(feature[first:], return_inverse=True)
-            layout = Layout(sizes[columns], missing[columns])
-            hg, hh = np.zeros((1, layout.width)), np.zeros((1, layout.width))
-            at = layout.starts[at] + b[first:]
-            hg[0, at], hh[0, at] = g[first:], h[first:]
-            gain, column, bin_, left, *sums = (x[0] for x in best_splits(hg, hh, layout, models[model], scale))
-            out.append((model, node, int(columns[column]), int(bin_), bool(left), float(gain), *map(float, sums)))
-        return out
-
+@dataclass
+class Pass:
+    """What the tasks of one level need.  ``recent``: model -> trees of the rounds from ``stored`` on, which the packs' margins do not hold yet."""
+    fit: str
+    models: list[Settings]
+    sizes: np.ndarray
+    missing: np.ndarray
+    scale: float
+    stored: int = 0
+    recent: dict = field(default_factory=dict)
+    round_: int = 0
+    growing: dict = field(default_factory=dict)     # model -> (tree so far, open nodes)
+    losses: tuple = ()                              # models whose held-out loss so far is asked for
+
+
+_MARGINS: OrderedDict = OrderedDict()       # of a Python worker: (fit, pack) -> {model: (rounds added, margins)}; what is not there is walked again
+
+
+def _unpacked(p: Pass, row):
+    _, n, key, label, folds, bins, _ = row
+    folds = np.frombuffer(folds, "<i4").reshape(n, -1) if n else np.zeros((0, 0), np.int32)
+    return np.frombuffer(key, "<i8").view(U64), np.frombuffer(label, "<f8"), folds, np.frombuffer(bins, np.uint8).reshape(n, len(p.sizes))
+
+
+def _margin(p: Pass, row, bins: np.ndarray, i: int) -> np.ndarray:
+    """Margins of model ``i`` after all its trees."""
+    mine = _MARGINS.setdefault((p.fit, row[0]), {})
+    _MARGINS.move_to_end((p.fit, row[0]))
+    done, margin = mine.get(i, (-1, None))
+    if done < p.stored:
+        done = p.stored
+        margin = np.frombuffer(row[6], "<f8").reshape(len(p.models), -1)[i] if row[6] else np.full(len(bins), base_margin(p.models[i]))
+    for tree in p.recent.get(i, [])[done - p.stored:]:
+        margin = margin + np.array(tree.value)[tree.walk(bins)]
+        done += 1
+    mine[i] = done, margin
+    while len(_MARGINS) > 1 and sum(m.nbytes for x in _MARGINS.values() for _, m in x.values()) > KEPT_BYTES:
+        _MARGINS.popitem(last=False)
+    return margin
+
+
+def _level_sums(p: Pass, rows):
+    """((model, node), (sums of g, sums of h)) of each pack and open node over the drawn features' places; ((model, LOSS), held-out loss)."""
+    for row in rows:
+        key, label, folds, bins = _unpacked(p, row)
+        for i in sorted({*p.growing, *p.losses}):
+            m = p.models[i]
+            margin, held = _margin(p, row, bins, i), _held(m, folds)
+            if i in p.losses:
+                yield (i, LOSS), held_loss(m, label[held], margin[held], p.scale)
+            if i not in p.growing:
+                continue
+            tree, open_ = p.growing[i]
+            used = np.flatnonzero(rows_drawn(key, m, p.round_) & ~held)
+            at = tree.walk(bins)[used]
+            order = np.argsort(at, kind="stable")
+            at, used = at[order], used[order]
+            found = [(node, used[lo:hi]) for node, lo, hi in zip(open_, np.searchsorted(at, open_), np.searchsorted(at, open_, "right")) if hi > lo]
+            columns = features_drawn(len(p.sizes), m, p.round_)
+            if not found or not len(columns):
+                continue
+            layout = Layout(p.sizes[columns], p.missing[columns])
+            by_row = np.minimum(bins.take(columns, axis=1), p.sizes[columns].astype(np.uint8))      # missing rows behind the last bin
+            g, h = gradients(m, label, margin, p.scale)
+            for node, mine in found:        # a node at a time: no more than its histogram is held
+                hg, hh = sums_by_row(by_row, layout, [mine], g, h)
+                yield (i, node), (hg[0], hh[0])
+
+
+def _level_splits(p: Pass, pairs):
+    """The summed histograms' best split of each node, as ``best_splits`` gives it."""
+    sums: dict[tuple, object] = {}
+    for k, x in pairs:
+        if k not in sums:
+            sums[k] = x
+        elif k[1] == LOSS:
+            sums[k] += x
+        else:
+            for a, b in zip(sums[k], x):
+                a += b
+    for (i, node), x in sums.items():
+        if node == LOSS:
+            yield i, node, x
+            continue
+        columns = features_drawn(len(p.sizes), p.models[i], p.round_)
+        layout = Layout(p.sizes[columns], p.missing[columns])
+        gain, feature, bin_, left, *rest = (v[0] for v in best_splits(x[0][None], x[1][None], layout, p.models[i], p.scale))
+        yield i, node, (float(gain), int(columns[feature]), int(bin_), bool(left), *map(float, rest))
+
+
+def _spread(k: tuple[int, int]) -> int:
+    return k[0] * 31 + k[1] + 1
+
+
+def _add_margins(p: Pass):
     def run(batches):
-        rest = None
-        types = [pa.int32()] * 4 + [pa.bool_()] + [pa.float64()] * 5
-        names = [x.split()[0] for x in _SPLIT.split(", ")]
-
-        def batch_of(c, ends):
-            rows, lo = [], 0
-            for hi in ends:
-                rows += searched(int(c[0][lo]), int(c[1][lo]), *[x[lo:hi] for x in c[2:]])
-                lo = hi
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
         for batch in batches:
-            c = [x.to_numpy(zero_copy_only=False) for x in batch.columns]
-            c = c if rest is None else [np.concatenate(x) for x in zip(rest, c)]
-            new = np.flatnonzero((c[0][1:] != c[0][:-1]) | (c[1][1:] != c[1][:-1])) + 1
-            if len(new):            # the last node may go on in the next batch
-                yield batch_of(c, new)
-                c = [x[new[-1]:] for x in c]
-            rest = c
-        if rest is not None and len(rest[0]):
-            yield batch_of(rest, [len(rest[0])])
+            for row in batch.to_pylist():
+                row = [row[c] for c in PACK_NAMES]
+                bins = _unpacked(p, row)[3]
+                row[6] = np.stack([_margin(p, row, bins, i) for i in range(len(p.models))]).astype("<f8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64() if j < 2 else pa.binary()) for j, x in enumerate(row)], PACK_NAMES)
     return run
 
 
 def _fit_by_levels(data: Binned, models: list[Settings]) -> DataFrame:
-    """One pass of the rows per level, shared by all models still growing."""
+    """One pass of the rows per level, shared by all models still growing.  The packs are kept by the executors between passes; a lost one is
+    read from its file again.  A node's histograms meet in one task, which searches them; a row per open node comes back."""
     spark = data.rows.sparkSession
-    n_features, sizes, missing, scale = len(data.cuts), data.sizes, data.missing, data.scale
-    state = data.rows
-    since: list[list[Tree]] = [[] for _ in models]      # trees not yet in the written margins
+    sc = spark.sparkContext
+    tasks = max(1, sc.defaultParallelism)
+    rows = data.rows.select("key", "label", "folds", "bins").repartition(tasks)
+    packs = write_table(_in_tasks(rows, _pack_task(len(data.cuts)), PACK), "packs")
+    now = Pass(uuid.uuid4().hex, models, data.sizes, data.missing, data.scale)
     loss: list[list[float]] = [[] for _ in models]
-    grown = [0] * len(models)
     stopped: set[int] = set()
     written = []
 
     def keep(trees):
         if trees:
             written.append(write_table(spark.createDataFrame(trees, TREE), "trees"))
+    held = packs.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
     pending, round_ = [], 0
     while True:
         active = [i for i, m in enumerate(models) if round_ < m.rounds and i not in stopped]
@@ -764,42 +808,41 @@ def _fit_by_levels(data: Binned, models: list[Settings]) -> DataFrame:
         growers = {i: Grower(models[i]) for i in active}
         depth = 0
         while True:
-            growing = [(growers[i].tree, growers[i].open) if i in growers else (Tree(), []) for i in range(len(models))]
-            busy = [i for i in active if growers[i].open and depth < models[i].depth and i not in stopped] + (closing if not depth else [])
-            if not busy:
+            busy = [i for i in active if growers[i].open and depth < models[i].depth and i not in stopped]
+            asked = tuple(i for i in active + closing if models[i].fold is not None) if not depth and round_ else ()
+            if not busy and not asked:
                 break
-            part = _in_tasks(state, _level_task(models, since, growing, busy, round_, depth == 0 and round_ > 0, sizes, missing, scale),
-                             "model int, node int, feature int, bin int, g long, h long")
-            summed = part.repartition("model", "node", "feature").groupBy("model", "node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-            splits = _in_tasks(summed.sortWithinPartitions("model", "node", "feature", "bin"), _split_task(models, sizes, missing, scale), _SPLIT)
-            best = splits.groupBy("model", "node", (F.col("feature") == LOSS).alias("is_loss")).agg(
-                F.max_by(F.struct(*[c for c in splits.columns if c not in ("model", "node")]), F.struct("gain", -F.col("feature"))).alias("x"))
+            level = replace(now, round_=round_, growing={i: (growers[i].tree, growers[i].open) for i in busy}, losses=asked)
+            meet = min(tasks, len(asked) + sum(len(growers[i].open) for i in busy))
+            sums = held.mapPartitions(partial(_level_sums, level)).partitionBy(meet, _spread)
             found: dict[int, dict] = {i: {} for i in busy}
-            for r in best.select("model", "node", "x.*").collect():      # a row per open node
-                if r.feature == LOSS:
-                    loss[r.model].append(int(r.lg))
-                    if stops(models[r.model], loss[r.model]):
-                        stopped.add(r.model)
+            for i, node, x in sums.mapPartitions(partial(_level_splits, level)).collect():      # a row per open node
+                if node == LOSS:
+                    loss[i].append(x)
+                    if stops(models[i], loss[i]):
+                        stopped.add(i)
                 else:
-                    found[r.model][r.node] = (r.gain, r.feature, r.bin, r.missing_left, r.lg, r.lh, r.g, r.h)
+                    found[i][node] = x
             for i in busy:
-                if i in growers and i not in stopped:
+                if i not in stopped:
                     growers[i].level(found[i])
             depth += 1
         for i in active:
             if i in stopped:
                 continue
             tree = growers[i].done()
-            since[i].append(tree)
+            now.recent.setdefault(i, []).append(tree)
             pending += tree_rows(i, round_, tree, data.cuts)
-            grown[i] += 1
         round_ += 1
-        if round_ % KEEP_ROUNDS == 0:
-            state = write_table(_with_margins(state, models, since, n_features), "margins")
-            since = [[] for _ in models]
+        if round_ - now.stored >= KEEP_ROUNDS or sum(len(t.child) for x in now.recent.values() for t in x) >= KEEP_NODES:
+            packs = write_table(_in_tasks(packs, _add_margins(now), PACK), "margins")
+            old, held = held, packs.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+            old.unpersist()
+            now = replace(now, stored=round_, recent={})
             keep(pending)
             pending = []
-    pending += [(i, r, LOSS, LOSS, 0, x / scale, False, -1, 0.0, 0.0) for i in range(len(models)) for r, x in enumerate(loss[i])]
+    held.unpersist()
+    pending += [(i, r, LOSS, LOSS, 0, x / data.scale, False, -1, 0.0, 0.0) for i in range(len(models)) for r, x in enumerate(loss[i])]
     keep(pending)
     out = spark.createDataFrame([], TREE)
     for t in written:
@@ -807,20 +850,6 @@ def _fit_by_levels(data: Binned, models: list[Settings]) -> DataFrame:
     return out
 
 
-def _with_margins(state: DataFrame, models, since, n_features: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            _, _, _, bins, margins = _state_matrix(batch, n_features, len(models))
-            new = np.empty((len(bins), len(models)))
-            for i, m in enumerate(models):
-                new[:, i] = margins[:, i] if margins is not None else base_margin(m)
-                for tree in since[i]:
-                    new[:, i] += np.array(tree.value)[tree.walk(bins)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([r.tobytes() for r in new], pa.binary())],
-                                             ["key", "id", "label", "folds", "bins", "margins"])
-    return _in_tasks(state, run, T.StructType([*state.schema.fields[:5], T.StructField("margins", T.BinaryType())]))
-
-
 # ---------------------------------------------------------------- fitted models
 
 @dataclass
