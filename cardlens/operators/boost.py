@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlens.operators.metrics import hash_folds
-from cardlens.session import send_package, write_table
+from cardlens.session import at_once, send_package, write_table
 
 SMALL_BYTES = 64 << 20
 KEEP_ROUNDS = 50
@@ -347,12 +347,13 @@ def quantile_cuts(data: DataFrame, n_features: int, max_bins: int, vector: str =
     mergeable sketches; ``n_features * max_bins`` numbers at most reach the driver."""
     probs = F.array(*[F.lit(float(p)) for p in np.linspace(0, 1, max_bins + 1)[1:]])
     at = lambda i: F.get(vector, F.lit(i))
-    out = []
-    for lo in range(0, n_features, 100):        # 100 sketches to a pass keep generated code small
+
+    def some(lo):
         row = data.agg(*[F.percentile_approx(F.nanvl(at(i), F.lit(None).cast("double")), probs, F.lit(100 * max_bins)).alias(f"q{i}")
                          for i in range(lo, min(n_features, lo + 100))]).first()
-        out += [np.unique(np.array(q if q else [], np.float64)) for q in row]
-    return out
+        return [np.unique(np.array(q if q else [], np.float64)) for q in row]
+    parts = at_once(data.sparkSession, [partial(some, lo) for lo in range(0, n_features, 100)])     # 100 sketches to a pass keep generated code small
+    return [q for part in parts for q in part]
 
 
 def to_bins(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:

@@ -8,6 +8,7 @@ read back with ``CardModel.load(path)`` in any later session.
 from __future__ import annotations
 
 import json
+from functools import partial
 
 from pyspark.ml.base import Transformer
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
@@ -19,7 +20,7 @@ from cardlens.operators import boost as B
 from cardlens.operators import learn as L
 from cardlens.operators.metrics import unlog_clip
 from cardlens.plans import features as FT
-from cardlens.session import write_table
+from cardlens.session import at_once, write_table
 
 KEY = FT.KEY
 
@@ -92,5 +93,6 @@ def fit_card_model(log: DataFrame, rates: DataFrame | None, labels: DataFrame, c
 
     def fitted(label, setting):
         return B.fit(B.bin_rows(L.labelled(table, label).select(KEY, "label", vector(cols)), len(cols), KEY), [setting], cols)
-    return CardModel(cfg, lists, cols, fitted(F.col("target_flag"), flag or B.classifier()),
-                     fitted(F.log1p(F.col("target_sum").cast("double")), spend or B.regressor()), rates)
+    forests = at_once(table.sparkSession, [partial(fitted, F.col("target_flag"), flag or B.classifier()),
+                                           partial(fitted, F.log1p(F.col("target_sum").cast("double")), spend or B.regressor())])
+    return CardModel(cfg, lists, cols, *forests, rates)

@@ -7,6 +7,7 @@ row counts only.
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import partial, reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from cardlens.plans import features as FT
 from cardlens.plans.card_model import vector
 from cardlens.plans.catalog import query
 from cardlens.plans.queries_pivots import trash_mcc_fixture
-from cardlens.session import scratch_path, write_table
+from cardlens.session import at_once, scratch_path, write_table
 from cardlens.sources import ingest as I
 from cardlens.sources import views as V
 
@@ -236,11 +237,10 @@ def q_end_to_end(spark, sf):
     cols = L.feature_columns(table)
     goals = [("flag", B.classifier(), F.col("target_flag"), F.col("prediction")),
              ("spend", B.regressor(), F.log1p(F.col("target_sum").cast("double")), unlog_clip("prediction"))]
-    out = None
-    for goal, setting, label, value in goals:
+
+    def submission(goal, setting, label, value):
         forest = B.fit(B.bin_rows(L.labelled(table, label).select("cl_id", "label", vector(cols)), len(cols)), [setting], cols)
         scored = B.predict(forest, unlabelled(table, cols)).select("cl_id", value.alias("value"))
         path = I.write_predictions(scored, scratch_path(spark, "submission"), value_col="value")
-        read = I.read_predictions(spark, path).withColumn("goal", F.lit(goal))
-        out = read if out is None else out.unionByName(read)
-    return out
+        return I.read_predictions(spark, path).withColumn("goal", F.lit(goal))
+    return reduce(lambda a, b: a.unionByName(b), at_once(spark, [partial(submission, *g) for g in goals]))

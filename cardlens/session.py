@@ -6,7 +6,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every session of this engine should carry.  Time zone is fixed to
@@ -90,6 +93,13 @@ def write_table(df, name: str):
     return spark.read.parquet(path)
 
 
+def at_once(spark: SparkSession, jobs: list[Callable]) -> list:
+    """Results of ``jobs``, run side by side by threads of the driver: Spark jobs of one use the cores that the others leave idle."""
+    send_package(spark)
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        return [x.result() for x in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
+
+
 def send_package(spark: SparkSession) -> None:
     """Send the package's own source to the executors, once a session: they need not have it installed."""
     sc = spark.sparkContext

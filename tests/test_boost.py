@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 import tracemalloc
 from dataclasses import replace
 
@@ -249,3 +250,52 @@ def test_split_search_scores_only_places_that_hold_rows():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 2 * hg.nbytes
+
+
+def test_passes_over_several_packs_and_written_margins_give_the_tasks_trees(spark, monkeypatch):
+    """Packs of a few rows each, margins written after every second round, a fold left out."""
+    _, b, _ = binned(spark, rows(31, 300, 5), folds=3, seeds=(4,))
+    models = [B.classifier(rounds=5, depth=3, min_child_weight=0.5, fold_of=0, fold=f) for f in range(2)]
+    expected = trees_of(B.fit(b, models, list("abcde")))
+    monkeypatch.setattr(B, "PACK_BYTES", 5 * 17)
+    monkeypatch.setattr(B, "KEEP_NODES", 12)
+    assert trees_of(B.fit(b, models, list("abcde"), small_bytes=0)) == expected
+
+
+def test_a_pass_gives_one_pair_of_sums_per_node_and_keeps_margins():
+    """Before, a pass gave a row per node, feature and bin and walked all trees since the written margins."""
+    r = np.random.default_rng(3)
+    n, bins = 200, r.integers(0, 8, (200, 4)).astype(np.uint8)
+    row = (77, n, np.arange(n).astype("<i8").tobytes(), r.integers(0, 2, n).astype("<f8").tobytes(), np.zeros((n, 0), "<i4").tobytes(), bins.tobytes(), b"")
+    p = B.Pass("a fit", [B.classifier(subsample=1.0, colsample=1.0)], np.full(4, 8), np.zeros(4, np.int64), 2.0 ** 20)
+    g = B.Grower(p.models[0])
+    p.growing = {0: (g.tree, g.open)}
+    (at, sums), = B._level_sums(p, [row])
+    assert at == (0, 0) and all(x.shape == (32,) for x in sums)
+    g.level({node: x for _, node, x in B._level_splits(p, [(at, sums)])})
+    tree, walks = g.done(), []
+    monitored = B.Tree(**{k: getattr(tree, k) for k in tree.__dataclass_fields__})
+    monitored.walk = lambda b: walks.append(1) or tree.walk(b)
+    p.recent = {0: [monitored]}
+    first, again = B._margin(p, row, bins, 0), B._margin(p, row, bins, 0)
+    assert len(walks) == 1 and (first == again).all() and (first == np.array(tree.value)[tree.walk(bins)]).all()
+    B._MARGINS.clear()          # another worker, or one that dropped them
+    assert (B._margin(p, row, bins, 0) == first).all() and len(walks) == 2
+
+
+def test_both_goals_of_the_card_model_are_fitted_side_by_side(spark, monkeypatch):
+    from cardlens.functions.config import events_fixture
+    from cardlens.plans import card_model as CM
+    log = spark.createDataFrame([(i, float(i % 7), float(i % 3)) for i in range(60)], "cl_id long, x double, y double")
+    labels = spark.createDataFrame([(i, int(i % 7 > 3), float(i % 7)) for i in range(0, 60, 2)], "cl_id long, target_flag int, target_sum double")
+    monkeypatch.setattr(CM.FT, "prepare_log", lambda rows, rates, cfg: rows)
+    monkeypatch.setattr(CM.FT, "fit_lists", lambda rows, cfg, trash: {})
+    monkeypatch.setattr(CM.FT, "scored_features", lambda rows, cfg, lists: rows)
+    both, fit = threading.Barrier(2), B.fit
+
+    def meet(*a, **k):
+        both.wait(120)          # breaks if the other goal waits for this one
+        return fit(*a, **k)
+    monkeypatch.setattr(B, "fit", meet)
+    model = CM.fit_card_model(log, None, labels, events_fixture(), flag=B.classifier(rounds=2), spend=B.regressor(rounds=2))
+    assert [f.models[0].logistic for f in (model.flag, model.spend)] == [True, False]
