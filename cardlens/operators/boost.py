@@ -441,6 +441,7 @@ class Local:
         first: dict[bytes, int] = {}
         self.alike = np.array([first.setdefault(hashlib.blake2b(c).digest(), f) for f, c in enumerate(self.places)], np.int64)
         self.varies = np.array([(c != c[:1]).any() for c in self.places], bool)
+        self._counts: dict[int, np.ndarray] = {}
 
     def worth_searching(self, columns: np.ndarray) -> np.ndarray:
         first = columns[np.sort(np.unique(self.alike[columns], return_index=True)[1])]
@@ -448,7 +449,7 @@ class Local:
         return some if len(some) else columns[:1]
 
     def goes_right(self, rows: np.ndarray, feature: int, bin_: int, missing_left: bool) -> np.ndarray:
-        place = self.places[feature].take(rows)
+        place = self.places[feature].take(rows, mode="clip")
         right = place > bin_
         return right & (place != self.sizes[feature]) if missing_left and self.missing[feature] else right
 
@@ -474,33 +475,54 @@ class Local:
     def sums(self, columns: np.ndarray, layout: Layout, groups: list[tuple], nodes: list, g: np.ndarray, h: np.ndarray):
         """Sums of ``g`` and ``h`` per [node, place] over each node's rows, a few groups of features at a time."""
         rows = np.concatenate(nodes)
-        number = np.repeat(np.arange(len(nodes)), [len(x) for x in nodes])
-        g, h = g[rows], h[rows]
-        even = h[0] if len(h) and (h == h[0]).all() else None      # of squared error: counting rows is enough
-        out_g, out_h = (np.zeros((len(nodes), layout.width)) for _ in range(2))
+        n, all_ = len(rows), len(g)
+        even = h[rows[0]] if n and (h == h[rows[0]]).all() else None      # of squared error: counting rows is enough
+        if len(nodes) == 1 and 8 * n >= 5 * all_:
+            # most rows: those outside weigh nothing, so no row is gathered
+            inside = np.zeros(all_, bool)
+            inside[rows] = True
+            out_g, out_h = self._summed(columns, layout, groups, None, 1, all_, np.where(inside, g, 0.0), None if even is not None else np.where(inside, h, 0.0))
+            if even is not None:        # all rows less those outside
+                outside = np.flatnonzero(~inside)
+                out_h = np.concatenate([self.counts(f) for f in columns])[None] - self._summed(columns, layout, groups, (outside, 0), 1, len(outside), None, True)[1]
+        else:
+            number = np.repeat(np.arange(len(nodes)), [len(x) for x in nodes]) if len(nodes) > 1 else 0
+            out_g, out_h = self._summed(columns, layout, groups, (rows, number), len(nodes), n, g[rows], True if even is not None else h[rows])
+        return out_g, out_h if even is None else out_h * even
+
+    def counts(self, feature: int) -> np.ndarray:
+        """All rows by place of a feature, counted once."""
+        if feature not in self._counts:
+            self._counts[feature] = np.bincount(self.places[feature], minlength=self.sizes[feature] + self.missing[feature]).astype(np.float64)
+        return self._counts[feature]
+
+    def _summed(self, columns: np.ndarray, layout: Layout, groups: list[tuple], taken, n_nodes: int, n: int, g, h):
+        """Sums per [node, place] of two weights of ``n`` rows (None: not asked for; True: one a row); ``taken``: (rows, node of each), None for all rows."""
         widths = self.sizes[columns] + self.missing[columns]
         sizes = [int(np.prod(widths[lo:hi])) for lo, hi, _ in groups]
-        step = min(len(groups), max(1, CHUNK // max(1, len(rows))))
-        some_g, some_h = np.tile(g, step), None if even is not None else np.tile(h, step)
-        index = np.empty((step, len(rows)), np.int64)
+        step = min(len(groups), max(1, CHUNK // max(1, n)))
+        asked = [(np.zeros((n_nodes, layout.width)), None if w is True else np.tile(w, step)) for w in (g, h) if w is not None]
+        index = np.empty((step, n), np.int64)
+        held = {t: np.empty(n, t) for t in (np.dtype(np.uint8), np.dtype(np.uint16))} if taken else {}
         for first in range(0, len(groups), step):
             part, size = groups[first:first + step], sizes[first:first + step]
             starts = np.cumsum(size) - size
             total = int(sum(size))
-            base = number * total
+            base = taken[1] * total if taken else 0
             for j, (_, _, place) in enumerate(part):
-                np.add(place.take(rows), base + starts[j], out=index[j])
+                if taken:       # rows are within bounds: clipping spares the check
+                    place = place.take(taken[0], out=held[place.dtype], mode="clip")
+                np.add(place, base + starts[j], out=index[j])
             at = index[:len(part)].ravel()
-            hg = np.bincount(at, some_g[:len(at)], len(nodes) * total).reshape(-1, total)
-            hh = np.bincount(at, None if even is not None else some_h[:len(at)], len(nodes) * total).reshape(-1, total)
-            for j, (lo, hi, _) in enumerate(part):
-                shape = (len(nodes), *widths[lo:hi])
-                for out, x in ((out_g, hg), (out_h, hh)):
-                    x = x[:, starts[j]:starts[j] + size[j]].reshape(shape)
+            for out, w in asked:
+                hist = np.bincount(at, None if w is None else w[:len(at)], n_nodes * total).reshape(-1, total)
+                for j, (lo, hi, _) in enumerate(part):
+                    x = hist[:, starts[j]:starts[j] + size[j]].reshape(n_nodes, *widths[lo:hi])
                     for f in range(lo, hi):
                         others = tuple(i for i in range(1, x.ndim) if i != f - lo + 1)
                         out[:, layout.starts[f]:layout.starts[f] + widths[f]] = x.sum(axis=others) if others else x
-        return out_g, out_h if even is None else out_h * even
+        found = iter([out for out, _ in asked])
+        return tuple(next(found) if w is not None else None for w in (g, h))
 
     def grow(self, m: Settings, round_: int, margin: np.ndarray, held: np.ndarray) -> tuple[Tree, np.ndarray]:
         """(one tree, each row's value in it)"""

@@ -299,3 +299,43 @@ def test_both_goals_of_the_card_model_are_fitted_side_by_side(spark, monkeypatch
     monkeypatch.setattr(B, "fit", meet)
     model = CM.fit_card_model(log, None, labels, events_fixture(), flag=B.classifier(rounds=2), spend=B.regressor(rounds=2))
     assert [f.models[0].logistic for f in (model.flag, model.spend)] == [True, False]
+
+
+class Watched(np.ndarray):
+    """Counts the rows that are gathered."""
+    taken = 0
+
+    def take(self, rows, *a, **k):
+        Watched.taken += len(rows)
+        return super().take(rows, *a, **k)
+
+
+@pytest.mark.parametrize("even", [True, False])
+@pytest.mark.parametrize("share", [1.0, 0.9, 0.65, 0.3])
+def test_sums_of_most_rows_gather_no_more_than_the_others(even, share):
+    r = np.random.default_rng(5)
+    n = 4000
+    bins = np.stack([r.integers(0, 5, n), r.integers(0, 7, n), np.where(r.random(n) < 0.1, B.MISSING, r.integers(0, 3, n)), r.integers(0, 30, n)], axis=1).astype(np.uint8)
+    local = B.Local(np.arange(n).astype(np.uint64), r.normal(size=n), np.zeros((n, 0), np.int32), bins, np.array([5, 7, 3, 30]), np.array([0, 0, 1, 0]), 2.0 ** 20)
+    columns = np.array([0, 2, 3])
+    layout = B.Layout(local.sizes[columns], local.missing[columns])
+    g, h = np.rint(r.normal(size=n) * 1000), np.full(n, 8.0) if even else np.rint(r.random(n) * 100)
+    rows = np.sort(r.permutation(n)[:int(share * n)])
+    groups = [(lo, hi, place.view(Watched)) for lo, hi, place in local.joined(columns, 200)]
+    assert len(groups) == 2
+    Watched.taken = 0
+    sums = local.sums(columns, layout, groups, [rows], g, h)
+    assert Watched.taken <= len(groups) * (min(len(rows), n - len(rows)) if even or share < 0.5 else 0)
+    for out, w in zip(sums, (g, h)):
+        expected = np.concatenate([np.bincount(local.places[f][rows], w[rows], local.sizes[f] + local.missing[f]) for f in columns])
+        assert out.shape == (1, layout.width) and (out[0] == expected).all()
+    two = local.sums(columns, layout, groups, [rows[::2], rows[1::2]], g, h)
+    assert all((x.sum(axis=0) == s[0]).all() for x, s in zip(two, sums))
+
+
+def test_both_ways_give_the_same_trees_where_most_rows_are_summed(spark, monkeypatch):
+    monkeypatch.setattr(B, "JOINT", 40)
+    data = [(i, y, [*x, float(i % 2), 1.0]) for i, y, x in rows(17, 900, 4)]
+    _, b, _ = binned(spark, data, 6)
+    models = [B.regressor(rounds=3, min_child_weight=1.0), B.classifier(rounds=3, min_child_weight=0.5)]
+    assert trees_of(B.fit(b, models, list("abcdef"))) == trees_of(B.fit(b, models, list("abcdef"), small_bytes=0))
