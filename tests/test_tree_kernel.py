@@ -97,3 +97,19 @@ def test_rows_go_down_all_trees_at_once_as_down_each():
         expected = expected + np.array(t.value)[t.walk(bins)]
     stand = B.Stand.of(col)
     assert (stand.margins(x, 0.5) == expected).all() and (stand.margins(x[:0], 0.5)).shape == (0,)
+
+
+def test_rows_that_fit_a_quarter_of_the_heap_are_held_by_executors(spark, monkeypatch):
+    """Before, rows beyond 64 MB of bins were fitted by a Spark pass per level, thousands of them; constant features hold no bins."""
+    _, b, _ = binned(spark, odd_rows(), 20)
+    varied = b.n_rows * int(np.count_nonzero(b.sizes + b.missing > 1))
+    assert varied < b.n_rows * len(b.cuts)
+    monkeypatch.setattr(B, "SMALL_BYTES", 0)
+    ways, in_tasks, by_levels = [], B._fit_in_tasks, B._fit_by_levels
+    monkeypatch.setattr(B, "_fit_in_tasks", lambda *a: ways.append("held") or in_tasks(*a))
+    monkeypatch.setattr(B, "_fit_by_levels", lambda *a: ways.append("levels") or by_levels(*a))
+    trees = []
+    for heap in (4 * varied, 4 * varied - 4):
+        monkeypatch.setattr(B, "executor_heap", lambda spark, heap=heap: heap)
+        trees.append(trees_of(B.fit(b, [B.plain(rounds=2, depth=2)], [f"f{i}" for i in range(11)])))
+    assert ways == ["held", "levels"] and trees[0] == trees[1]
